@@ -142,7 +142,7 @@ def versioned_code_lists(spark: SparkSession, sf_dir: str, first_year: int = 199
     return out
 
 
-def staged_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_patient(spark: SparkSession, sf_dir: str, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
     """Raw patient rows with ``updated_at`` extract metadata, two versions for some.
 
     Version 1 of every encounter is stamped ``o_orderdate + o_orderkey % 10``
@@ -158,7 +158,11 @@ def staged_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("updated_at", v1_ts + F.make_dt_interval(days=F.lit(20)))
     )
     cols = ["patient_id", "drg", "birth_date", "admission_date", "discharge_date", "admission_type", "updated_at"]
-    return v1.select(cols).unionByName(v2.select(cols))
+    parts = [v.select(cols) for n, v in ((1, v1), (2, v2)) if n in versions]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @dataclass(frozen=True)
