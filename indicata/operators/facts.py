@@ -25,7 +25,7 @@ from indicata.functions import (
     strict_bigint,
     surrogate_key,
 )
-from indicata.operators.joins import lookup
+from indicata.operators.joins import lookup, narrowed
 from indicata.operators.reference import DATE_DIM_END, DATE_DIM_START, UNKNOWN
 
 # Fixed values of the fact contract.
@@ -88,8 +88,11 @@ def unknown_fallback_key(code_type: str, year: int, resolve_unknown: bool = Fals
 
 def code_keys(dim: DataFrame, code_type: str, year: int, code_name: str, sk_name: str) -> DataFrame:
     """The (code -> key) slice of the dimension for one type and year."""
-    return dim.filter((F.col("code_type") == code_type) & (F.col("reference_year") == year)).select(
-        F.col("code").alias(code_name), F.col("code_sk").alias(sk_name)
+    return narrowed(
+        dim,
+        dim.filter((F.col("code_type") == code_type) & (F.col("reference_year") == year)).select(
+            F.col("code").alias(code_name), F.col("code_sk").alias(sk_name)
+        ),
     )
 
 

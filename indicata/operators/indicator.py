@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.functions import month_label, safe_rate
-from indicata.operators.joins import bounded_broadcast, having, lacking, union_all
+from indicata.operators.joins import bounded_broadcast, having, narrowed, union_all
 
 
 @dataclass(frozen=True)
@@ -105,7 +105,7 @@ def code_flags(bridge: DataFrame, spec: IndicatorSpec, ref_year: int) -> DataFra
 
 
 def _keys_with(flags: DataFrame, flag: str, key_name: str) -> DataFrame:
-    return bounded_broadcast(flags.filter(F.col(flag) == 1).select(F.col("code_sk").alias(key_name)))
+    return bounded_broadcast(narrowed(flags, flags.filter(F.col(flag) == 1).select(F.col("code_sk").alias(key_name))))
 
 
 def ungroupable_drg(discharge: DataFrame, spec: IndicatorSpec) -> Column:
@@ -150,7 +150,7 @@ def inclusions(
 
 def _diagnosis_flag_rows(diagnosis: DataFrame, flags: DataFrame) -> DataFrame:
     """Diagnosis rows that can set an exclusion or numerator flag, with those flags."""
-    f = bounded_broadcast(
+    f = bounded_broadcast(narrowed(flags,
         flags.filter(
             (F.col("is_numerator_code") == 1) | (F.col("is_principal_excl_code") == 1) | (F.col("is_secondary_excl_code") == 1)
         ).select(
@@ -159,7 +159,7 @@ def _diagnosis_flag_rows(diagnosis: DataFrame, flags: DataFrame) -> DataFrame:
             "is_principal_excl_code",
             "is_secondary_excl_code",
         )
-    )
+    ))
     principal = F.col("is_principal_diag") == 1
     secondary = F.col("is_principal_diag") == 0
     excl_principal = principal & (F.col("is_principal_excl_code") == 1)
@@ -325,7 +325,7 @@ def numerator_patients(
     code chosen as the lowest (rank, code) among qualifying diagnoses."""
     el = eligible(discharge, diagnosis, procedure, flags, spec, period).filter("in_numerator = 1")
     numer_codes = bounded_broadcast(
-        flags.filter(F.col("is_numerator_code") == 1).select(F.col("code_sk").alias("diag_code_sk"))
+        narrowed(flags, flags.filter(F.col("is_numerator_code") == 1).select(F.col("code_sk").alias("diag_code_sk")))
     )
     qual = (
         having(diagnosis.filter(F.col("is_principal_diag") == 0), numer_codes, "diag_code_sk")

@@ -14,15 +14,41 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_ROWS_ATTR = "_indicata_max_rows"
+
+
+def declare_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Record a proven upper bound on the rows of ``df`` (e.g. its exact count
+    taken once after it was materialized)."""
+    setattr(df, _ROWS_ATTR, int(rows))
+    return df
+
+
+def narrowed(parent: DataFrame, child: DataFrame) -> DataFrame:
+    """Carry ``parent``'s row bound to ``child``.
+
+    Only valid when ``child`` cannot have more rows than ``parent``: a filter,
+    projection, DISTINCT or aggregation of it (never a join or explode).
+    """
+    bound = getattr(parent, _ROWS_ATTR, None)
+    if bound is not None:
+        declare_rows(child, bound)
+    return child
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than ``max_rows + 1`` rows. Above the bound the frame is returned
-    unchanged and Spark picks a shuffle join.
+    The proof is either a bound recorded with ``declare_rows`` / ``narrowed``
+    (free) or a bounded count (``limit(max_rows + 1)``, one small job that
+    never scans more than ``max_rows + 1`` rows). Above the bound the frame
+    is returned unchanged and Spark picks a shuffle join (re-planned at
+    runtime by AQE).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    n = getattr(df, _ROWS_ATTR, None)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
+    return narrowed(df, F.broadcast(df)) if n <= max_rows else df
 
 
 def lookup(

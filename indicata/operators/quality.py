@@ -14,7 +14,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicata.operators.joins import bounded_broadcast, lacking, union_all
+from indicata.operators.joins import bounded_broadcast, lacking, narrowed, union_all
 
 
 def _result(df: DataFrame, check: str, subject: str | Column, violations: Column, passed: Column | None = None) -> DataFrame:
@@ -60,7 +60,7 @@ def fk_orphans(checks: Mapping[str, tuple[DataFrame, str, DataFrame, str, bool]]
     """
     parts = []
     for name, (child, ckey, parent, pkey, small) in checks.items():
-        p = parent.select(F.col(pkey).alias(ckey)).distinct()
+        p = narrowed(parent, parent.select(F.col(pkey).alias(ckey)).distinct())
         p = bounded_broadcast(p) if small else p
         orphans = lacking(child.select(ckey), p, ckey)
         parts.append(_one(orphans, "fk_resolves", name, F.count(F.lit(1))))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.functions import month_label, surrogate_key
-from indicata.operators.joins import bounded_broadcast, lacking, union_all
+from indicata.operators.joins import bounded_broadcast, declare_rows, lacking, narrowed, union_all
 
 # Fixed values of the reference model.
 UNKNOWN = "UNKNOWN"
@@ -113,7 +113,7 @@ def bridge(cmap: DataFrame, dim: DataFrame) -> DataFrame:
     """Distinct code-to-identifier pairs, keyed by the dimension's code_sk."""
     keys = ["code", "code_type", "reference_year"]
     joined = cmap.select(*keys, "identifier").join(
-        bounded_broadcast(dim.select("code_sk", *keys)), on=keys, how="inner"
+        bounded_broadcast(narrowed(dim, dim.select("code_sk", *keys))), on=keys, how="inner"
     )
     return joined.select(
         "code_sk",
@@ -148,7 +148,7 @@ def dim_date(
         F.trunc("full_date", "MM").alias("month_start_date"),
     )
     if not with_unknown:
-        return days
+        return declare_rows(days, n_days)
     unknown = spark.range(1).select(
         F.lit(UNKNOWN_DATE_SK).cast("bigint").alias("date_sk"),
         F.lit(UNKNOWN_DATE).alias("full_date"),
@@ -157,7 +157,7 @@ def dim_date(
         F.lit(UNKNOWN_DATE.strftime("%Y-%m")).alias("year_month"),
         F.lit(UNKNOWN_DATE).alias("month_start_date"),
     )
-    return days.unionByName(unknown)
+    return declare_rows(days.unionByName(unknown), n_days + 1)
 
 
 def code_identifiers(br: DataFrame, year: int) -> DataFrame:

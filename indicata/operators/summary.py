@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from indicata.functions import text_list
 from indicata.operators.facts import code_keys
-from indicata.operators.joins import bounded_broadcast, lookup
+from indicata.operators.joins import bounded_broadcast, lookup, narrowed
 from indicata.operators.reference import code_identifiers
 
 # Fixed value: text fallback for a DRG missing from the dimension.
@@ -30,7 +30,7 @@ def _empty_ids():
 
 
 def _identifiers_lookup(df: DataFrame, ci: DataFrame, code_type: str, sk_col: str) -> DataFrame:
-    ids = ci.filter(F.col("code_type") == code_type).select(F.col("code_sk").alias(sk_col), "identifiers")
+    ids = narrowed(ci, ci.filter(F.col("code_type") == code_type).select(F.col("code_sk").alias(sk_col), "identifiers"))
     return df.join(bounded_broadcast(ids), sk_col, "left").withColumn(
         "identifiers", F.coalesce(F.col("identifiers"), _empty_ids())
     )
@@ -111,7 +111,7 @@ def discharge_summary(
     year: int,
 ) -> DataFrame:
     """Nested one-row-per-discharge summary; arrays are never NULL."""
-    ci = code_identifiers(bridge, year)
+    ci = narrowed(bridge, code_identifiers(bridge, year))
     drg = _identifiers_lookup(
         lookup(discharge, code_keys(dim, "DRG", year, "drg", "_drg_sk"), ["drg"]), ci, "DRG", "_drg_sk"
     )

@@ -21,7 +21,7 @@ from indicata.operators import quality as dq
 from indicata.operators import reference as ref
 from indicata.operators import summary as summ
 from indicata.operators.facts import code_keys
-from indicata.operators.joins import bounded_broadcast, lacking, lookup
+from indicata.operators.joins import bounded_broadcast, lacking, lookup, narrowed
 from indicata.plans.warehouse import Warehouse, fixture_warehouse
 from indicata.sources import fixtures as fx
 from indicata.sources import sinks
@@ -220,10 +220,10 @@ def fct_procedure(spark, sf):
 
 def date_roles(spark, sf):
     w = warehouse(spark, sf)
-    dd = bounded_broadcast(w.dim_date)
-    role = lambda prefix, cols: dd.select(
+    dd = w.dim_date
+    role = lambda prefix, cols: bounded_broadcast(narrowed(dd, dd.select(
         F.col("full_date").alias(f"{prefix}_date"), *[F.col(c).alias(f"{prefix}_{c}") for c in cols]
-    )
+    )))
     out = (
         w.fct_discharge.select("patient_id", "birth_date", "admission_date", "discharge_date")
         .join(role("birth", ["date_sk", "year"]), "birth_date", "left")
@@ -243,8 +243,11 @@ def date_roles(spark, sf):
 
 def code_lookup_left(spark, sf):
     w = warehouse(spark, sf)
-    dims = w.dim_code.filter((F.col("code_type") == "Diagnosis") & (F.col("reference_year") == YEAR)).select(
-        F.col("code").alias("diag_code"), "code_sk", "code_description"
+    dims = narrowed(
+        w.dim_code,
+        w.dim_code.filter((F.col("code_type") == "Diagnosis") & (F.col("reference_year") == YEAR)).select(
+            F.col("code").alias("diag_code"), "code_sk", "code_description"
+        ),
     )
     return lookup(w.fct_diagnosis.select("patient_id", "diag_code", "diag_rank_num"), dims, ["diag_code"])
 
@@ -260,7 +263,8 @@ def orphan_children(spark, sf):
 
 def semi_surgical(spark, sf):
     w = warehouse(spark, sf)
-    keys = w.flags(SPEC).filter(F.col("is_surgical_drg") == 1).select(F.col("code_sk").alias("drg_code_sk"))
+    flags = w.flags(SPEC)
+    keys = narrowed(flags, flags.filter(F.col("is_surgical_drg") == 1).select(F.col("code_sk").alias("drg_code_sk")))
     return w.fct_discharge.join(bounded_broadcast(keys), "drg_code_sk", "left_semi").select(
         "patient_id", "drg", "drg_code_sk"
     )
@@ -312,7 +316,7 @@ def _summary(w: Warehouse) -> DataFrame:
 
 
 def _diag_arrays(w: Warehouse) -> DataFrame:
-    ci = ref.code_identifiers(w.bridge, YEAR)
+    ci = narrowed(w.bridge, ref.code_identifiers(w.bridge, YEAR))
     return summ.diagnosis_arrays(summ.diagnosis_structs(w.fct_diagnosis, w.dim_code, ci, YEAR))
 
 
@@ -340,7 +344,7 @@ def secondary_diagnoses(spark, sf):
 
 def procedures_array(spark, sf):
     w = warehouse(spark, sf)
-    a = summ.procedure_arrays(w.fct_procedure, w.dim_code, ref.code_identifiers(w.bridge, YEAR), YEAR)
+    a = summ.procedure_arrays(w.fct_procedure, w.dim_code, narrowed(w.bridge, ref.code_identifiers(w.bridge, YEAR)), YEAR)
     e = summ.explode_positions(a, "procedures", ["code_sk", "code", "identifiers"])
     return e.withColumn("identifiers", text_list(F.col("identifiers")))
 

@@ -30,8 +30,17 @@ PRIORITY_TO_ADMISSION_TYPE = {
 RETURNFLAG_TO_POA = {"A": "Y", "N": "N"}
 
 
+_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Driver table ``name`` (read once per session; schema from the footer)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hit = _TABLES.get((id(spark), path))
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _TABLES[(id(spark), path)] = hit
+    return hit[1]
 
 
 def _pad3(c: Column) -> Column:
@@ -88,30 +97,55 @@ def raw_procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _code_rows(part: DataFrame, code: Column, code_type: str, identifier: str, where: Column) -> DataFrame:
-    return part.filter(where).select(
-        code.alias("code"),
-        F.col("p_name").alias("code_description"),
-        F.lit(code_type).alias("code_type"),
-        F.lit(identifier).alias("identifier"),
-    )
-
-
-def code_lists(spark: SparkSession, sf_dir: str, sepsis_hi: int = 12) -> dict[str, DataFrame]:
-    """The five code lists; ``sepsis_hi`` moves the upper end of the sepsis range."""
-    part = table(spark, sf_dir, "part")
+def _code_list_rows(part: DataFrame, sepsis_hi: Column, extra: list[Column] | None = None) -> DataFrame:
+    """All five code lists from ONE scan of ``part``: each part row yields
+    the list entries whose condition it meets (explode of conditional
+    structs), instead of a five-way UNION ALL of separate scans. Entries
+    are in the struct column ``_r``."""
     k = F.col("p_partkey")
     proc = F.concat(F.lit("P"), _pad3(k % 10))
     drg = _pad3(k % 50)
     diag = F.concat(F.lit("D"), _pad3(k % 100))
+    # Which list carries which identifier (see FIXTURES.md).
+    entries = [
+        ("appendix_a", proc, "Procedure", "ORPROC", k % 10 < 4),
+        ("appendix_e", drg, "DRG", "SURGI2R", k % 50 < 30),
+        ("appendix_f", diag, "Diagnosis", "INFECID", k % 100 < 8),
+        ("appendix_o", diag, "Diagnosis", "MDC14PRINDX", (k % 100).between(20, 29)),
+        ("appendix_o", diag, "Diagnosis", "MDC15PRINDX", (k % 100).between(25, 34)),
+        ("sepsis_codes", diag, "Diagnosis", "SEPTI2D", (k % 100 >= 5) & (k % 100 <= sepsis_hi)),
+    ]
+    rows = F.array(
+        *[
+            F.when(
+                cond,
+                F.struct(
+                    F.lit(name).alias("list_name"),
+                    code.alias("code"),
+                    F.col("p_name").alias("code_description"),
+                    F.lit(code_type).alias("code_type"),
+                    F.lit(ident).alias("identifier"),
+                ),
+            )
+            for name, code, code_type, ident, cond in entries
+        ]
+    )
+    return part.select(*(extra or []), F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("_r"))
+
+
+def code_list_rows(spark: SparkSession, sf_dir: str, sepsis_hi: int = 12) -> DataFrame:
+    """The five code lists as one frame with a ``list_name`` column."""
+    return _code_list_rows(table(spark, sf_dir, "part"), F.lit(sepsis_hi)).select("_r.*")
+
+
+def code_lists(spark: SparkSession, sf_dir: str, sepsis_hi: int = 12) -> dict[str, DataFrame]:
+    """The five code lists as separate frames (one file each in the contract);
+    ``sepsis_hi`` moves the upper end of the sepsis range."""
+    rows = code_list_rows(spark, sf_dir, sepsis_hi)
+    names = ("appendix_a", "appendix_e", "appendix_f", "appendix_o", "sepsis_codes")
     return {
-        "appendix_a": _code_rows(part, proc, "Procedure", "ORPROC", k % 10 < 4),
-        "appendix_e": _code_rows(part, drg, "DRG", "SURGI2R", k % 50 < 30),
-        "appendix_f": _code_rows(part, diag, "Diagnosis", "INFECID", k % 100 < 8),
-        "appendix_o": _code_rows(part, diag, "Diagnosis", "MDC14PRINDX", (k % 100).between(20, 29)).unionByName(
-            _code_rows(part, diag, "Diagnosis", "MDC15PRINDX", (k % 100).between(25, 34))
-        ),
-        "sepsis_codes": _code_rows(part, diag, "Diagnosis", "SEPTI2D", (k % 100).between(5, sepsis_hi)),
+        n: rows.filter(F.col("list_name") == n).select("code", "code_description", "code_type", "identifier")
+        for n in names
     }
 
 
@@ -119,27 +153,24 @@ def versioned_code_lists(spark: SparkSession, sf_dir: str, first_year: int = 199
     """One code-list version per year, effective Jan 1 .. Dec 31.
 
     The sepsis list widens by one code per year after the fixture year.
-    Returns the union of all versions with ``ref_version``,
-    ``effective_start_date``, ``effective_end_date`` and ``reference_year``.
+    Returns all versions with ``ref_version``, ``effective_start_date``,
+    ``effective_end_date`` and ``reference_year``, from a single scan.
     """
-    from indicata.operators.reference import union_code_lists
-
-    versions = []
-    for year in range(first_year, last_year + 1):
-        lists = code_lists(spark, sf_dir, sepsis_hi=12 + year - FIXTURE_YEAR)
-        versions.append(
-            union_code_lists(lists).select(
-                "*",
-                F.lit(f"{year}-01-01").alias("ref_version"),
-                F.lit(_dt.date(year, 1, 1)).alias("effective_start_date"),
-                F.lit(_dt.date(year, 12, 31)).alias("effective_end_date"),
-                F.lit(year).cast("bigint").alias("reference_year"),
-            )
-        )
-    out = versions[0]
-    for v in versions[1:]:
-        out = out.unionByName(v)
-    return out
+    yr = F.col("_yr")
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("_yr")
+    )
+    rows = _code_list_rows(part, F.lit(12) + yr - FIXTURE_YEAR, extra=[yr])
+    return rows.select(
+        "_r.code",
+        "_r.code_description",
+        "_r.code_type",
+        "_r.identifier",
+        F.concat(yr.cast("string"), F.lit("-01-01")).alias("ref_version"),
+        F.make_date(yr, F.lit(1), F.lit(1)).alias("effective_start_date"),
+        F.make_date(yr, F.lit(12), F.lit(31)).alias("effective_end_date"),
+        yr.cast("bigint").alias("reference_year"),
+    )
 
 
 def staged_patient(spark: SparkSession, sf_dir: str, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
@@ -170,7 +201,7 @@ class RawInputs:
     patient: DataFrame
     diagnosis: DataFrame
     procedure: DataFrame
-    code_lists: dict[str, DataFrame]
+    code_lists: DataFrame  # all lists, with ``list_name``
 
 
 def raw_inputs(spark: SparkSession, sf_dir: str, sepsis_hi: int = 12) -> RawInputs:
@@ -178,5 +209,5 @@ def raw_inputs(spark: SparkSession, sf_dir: str, sepsis_hi: int = 12) -> RawInpu
         patient=raw_patient(spark, sf_dir),
         diagnosis=raw_diagnosis(spark, sf_dir),
         procedure=raw_procedure(spark, sf_dir),
-        code_lists=code_lists(spark, sf_dir, sepsis_hi=sepsis_hi),
+        code_lists=code_list_rows(spark, sf_dir, sepsis_hi=sepsis_hi),
     )
