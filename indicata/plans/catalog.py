@@ -443,6 +443,22 @@ def effective_dated_lookup(spark, sf):
     return out.select("patient_id", "diag_code", "diag_rank_num", "ref_version", F.col("in_set").alias("is_sepsis_code"))
 
 
+def stream_staged_upsert(spark, sf):
+    """Two staged extracts (all version-1 rows, then the version-2
+    corrections) applied by the Structured Streaming loader, one file per
+    micro-batch; the result is the newest row per encounter."""
+    from indicata.streaming.ingest import apply_staged_extracts
+
+    staging = sinks.fresh_path(spark, "staging")
+    fx.staged_patient(spark, sf, versions=(1,)).write.parquet(staging)
+    fx.staged_patient(spark, sf, versions=(2,)).write.mode("append").parquet(staging)
+    schema = fx.staged_patient(spark, sf).schema
+    return apply_staged_extracts(
+        spark, staging, schema, sinks.fresh_path(spark, "patient-state"), ["patient_id"], "updated_at",
+        max_files_per_trigger=1,
+    )
+
+
 # -- data quality ---------------------------------------------------------------------------------
 
 
@@ -595,6 +611,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_range": backfill_range,
     "lookback_extract": lookback_extract,
     "upsert_latest": upsert_latest,
+    "stream_staged_upsert": stream_staged_upsert,
     "metrics_upsert": metrics_upsert,
     "numerator_patients": numerator_patients,
     "numerator_diff": numerator_diff,

@@ -459,6 +459,11 @@ FROM (SELECT DISTINCT patient_id FROM fct_diagnosis) g LEFT JOIN principal pr ON
     SELECT {_STAGED_COLS} FROM staged_patient WHERE version = 1
     UNION ALL
     SELECT {_STAGED_COLS} FROM staged_patient WHERE updated_at >= TIMESTAMP '1997-12-08 00:00:00')
+) WHERE rn = 1"""
+    )
+    q["stream_staged_upsert"] = sql(
+        f"""SELECT {_STAGED_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY updated_at DESC) rn FROM staged_patient
 ) WHERE rn = 1"""
     )
     q["metrics_upsert"] = sql(

@@ -107,19 +107,11 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and not argv[1].isidentifier() else "/root/testdata/sf0.01"
     keys = [a for a in argv[1:] if a.isidentifier()]
     import duckdb
-    from pyspark.sql import SparkSession
-
     import __spark_entry__ as entry
 
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
+    from indicata.session import build_session
+
+    spark = build_session("local[8]", 8, **{"spark.driver.memory": "8g"})
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
