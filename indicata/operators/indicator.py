@@ -179,13 +179,37 @@ def _diagnosis_flag_rows(diagnosis: DataFrame, flags: DataFrame) -> DataFrame:
     )
 
 
+# Largest encounter-id set broadcast as a map-side pre-filter (about 16 MB
+# as a long hash relation); beyond it the pre-filter is skipped.
+PREFILTER_MAX_IDS = 1_000_000
+
+
+def _only(rows: DataFrame, ids: DataFrame | None) -> DataFrame:
+    return rows if ids is None else having(rows, ids, "patient_id")
+
+
+def included_ids(included: DataFrame, max_ids: int = PREFILTER_MAX_IDS) -> DataFrame | None:
+    """Distinct included encounter ids as a broadcast pre-filter, or None when
+    the set is larger than ``max_ids`` (checked with a bounded count)."""
+    ids = included.select("patient_id").distinct()
+    out = bounded_broadcast(ids, max_ids)
+    return out if out is not ids else None
+
+
 def patient_flags(
-    discharge: DataFrame, diagnosis: DataFrame, procedure: DataFrame, flags: DataFrame, spec: IndicatorSpec
+    discharge: DataFrame,
+    diagnosis: DataFrame,
+    procedure: DataFrame,
+    flags: DataFrame,
+    spec: IndicatorSpec,
+    only_ids: DataFrame | None = None,
 ) -> DataFrame:
     """Per-encounter flags from all three facts in a single aggregation.
 
     Columns: patient_id, excl_principal, excl_secondary, excl_drg, numer,
     or_proc (0/1 each). Only encounters with at least one flag appear.
+    ``only_ids`` (a broadcast id set) drops rows of other encounters map-side,
+    before the shuffle; flags of the kept encounters are unchanged.
     """
     dx = _diagnosis_flag_rows(diagnosis, flags)
     px = having(procedure, _keys_with(flags, "is_or_procedure", "procedure_code_sk"), "procedure_code_sk").select(
@@ -205,7 +229,8 @@ def patient_flags(
         F.lit(0).alias("or_proc"),
     )
     cols = ["excl_principal", "excl_secondary", "excl_drg", "numer", "or_proc"]
-    return union_all(dx, px, dd).groupBy("patient_id").agg(*[F.max(c).alias(c) for c in cols])
+    rows = union_all(*[_only(r, only_ids) for r in (dx, px, dd)])
+    return rows.groupBy("patient_id").agg(*[F.max(c).alias(c) for c in cols])
 
 
 def exclusions(
@@ -226,17 +251,21 @@ def eligible(
     flags: DataFrame,
     spec: IndicatorSpec,
     period: Period,
+    prefilter: bool = True,
 ) -> DataFrame:
     """Eligible (patient_id, year_month) with ``in_numerator`` 0/1 and the
     earliest discharge date of the month, one row each.
 
     The grouping on (patient_id, year_month) is satisfied by the join's
-    hash partitioning on patient_id, so it adds no exchange.
+    hash partitioning on patient_id, so it adds no exchange. With
+    ``prefilter`` the (small, size-checked) set of included encounters is
+    broadcast so flag rows of all other encounters never reach the shuffle.
     """
     included = surgical_discharges(discharge, flags, spec, period).select(
         "patient_id", "discharge_date", month_label(F.col("discharge_date")).alias("year_month")
     )
-    pf = patient_flags(discharge, diagnosis, procedure, flags, spec).filter(
+    ids = included_ids(included) if prefilter else None
+    pf = patient_flags(discharge, diagnosis, procedure, flags, spec, ids).filter(
         "or_proc = 1 AND excl_principal = 0 AND excl_secondary = 0 AND excl_drg = 0"
     )
     return (
@@ -289,7 +318,7 @@ def exclusion_reasons(
     included = surgical_discharges(discharge, flags, spec, period).select(
         "patient_id", month_label(F.col("discharge_date")).alias("year_month")
     )
-    pf = patient_flags(discharge, diagnosis, procedure, flags, spec).filter("or_proc = 1")
+    pf = patient_flags(discharge, diagnosis, procedure, flags, spec, included_ids(included)).filter("or_proc = 1")
     per_enc = (
         included.join(pf, "patient_id")
         .groupBy("patient_id", "year_month")

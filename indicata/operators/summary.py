@@ -109,9 +109,14 @@ def discharge_summary(
     dim: DataFrame,
     bridge: DataFrame,
     year: int,
+    ci: DataFrame | None = None,
 ) -> DataFrame:
-    """Nested one-row-per-discharge summary; arrays are never NULL."""
-    ci = narrowed(bridge, code_identifiers(bridge, year))
+    """Nested one-row-per-discharge summary; arrays are never NULL.
+
+    ``ci`` is the per-code identifier array table (``code_identifiers``) when
+    it is already materialized; it is derived from ``bridge`` otherwise.
+    """
+    ci = ci if ci is not None else narrowed(bridge, code_identifiers(bridge, year))
     drg = _identifiers_lookup(
         lookup(discharge, code_keys(dim, "DRG", year, "drg", "_drg_sk"), ["drg"]), ci, "DRG", "_drg_sk"
     )

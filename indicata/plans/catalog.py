@@ -195,7 +195,7 @@ def dim_date(spark, sf):
 
 
 def code_identifiers(spark, sf):
-    ci = ref.code_identifiers(warehouse(spark, sf).bridge, YEAR)
+    ci = warehouse(spark, sf).code_identifiers
     return ci.select("code_sk", "code_type", "reference_year", text_list(F.col("identifiers")).alias("identifiers"))
 
 
@@ -312,11 +312,13 @@ def exclusion_reasons(spark, sf):
 
 
 def _summary(w: Warehouse) -> DataFrame:
-    return summ.discharge_summary(w.fct_discharge, w.fct_diagnosis, w.fct_procedure, w.dim_code, w.bridge, YEAR)
+    return summ.discharge_summary(
+        w.fct_discharge, w.fct_diagnosis, w.fct_procedure, w.dim_code, w.bridge, YEAR, ci=w.code_identifiers
+    )
 
 
 def _diag_arrays(w: Warehouse) -> DataFrame:
-    ci = narrowed(w.bridge, ref.code_identifiers(w.bridge, YEAR))
+    ci = w.code_identifiers
     return summ.diagnosis_arrays(summ.diagnosis_structs(w.fct_diagnosis, w.dim_code, ci, YEAR))
 
 
@@ -344,7 +346,7 @@ def secondary_diagnoses(spark, sf):
 
 def procedures_array(spark, sf):
     w = warehouse(spark, sf)
-    a = summ.procedure_arrays(w.fct_procedure, w.dim_code, narrowed(w.bridge, ref.code_identifiers(w.bridge, YEAR)), YEAR)
+    a = summ.procedure_arrays(w.fct_procedure, w.dim_code, w.code_identifiers, YEAR)
     e = summ.explode_positions(a, "procedures", ["code_sk", "code", "identifiers"])
     return e.withColumn("identifiers", text_list(F.col("identifiers")))
 

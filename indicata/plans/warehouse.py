@@ -63,6 +63,11 @@ class Warehouse:
     def bridge(self) -> DataFrame:
         return self._pin(_ref.bridge(self.code_map, self.dim_code), "bridge")
 
+    @cached_property
+    def code_identifiers(self) -> DataFrame:
+        """Sorted identifier array per code key of the reference year."""
+        return self._pin(_ref.code_identifiers(self.bridge, self.year), "code_identifiers")
+
     @cached_property
     def dim_date(self) -> DataFrame:
         return _ref.dim_date(self.spark, self.date_start, self.date_end)
