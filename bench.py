@@ -55,21 +55,23 @@ def main() -> None:
         catalog.QUERIES[name](spark, sf_dir).write.mode("overwrite").format("noop").save()
         return time.perf_counter() - t
 
-    t = time.perf_counter()
-    w = catalog.warehouse(spark, sf_dir)
-    _ = (w.code_map, w.dim_code, w.bridge, w.flags(catalog.SPEC))
-    reference_cold = time.perf_counter() - t
+    def build_layers() -> float:
+        """Reference and core layers written once (as the nightly run does)."""
+        t = time.perf_counter()
+        w = catalog.warehouse(spark, sf_dir)
+        _ = (w.code_map, w.dim_code, w.bridge, w.code_identifiers, w.flags(catalog.SPEC))
+        _ = (w.fct_discharge_by_month, w.fct_diagnosis, w.fct_procedure)
+        return time.perf_counter() - t
+
+    layers_cold = build_layers()
 
     cold = {n: round(run(n), 3) for n in HEADLINE}
-    # Warm pass: a fresh warehouse (reference layer re-materialized) and
-    # fresh plans; only JVM/codegen warm-up is shared with the cold pass.
+    # Warm pass: a fresh warehouse (layers re-materialized) and fresh
+    # plans; only JVM/codegen warm-up is shared with the cold pass.
     catalog._WAREHOUSES.clear()
-    t = time.perf_counter()
-    w = catalog.warehouse(spark, sf_dir)
-    _ = (w.code_map, w.dim_code, w.bridge, w.flags(catalog.SPEC))
-    reference_warm = time.perf_counter() - t
+    layers_warm = build_layers()
     warm = {n: round(run(n), 3) for n in HEADLINE}
-    queries = {"reference_layer": round(reference_warm, 3), **warm}
+    queries = {"build_layers": round(layers_warm, 3), **warm}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
         json.dumps(
@@ -78,7 +80,7 @@ def main() -> None:
                 "value": round(sum(queries.values()), 3),
                 "unit": "sec",
                 "queries": queries,
-                "cold": {"reference_layer": round(reference_cold, 3), **cold},
+                "cold": {"build_layers": round(layers_cold, 3), **cold},
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
             }

@@ -123,9 +123,18 @@ def _inclusion_filter(spec: IndicatorSpec, period: Period) -> Column:
 
 
 def surgical_discharges(discharge: DataFrame, flags: DataFrame, spec: IndicatorSpec, period: Period) -> DataFrame:
-    """Discharges passing the row filters whose DRG carries a surgical identifier."""
+    """Discharges passing the row filters whose DRG carries a surgical identifier.
+
+    When the discharge fact carries its ``discharge_month`` partition column,
+    the period is applied to it as well, so only the period's partitions are
+    read.
+    """
+    cond = _inclusion_filter(spec, period)
+    if "discharge_month" in discharge.columns:
+        first = period.start.replace(day=1)
+        cond = cond & F.col("discharge_month").between(F.lit(first), F.lit(period.end))
     return having(
-        discharge.filter(_inclusion_filter(spec, period)),
+        discharge.filter(cond),
         _keys_with(flags, "is_surgical_drg", "drg_code_sk"),
         "drg_code_sk",
     )

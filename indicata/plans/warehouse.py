@@ -4,8 +4,14 @@ The reference layer (code map, code dimension, bridge, indicator code
 flags) is bounded by the published code lists, not by encounter volume. It
 is written once to the shared checkpoint folder and read back, which cuts
 its lineage: every later plan sees a small parquet scan instead of
-re-deriving the dimension (and its shuffles) at each lookup. The core
-layer stays lazy, so each query is one plan from the raw tables.
+re-deriving the dimension (and its shuffles) at each lookup.
+
+The core layer (three facts) is written the same way, as the source model
+does with its core tables: the discharge fact partitioned by discharge month
+and sorted by encounter, the child facts sorted by encounter. Queries read
+the facts, so their lineage starts at the written tables (a lost executor
+recomputes from them, not from the raw extracts), and period filters prune
+month partitions. ``materialize_core=False`` keeps everything lazy.
 """
 
 from __future__ import annotations
@@ -15,13 +21,16 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from indicata.operators import facts as _facts
 from indicata.operators import indicator as _ind
 from indicata.operators import reference as _ref
 from indicata.sources.fixtures import RawInputs, raw_inputs
 from indicata.operators.joins import declare_rows
-from indicata.sources.sinks import fresh_path
+from indicata.sources.sinks import fresh_path, read_by_month, write_by_month
+
+MONTH_COL = "discharge_month"
 
 
 @dataclass
@@ -33,6 +42,11 @@ class Warehouse:
     date_start: _dt.date = _ref.DATE_DIM_START
     date_end: _dt.date = _ref.DATE_DIM_END
     materialize_reference: bool = True
+    materialize_core: bool = True
+    # On a cluster: range-partition the discharge fact by (month, patient_id)
+    # into this many tasks before writing, so a large month is split across
+    # tasks and each month gets few, non-overlapping files.
+    fact_partitions: int | None = None
     _cache: dict = field(default_factory=dict, repr=False)
 
     def _pin(self, df: DataFrame, name: str) -> DataFrame:
@@ -86,8 +100,14 @@ class Warehouse:
         return _facts.core_diagnosis(self.raw.diagnosis)
 
     @cached_property
-    def fct_discharge(self) -> DataFrame:
-        return _facts.fct_discharge(
+    def fct_discharge_by_month(self) -> DataFrame:
+        """Discharge fact with its ``discharge_month`` partition column.
+
+        Written partitioned by discharge month and sorted by ``patient_id``
+        inside each month, then read back: filters on the month column prune
+        whole partitions, and lookups by encounter skip row groups.
+        """
+        fct = _facts.fct_discharge(
             self.core_patient,
             self.dim_code,
             self.year,
@@ -95,14 +115,38 @@ class Warehouse:
             date_end=self.date_end,
             resolve_unknown=self.resolve_unknown,
         )
+        if not self.materialize_core:
+            return fct.withColumn(MONTH_COL, F.trunc("discharge_date", "MM"))
+        path = fresh_path(self.spark, "fct_discharge")
+        write_by_month(
+            fct, path, "discharge_date", month_col=MONTH_COL, cluster_by=("patient_id",), num_partitions=self.fact_partitions
+        )
+        return read_by_month(self.spark, path, fct.schema, month_col=MONTH_COL)
+
+    @cached_property
+    def fct_discharge(self) -> DataFrame:
+        return self.fct_discharge_by_month.drop(MONTH_COL)
+
+    def _pin_fact(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize_core:
+            return df
+        path = fresh_path(self.spark, name)
+        df.sortWithinPartitions("patient_id").write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
     def fct_diagnosis(self) -> DataFrame:
-        return _facts.fct_diagnosis(self.core_diagnosis, self.dim_code, self.year, resolve_unknown=self.resolve_unknown)
+        return self._pin_fact(
+            _facts.fct_diagnosis(self.core_diagnosis, self.dim_code, self.year, resolve_unknown=self.resolve_unknown),
+            "fct_diagnosis",
+        )
 
     @cached_property
     def fct_procedure(self) -> DataFrame:
-        return _facts.fct_procedure(self.core_procedure, self.dim_code, self.year, resolve_unknown=self.resolve_unknown)
+        return self._pin_fact(
+            _facts.fct_procedure(self.core_procedure, self.dim_code, self.year, resolve_unknown=self.resolve_unknown),
+            "fct_procedure",
+        )
 
     # -- indicator -------------------------------------------------------
     def flags(self, spec: _ind.IndicatorSpec) -> DataFrame:
@@ -114,7 +158,7 @@ class Warehouse:
     def monthly(self, spec: _ind.IndicatorSpec | None = None, period: _ind.Period | None = None) -> DataFrame:
         spec = spec or _ind.IndicatorSpec()
         return _ind.monthly_indicator(
-            self.fct_discharge,
+            self.fct_discharge_by_month,
             self.fct_diagnosis,
             self.fct_procedure,
             self.flags(spec),
