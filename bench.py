@@ -9,9 +9,12 @@ Prints exactly one JSON line.
 
 from __future__ import annotations
 
+import glob
+import io
 import json
 import os
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -42,15 +45,46 @@ HEADLINE = [
 ]
 
 
+def shuffle_bytes(event_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, from the Spark event log."""
+    stage_group: dict[int, str] = {}
+    written: dict[str, int] = {}
+    for f in sorted(glob.glob(f"{event_dir}/**/events*", recursive=True)):
+        raw = open(f, "rb").read()
+        if f.endswith(".zstd"):
+            import zstandard
+
+            raw = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw)).read()
+        for line in raw.decode().splitlines():
+            e = json.loads(line)
+            if e["Event"] == "SparkListenerJobStart":
+                group = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                for sid in e["Stage IDs"]:
+                    stage_group[sid] = group
+            elif e["Event"] == "SparkListenerTaskEnd":
+                group = stage_group.get(e["Stage ID"])
+                m = (e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                if group:
+                    written[group] = written.get(group, 0) + int(m.get("Shuffle Bytes Written", 0))
+    return written
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from indicata.session import build_session
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
+    event_dir = tempfile.mkdtemp(prefix="indicata-bench-events-")
+    spark = build_session(
+        f"local[{cpus}]",
+        shuffle_partitions=cpus,
+        **{"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir},
+    )
     from indicata.plans import catalog
 
-    def run(name: str) -> float:
+    def run(name: str, group: str | None = None) -> float:
+        if group:
+            spark.sparkContext.setJobGroup(group, group)
         t = time.perf_counter()
         catalog.QUERIES[name](spark, sf_dir).write.mode("overwrite").format("noop").save()
         return time.perf_counter() - t
@@ -70,8 +104,10 @@ def main() -> None:
     # plans; only JVM/codegen warm-up is shared with the cold pass.
     catalog._WAREHOUSES.clear()
     layers_warm = build_layers()
-    warm = {n: round(run(n), 3) for n in HEADLINE}
+    warm = {n: round(run(n, f"warm:{n}"), 3) for n in HEADLINE}
     queries = {"build_layers": round(layers_warm, 3), **warm}
+    spark.stop()
+    written = shuffle_bytes(event_dir)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
         json.dumps(
@@ -83,10 +119,10 @@ def main() -> None:
                 "cold": {"build_layers": round(layers_cold, 3), **cold},
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
+                "shuffle_bytes_warm": {n: written.get(f"warm:{n}", 0) for n in HEADLINE},
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
