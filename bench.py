@@ -1,6 +1,7 @@
 """Benchmark the headline queries.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8),
+BENCH_SHUFFLE=1 to add shuffle bytes per query (from the event log).
 Each query is built from scratch and executed into Spark's ``noop`` sink
 (full execution, no driver transfer). A first pass warms the JVM and the
 codegen cache ("cold"); the reported value is the second pass ("warm").
@@ -74,12 +75,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from indicata.session import build_session
 
-    event_dir = tempfile.mkdtemp(prefix="indicata-bench-events-")
-    spark = build_session(
-        f"local[{cpus}]",
-        shuffle_partitions=cpus,
-        **{"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir},
-    )
+    # Shuffle accounting reads Spark's event log; it is opt-in because the
+    # event log itself costs time on every task.
+    measure_shuffle = os.environ.get("BENCH_SHUFFLE", "0") == "1"
+    event_dir = tempfile.mkdtemp(prefix="indicata-bench-events-") if measure_shuffle else ""
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir} if measure_shuffle else {}
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, **extra)
     from indicata.plans import catalog
 
     def run(name: str, group: str | None = None) -> float:
@@ -107,7 +108,7 @@ def main() -> None:
     warm = {n: round(run(n, f"warm:{n}"), 3) for n in HEADLINE}
     queries = {"build_layers": round(layers_warm, 3), **warm}
     spark.stop()
-    written = shuffle_bytes(event_dir)
+    written = shuffle_bytes(event_dir) if measure_shuffle else {}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
         json.dumps(
@@ -119,7 +120,7 @@ def main() -> None:
                 "cold": {"build_layers": round(layers_cold, 3), **cold},
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
-                "shuffle_bytes_warm": {n: written.get(f"warm:{n}", 0) for n in HEADLINE},
+                **({"shuffle_bytes_warm": {n: written.get(f"warm:{n}", 0) for n in HEADLINE}} if measure_shuffle else {}),
             }
         )
     )

@@ -422,7 +422,7 @@ def numerator_diff(spark, sf):
 
 def run_log(spark, sf):
     w = warehouse(spark, sf)
-    m = w.monthly(SPEC, ind.Period.year(YEAR))
+    m = w.metrics_table(SPEC, ind.Period.year(YEAR))
     return inc.run_log(
         m,
         run_id=f"{SPEC.name}-{RUN_DATE.isoformat()}",
@@ -433,11 +433,23 @@ def run_log(spark, sf):
     )
 
 
+_VERSIONED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
+def _versioned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Per-version sepsis flags and the version table, written once."""
+    key = (id(spark), sf)
+    if key not in _VERSIONED:
+        vmap = fx.versioned_code_lists(spark, sf)
+        flags = sinks.materialize(inc.versioned_code_flags(vmap, "Diagnosis", SPEC.numerator_identifiers), "ref-vflags")
+        versions = sinks.materialize(inc.effective_versions(vmap), "ref-versions")
+        _VERSIONED[key] = (flags, versions)
+    return _VERSIONED[key]
+
+
 def effective_dated_lookup(spark, sf):
     w = warehouse(spark, sf)
-    vmap = fx.versioned_code_lists(spark, sf)
-    flags = inc.versioned_code_flags(vmap, "Diagnosis", SPEC.numerator_identifiers)
-    versions = inc.effective_versions(vmap)
+    flags, versions = _versioned(spark, sf)
     rows = w.fct_diagnosis.select("patient_id", "diag_code", "diag_rank_num").join(
         w.fct_discharge.select("patient_id", "discharge_date"), "patient_id"
     )
@@ -544,11 +556,11 @@ def dq_nulls(spark, sf):
 
 
 def dq_metric_bounds(spark, sf):
-    return dq.metric_bounds(warehouse(spark, sf).monthly(SPEC, ind.Period.year(YEAR)))
+    return dq.metric_bounds(warehouse(spark, sf).metrics_table(SPEC, ind.Period.year(YEAR)))
 
 
 def dq_mom_change(spark, sf):
-    return dq.mom_change(warehouse(spark, sf).monthly(SPEC, ind.Period.year(YEAR)), max_abs_change=0.1)
+    return dq.mom_change(warehouse(spark, sf).metrics_table(SPEC, ind.Period.year(YEAR)), max_abs_change=0.1)
 
 
 def dq_freshness(spark, sf):

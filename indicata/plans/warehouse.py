@@ -27,8 +27,7 @@ from indicata.operators import facts as _facts
 from indicata.operators import indicator as _ind
 from indicata.operators import reference as _ref
 from indicata.sources.fixtures import RawInputs, raw_inputs
-from indicata.operators.joins import declare_rows
-from indicata.sources.sinks import fresh_path, read_by_month, write_by_month
+from indicata.sources.sinks import fresh_path, materialize, read_by_month, write_by_month
 
 MONTH_COL = "discharge_month"
 
@@ -50,15 +49,11 @@ class Warehouse:
     _cache: dict = field(default_factory=dict, repr=False)
 
     def _pin(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a small reference table to shared storage and read it back."""
+        """Write a small reference table to shared storage and read it back,
+        recording its exact row count as a proven broadcast bound."""
         if not self.materialize_reference:
             return df
-        path = fresh_path(self.spark, f"ref-{name}")
-        df.write.mode("overwrite").parquet(path)
-        back = self.spark.read.parquet(path)
-        # Exact row count of the written table (answered from parquet footers):
-        # every later filter/aggregate of it inherits this as a proven bound.
-        return declare_rows(back, back.count())
+        return materialize(df, f"ref-{name}")
 
     # -- reference layer -------------------------------------------------
     @cached_property
@@ -155,6 +150,16 @@ class Warehouse:
             self._cache[key] = self._pin(_ind.code_flags(self.bridge, spec, self.year), f"flags-{spec.name}")
         return self._cache[key]
 
+    def metrics_table(self, spec: _ind.IndicatorSpec | None = None, period: _ind.Period | None = None) -> DataFrame:
+        """The monthly indicator written once, for checks and logs that read
+        the published table rather than recomputing it."""
+        spec = spec or _ind.IndicatorSpec()
+        period = period or _ind.Period.year(self.year)
+        key = ("metrics", spec, period)
+        if key not in self._cache:
+            self._cache[key] = materialize(self.monthly(spec, period), f"metrics-{spec.name}")
+        return self._cache[key]
+
     def monthly(self, spec: _ind.IndicatorSpec | None = None, period: _ind.Period | None = None) -> DataFrame:
         spec = spec or _ind.IndicatorSpec()
         return _ind.monthly_indicator(
