@@ -473,6 +473,24 @@ def stream_staged_upsert(spark, sf):
     )
 
 
+def _two_nights(spark, sf):
+    """Run the nightly plan for two consecutive month-ends into a fresh folder."""
+    from indicata.plans.nightly import nightly_run
+
+    w = warehouse(spark, sf)
+    out = sinks.fresh_path(spark, "nightly")
+    nightly_run(w, PREVIOUS_ROLLING_RUN_DATE, out, spec=SPEC)
+    return nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC)
+
+
+def nightly_metrics(spark, sf):
+    return _two_nights(spark, sf).metrics
+
+
+def nightly_numerator_audit(spark, sf):
+    return _two_nights(spark, sf).numerator_patients
+
+
 # -- data quality ---------------------------------------------------------------------------------
 
 
@@ -627,6 +645,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_latest": upsert_latest,
     "stream_staged_upsert": stream_staged_upsert,
     "metrics_upsert": metrics_upsert,
+    "nightly_metrics": nightly_metrics,
+    "nightly_numerator_audit": nightly_numerator_audit,
     "numerator_patients": numerator_patients,
     "numerator_diff": numerator_diff,
     "run_log": run_log,

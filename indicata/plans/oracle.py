@@ -473,6 +473,20 @@ FROM (SELECT DISTINCT patient_id FROM fct_diagnosis) g LEFT JOIN principal pr ON
 ) WHERE rn = 1 AND year_month BETWEEN '1996-07' AND '1997-06'""",
         variants={"a_": ROLLING_PREV, "b_": ROLLING},
     )
+    q["nightly_metrics"] = sql(
+        """SELECT year_month, numerator, denominator, rate, computed_at, '1997-01-01' ref_version, run_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY year_month ORDER BY computed_at DESC) rn FROM (
+    SELECT * FROM a_metrics_run UNION ALL SELECT * FROM b_metrics_run)
+) WHERE rn = 1 AND year_month BETWEEN '1996-07' AND '1997-06'""",
+        variants={"a_": ROLLING_PREV, "b_": ROLLING},
+    )
+    q["nightly_numerator_audit"] = sql(
+        """SELECT *, '1997-01-01' ref_version, CAST(TIMESTAMP '1997-05-31 00:00:00' AS TIMESTAMP) computed_at,
+  'psi13-1997-05-31' run_id FROM a_numerator_rows
+UNION ALL
+SELECT *, '1997-01-01', CAST(TIMESTAMP '1997-06-30 00:00:00' AS TIMESTAMP), 'psi13-1997-06-30' FROM b_numerator_rows""",
+        variants={"a_": ROLLING_PREV, "b_": ROLLING},
+    )
     q["numerator_patients"] = sql(
         """SELECT *, '1997-01-01' ref_version, 'psi13-1997-12-15' run_id,
   CAST(TIMESTAMP '1997-12-15 00:00:00' AS TIMESTAMP) computed_at FROM numerator_rows"""
