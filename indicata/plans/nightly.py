@@ -63,7 +63,11 @@ def nightly_run(
     versions: DataFrame | None = None,
     max_mom_change: float = 0.1,
 ) -> RunOutputs:
-    """Run one night (or a backfill, with ``period``) and return the published tables."""
+    """Run one night (or a backfill, with ``period``) and return the published tables.
+
+    The returned frames read ``out_dir`` as it is when the run ends; after a
+    later run rewrites a night, read them again.
+    """
     spark = w.spark
     spec = spec or ind.IndicatorSpec()
     period = period or ind.Period.rolling(run_date)
