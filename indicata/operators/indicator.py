@@ -8,9 +8,10 @@ chosen for scale:
   by ``code_sk`` (bounded by the code lists, broadcast after a size check);
 * diagnosis and procedure facts are joined map-side to those flags and
   *filtered to rows that can set a flag* before anything is shuffled;
-* one ``groupBy(patient_id)`` turns all EXISTS tests into per-encounter
-  flags (partial aggregation collapses hot keys map-side);
-* the inclusion cohort (small) joins those flags on ``patient_id``; the
+* each fact is grouped by ``patient_id`` once, turning all EXISTS tests
+  into per-encounter flags (partial aggregation collapses hot keys map-side);
+* the inclusion cohort left-joins those flags on ``patient_id``; with facts
+  bucketed by encounter all of this is co-located (no exchange), the
   per-(encounter, month) grouping reuses that partitioning, and the final
   monthly aggregate shuffles at most one row per month per task.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.functions import month_label, safe_rate
-from indicata.operators.joins import bounded_broadcast, having, narrowed, union_all
+from indicata.operators.joins import bounded_broadcast, having, narrowed
 
 
 @dataclass(frozen=True)
@@ -205,7 +206,8 @@ def included_ids(included: DataFrame, max_ids: int = PREFILTER_MAX_IDS) -> DataF
     return out if out is not ids else None
 
 
-def patient_flags(
+def encounter_flags(
+    base: DataFrame,
     discharge: DataFrame,
     diagnosis: DataFrame,
     procedure: DataFrame,
@@ -213,33 +215,37 @@ def patient_flags(
     spec: IndicatorSpec,
     only_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Per-encounter flags from all three facts in a single aggregation.
-
-    Columns: patient_id, excl_principal, excl_secondary, excl_drg, numer,
-    or_proc (0/1 each). Only encounters with at least one flag appear.
-    ``only_ids`` (a broadcast id set) drops rows of other encounters map-side,
-    before the shuffle; flags of the kept encounters are unchanged.
+    """``base`` (rows keyed by ``patient_id``) with the encounter's flags.
+
+    Adds excl_principal, excl_secondary, excl_drg, numer and or_proc (0/1).
+    Each fact is reduced to one row per encounter on its own (a hash
+    aggregate; a hot encounter collapses map-side) and left-joined to
+    ``base``. No fact rows are unioned, so when the facts are bucketed by
+    encounter (``Warehouse``) every step is co-located and nothing is
+    shuffled; left joins keep ``base``'s partitioning for later groupings.
+    ``only_ids`` (a broadcast id set) drops rows of other encounters first.
     """
-    dx = _diagnosis_flag_rows(diagnosis, flags)
-    px = having(procedure, _keys_with(flags, "is_or_procedure", "procedure_code_sk"), "procedure_code_sk").select(
-        "patient_id",
-        F.lit(0).alias("excl_principal"),
-        F.lit(0).alias("excl_secondary"),
-        F.lit(0).alias("excl_drg"),
-        F.lit(0).alias("numer"),
-        F.lit(1).alias("or_proc"),
+    dx = (
+        _only(_diagnosis_flag_rows(diagnosis, flags), only_ids)
+        .groupBy("patient_id")
+        .agg(*[F.max(c).alias(c) for c in ("excl_principal", "excl_secondary", "numer")])
     )
-    dd = discharge.filter(ungroupable_drg(discharge, spec)).select(
-        "patient_id",
-        F.lit(0).alias("excl_principal"),
-        F.lit(0).alias("excl_secondary"),
-        F.lit(1).alias("excl_drg"),
-        F.lit(0).alias("numer"),
-        F.lit(0).alias("or_proc"),
+    px = (
+        _only(having(procedure, _keys_with(flags, "is_or_procedure", "procedure_code_sk"), "procedure_code_sk"), only_ids)
+        .groupBy("patient_id")
+        .agg(F.max(F.lit(1)).alias("or_proc"))
+    )
+    dd = (
+        _only(discharge.filter(ungroupable_drg(discharge, spec)), only_ids)
+        .groupBy("patient_id")
+        .agg(F.max(F.lit(1)).alias("excl_drg"))
+    )
+    out = base.join(dx, "patient_id", "left").join(px, "patient_id", "left").join(dd, "patient_id", "left")
+    zero = F.lit(0)
+    return out.select(
+        *base.columns,
+        *[F.coalesce(F.col(c), zero).alias(c) for c in ("excl_principal", "excl_secondary", "excl_drg", "numer", "or_proc")],
     )
-    cols = ["excl_principal", "excl_secondary", "excl_drg", "numer", "or_proc"]
-    rows = union_all(*[_only(r, only_ids) for r in (dx, px, dd)])
-    return rows.groupBy("patient_id").agg(*[F.max(c).alias(c) for c in cols])
 
 
 def exclusions(
@@ -274,12 +280,11 @@ def eligible(
         "patient_id", "discharge_date", month_label(F.col("discharge_date")).alias("year_month")
     )
     ids = included_ids(included) if prefilter else None
-    pf = patient_flags(discharge, diagnosis, procedure, flags, spec, ids).filter(
+    flagged = encounter_flags(included, discharge, diagnosis, procedure, flags, spec, ids).filter(
         "or_proc = 1 AND excl_principal = 0 AND excl_secondary = 0 AND excl_drg = 0"
     )
     return (
-        included.join(pf.select("patient_id", "numer"), "patient_id")
-        .groupBy("patient_id", "year_month")
+        flagged.groupBy("patient_id", "year_month")
         .agg(
             F.max("numer").cast("bigint").alias("in_numerator"),
             F.min("discharge_date").alias("discharge_date"),
@@ -327,9 +332,9 @@ def exclusion_reasons(
     included = surgical_discharges(discharge, flags, spec, period).select(
         "patient_id", month_label(F.col("discharge_date")).alias("year_month")
     )
-    pf = patient_flags(discharge, diagnosis, procedure, flags, spec, included_ids(included)).filter("or_proc = 1")
+    flagged = encounter_flags(included, discharge, diagnosis, procedure, flags, spec, included_ids(included))
     per_enc = (
-        included.join(pf, "patient_id")
+        flagged.filter("or_proc = 1")
         .groupBy("patient_id", "year_month")
         .agg(*[F.max(c).alias(c) for c in ("excl_principal", "excl_secondary", "excl_drg")])
     )

@@ -7,11 +7,13 @@ its lineage: every later plan sees a small parquet scan instead of
 re-deriving the dimension (and its shuffles) at each lookup.
 
 The core layer (three facts) is written the same way, as the source model
-does with its core tables: the discharge fact partitioned by discharge month
-and sorted by encounter, the child facts sorted by encounter. Queries read
-the facts, so their lineage starts at the written tables (a lost executor
-recomputes from them, not from the raw extracts), and period filters prune
-month partitions. ``materialize_core=False`` keeps everything lazy.
+does with its core tables: all three bucketed by the encounter key with the
+same bucket count (co-located), the discharge fact also partitioned by
+discharge month. Queries read the facts, so their lineage starts at the
+written tables (a lost executor recomputes from them, not from the raw
+extracts), period filters prune month partitions, and joins or groupings by
+encounter need no exchange of fact rows. ``materialize_core=False`` keeps
+everything lazy.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from indicata.operators import facts as _facts
 from indicata.operators import indicator as _ind
 from indicata.operators import reference as _ref
 from indicata.sources.fixtures import RawInputs, raw_inputs
-from indicata.sources.sinks import fresh_path, materialize, read_by_month, write_by_month
+from indicata.sources.sinks import fresh_path, materialize, save_bucketed
 
 MONTH_COL = "discharge_month"
 
@@ -42,10 +44,10 @@ class Warehouse:
     date_end: _dt.date = _ref.DATE_DIM_END
     materialize_reference: bool = True
     materialize_core: bool = True
-    # On a cluster: range-partition the discharge fact by (month, patient_id)
-    # into this many tasks before writing, so a large month is split across
-    # tasks and each month gets few, non-overlapping files.
-    fact_partitions: int | None = None
+    # Buckets of the encounter key shared by the three facts (default: the
+    # session's shuffle partitions). On a cluster size it so one bucket of the
+    # diagnosis fact is a few hundred MB.
+    buckets: int | None = None
     _cache: dict = field(default_factory=dict, repr=False)
 
     def _pin(self, df: DataFrame, name: str) -> DataFrame:
@@ -98,9 +100,10 @@ class Warehouse:
     def fct_discharge_by_month(self) -> DataFrame:
         """Discharge fact with its ``discharge_month`` partition column.
 
-        Written partitioned by discharge month and sorted by ``patient_id``
-        inside each month, then read back: filters on the month column prune
-        whole partitions, and lookups by encounter skip row groups.
+        Written partitioned by discharge month and bucketed (sorted) by
+        ``patient_id``, then read back: filters on the month column prune whole
+        partitions, and joins/aggregations by encounter are co-located with
+        the other facts.
         """
         fct = _facts.fct_discharge(
             self.core_patient,
@@ -110,24 +113,29 @@ class Warehouse:
             date_end=self.date_end,
             resolve_unknown=self.resolve_unknown,
         )
+        with_month = fct.withColumn(MONTH_COL, F.trunc("discharge_date", "MM"))
         if not self.materialize_core:
-            return fct.withColumn(MONTH_COL, F.trunc("discharge_date", "MM"))
-        path = fresh_path(self.spark, "fct_discharge")
-        write_by_month(
-            fct, path, "discharge_date", month_col=MONTH_COL, cluster_by=("patient_id",), num_partitions=self.fact_partitions
-        )
-        return read_by_month(self.spark, path, fct.schema, month_col=MONTH_COL)
+            return with_month
+        return self._save_fact(with_month, "fct_discharge", partition_by=MONTH_COL)
 
     @cached_property
     def fct_discharge(self) -> DataFrame:
         return self.fct_discharge_by_month.drop(MONTH_COL)
 
+    @property
+    def fact_buckets(self) -> int:
+        """Bucket count shared by all facts (co-location needs the same count)."""
+        return self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _save_fact(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        table = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
+        return save_bucketed(df, table, path, "patient_id", self.fact_buckets, partition_by=partition_by)
+
     def _pin_fact(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize_core:
             return df
-        path = fresh_path(self.spark, name)
-        df.sortWithinPartitions("patient_id").write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self._save_fact(df, name)
 
     @cached_property
     def fct_diagnosis(self) -> DataFrame:

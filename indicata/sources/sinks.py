@@ -57,6 +57,37 @@ def materialize(df: DataFrame, name: str, *, count_rows: bool = True) -> DataFra
     return declare_rows(back, back.count()) if count_rows else back
 
 
+def save_bucketed(
+    df: DataFrame,
+    table: str,
+    path: str,
+    key: str,
+    buckets: int,
+    *,
+    partition_by: str | None = None,
+) -> DataFrame:
+    """Write ``df`` as a bucketed parquet table at ``path`` and return it.
+
+    Rows are hash-partitioned into ``buckets`` by ``key`` (one shuffle, at
+    write time) and sorted by ``key`` inside each bucket. Tables bucketed the
+    same way are co-located: later joins and aggregations on ``key`` read
+    bucket i of every table in task i and need no exchange. ``partition_by``
+    adds a directory partition (e.g. the discharge month) for pruning.
+    """
+    writer = (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+    )
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_by_month(
     df: DataFrame,
     path: str,
