@@ -274,7 +274,9 @@ def eligible(
     The grouping on (patient_id, year_month) is satisfied by the join's
     hash partitioning on patient_id, so it adds no exchange. With
     ``prefilter`` the (small, size-checked) set of included encounters is
-    broadcast so flag rows of all other encounters never reach the shuffle.
+    broadcast so flag rows of all other encounters are dropped before they
+    are shuffled; worth it when the facts are not co-located (bucketed), where
+    nothing is shuffled anyway and the extra size check only costs time.
     """
     included = surgical_discharges(discharge, flags, spec, period).select(
         "patient_id", "discharge_date", month_label(F.col("discharge_date")).alias("year_month")
@@ -300,12 +302,13 @@ def monthly_indicator(
     spec: IndicatorSpec,
     period: Period,
     month_col: str = "month",
+    prefilter: bool = True,
 ) -> DataFrame:
     """Numerator, denominator and rounded rate per discharge month.
 
     A month with no eligible encounter has no row (see ``with_month_spine``).
     """
-    el = eligible(discharge, diagnosis, procedure, flags, spec, period)
+    el = eligible(discharge, diagnosis, procedure, flags, spec, period, prefilter)
     return (
         el.groupBy("year_month")
         .agg(F.sum("in_numerator").cast("bigint").alias("numerator"), F.count(F.lit(1)).alias("denominator"))
@@ -326,13 +329,15 @@ def exclusion_reasons(
     flags: DataFrame,
     spec: IndicatorSpec,
     period: Period,
+    prefilter: bool = True,
 ) -> DataFrame:
     """Included encounters per month and exclusion reason (an encounter may
     count under several reasons); reason ``none`` counts the eligible ones."""
     included = surgical_discharges(discharge, flags, spec, period).select(
         "patient_id", month_label(F.col("discharge_date")).alias("year_month")
     )
-    flagged = encounter_flags(included, discharge, diagnosis, procedure, flags, spec, included_ids(included))
+    ids = included_ids(included) if prefilter else None
+    flagged = encounter_flags(included, discharge, diagnosis, procedure, flags, spec, ids)
     per_enc = (
         flagged.filter("or_proc = 1")
         .groupBy("patient_id", "year_month")
@@ -363,10 +368,11 @@ def numerator_patients(
     ref_version: Column | str,
     run_id: str,
     computed_at: Column,
+    prefilter: bool = True,
 ) -> DataFrame:
     """Audit rows: one per numerator encounter x month, with the qualifying
     code chosen as the lowest (rank, code) among qualifying diagnoses."""
-    el = eligible(discharge, diagnosis, procedure, flags, spec, period).filter("in_numerator = 1")
+    el = eligible(discharge, diagnosis, procedure, flags, spec, period, prefilter).filter("in_numerator = 1")
     numer_codes = bounded_broadcast(
         narrowed(flags, flags.filter(F.col("is_numerator_code") == 1).select(F.col("code_sk").alias("diag_code_sk")))
     )

@@ -305,7 +305,8 @@ def monthly_metrics(spark, sf):
 
 def exclusion_reasons(spark, sf):
     d, dx, pr, fl = _facts(warehouse(spark, sf))
-    return ind.exclusion_reasons(d, dx, pr, fl, SPEC, ind.Period.year(YEAR))
+    w = warehouse(spark, sf)
+    return ind.exclusion_reasons(d, dx, pr, fl, SPEC, ind.Period.year(YEAR), prefilter=w.prefilter)
 
 
 # -- nested summary ------------------------------------------------------------------------
@@ -406,7 +407,7 @@ def _numerator_patients(w: Warehouse, run_id: str) -> DataFrame:
     d, dx, pr, fl = _facts(w)
     return ind.numerator_patients(
         d, dx, pr, fl, SPEC, ind.Period.year(YEAR),
-        ref_version=f"{YEAR}-01-01", run_id=run_id, computed_at=inc.run_timestamp(RUN_DATE),
+        ref_version=f"{YEAR}-01-01", run_id=run_id, computed_at=inc.run_timestamp(RUN_DATE), prefilter=w.prefilter,
     )
 
 

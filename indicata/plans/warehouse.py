@@ -168,6 +168,12 @@ class Warehouse:
             self._cache[key] = materialize(self.monthly(spec, period), f"metrics-{spec.name}")
         return self._cache[key]
 
+    @property
+    def prefilter(self) -> bool:
+        """Broadcast pre-filter of included encounters only pays off when the
+        facts are not bucketed by encounter (then flag rows are shuffled)."""
+        return not self.materialize_core
+
     def monthly(self, spec: _ind.IndicatorSpec | None = None, period: _ind.Period | None = None) -> DataFrame:
         spec = spec or _ind.IndicatorSpec()
         return _ind.monthly_indicator(
@@ -177,6 +183,7 @@ class Warehouse:
             self.flags(spec),
             spec,
             period or _ind.Period.year(self.year),
+            prefilter=self.prefilter,
         )
 
 

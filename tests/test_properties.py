@@ -87,3 +87,21 @@ def test_summary_arrays_never_null(spark):
     s = catalog._summary(catalog.warehouse(spark, SF_SMALL))
     bad = s.filter(F.col("secondary_diagnoses").isNull() | F.col("procedures").isNull() | F.col("drg_identifiers").isNull())
     assert bad.count() == 0
+
+
+def test_prefilter_does_not_change_eligibility(spark):
+    w = catalog.warehouse(spark, SF_MEDIUM)
+    d, dx, pr, fl = catalog._facts(w)
+    p = ind.Period.year(1997)
+    a = _rows(ind.eligible(d, dx, pr, fl, catalog.SPEC, p, prefilter=True))
+    b = _rows(ind.eligible(d, dx, pr, fl, catalog.SPEC, p, prefilter=False))
+    assert a == b and len(a) == 151
+
+
+def test_lazy_core_layer_gives_the_same_indicator(spark):
+    from indicata.plans.warehouse import fixture_warehouse
+
+    lazy = fixture_warehouse(spark, SF_SMALL)
+    lazy.materialize_core = False
+    assert lazy.prefilter
+    assert _rows(lazy.monthly()) == _rows(catalog.monthly_metrics(spark, SF_SMALL))
