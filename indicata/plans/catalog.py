@@ -313,9 +313,7 @@ def exclusion_reasons(spark, sf):
 
 
 def _summary(w: Warehouse) -> DataFrame:
-    return summ.discharge_summary(
-        w.fct_discharge, w.fct_diagnosis, w.fct_procedure, w.dim_code, w.bridge, YEAR, ci=w.code_identifiers
-    )
+    return w.discharge_summary
 
 
 def _diag_arrays(w: Warehouse) -> DataFrame:

@@ -151,6 +151,22 @@ class Warehouse:
             "fct_procedure",
         )
 
+    # -- analytics layer -------------------------------------------------
+    @cached_property
+    def discharge_summary(self) -> DataFrame:
+        """Nested one-row-per-discharge table, written like the discharge fact
+        (partitioned by discharge month, bucketed by encounter)."""
+        from indicata.operators.summary import discharge_summary
+
+        summary = discharge_summary(
+            self.fct_discharge, self.fct_diagnosis, self.fct_procedure, self.dim_code, self.bridge, self.year,
+            ci=self.code_identifiers,
+        )
+        if not self.materialize_core:
+            return summary
+        with_month = summary.withColumn(MONTH_COL, F.trunc("discharge_date", "MM"))
+        return self._save_fact(with_month, "discharge_summary", partition_by=MONTH_COL).drop(MONTH_COL)
+
     # -- indicator -------------------------------------------------------
     def flags(self, spec: _ind.IndicatorSpec) -> DataFrame:
         key = ("flags", spec)
