@@ -542,6 +542,7 @@ LEFT JOIN (SELECT code, ref_version, max(CASE WHEN identifier = 'SEPTI2D' THEN 1
         ("fct_diagnosis.diag_code_sk", "fct_diagnosis", "diag_code_sk", "dim_code", "code_sk"),
         ("fct_procedure.procedure_code_sk", "fct_procedure", "procedure_code_sk", "dim_code", "code_sk"),
         ("fct_discharge.birth_date_sk", "fct_discharge", "birth_date_sk", "dim_date", "date_sk"),
+        ("fct_discharge.admission_date_sk", "fct_discharge", "admission_date_sk", "dim_date", "date_sk"),
         ("fct_discharge.discharge_date_sk", "fct_discharge", "discharge_date_sk", "dim_date", "date_sk"),
         ("fct_diagnosis.patient_id", "fct_diagnosis", "patient_id", "fct_discharge", "patient_id"),
         ("fct_procedure.patient_id", "fct_procedure", "patient_id", "fct_discharge", "patient_id"),

@@ -45,7 +45,7 @@ class Warehouse:
     materialize_reference: bool = True
     materialize_core: bool = True
     # Buckets of the encounter key shared by the three facts (default: the
-    # session's shuffle partitions). On a cluster size it so one bucket of the
+    # default parallelism). On a cluster size it so one bucket of the
     # diagnosis fact is a few hundred MB.
     buckets: int | None = None
     _cache: dict = field(default_factory=dict, repr=False)
@@ -124,8 +124,14 @@ class Warehouse:
 
     @property
     def fact_buckets(self) -> int:
-        """Bucket count shared by all facts (co-location needs the same count)."""
-        return self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        """Bucket count shared by all facts (co-location needs the same count).
+
+        Defaults to the cluster's default parallelism (one bucket per core).
+        Month partitions multiply files (buckets x months), so on a cluster set
+        ``buckets`` from the data: about one bucket per 256 MB of the largest
+        fact, which keeps each co-located task's input bounded.
+        """
+        return self.buckets or self.spark.sparkContext.defaultParallelism
 
     def _save_fact(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         path = fresh_path(self.spark, name)

@@ -2,13 +2,14 @@
 
 Layout rules:
 
-* facts are partitioned by the discharge month; inside a month, rows are
-  sorted by the cluster key so parquet row-group statistics prune lookups;
-* optionally, ``repartitionByRange(month, cluster key)`` first, which splits
-  a large month across many tasks (no single-task month) and yields
-  non-overlapping files per month;
-* writes always go to a fresh directory (``publish``) so a job never reads
-  and overwrites the same path in one plan.
+* facts are bucketed by the encounter key (``save_bucketed``) and the
+  discharge fact is also partitioned by discharge month;
+* ``write_by_month`` (plain month partitions) sorts by the cluster key inside
+  a month, optionally after ``repartitionByRange(month, cluster key)``, which
+  splits a large month across many tasks and yields non-overlapping files;
+* intermediate tables go to a fresh directory under the shared checkpoint
+  folder (``fresh_path`` / ``materialize``), so a job never reads and
+  overwrites the same path in one plan.
 """
 
 from __future__ import annotations
