@@ -472,7 +472,7 @@ def stream_staged_upsert(spark, sf):
     )
 
 
-_NIGHTS: dict[tuple, object] = {}
+_NIGHTS: dict[tuple, tuple] = {}
 
 
 def _two_nights(spark, sf):
@@ -481,12 +481,13 @@ def _two_nights(spark, sf):
     from indicata.plans.nightly import nightly_run
 
     w = warehouse(spark, sf)
-    key = (id(w), sf)
-    if key not in _NIGHTS:
+    key = (id(spark), sf)
+    hit = _NIGHTS.get(key)
+    if hit is None or hit[0] is not w:
         out = sinks.fresh_path(spark, "nightly")
         nightly_run(w, PREVIOUS_ROLLING_RUN_DATE, out, spec=SPEC)
-        _NIGHTS[key] = nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC)
-    return _NIGHTS[key]
+        hit = _NIGHTS[key] = (w, nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC))
+    return hit[1]
 
 
 def nightly_metrics(spark, sf):
