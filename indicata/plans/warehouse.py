@@ -50,12 +50,12 @@ class Warehouse:
     buckets: int | None = None
     _cache: dict = field(default_factory=dict, repr=False)
 
-    def _pin(self, df: DataFrame, name: str) -> DataFrame:
+    def _pin(self, df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
         """Write a small reference table to shared storage and read it back,
         recording its exact row count as a proven broadcast bound."""
         if not self.materialize_reference:
             return df
-        return materialize(df, f"ref-{name}")
+        return materialize(df, f"ref-{name}", cluster_by=cluster_by)
 
     # -- reference layer -------------------------------------------------
     @cached_property
@@ -68,11 +68,11 @@ class Warehouse:
 
     @cached_property
     def dim_code(self) -> DataFrame:
-        return self._pin(_ref.dim_code(self.code_map), "dim_code")
+        return self._pin(_ref.dim_code(self.code_map), "dim_code", cluster_by=("code_type", "code"))
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return self._pin(_ref.bridge(self.code_map, self.dim_code), "bridge")
+        return self._pin(_ref.bridge(self.code_map, self.dim_code), "bridge", cluster_by=("identifier", "code_type"))
 
     @cached_property
     def code_identifiers(self) -> DataFrame:

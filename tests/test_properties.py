@@ -105,3 +105,19 @@ def test_lazy_core_layer_gives_the_same_indicator(spark):
     lazy.materialize_core = False
     assert lazy.prefilter
     assert _rows(lazy.monthly()) == _rows(catalog.monthly_metrics(spark, SF_SMALL))
+
+
+def test_sql_views_answer_like_the_dataframes(spark):
+    from indicata.plans.views import register_views
+
+    w = catalog.warehouse(spark, SF_SMALL)
+    names = register_views(w, prefix="t_")
+    assert "t_fct_discharge" in names and "t_psi13_monthly_metrics" in names
+    via_sql = spark.sql(
+        "SELECT month, numerator, denominator FROM t_psi13_monthly_metrics ORDER BY month"
+    ).collect()
+    assert [tuple(r) for r in via_sql] == [(r.month, r.numerator, r.denominator) for r in catalog.monthly_metrics(spark, SF_SMALL).collect()]
+    n = spark.sql(
+        "SELECT count(*) FROM t_fct_diagnosis d JOIN t_fct_discharge f ON d.patient_id = f.patient_id"
+    ).first()[0]
+    assert n == w.fct_diagnosis.count()
