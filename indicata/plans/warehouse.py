@@ -6,14 +6,15 @@ is written once to the shared checkpoint folder and read back, which cuts
 its lineage: every later plan sees a small parquet scan instead of
 re-deriving the dimension (and its shuffles) at each lookup.
 
-The core layer (three facts) is written the same way, as the source model
-does with its core tables: all three bucketed by the encounter key with the
-same bucket count (co-located), the discharge fact also partitioned by
-discharge month. Queries read the facts, so their lineage starts at the
-written tables (a lost executor recomputes from them, not from the raw
-extracts), period filters prune month partitions, and joins or groupings by
-encounter need no exchange of fact rows. ``materialize_core=False`` keeps
-everything lazy.
+The core layer (three facts) and the nested summary are written the same
+way, as the source model does with its tables: all bucketed by the encounter
+key with the same bucket count (co-located). Queries read them, so their
+lineage starts at the written tables (a lost executor recomputes from them,
+not from the raw extracts), and joins or groupings by encounter need no
+exchange of rows. The tables are not also partitioned by month: month
+directories multiply files (buckets x months) while every heavy query scans
+the diagnosis fact in full anyway; month-partitioned publishing is the
+``write_by_month`` sink. ``materialize_core=False`` keeps everything lazy.
 """
 
 from __future__ import annotations
@@ -98,13 +99,9 @@ class Warehouse:
 
     @cached_property
     def fct_discharge_by_month(self) -> DataFrame:
-        """Discharge fact with its ``discharge_month`` partition column.
-
-        Written partitioned by discharge month and bucketed (sorted) by
-        ``patient_id``, then read back: filters on the month column prune whole
-        partitions, and joins/aggregations by encounter are co-located with
-        the other facts.
-        """
+        """Discharge fact plus a ``discharge_month`` column, bucketed (sorted)
+        by ``patient_id``: joins and aggregations by encounter are co-located
+        with the other facts."""
         fct = _facts.fct_discharge(
             self.core_patient,
             self.dim_code,
@@ -116,7 +113,7 @@ class Warehouse:
         with_month = fct.withColumn(MONTH_COL, F.trunc("discharge_date", "MM"))
         if not self.materialize_core:
             return with_month
-        return self._save_fact(with_month, "fct_discharge", partition_by=MONTH_COL)
+        return self._save_fact(with_month, "fct_discharge")
 
     @cached_property
     def fct_discharge(self) -> DataFrame:
@@ -127,9 +124,9 @@ class Warehouse:
         """Bucket count shared by all facts (co-location needs the same count).
 
         Defaults to the cluster's default parallelism (one bucket per core).
-        Month partitions multiply files (buckets x months), so on a cluster set
-        ``buckets`` from the data: about one bucket per 256 MB of the largest
-        fact, which keeps each co-located task's input bounded.
+        On a cluster set ``buckets`` from the data: about one bucket per
+        256 MB of the largest fact, which keeps each co-located task's input
+        bounded.
         """
         return self.buckets or self.spark.sparkContext.defaultParallelism
 
@@ -160,8 +157,7 @@ class Warehouse:
     # -- analytics layer -------------------------------------------------
     @cached_property
     def discharge_summary(self) -> DataFrame:
-        """Nested one-row-per-discharge table, written like the discharge fact
-        (partitioned by discharge month, bucketed by encounter)."""
+        """Nested one-row-per-discharge table, bucketed by encounter like the facts."""
         from indicata.operators.summary import discharge_summary
 
         summary = discharge_summary(
@@ -170,8 +166,7 @@ class Warehouse:
         )
         if not self.materialize_core:
             return summary
-        with_month = summary.withColumn(MONTH_COL, F.trunc("discharge_date", "MM"))
-        return self._save_fact(with_month, "discharge_summary", partition_by=MONTH_COL).drop(MONTH_COL)
+        return self._save_fact(summary, "discharge_summary")
 
     # -- indicator -------------------------------------------------------
     def flags(self, spec: _ind.IndicatorSpec) -> DataFrame:
