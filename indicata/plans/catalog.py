@@ -20,7 +20,6 @@ from indicata.operators import indicator as ind
 from indicata.operators import quality as dq
 from indicata.operators import reference as ref
 from indicata.operators import summary as summ
-from indicata.operators.facts import code_keys
 from indicata.operators.joins import bounded_broadcast, lacking, lookup, narrowed
 from indicata.plans.warehouse import Warehouse, fixture_warehouse
 from indicata.sources import fixtures as fx

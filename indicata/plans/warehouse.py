@@ -35,6 +35,22 @@ from indicata.sources.sinks import fresh_path, materialize, save_bucketed
 MONTH_COL = "discharge_month"
 
 
+def encounter_skew_ok(rows: DataFrame, buckets: int) -> bool:
+    """True when no encounter has more rows than an average bucket
+    (``total / buckets``), so bucketing by encounter cannot pile a hot key
+    into one task. Exact: per-encounter counts (partial aggregation
+    map-side), then one global max/sum; only two numbers reach the driver."""
+    stats = (
+        rows.groupBy("patient_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.max("_n").alias("top"), F.sum("_n").alias("total"))
+        .first()
+    )
+    if stats is None or stats["total"] is None:
+        return True
+    return stats["top"] * buckets <= max(stats["total"], buckets)
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession
@@ -49,6 +65,8 @@ class Warehouse:
     # default parallelism). On a cluster size it so one bucket of the
     # diagnosis fact is a few hundred MB.
     buckets: int | None = None
+    # None: decide from an exact skew check (see ``colocated``).
+    colocate: bool | None = None
     _cache: dict = field(default_factory=dict, repr=False)
 
     def _pin(self, df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
@@ -119,6 +137,22 @@ class Warehouse:
     def fct_discharge(self) -> DataFrame:
         return self.fct_discharge_by_month.drop(MONTH_COL)
 
+    @cached_property
+    def colocated(self) -> bool:
+        """Whether the facts are written bucketed by encounter.
+
+        Bucketing co-locates every join and grouping by encounter, but puts a
+        hot encounter's rows in one bucket, i.e. one task. Unless ``colocate``
+        is given, an exact check decides: the largest encounter's diagnosis
+        line count (per-encounter counts with map-side partial aggregation,
+        one small job) must not exceed an average bucket. Otherwise the facts
+        are written unbucketed and queries shuffle with partial aggregation
+        and AQE skew handling, which split a hot key across tasks.
+        """
+        if self.colocate is not None:
+            return self.colocate
+        return encounter_skew_ok(self.core_diagnosis, self.fact_buckets)
+
     @property
     def fact_buckets(self) -> int:
         """Bucket count shared by all facts (co-location needs the same count).
@@ -131,6 +165,8 @@ class Warehouse:
         return self.buckets or self.spark.sparkContext.defaultParallelism
 
     def _save_fact(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+        if not self.colocated:
+            return materialize(df, name, count_rows=False, cluster_by=("patient_id",))
         path = fresh_path(self.spark, name)
         table = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
         return save_bucketed(df, table, path, "patient_id", self.fact_buckets, partition_by=partition_by)
@@ -189,7 +225,7 @@ class Warehouse:
     def prefilter(self) -> bool:
         """Broadcast pre-filter of included encounters only pays off when the
         facts are not bucketed by encounter (then flag rows are shuffled)."""
-        return not self.materialize_core
+        return not (self.materialize_core and self.colocated)
 
     def monthly(self, spec: _ind.IndicatorSpec | None = None, period: _ind.Period | None = None) -> DataFrame:
         spec = spec or _ind.IndicatorSpec()

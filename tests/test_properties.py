@@ -121,3 +121,24 @@ def test_sql_views_answer_like_the_dataframes(spark):
         "SELECT count(*) FROM t_fct_diagnosis d JOIN t_fct_discharge f ON d.patient_id = f.patient_id"
     ).first()[0]
     assert n == w.fct_diagnosis.count()
+
+
+def test_skew_check_flags_a_hot_encounter(spark):
+    from indicata.plans.warehouse import encounter_skew_ok
+
+    even = spark.range(8000).selectExpr("id % 1000 AS patient_id")
+    hot = even.unionByName(spark.range(4000).selectExpr("7 AS patient_id"))  # a third of all rows
+    assert encounter_skew_ok(even, 8)
+    assert not encounter_skew_ok(hot, 8)
+
+
+def test_unbucketed_layout_gives_the_same_results(spark):
+    from indicata.plans.warehouse import fixture_warehouse
+
+    plain = fixture_warehouse(spark, SF_SMALL)
+    plain.colocate = False
+    assert plain.prefilter
+    assert _rows(plain.monthly()) == _rows(catalog.monthly_metrics(spark, SF_SMALL))
+    from indicata.operators.summary import flatten_summary
+
+    assert _rows(flatten_summary(plain.discharge_summary)) == _rows(catalog.discharge_summary_flat(spark, SF_SMALL))
