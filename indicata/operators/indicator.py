@@ -210,10 +210,11 @@ def encounter_flags(
     base: DataFrame,
     discharge: DataFrame,
     diagnosis: DataFrame,
-    procedure: DataFrame,
+    procedure: DataFrame | None,
     flags: DataFrame,
     spec: IndicatorSpec,
     only_ids: DataFrame | None = None,
+    with_procedures: bool = True,
 ) -> DataFrame:
     """``base`` (rows keyed by ``patient_id``) with the encounter's flags.
 
@@ -230,22 +231,22 @@ def encounter_flags(
         .groupBy("patient_id")
         .agg(*[F.max(c).alias(c) for c in ("excl_principal", "excl_secondary", "numer")])
     )
-    px = (
-        _only(having(procedure, _keys_with(flags, "is_or_procedure", "procedure_code_sk"), "procedure_code_sk"), only_ids)
-        .groupBy("patient_id")
-        .agg(F.max(F.lit(1)).alias("or_proc"))
-    )
     dd = (
         _only(discharge.filter(ungroupable_drg(discharge, spec)), only_ids)
         .groupBy("patient_id")
         .agg(F.max(F.lit(1)).alias("excl_drg"))
     )
-    out = base.join(dx, "patient_id", "left").join(px, "patient_id", "left").join(dd, "patient_id", "left")
+    out = base.join(dx, "patient_id", "left").join(dd, "patient_id", "left")
+    if with_procedures:
+        px = (
+            _only(having(procedure, _keys_with(flags, "is_or_procedure", "procedure_code_sk"), "procedure_code_sk"), only_ids)
+            .groupBy("patient_id")
+            .agg(F.max(F.lit(1)).alias("or_proc"))
+        )
+        out = out.join(px, "patient_id", "left")
     zero = F.lit(0)
-    return out.select(
-        *base.columns,
-        *[F.coalesce(F.col(c), zero).alias(c) for c in ("excl_principal", "excl_secondary", "excl_drg", "numer", "or_proc")],
-    )
+    cols = ("excl_principal", "excl_secondary", "excl_drg", "numer") + (("or_proc",) if with_procedures else ())
+    return out.select(*base.columns, *[F.coalesce(F.col(c), zero).alias(c) for c in cols])
 
 
 def exclusions(
@@ -253,10 +254,13 @@ def exclusions(
 ) -> DataFrame:
     """Denominator exclusions: distinct patient_id of encounters present in
     ``discharge`` with an excluding principal diagnosis, an excluding
-    secondary diagnosis present on admission, or a missing/ungroupable DRG."""
-    dx = _diagnosis_flag_rows(diagnosis, flags).filter("excl_principal = 1 OR excl_secondary = 1").select("patient_id")
-    dd = discharge.filter(ungroupable_drg(discharge, spec)).select("patient_id")
-    return having(dx.unionByName(dd).distinct(), discharge.select("patient_id"), "patient_id")
+    secondary diagnosis present on admission, or a missing/ungroupable DRG.
+
+    Driven by the discharge fact's encounters with left-joined flags, so with
+    encounter-bucketed facts nothing is shuffled."""
+    encounters = discharge.select("patient_id").distinct()
+    flagged = encounter_flags(encounters, discharge, diagnosis, None, flags, spec, with_procedures=False)
+    return flagged.filter("excl_principal = 1 OR excl_secondary = 1 OR excl_drg = 1").select("patient_id")
 
 
 def eligible(
