@@ -253,7 +253,9 @@ def code_lookup_left(spark, sf):
 
 def orphan_children(spark, sf):
     w = warehouse(spark, sf)
-    parents = w.core_patient.filter(F.col("patient_id") % 7 != 0).select("patient_id").distinct()
+    # Parent encounters minus every seventh one; read from the discharge fact
+    # (one row per patient record, bucketed like the children: co-located).
+    parents = w.fct_discharge.filter(F.col("patient_id") % 7 != 0).select("patient_id").distinct()
     children = w.fct_diagnosis.select("patient_id", "diag_code", "diag_rank_num")
     return children.join(parents.withColumn("has_parent", F.lit(1).cast("bigint")), "patient_id", "left").select(
         "patient_id", "diag_code", "diag_rank_num", F.coalesce(F.col("has_parent"), F.lit(0).cast("bigint")).alias("has_parent")
