@@ -8,7 +8,9 @@ words' vectors, and a linear softmax maps it to two classes. Embeddings and
 softmax are trained jointly in numpy (Adagrad). Windows overlap by half and
 cover the whole text; a text scores as its most toxic window, so a few words
 in a long document are not averaged away, and training uses the same rule:
-each document contributes its currently most toxic window.
+each document contributes its currently most toxic window. The embeddings
+start from how much more often toxic than clean documents hold each n-gram,
+so that the first windows chosen are not random.
 
 Training reads a bounded sample of labelled rows: at most ``TRAIN_DOCS`` of
 each class, chosen by a hash of the id, of texts up to ``TRAIN_CHARS``
@@ -33,13 +35,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 1 << 17
+BUCKETS = 1 << 19
 DIM = 8
 GRAMS = (3, 4, 5)
-WINDOW = 48
+WINDOW = 8
 TRAIN_DOCS = 4_000
 TRAIN_CHARS = 65_536
-EPOCHS = 12
+EPOCHS = 6
+#: Weight of the document-frequency start in the embeddings, and of the empty text as a clean example.
+LEAN, EMPTY = 1.0, 0.1
+RATE, SOFT_RATE = 0.2, 0.2
 THRESHOLD = 0.7
 #: Word scores a Python worker remembers at most.
 CACHE_WORDS = 400_000
@@ -120,61 +125,82 @@ def sigmoid(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -500, 500))))
 
 
+class Vocabulary:
+    """Training texts as arrays of word numbers, and the n-gram buckets of each word."""
+
+    def __init__(self, texts: list[str]) -> None:
+        numbers: dict[str, int] = {}
+        self.docs = [np.array([numbers.setdefault(w, len(numbers)) for w in words_of(t)], np.int64) for t in texts]
+        self.size = len(numbers)
+        self.buckets, self.starts = word_features(list(numbers))
+        self.counts = np.diff(np.append(self.starts, len(self.buckets)))
+
+    def grams(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(buckets, first): the buckets of the given words, concatenated, and where each word's begin."""
+        spans = self.counts[words]
+        first = np.concatenate([[0], np.cumsum(spans)[:-1]])
+        return self.buckets[np.repeat(self.starts[words] - first, spans) + np.arange(spans.sum())], first
+
+
+def leanings(vocabulary: Vocabulary, y: np.ndarray) -> np.ndarray:
+    """For each bucket the log-odds of its document frequency in the two classes, in standard errors."""
+    seen = np.zeros((2, BUCKETS))
+    for d, label in zip(vocabulary.docs, y):
+        if len(d):
+            seen[label, np.unique(vocabulary.grams(np.unique(d))[0])] += 1
+    n = [(y == 0).sum() + 1, (y == 1).sum() + 1]
+    odds = np.log((seen[1] + 0.5) / n[1]) - np.log((seen[0] + 0.5) / n[0])
+    return np.clip(odds / np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5)), -3, 10)
+
+
+def softmax(x: np.ndarray) -> np.ndarray:
+    e = np.exp(x - x.max(axis=-1, keepdims=True))
+    return e / e.sum(axis=-1, keepdims=True)
+
+
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Model:
     """Joint training of embeddings and softmax on each text's currently most toxic window."""
     rng = np.random.default_rng(seed)
-    vocabulary: dict[str, int] = {}
-    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], np.int64) for t in texts]
-    y = np.array(labels, np.int64)
-    if not vocabulary or len(set(labels)) < 2:
+    vocabulary, y = Vocabulary(texts), np.array(labels, np.int64)
+    if not vocabulary.size or len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS), -500.0)
-    buckets, starts = word_features(list(vocabulary))
-    counts = np.diff(np.append(starts, len(buckets)))
-    table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
-    soft, bias = rng.uniform(-0.5, 0.5, (DIM, 2)), np.zeros(2)
+    table, soft, bias = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)), rng.uniform(-0.5, 0.5, (DIM, 2)), np.array([1.5, -1.5])
+    table[:, 0] += LEAN * leanings(vocabulary, y)
+    soft[0] = (-0.5, 0.5)
     seen_table, seen_soft, seen_bias = np.full(BUCKETS, 1e-6), np.full((DIM, 2), 1e-6), np.full(2, 1e-6)
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
+    weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum()) * len(y)
 
-    for epoch in range(epochs):
+    for _ in range(epochs):
         folded = table @ (soft[:, 1] - soft[:, 0])
-        word_score = np.add.reduceat(folded[buckets], starts) / counts
-        bags = []
-        for d in docs:
-            s = 0 if epoch == 0 and len(d) <= WINDOW else best_window(word_score[d])[0]
-            if epoch == 0 and len(d) > WINDOW:
-                s = int(rng.integers(0, len(d) - WINDOW + 1))
-            bags.append(d[s : s + WINDOW])
+        word_score = np.add.reduceat(folded[vocabulary.buckets], vocabulary.starts) / vocabulary.counts
+        bags = [d[s : s + WINDOW] for d in vocabulary.docs for s in [best_window(word_score[d])[0]]]
         order = rng.permutation([i for i, b in enumerate(bags) if len(b)])
         for k in range(0, len(order), 128):
             batch = order[k : k + 128]
-            used = [bags[i] for i in batch]
-            size = np.array([len(b) for b in used])
-            tokens = np.concatenate(used)
-            own, inverse = np.unique(tokens, return_inverse=True)
-            spans = counts[own]
-            first = np.concatenate([[0], np.cumsum(spans)[:-1]])
-            grams = buckets[np.repeat(starts[own] - first, spans) + np.arange(spans.sum())]
+            size = np.array([len(bags[i]) for i in batch])
+            own, inverse = np.unique(np.concatenate([bags[i] for i in batch]), return_inverse=True)
+            grams, first = vocabulary.grams(own)
+            spans = vocabulary.counts[own]
             vectors = np.add.reduceat(table[grams], first, axis=0) / spans[:, None]
             begin = np.concatenate([[0], np.cumsum(size)[:-1]])
             mean = np.add.reduceat(vectors[inverse], begin, axis=0) / size[:, None]
-            logits = mean @ soft + bias
-            p = np.exp(logits - logits.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            error = p.copy()
+            error = softmax(mean @ soft + bias)
             error[np.arange(len(batch)), y[batch]] -= 1
             error *= weight[batch][:, None] / len(batch)
-            g_soft, g_bias, g_mean = mean.T @ error, error.sum(axis=0), (error @ soft.T) / size[:, None]
+            empty = softmax(bias)
+            empty[0] -= 1
+            g_soft, g_bias, g_mean = mean.T @ error, error.sum(axis=0) + EMPTY * empty, (error @ soft.T) / size[:, None]
             row = np.repeat(np.arange(len(batch)), size)
             g_word = np.stack([np.bincount(inverse, g_mean[row, c], len(own)) for c in range(DIM)], axis=1) / spans[:, None]
             touched, where = np.unique(grams, return_inverse=True)
             spread = np.repeat(np.arange(len(own)), spans)
             g_table = np.stack([np.bincount(where, g_word[spread, c], len(touched)) for c in range(DIM)], axis=1)
             seen_table[touched] += (g_table**2).mean(axis=1)
-            table[touched] -= 0.5 * g_table / np.sqrt(seen_table[touched])[:, None]
+            table[touched] -= RATE * g_table / np.sqrt(seen_table[touched])[:, None]
             seen_soft += g_soft**2
-            soft -= 0.2 * g_soft / np.sqrt(seen_soft)
+            soft -= SOFT_RATE * g_soft / np.sqrt(seen_soft)
             seen_bias += g_bias**2
-            bias -= 0.2 * g_bias / np.sqrt(seen_bias)
+            bias -= SOFT_RATE * g_bias / np.sqrt(seen_bias)
     return Model(table @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]))
 
 
