@@ -68,7 +68,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     rolling = np.zeros(len(chars), np.uint64)
     for n in range(1, max(GRAMS) + 1):
         shifted = np.zeros(len(chars), np.uint64)
-        shifted[: len(chars) - n + 1] = chars[n - 1 :]
+        shifted[: max(0, len(chars) - n + 1)] = chars[n - 1 :]
         rolling = rolling * np.uint64(0x9E3779B97F4A7C15) + shifted + np.uint64(n)
         if n in GRAMS:
             ok = position + n <= end_of
