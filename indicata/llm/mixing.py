@@ -68,14 +68,14 @@ def learn_lexicons(labelled: DataFrame, domains: Sequence[str], size: int = LEXI
         n_rest = sum(n.get(o, 0) for o in domains if o != d)
         inside, outside = (F.col(f"`{d}`") + 0.5) / (n.get(d, 0) + 1), (rest + 0.5) / (n_rest + 1)
         # telling and frequent: log-odds weighted by how many documents use the word
-        rows = per_word.select("word", (inside * F.log(inside / outside)).alias("gain")).orderBy(F.col("gain").desc(), "word").limit(size).collect()
+        rows = per_word.select("word", (inside * F.log(inside / outside)).alias("gain")).filter("gain > 0").orderBy(F.col("gain").desc(), "word").limit(size).collect()
         out[d] = [r.word for r in rows]
     return out
 
 
 def _hits(found: Column, lexicons: dict[str, list[str]]) -> list[Column]:
     distinct = F.array_distinct(found)
-    return [F.size(F.array_intersect(distinct, F.array(*[F.lit(w) for w in ws]))).alias(f"hits_{k}") for k, ws in enumerate(lexicons.values())]
+    return [F.size(F.array_intersect(distinct, F.array(*[F.lit(w) for w in ws]).cast("array<string>"))).alias(f"hits_{k}") for k, ws in enumerate(lexicons.values())]
 
 
 def posteriors(hits: Sequence[Column], prior: np.ndarray, share: np.ndarray) -> list[Column]:
