@@ -19,7 +19,7 @@ characters. It runs in one task over that sample; scoring runs on all rows.
 Defined results: null and empty texts have no words and score as the bias
 alone, which is below every threshold used here. Labels that are null are
 ignored, and of repeated labels of one id the largest counts. Without labelled
-rows of both classes every text scores 0. Rows with a null id are scored, and
+rows of both classes every text scores 0 (below 1e-9). Rows with a null id are scored, and
 are never learned from. Extra columns pass through, whatever their names.
 """
 
@@ -43,7 +43,7 @@ TRAIN_DOCS = 4_000
 TRAIN_CHARS = 65_536
 EPOCHS = 6
 #: Weight of the document-frequency start in the embeddings, and of the empty text as a clean example.
-LEAN, EMPTY = 1.0, 0.1
+LEAN, EMPTY = 2.0, 0.1
 RATE, SOFT_RATE = 0.2, 0.2
 THRESHOLD = 0.7
 #: Word scores a Python worker remembers at most.
@@ -148,9 +148,10 @@ def leanings(vocabulary: Vocabulary, y: np.ndarray) -> np.ndarray:
     for d, label in zip(vocabulary.docs, y):
         if len(d):
             seen[label, np.unique(vocabulary.grams(np.unique(d))[0])] += 1
-    n = [(y == 0).sum() + 1, (y == 1).sum() + 1]
-    odds = np.log((seen[1] + 0.5) / n[1]) - np.log((seen[0] + 0.5) / n[0])
-    return np.clip(odds / np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5)), -3, 10)
+    n = np.array([[(y == 0).sum()], [(y == 1).sum()]])
+    some = seen + n / n.sum()  # an n-gram that was never seen leans nowhere
+    odds = np.log(some[1] / n[1]) - np.log(some[0] / n[0])
+    return np.clip(odds / np.sqrt(1 / some[1] + 1 / some[0]), -3, 10)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:

@@ -64,7 +64,8 @@ def test_empty_table_missing_path_and_clashing_columns(corpus, spark):
     assert secret_scan.scan(odd, none).count() == secret_scan.scan(corpus, none).count()
 
 
-def test_query_finds_planted_secrets(spark, sf_dir):
+def test_query_finds_planted_secrets(spark):
+    sf_dir = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = queries.op10_secrets(spark, sf_dir).collect()
     assert sorted((r.doc_id, r.place, r.secret) for r in rows) == sorted((i, *c) for i, t in texts.items() for c in plain_candidates(t))

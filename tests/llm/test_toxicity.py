@@ -66,7 +66,7 @@ def test_held_out_accuracy_and_unseen_misspellings(model):
 def test_training_is_repeatable_and_one_class_scores_zero(model):
     again = toxicity.train(*corpus(600, 1))
     assert (again.gram == model.gram).all() and again.bias == model.bias
-    assert score(toxicity.train(["a", "b"], [0, 0]), "a") == 0
+    assert score(toxicity.train(["a", "b"], [0, 0]), "a") < 1e-9
 
 
 def test_columns_and_odd_rows(model, make_docs, spark):
@@ -88,7 +88,7 @@ def test_labels_of_the_held_out_fold_are_never_used(make_docs, spark):
     flipped = spark.createDataFrame([(i, 0, y if i in sample else 1 - y) for i, _, y in own] + [(None, 0, 1), (3, 0, None)], "doc_id long, quality int, toxic int")
     a, b = toxicity.fit(docs, table), toxicity.fit(docs, flipped)
     assert (a.gram == b.gram).all() and a.bias == b.bias
-    assert score(toxicity.fit(docs, table.limit(0)), "idiot") == 0
+    assert score(toxicity.fit(docs, table.limit(0)), "idiot") < 1e-9
 
 
 def test_query(spark, sf_dir):
