@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -51,14 +52,8 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "\\s+"), lambda w: w != "")
 
 
-def learn_lexicons(labelled: DataFrame, domains: Sequence[str], size: int = LEXICON, sample: int = SAMPLE) -> dict[str, list[str]]:
-    """Most telling words of each domain, from (text, domain) rows; at most domains x size words reach the driver."""
-    order = F.xxhash64("text")
-    some = None
-    for d in domains:
-        part = labelled.filter(F.col("domain") == d).orderBy(order).limit(sample)
-        some = part if some is None else some.unionByName(part)
-    some = stage(some, "mix-sample")
+def learn_lexicons(some: DataFrame, domains: Sequence[str], size: int = LEXICON) -> dict[str, list[str]]:
+    """Most telling words of each domain, from a bounded sample of (text, domain) rows; at most domains x size words reach the driver."""
     seen = some.select("domain", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
     per_word = seen.groupBy("word").pivot("domain", list(domains)).count().na.fill(0)
     n = {r.domain: r["count"] for r in some.groupBy("domain").count().collect()}
@@ -93,12 +88,16 @@ def memberships(docs: DataFrame, domain: Column, trusted: DataFrame, targets: di
     ``domain`` is a column of ``docs``; only rows whose id is in ``trusted`` (column ``id``) teach.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), domain.alias("domain"))
-    labelled = rows.join(trusted.select("id").distinct(), "id", "left_semi").filter(F.col("domain").isin(list(targets)))
+    # Without text: only ids and domains are shuffled to find the labelled rows.
+    labelled = stage(rows.select("id", "domain").join(trusted.select("id").distinct(), "id", "left_semi").filter(F.col("domain").isin(list(targets))), "mix-labelled")
     counted = {r.domain: r["count"] for r in labelled.groupBy("domain").count().collect()}
     domains = [d for d in targets if counted.get(d)]
     if not domains:
         return stage(rows.select("id", F.xxhash64("text").alias("text_key"), F.size(words(F.col("text"))).cast("long").alias("tokens")), "mix-docs"), []
-    lexicons = learn_lexicons(labelled.select("text", "domain"), domains)
+    picked = [labelled.filter(F.col("domain") == d).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for d in domains]
+    ids = reduce(DataFrame.unionByName, picked).select("id", "domain").distinct()
+    sample = stage(rows.join(F.broadcast(ids), ["id", "domain"], "left_semi").select("text", "domain"), "mix-sample")  # domains x SAMPLE ids at most
+    lexicons = learn_lexicons(sample, domains)
     features = rows.select("id", "domain", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("words")).select("id", "domain", "text_key", F.size("words").cast("long").alias("tokens"), *_hits(F.col("words"), lexicons))
     features = stage(features, "mix-features")
     hits = [f"hits_{k}" for k in range(len(domains))]
