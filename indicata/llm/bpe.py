@@ -29,11 +29,10 @@ from __future__ import annotations
 
 import base64
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import tiktoken
@@ -47,6 +46,8 @@ from indicata.llm.common import shuffle_partitions, stage, text_or_empty
 CHUNK = 16_384
 OVERLAP = 512
 LOOKAHEAD = 3
+#: Texts that a Python worker encodes or decodes at a time.
+SLICE = 128
 
 
 @lru_cache(maxsize=4)
@@ -101,28 +102,37 @@ def ids_bytes(ids: list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
-def decoder(ranks_path: str, pattern: str):
-    """A column function: ids (little-endian unsigned 32-bit) -> raw bytes."""
+def _in_slices(batches: Iterator[pa.RecordBatch], name: str, work: Callable[[list], list], new: str) -> Iterator[pa.RecordBatch]:
+    """Replace column ``name`` by ``work`` of it, called ``new``, a few rows at a time, so that a worker holds little besides its input."""
+    for b in batches:
+        for k in range(0, b.num_rows, SLICE):
+            part = b.slice(k, SLICE)
+            rest = [n for n in part.schema.names if n != name]
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in rest), pa.array(work(part.column(name).to_pylist()), pa.binary())], [*rest, new])
 
-    @F.pandas_udf("binary")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def _with_binary(df: DataFrame, drop: str, new: str) -> T.StructType:
+    return T.StructType([*(f for f in df.schema.fields if f.name != drop), T.StructField(new, T.BinaryType())])
+
+
+def encode_pieces(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``df`` with the column ``text``, each encoded as one piece, replaced by ``ids``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(ranks_path, pattern)
-        for ids in batches:
-            yield pd.Series([enc.decode_bytes(np.frombuffer(x, "<u4").tolist()) for x in ids], dtype=object)
+        return _in_slices(batches, "text", lambda texts: [ids_bytes(enc.encode_ordinary(t)) for t in texts], "ids")
 
-    return decode
+    return df.mapInArrow(run, _with_binary(df, "text", "ids"))
 
 
-def encoder(ranks_path: str, pattern: str):
-    """A column function: text that is encoded as one piece -> ids."""
+def decode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``df`` with the column ``ids`` (little-endian unsigned 32-bit) replaced by ``decoded``, the tokens' raw bytes."""
 
-    @F.pandas_udf("binary")
-    def encode_pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(ranks_path, pattern)
-        for texts in batches:
-            yield pd.Series([ids_bytes(enc.encode_ordinary(t)) for t in texts], dtype=object)
+        return _in_slices(batches, "ids", lambda ids: [enc.decode_bytes(np.frombuffer(x, "<u4").tolist()) for x in ids], "decoded")
 
-    return encode_pieces
+    return df.mapInArrow(run, _with_binary(df, "ids", "decoded"))
 
 
 def _chunk_rows(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
@@ -172,19 +182,18 @@ def encode_long(long: DataFrame, ranks_path: str, pattern: str, chunk: int = CHU
     starts = starts.withColumn("stop", F.lead("start").over(by_text) + chunk).withColumn("lost", F.max(F.col("start").isNull()).over(Window.partitionBy("key")))
     starts = stage(starts, "bpe-stitches")
 
-    encode = encoder(ranks_path, pattern)
     whole = chunks.join(starts, ["key", "no"])
     piece = F.when(F.col("stop").isNull(), F.expr("substring(part, start + 1)")).otherwise(F.expr("substring(part, start + 1, greatest(stop - start, 0))"))
-    pieces = whole.filter("NOT lost").select("key", "no", "row", encode(piece).alias("ids"))
+    pieces = whole.filter("NOT lost").select("key", "no", "row", piece.alias("text"))
     # Texts without a shared boundary somewhere: put together again, encoded as one piece.
     core = F.when(F.col("last"), F.col("part")).otherwise(F.substring("part", 1, chunk))
     again = (
         whole.filter("lost")
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("no", core.alias("core")))).alias("cores"), F.first("row", ignorenulls=True).alias("row"))
-        .select("key", F.lit(0).alias("no"), "row", encode(F.array_join(F.col("cores.core"), "")).alias("ids"))
+        .select("key", F.lit(0).alias("no"), "row", F.array_join(F.col("cores.core"), "").alias("text"))
     )
-    joined = pieces.unionByName(again).groupBy("key").agg(
+    joined = encode_pieces(pieces.unionByName(again), ranks_path, pattern).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("no", F.hex("ids").alias("ids")))).alias("parts"), F.first("row", ignorenulls=True).alias("row")
     )
     return joined.select("row", F.unhex(F.array_join(F.col("parts.ids"), "")).alias("ids"))
@@ -198,7 +207,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     rest = [c for c in docs.columns if c != text_col]
     fits = F.length("text") <= chunk + overlap
     rows = docs.select(text_or_empty(F.col(f"`{text_col}`")).alias("text"), F.struct(F.col(f"`{text_col}`").isNull().alias("none"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("rest")).alias("row"))
-    short = rows.filter(fits).select("row", encoder(ranks_path, pattern)(F.col("text")).alias("ids"))
+    short = encode_pieces(rows.filter(fits).select("row", "text"), ranks_path, pattern)
     long = rows.filter(~fits).withColumn("key", F.monotonically_increasing_id())
     both = short.unionByName(encode_long(long.select("key", "text", "row"), ranks_path, pattern, chunk, overlap))
     return both.select(F.struct(*[F.col("row.rest").getField(c).alias(c) for c in rest]).alias("row"), "ids")
@@ -206,13 +215,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
 
 def digests(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
     """id, n_tokens, ids_sha256 and decoded_sha256 of every encoded row; the ids are decoded for the last."""
-    decode = decoder(ranks_path, pattern)
-    return encoded.select(
+    known = encoded.select(
         F.col("row").getField(id_col).alias(id_col),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(decode("ids"), 256).alias("decoded_sha256"),
+        "ids",
     )
+    return decode(known, ranks_path, pattern).select(id_col, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def encode_text(text: str, ranks_path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:

@@ -47,7 +47,9 @@ LEAN, EMPTY = 2.0, 0.1
 RATE, SOFT_RATE = 0.2, 0.2
 THRESHOLD = 0.7
 #: Word scores a Python worker remembers at most.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+#: Texts, and new words, that it scores at a time.
+TEXTS, NEW_WORDS = 64, 20_000
 
 WORDS = re.compile(r"\w+")
 
@@ -248,13 +250,14 @@ def scorer(model: Model) -> Callable[[Column], Column]:
         cache: dict[str, float] = {}
         for texts in batches:
             out = np.empty(len(texts))
-            for first in range(0, len(texts), 256):  # words of a few texts at a time
-                bags = [words_of(t) for t in texts.iloc[first : first + 256]]
+            for first in range(0, len(texts), TEXTS):
+                bags = [words_of(t) for t in texts.iloc[first : first + TEXTS]]
                 new = list({w for b in bags for w in b if w not in cache})
                 if len(cache) + len(new) > CACHE_WORDS:
                     cache.clear()
                     new = list({w for b in bags for w in b})
-                cache.update(zip(new, model.word_scores(new).tolist()))
+                for k in range(0, len(new), NEW_WORDS):
+                    cache.update(zip(new[k : k + NEW_WORDS], model.word_scores(new[k : k + NEW_WORDS]).tolist()))
                 for k, b in enumerate(bags):
                     s = np.fromiter(map(cache.__getitem__, b), np.float64, len(b))
                     out[first + k] = sigmoid(model.bias + best_window(s)[1])
