@@ -33,10 +33,21 @@ def _one(df: DataFrame, check: str, subject: str, violations: Column, passed: Co
     return _result(agg, check, subject, F.col("_v"), None if passed is None else passed)
 
 
+def _many(df: DataFrame, check: str, violations: Mapping[str, Column], passed: Mapping[str, Column] | None = None) -> DataFrame:
+    """Several results from ONE global aggregate over ``df``: its one row is
+    unpivoted (explode of structs), so the table is scanned once."""
+    agg = df.agg(*[F.coalesce(v, F.lit(0)).cast("bigint").alias(f"_{i}") for i, v in enumerate(violations.values())], F.count(F.lit(1)).alias("_n"))
+    rows = [
+        F.struct(F.lit(subject).alias("subject"), F.col(f"_{i}").alias("violations"), (passed[subject] if passed else F.col(f"_{i}") == 0).alias("passed"))
+        for i, subject in enumerate(violations)
+    ]
+    return agg.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(check).alias("check"), "r.subject", "r.violations", "r.passed")
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every table must have at least one row."""
+    """Every table must have at least one row; a table is read up to its first row."""
     parts = [
-        _one(df, "row_count_nonzero", name, F.when(F.count(F.lit(1)) == 0, 1).otherwise(0))
+        _one(df.select(F.lit(1).alias("_r")).limit(1), "row_count_nonzero", name, F.when(F.count(F.lit(1)) == 0, 1).otherwise(0))
         for name, df in tables.items()
     ]
     return union_all(*parts)
@@ -95,33 +106,34 @@ def principal_rule(discharge: DataFrame, diagnosis: DataFrame) -> DataFrame:
 def date_order(patient: DataFrame) -> DataFrame:
     """birth <= admission <= discharge where both dates are known."""
     b, a, d = F.col("birth_date"), F.col("admission_date"), F.col("discharge_date")
-    agg = patient.agg(
-        F.sum(F.when(b > a, 1).otherwise(0)).alias("_ba"),
-        F.sum(F.when(a > d, 1).otherwise(0)).alias("_ad"),
-    )
-    return _result(agg, "date_order", "birth_date<=admission_date", F.col("_ba")).unionByName(
-        _result(agg, "date_order", "admission_date<=discharge_date", F.col("_ad"))
-    )
+    return _many(patient, "date_order", {"birth_date<=admission_date": F.count_if(b > a), "admission_date<=discharge_date": F.count_if(a > d)})
 
 
 def not_null(checks: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """NULL count per critical column (one pass per table)."""
-    parts = []
-    for name, (df, cols) in checks.items():
-        agg = df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"_{i}") for i, c in enumerate(cols)])
-        for i, c in enumerate(cols):
-            parts.append(_result(agg, "not_null", f"{name}.{c}", F.col(f"_{i}")))
-    return union_all(*parts)
+    return union_all(*[_many(df, "not_null", {f"{name}.{c}": F.count_if(F.col(c).isNull()) for c in cols}) for name, (df, cols) in checks.items()])
+
+
+def parses(checks: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+    """Raw text values that are present but do not parse as their declared type
+    (one pass per table)."""
+    return union_all(
+        *[
+            _many(df, "parses", {f"{name}.{c}": F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()) for c, kind in cols.items()})
+            for name, (df, cols) in checks.items()
+        ]
+    )
 
 
 def metric_bounds(metrics: DataFrame, expected_months: int = 12, month_col: str = "month") -> DataFrame:
     """numerator <= denominator in every month, and the expected month count."""
-    agg = metrics.agg(
-        F.sum(F.when(F.col("numerator") > F.col("denominator"), 1).otherwise(0)).alias("_bad"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    return _result(agg, "metric_bounds", "numerator<=denominator", F.col("_bad")).unionByName(
-        _result(agg, "metric_bounds", f"months={expected_months}", F.abs(F.col("_n") - expected_months))
+    return _many(
+        metrics,
+        "metric_bounds",
+        {
+            "numerator<=denominator": F.count_if(F.col("numerator") > F.col("denominator")),
+            f"months={expected_months}": F.abs(F.count(F.lit(1)) - expected_months),
+        },
     )
 
 
@@ -160,10 +172,16 @@ def reconcile(summary: DataFrame, discharge: DataFrame, diagnosis: DataFrame, pr
         .join(dx, "patient_id", "left")
         .join(px, "patient_id", "left")
     )
-    sec = _one(j, "reconcile", "secondary_diagnoses_size", F.sum(F.when(F.col("_s") != F.coalesce(F.col("_nsec"), F.lit(0)), 1).otherwise(0)))
-    proc = _one(j, "reconcile", "procedures_size", F.sum(F.when(F.col("_p") != F.coalesce(F.col("_nproc"), F.lit(0)), 1).otherwise(0)))
+    sizes = _many(
+        j,
+        "reconcile",
+        {
+            "secondary_diagnoses_size": F.count_if(F.col("_s") != F.coalesce(F.col("_nsec"), F.lit(0))),
+            "procedures_size": F.count_if(F.col("_p") != F.coalesce(F.col("_nproc"), F.lit(0))),
+        },
+    )
     counts = summary.select(F.lit(1).alias("_s"), F.lit(0).alias("_d")).unionByName(
         discharge.select(F.lit(0).alias("_s"), F.lit(1).alias("_d"))
     )
     rows = _one(counts, "reconcile", "summary_rows=discharge_rows", F.abs(F.sum("_s") - F.sum("_d")))
-    return union_all(rows, sec, proc)
+    return union_all(rows, sizes)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from indicata.functions import safe_date, strict_bigint, text_list
+from indicata.operators import facts
 from indicata.operators import incremental as inc
 from indicata.operators import indicator as ind
 from indicata.operators import quality as dq
@@ -190,7 +191,11 @@ def bridge(spark, sf):
 
 
 def dim_date(spark, sf):
-    return warehouse(spark, sf).dim_date
+    """The date dimension over the days that the typed patient rows span."""
+    span = warehouse(spark, sf).core_patient.agg(F.min("birth_date").alias("first"), F.max("discharge_date").alias("last")).first()
+    missing = facts.MISSING_DATE  # the default of absent dates always has its day
+    first, last = min(span["first"] or missing, missing), max(span["last"] or missing, missing)
+    return ref.dim_date(spark, first, last)
 
 
 def code_identifiers(spark, sf):
@@ -450,8 +455,9 @@ def _versioned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 def effective_dated_lookup(spark, sf):
     w = warehouse(spark, sf)
     flags, versions = _versioned(spark, sf)
+    # Left: a diagnosis line without a discharge keeps its row, without a version.
     rows = w.fct_diagnosis.select("patient_id", "diag_code", "diag_rank_num").join(
-        w.fct_discharge.select("patient_id", "discharge_date"), "patient_id"
+        w.fct_discharge.select("patient_id", "discharge_date"), "patient_id", "left"
     )
     out = inc.effective_dated_lookup(rows, "discharge_date", "diag_code", flags, versions)
     return out.select("patient_id", "diag_code", "diag_rank_num", "ref_version", F.col("in_set").alias("is_sepsis_code"))
@@ -499,6 +505,17 @@ def nightly_numerator_audit(spark, sf):
     return _two_nights(spark, sf).numerator_patients
 
 
+def nightly_backfill(spark, sf):
+    """A night and a backfill of an earlier quarter on the same run date: the
+    audit rows of both stay, counted per run and month."""
+    from indicata.plans.nightly import nightly_run
+
+    w, out = warehouse(spark, sf), sinks.fresh_path(spark, "nightly-backfill")
+    nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC)
+    run = nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC, period=ind.Period.months("1996-01", "1996-03"))
+    return run.numerator_patients.groupBy("run_id", "year_month").agg(F.count(F.lit(1)).alias("encounters"))
+
+
 # -- data quality ---------------------------------------------------------------------------------
 
 
@@ -571,6 +588,18 @@ def dq_dates(spark, sf):
     return dq.date_order(warehouse(spark, sf).core_patient)
 
 
+def dq_parse(spark, sf):
+    """Raw text that does not parse: dates of patients, ids of all three tables."""
+    raw = warehouse(spark, sf).raw
+    return dq.parses(
+        {
+            "raw_patient": (raw.patient, {"birth_date": "date", "admission_date": "date", "discharge_date": "date", "patient_id": "bigint"}),
+            "raw_diagnosis": (raw.diagnosis, {"patient_id": "bigint"}),
+            "raw_procedure": (raw.procedure, {"patient_id": "bigint"}),
+        }
+    )
+
+
 def dq_nulls(spark, sf):
     w = warehouse(spark, sf)
     return dq.not_null(
@@ -656,6 +685,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_upsert": metrics_upsert,
     "nightly_metrics": nightly_metrics,
     "nightly_numerator_audit": nightly_numerator_audit,
+    "nightly_backfill": nightly_backfill,
+    "dq_parse": dq_parse,
     "numerator_patients": numerator_patients,
     "numerator_diff": numerator_diff,
     "run_log": run_log,
