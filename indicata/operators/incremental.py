@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from indicata.functions import month_label
 from indicata.operators.indicator import Period
-from indicata.operators.joins import bounded_broadcast
+from indicata.operators.joins import bounded_broadcast, having, lacking
 
 
 def lookback_extract(staged: DataFrame, watermark: _dt.date | _dt.datetime, lookback_days: int = 7, ts_col: str = "updated_at") -> DataFrame:
@@ -31,7 +31,8 @@ def lookback_extract(staged: DataFrame, watermark: _dt.date | _dt.datetime, look
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """Newest row per key by ``order_col``; ties broken by the remaining
-    columns (deterministic). Skew-safe: a partial aggregate per task."""
+    columns (deterministic). Skew-safe: a partial aggregate per task (a sort
+    aggregate, as the row travels in the aggregate as a struct of strings)."""
     rest = [c for c in df.columns if c not in keys and c != order_col]
     packed = F.struct(F.col(order_col).alias(order_col), *[F.col(c).alias(c) for c in rest])
     agg = df.groupBy(*keys).agg(F.max(packed).alias("_row"))
@@ -41,8 +42,16 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFra
 def upsert_latest(target: DataFrame, changes: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """Keyed upsert (MERGE semantics on an immutable table format): the newest
     version of every key across the current table and the staged changes.
-    Idempotent: applying the same changes twice gives the same rows."""
-    return latest_by_key(target.unionByName(changes.select(target.columns)), keys, order_col)
+    Idempotent: applying the same changes twice gives the same rows.
+
+    Rows of the table whose key did not change pass through; only changed keys
+    are aggregated. Keys must not be null, and the table holds one row per key
+    (as every earlier upsert leaves it).
+    """
+    changes = changes.select(target.columns)
+    changed = changes.select(*keys).distinct()
+    touched = latest_by_key(having(target, changed, list(keys)).unionByName(changes), keys, order_col)
+    return lacking(target, changed, list(keys)).unionByName(touched)
 
 
 def month_spine(spark: SparkSession, period: Period, month_col: str = "year_month") -> DataFrame:

@@ -23,7 +23,7 @@ from indicata.operators import indicator as ind
 from indicata.operators import quality as dq
 from indicata.operators.joins import union_all
 from indicata.plans.warehouse import Warehouse
-from indicata.sources.sinks import materialize
+from indicata.sources.sinks import child_names, materialize
 
 
 @dataclass(frozen=True)
@@ -44,11 +44,18 @@ def _write_run(df: DataFrame, path: str) -> None:
 
 
 def _read_runs(df_schema: T.StructType, spark, path: str) -> DataFrame | None:
-    fields = [f for f in df_schema.fields if f.name != "run_id"] + [T.StructField("run_id", T.StringType())]
-    try:
-        return spark.read.schema(T.StructType(fields)).parquet(path)
-    except Exception:  # nothing published yet
+    """The published runs, or None if nothing was published yet; a published
+    folder that cannot be read fails the run."""
+    if not child_names(spark, path):
         return None
+    fields = [f for f in df_schema.fields if f.name != "run_id"] + [T.StructField("run_id", T.StringType())]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def run_name(spec: ind.IndicatorSpec, run_date: _dt.date, period: ind.Period) -> str:
+    """Run id of a night or backfill: indicator, run date and window, so that a
+    backfill on a night's date never replaces the night's rows."""
+    return f"{spec.name}-{run_date.isoformat()}-{period.start:%Y-%m}-{period.end:%Y-%m}"
 
 
 def nightly_run(
@@ -71,7 +78,7 @@ def nightly_run(
     spark = w.spark
     spec = spec or ind.IndicatorSpec()
     period = period or ind.Period.rolling(run_date)
-    run_id = run_id or f"{spec.name}-{run_date.isoformat()}"
+    run_id = run_id or run_name(spec, run_date, period)
     computed_at = computed_at if computed_at is not None else inc.run_timestamp(run_date)
     ref_version = f"{w.year}-01-01"
     n_months = (period.end.year - period.start.year) * 12 + period.end.month - period.start.month + 1
@@ -99,13 +106,15 @@ def nightly_run(
     )
     history = _read_runs(snap_schema, spark, snap_path)
     if history is not None:
-        earlier = history.filter(F.col("run_id") != run_id).select(
+        # Only runs computed before this one: rerunning an older night never
+        # publishes a newer night's rows.
+        earlier = history.filter((F.col("run_id") != run_id) & (F.col("computed_at") < computed_at)).select(
             *[c for c in new.columns if c != "run_id"], F.col("source_run_id").alias("run_id")
         )
         merged = inc.metrics_upsert(earlier.select(new.columns), new, period)
     else:
         merged = new
-    staged = materialize(merged, "metrics-merge", count_rows=False)
+    staged = materialize(merged, "metrics-merge")
     _write_run(staged.withColumnRenamed("run_id", "source_run_id").withColumn("run_id", F.lit(run_id)), snap_path)
     published = (
         _read_runs(snap_schema, spark, snap_path)

@@ -7,12 +7,18 @@ file-source stream over the staging folder:
 * the file source's checkpoint records which extract files were applied,
   so every file is applied exactly once, across restarts and lost executors;
 * ``trigger(availableNow=True)`` processes everything staged so far and
-  stops, which is how a nightly batch job runs a stream;
+  stops, which is how a nightly batch job runs a stream; without
+  ``max_files_per_trigger`` all staged files are one micro-batch, so the table
+  is rewritten once a night;
 * each micro-batch upserts into the current snapshot (newest row per key,
-  ``latest_by_key``) and writes the result as a *new* snapshot directory
+  ``upsert_latest``) and writes the result as a *new* snapshot directory
   ``epoch=<id>``: nothing is read and overwritten in the same plan, and a
   retried epoch rewrites only its own directory (idempotent).
 
+Snapshots are found by listing the state folder through Hadoop's FileSystem;
+a folder that does not exist means "no snapshot yet", and a snapshot that
+exists but cannot be read fails the job instead of counting as empty.
+
 Re-applying an already applied row is harmless: the upsert keeps the newest
 version per key, so the lookback overlap of consecutive extracts is safe.
 """
@@ -22,33 +28,26 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from indicata.operators.incremental import upsert_latest
-from indicata.sources.sinks import fresh_path
+from indicata.sources.sinks import child_names, fresh_path
+
+_DONE = "_SUCCESS"
 
 
-def _epochs(spark: SparkSession, state_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(state_dir).select("epoch").distinct()
-    except Exception:  # no snapshot written yet
-        return None
+def epochs(spark: SparkSession, state_dir: str) -> list[int]:
+    """Ids of the completely written snapshots, ascending (directory names only)."""
+    found = [int(n.removeprefix("epoch=")) for n in child_names(spark, state_dir) if n.startswith("epoch=")]
+    return sorted(e for e in found if _DONE in child_names(spark, f"{state_dir}/epoch={e}"))
 
 
 def read_snapshot(
     spark: SparkSession, state_dir: str, schema: T.StructType, before_epoch: int | None = None
 ) -> DataFrame | None:
-    """Newest snapshot (optionally strictly before ``before_epoch``), or None."""
-    epochs = _epochs(spark, state_dir)
-    if epochs is None:
-        return None
-    if before_epoch is not None:
-        epochs = epochs.filter(F.col("epoch") < before_epoch)
-    latest = epochs.agg(F.max("epoch")).first()[0]  # one scalar from partition values
-    if latest is None:
-        return None
-    return spark.read.schema(schema).parquet(f"{state_dir}/epoch={latest}")
+    """Newest snapshot (optionally strictly before ``before_epoch``), or None if none was written."""
+    known = [e for e in epochs(spark, state_dir) if before_epoch is None or e < before_epoch]
+    return spark.read.schema(schema).parquet(f"{state_dir}/epoch={known[-1]}") if known else None
 
 
 def apply_staged_extracts(

@@ -2,24 +2,67 @@
 
 import datetime as dt
 
+import pytest
+
+from indicata.operators.indicator import Period
 from indicata.plans import catalog
-from indicata.plans.nightly import nightly_run
+from indicata.plans.nightly import nightly_run, run_name
 from indicata.sources.sinks import fresh_path
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MEDIUM, SF_SMALL
+
+MAY, JUNE = dt.date(1997, 5, 31), dt.date(1997, 6, 30)
+
+
+def _name(run_date, period=None):
+    return run_name(catalog.SPEC, run_date, period or Period.rolling(run_date))
 
 
 def test_rerun_replaces_only_its_own_night(spark):
     w = catalog.warehouse(spark, SF_SMALL)
     out = fresh_path(spark, "nightly-test")
-    first = nightly_run(w, dt.date(1997, 5, 31), out)
+    first = nightly_run(w, MAY, out)
     n_first = first.numerator_patients.count()
-    second = nightly_run(w, dt.date(1997, 6, 30), out)
+    published_first = sorted(map(tuple, first.metrics.collect()))
+    second = nightly_run(w, JUNE, out)
     m = sorted(map(tuple, second.metrics.collect()))
-    n_second = second.numerator_patients.filter("run_id = 'psi13-1997-06-30'").count()
-    again = nightly_run(w, dt.date(1997, 6, 30), out)
+    n_second = second.numerator_patients.filter(f"run_id = '{_name(JUNE)}'").count()
+    again = nightly_run(w, JUNE, out)
     assert sorted(map(tuple, again.metrics.collect())) == m
     assert len(m) == 12 and [r[0] for r in m][0] == "1996-07"
     assert again.run_log.count() == 2
     per_run = {r.run_id: r.n for r in again.numerator_patients.groupBy("run_id").count().withColumnRenamed("count", "n").collect()}
-    assert per_run.get("psi13-1997-05-31", 0) == n_first
+    assert per_run.get(_name(MAY), 0) == n_first
     assert sum(per_run.values()) == n_first + n_second
+    # An older night run again publishes its own rows, none of a newer night.
+    older = nightly_run(w, MAY, out)
+    assert sorted(map(tuple, older.metrics.collect())) == published_first
+
+
+def test_a_backfill_on_a_nights_date_keeps_the_night(spark):
+    w = catalog.warehouse(spark, SF_MEDIUM)
+    out = fresh_path(spark, "nightly-backfill-test")
+    night = nightly_run(w, JUNE, out)
+    n_night, n_checks = night.numerator_patients.count(), night.checks.count()
+    assert n_night > 0
+    quarter = Period.months("1996-01", "1996-03")
+    both = nightly_run(w, JUNE, out, period=quarter)
+    per_run = {r["run_id"]: r["count"] for r in both.numerator_patients.groupBy("run_id").count().collect()}
+    assert per_run[_name(JUNE)] == n_night
+    assert both.run_log.count() == 2 and both.checks.count() == 2 * n_checks
+    assert len(both.metrics.collect()) == 3
+
+
+def test_unreadable_history_fails_the_run(spark):
+    w = catalog.warehouse(spark, SF_SMALL)
+    out = fresh_path(spark, "nightly-broken")
+    nightly_run(w, MAY, out)
+    path = f"{out}/metrics_snapshots/run_id={_name(MAY)}"
+    import glob
+
+    files = glob.glob(path.removeprefix("file:") + "/*.parquet")
+    assert files
+    for f in files:
+        with open(f, "wb") as h:
+            h.write(b"broken")
+    with pytest.raises(Exception):
+        nightly_run(w, JUNE, out)

@@ -1,14 +1,33 @@
 """Structured Streaming loader: each staged file applied once; restarts are safe."""
 
+import glob
+
+import pytest
 from pyspark.sql import functions as F
 
 from indicata.operators import incremental as inc
 from indicata.sources import fixtures as fx
 from indicata.sources.sinks import fresh_path
-from indicata.streaming.ingest import apply_staged_extracts, read_snapshot
+from indicata.streaming.ingest import apply_staged_extracts, epochs, read_snapshot
 from tests.conftest import SF_SMALL
 
 
+def test_an_unreadable_snapshot_fails_and_loses_nothing(spark):
+    staged = fx.staged_patient(spark, SF_SMALL)
+    schema = staged.schema
+    staging, state, ckpt = fresh_path(spark, "stg"), fresh_path(spark, "state"), fresh_path(spark, "ckpt")
+    fx.staged_patient(spark, SF_SMALL, versions=(1,)).write.parquet(staging)
+    apply_staged_extracts(spark, staging, schema, state, ["patient_id"], "updated_at", checkpoint_dir=ckpt)
+    (epoch,) = epochs(spark, state)
+    for f in glob.glob(f"{state.removeprefix('file:')}/epoch={epoch}/*.parquet"):
+        with open(f, "wb") as h:
+            h.write(b"broken")
+    fx.staged_patient(spark, SF_SMALL, versions=(2,)).write.mode("append").parquet(staging)
+    with pytest.raises(Exception):
+        apply_staged_extracts(spark, staging, schema, state, ["patient_id"], "updated_at", checkpoint_dir=ckpt)
+    assert epochs(spark, state) == [epoch]  # no snapshot without the earlier rows was published
+
+
 def test_stream_applies_each_file_once_and_restarts_cleanly(spark):
     staged = fx.staged_patient(spark, SF_SMALL)
     schema = staged.schema
