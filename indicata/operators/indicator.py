@@ -126,9 +126,8 @@ def _inclusion_filter(spec: IndicatorSpec, period: Period) -> Column:
 def surgical_discharges(discharge: DataFrame, flags: DataFrame, spec: IndicatorSpec, period: Period) -> DataFrame:
     """Discharges passing the row filters whose DRG carries a surgical identifier.
 
-    When the discharge fact carries its ``discharge_month`` partition column,
-    the period is applied to it as well, so only the period's partitions are
-    read.
+    When the discharge fact carries ``discharge_month``, the period is applied
+    to it as well (it reaches the scan as a pushed filter).
     """
     cond = _inclusion_filter(spec, period)
     if "discharge_month" in discharge.columns:
@@ -189,21 +188,15 @@ def _diagnosis_flag_rows(diagnosis: DataFrame, flags: DataFrame) -> DataFrame:
     )
 
 
-# Largest encounter-id set broadcast as a map-side pre-filter (about 16 MB
-# as a long hash relation); beyond it the pre-filter is skipped.
-PREFILTER_MAX_IDS = 1_000_000
-
-
 def _only(rows: DataFrame, ids: DataFrame | None) -> DataFrame:
     return rows if ids is None else having(rows, ids, "patient_id")
 
 
-def included_ids(included: DataFrame, max_ids: int = PREFILTER_MAX_IDS) -> DataFrame | None:
-    """Distinct included encounter ids as a broadcast pre-filter, or None when
-    the set is larger than ``max_ids`` (checked with a bounded count)."""
-    ids = included.select("patient_id").distinct()
-    out = bounded_broadcast(ids, max_ids)
-    return out if out is not ids else None
+def included_ids(included: DataFrame) -> DataFrame:
+    """Distinct included encounter ids; rows of other encounters are dropped by
+    a plain semi-join whose strategy Spark picks at runtime, the same at every
+    size."""
+    return included.select("patient_id").distinct()
 
 
 def encounter_flags(
@@ -277,10 +270,8 @@ def eligible(
 
     The grouping on (patient_id, year_month) is satisfied by the join's
     hash partitioning on patient_id, so it adds no exchange. With
-    ``prefilter`` the (small, size-checked) set of included encounters is
-    broadcast so flag rows of all other encounters are dropped before they
-    are shuffled; worth it when the facts are not co-located (bucketed), where
-    nothing is shuffled anyway and the extra size check only costs time.
+    ``prefilter`` the fact rows of other encounters are dropped by a semi-join
+    before they are aggregated; worth it when the facts are not co-located.
     """
     included = surgical_discharges(discharge, flags, spec, period).select(
         "patient_id", "discharge_date", month_label(F.col("discharge_date")).alias("year_month")

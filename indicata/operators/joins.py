@@ -7,55 +7,53 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows for an explicit broadcast. Reference dimensions are
-# bounded by code-list size (tens of thousands of rows per year), far below
-# this; anything larger is left to the planner (sort-merge / shuffled hash,
-# re-planned at runtime by AQE).
-BROADCAST_MAX_ROWS = 2_000_000
+# One documented limit for every explicit broadcast, in bytes of the written
+# table (or of the rows a generated table is declared to hold). Anything
+# larger or of unknown size is left to the planner: sort-merge or shuffled
+# hash join, re-planned at runtime by AQE.
+BROADCAST_MAX_BYTES = 64 << 20
+# Bytes of a row in memory for each byte of its parquet file, at most.
+EXPANSION = 8
 
 
-_ROWS_ATTR = "_indicata_max_rows"
+_BYTES_ATTR = "_indicata_max_bytes"
 
 
-def declare_rows(df: DataFrame, rows: int) -> DataFrame:
-    """Record a proven upper bound on the rows of ``df`` (e.g. its exact count
-    taken once after it was materialized)."""
-    setattr(df, _ROWS_ATTR, int(rows))
+def declare_bytes(df: DataFrame, size: int) -> DataFrame:
+    """Record a proven upper bound on the bytes of ``df`` (the size of its
+    files, taken when it was written, times ``EXPANSION``)."""
+    setattr(df, _BYTES_ATTR, int(size))
     return df
 
 
 def narrowed(parent: DataFrame, child: DataFrame) -> DataFrame:
-    """Carry ``parent``'s row bound to ``child``.
+    """Carry ``parent``'s bound to ``child``.
 
-    Only valid when ``child`` cannot have more rows than ``parent``: a filter,
+    Only valid when ``child`` cannot be larger than ``parent``: a filter,
     projection, DISTINCT or aggregation of it (never a join or explode).
     """
-    bound = getattr(parent, _ROWS_ATTR, None)
+    bound = getattr(parent, _BYTES_ATTR, None)
     if bound is not None:
-        declare_rows(child, bound)
+        declare_bytes(child, bound)
     return child
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if its recorded bound is at most ``max_bytes``.
 
-    The proof is either a bound recorded with ``declare_rows`` / ``narrowed``
-    (free) or a bounded count (``limit(max_rows + 1)``, one small job that
-    never scans more than ``max_rows + 1`` rows). Above the bound the frame
-    is returned unchanged and Spark picks a shuffle join (re-planned at
-    runtime by AQE).
+    The bound comes from ``declare_bytes`` / ``narrowed`` and costs no job. A
+    frame without a bound, or above it, is returned unchanged and Spark picks
+    the join by its own size estimate (re-planned at runtime by AQE).
     """
-    n = getattr(df, _ROWS_ATTR, None)
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-    return narrowed(df, F.broadcast(df)) if n <= max_rows else df
+    size = getattr(df, _BYTES_ATTR, None)
+    return narrowed(df, F.broadcast(df)) if size is not None and size <= max_bytes else df
 
 
 def lookup(
     df: DataFrame,
     dim: DataFrame,
     on: Column | Sequence[str],
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Left lookup into a small dimension, unique on the join key.
 
@@ -63,7 +61,7 @@ def lookup(
     like the ``ON ... AND type = ... AND year = ...`` of a SQL lookup, and
     defaults the looked-up columns with ``coalesce`` afterwards.
     """
-    return df.join(bounded_broadcast(dim, max_rows), on=on, how="left")
+    return df.join(bounded_broadcast(dim, max_bytes), on=on, how="left")
 
 
 def having(df: DataFrame, other: DataFrame, on: str | Sequence[str] | Column) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.functions import month_label, surrogate_key
-from indicata.operators.joins import bounded_broadcast, declare_rows, lacking, narrowed, union_all
+from indicata.operators.joins import bounded_broadcast, declare_bytes, lacking, narrowed, union_all
 
 # Fixed values of the reference model.
 UNKNOWN = "UNKNOWN"
@@ -24,6 +24,8 @@ DATE_DIM_START = _dt.date(1850, 1, 1)
 DATE_DIM_END = _dt.date(2030, 12, 31)
 UNKNOWN_DATE = _dt.date(1800, 1, 1)
 UNKNOWN_DATE_SK = -1
+# A row of the date dimension in memory, at most.
+DATE_ROW_BYTES = 128
 
 MAP_COLUMNS = ["code_identifier_sk", "code", "code_description", "code_type", "identifier", "reference_year"]
 
@@ -148,7 +150,7 @@ def dim_date(
         F.trunc("full_date", "MM").alias("month_start_date"),
     )
     if not with_unknown:
-        return declare_rows(days, n_days)
+        return declare_bytes(days, DATE_ROW_BYTES * n_days)
     unknown = spark.range(1).select(
         F.lit(UNKNOWN_DATE_SK).cast("bigint").alias("date_sk"),
         F.lit(UNKNOWN_DATE).alias("full_date"),
@@ -157,7 +159,7 @@ def dim_date(
         F.lit(UNKNOWN_DATE.strftime("%Y-%m")).alias("year_month"),
         F.lit(UNKNOWN_DATE).alias("month_start_date"),
     )
-    return declare_rows(days.unionByName(unknown), n_days + 1)
+    return declare_bytes(days.unionByName(unknown), DATE_ROW_BYTES * (n_days + 1))
 
 
 def code_identifiers(br: DataFrame, year: int) -> DataFrame:

@@ -33,6 +33,10 @@ from indicata.sources.fixtures import RawInputs, raw_inputs
 from indicata.sources.sinks import fresh_path, materialize, save_bucketed
 
 MONTH_COL = "discharge_month"
+# Diagnosis lines per bucket of the facts (about 200 MB of parquet), and the
+# fewest buckets a warehouse has.
+BUCKET_ROWS = 4_000_000
+LEAST_BUCKETS = 8
 
 
 def encounter_skew_ok(rows: DataFrame, buckets: int) -> bool:
@@ -61,9 +65,8 @@ class Warehouse:
     date_end: _dt.date = _ref.DATE_DIM_END
     materialize_reference: bool = True
     materialize_core: bool = True
-    # Buckets of the encounter key shared by the three facts (default: the
-    # default parallelism). On a cluster size it so one bucket of the
-    # diagnosis fact is a few hundred MB.
+    # Buckets of the encounter key shared by the three facts (default: from
+    # the number of diagnosis lines, see ``fact_buckets``).
     buckets: int | None = None
     # None: decide from an exact skew check (see ``colocated``).
     colocate: bool | None = None
@@ -151,22 +154,27 @@ class Warehouse:
         """
         if self.colocate is not None:
             return self.colocate
-        return encounter_skew_ok(self.core_diagnosis, self.fact_buckets)
+        # A hot encounter may lie in any of the three tables.
+        return all(
+            encounter_skew_ok(t.select("patient_id"), self.fact_buckets)
+            for t in (self.core_diagnosis, self.core_procedure, self.core_patient)
+        )
 
     @property
     def fact_buckets(self) -> int:
         """Bucket count shared by all facts (co-location needs the same count).
 
-        Defaults to the cluster's default parallelism (one bucket per core).
-        On a cluster set ``buckets`` from the data: about one bucket per
-        256 MB of the largest fact, which keeps each co-located task's input
-        bounded.
+        Derived from the data, not from the session: one bucket per
+        ``BUCKET_ROWS`` diagnosis lines (a count that parquet footers answer),
+        which bounds each co-located task's input on any cluster.
         """
-        return self.buckets or self.spark.sparkContext.defaultParallelism
+        if self.buckets is None:
+            self.buckets = max(LEAST_BUCKETS, -(-self.raw.diagnosis.count() // BUCKET_ROWS))
+        return self.buckets
 
     def _save_fact(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         if not self.colocated:
-            return materialize(df, name, count_rows=False, cluster_by=("patient_id",))
+            return materialize(df, name, cluster_by=("patient_id",))
         path = fresh_path(self.spark, name)
         table = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
         return save_bucketed(df, table, path, "patient_id", self.fact_buckets, partition_by=partition_by)

@@ -2,11 +2,10 @@
 
 Layout rules:
 
-* facts are bucketed by the encounter key (``save_bucketed``) and the
-  discharge fact is also partitioned by discharge month;
+* facts are bucketed by the encounter key (``save_bucketed``);
 * ``write_by_month`` (plain month partitions) sorts by the cluster key inside
-  a month, optionally after ``repartitionByRange(month, cluster key)``, which
-  splits a large month across many tasks and yields non-overlapping files;
+  a month after ``repartitionByRange(month, cluster key)``, which splits a
+  large month across many tasks and yields non-overlapping files;
 * intermediate tables go to a fresh directory under the shared checkpoint
   folder (``fresh_path`` / ``materialize``), so a job never reads and
   overwrites the same path in one plan.
@@ -25,40 +24,58 @@ from pyspark.sql import types as T
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's checkpoint dir.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage; it is only
-    set here (to a fresh local temp dir) when the session has none, as in
-    local tests.
+    On a cluster ``spark.checkpoint.dir`` names shared storage. Without one
+    there is no folder that all executors see, so this raises; only a local
+    master (one machine) gets a fresh folder of its own.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
 
-        root = tempfile.mkdtemp(prefix="indicata-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="indicata-ckpt-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder on any file system Spark reaches; empty if the folder
+    does not exist. Every other failure is raised."""
+    fs, p = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(
-    df: DataFrame, name: str, *, count_rows: bool = True, cluster_by: Sequence[str] = ()
+    df: DataFrame, name: str, *, cluster_by: Sequence[str] = ()
 ) -> DataFrame:
     """Write ``df`` to a fresh directory in the shared scratch folder and read
     it back: lineage is cut at the written table (a lost executor recomputes
-    from it). With ``count_rows`` the exact row count is recorded as a proven
-    bound for later broadcast checks; ``cluster_by`` sorts rows inside each
-    file so parquet statistics skip row groups on those columns."""
-    from indicata.operators.joins import declare_rows
+    from it). The bytes of its files are recorded as the bound for later
+    broadcast checks; ``cluster_by`` sorts rows inside each file so parquet
+    statistics skip row groups on those columns."""
+    from indicata.operators.joins import EXPANSION, declare_bytes
 
     spark = df.sparkSession
     path = fresh_path(spark, name)
     (df.sortWithinPartitions(*cluster_by) if cluster_by else df).write.mode("overwrite").parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    return declare_rows(back, back.count()) if count_rows else back
+    return declare_bytes(spark.read.schema(df.schema).parquet(path), EXPANSION * stored_bytes(spark, path))
 
 
 def save_bucketed(
@@ -102,11 +119,16 @@ def write_by_month(
     num_partitions: int | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Month-partitioned parquet (``month_col`` = first day of the month)."""
+    """Month-partitioned parquet (``month_col`` = first day of the month).
+
+    Rows are range-partitioned by month and cluster key first (into
+    ``num_partitions``, by default the session's shuffle partitions), so a
+    month has as many files as it fills tasks, not one per input task, and a
+    large month is split.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df.withColumn(month_col, F.trunc(F.col(date_col), "MM"))
-    if num_partitions:
-        out = out.repartitionByRange(num_partitions, month_col, *cluster_by)
-    out = out.sortWithinPartitions(month_col, *cluster_by)
+    out = out.repartitionByRange(n, month_col, *cluster_by).sortWithinPartitions(month_col, *cluster_by)
     (
         out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
@@ -133,13 +155,16 @@ def read_by_year(spark: SparkSession, path: str, schema: T.StructType, year_col:
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
-    """TRUNCATE + INSERT: replace the table's contents atomically per job."""
+    """TRUNCATE + INSERT: replace the table's contents. The old files go before
+    the new ones are committed, so readers need the job to have ended; publish
+    under a fresh path where that matters."""
     df.write.mode("overwrite").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, order_by: str | None = None) -> None:
-    """Small result (e.g. 12 monthly rows) as one headered CSV file."""
-    out = df.coalesce(1)
+    """The monthly metrics table (at most a row per month) as one headered CSV
+    file. ``repartition`` keeps the work before it parallel."""
+    out = df.repartition(1)
     if order_by:
         out = out.sortWithinPartitions(order_by)
     out.write.mode("overwrite").option("header", True).csv(path)
