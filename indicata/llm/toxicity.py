@@ -89,6 +89,17 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return buckets, np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
 
 
+def sliced_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_features`` of many words, with the working memory of a few."""
+    buckets, starts, seen = [], [], 0
+    for k in range(0, len(words), NEW_WORDS):
+        b, s = word_features(words[k : k + NEW_WORDS])
+        buckets.append(b.astype(np.int32))
+        starts.append(s + seen)
+        seen += len(b)
+    return (np.concatenate(buckets), np.concatenate(starts)) if words else (np.empty(0, np.int32), np.empty(0, np.int64))
+
+
 @dataclass
 class Model:
     """Folded for scoring: each bucket's share of the log-odds, and the bias."""
@@ -134,7 +145,7 @@ class Vocabulary:
         numbers: dict[str, int] = {}
         self.docs = [np.array([numbers.setdefault(w, len(numbers)) for w in words_of(t)], np.int64) for t in texts]
         self.size = len(numbers)
-        self.buckets, self.starts = word_features(list(numbers))
+        self.buckets, self.starts = sliced_features(list(numbers))
         self.counts = np.diff(np.append(self.starts, len(self.buckets)))
 
     def grams(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +185,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum()) * len(y)
 
     for _ in range(epochs):
-        folded = table @ (soft[:, 1] - soft[:, 0])
+        folded = (table @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
         word_score = np.add.reduceat(folded[vocabulary.buckets], vocabulary.starts) / vocabulary.counts
         bags = [d[s : s + WINDOW] for d in vocabulary.docs for s in [best_window(word_score[d])[0]]]
         order = rng.permutation([i for i, b in enumerate(bags) if len(b)])
