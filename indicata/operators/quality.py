@@ -82,14 +82,13 @@ def fk_orphans(checks: Mapping[str, tuple[DataFrame, str, DataFrame, str, bool]]
 
 def unknown_share(checks: Mapping[str, tuple[DataFrame, Column]], max_share: float = 0.05) -> DataFrame:
     """Rows resolving to an UNKNOWN member; passes while the share is at most ``max_share``."""
-    parts = []
+    tables: dict[int, tuple[DataFrame, dict[str, Column]]] = {}
     for name, (df, is_unknown) in checks.items():
-        agg = df.agg(
-            F.sum(F.when(is_unknown, 1).otherwise(0)).alias("_u"),
-            F.count(F.lit(1)).alias("_n"),
-        )
-        share = F.try_divide(F.col("_u").cast("double"), F.col("_n").cast("double"))
-        parts.append(_result(agg, "unknown_share", name, F.col("_u"), F.coalesce(share <= max_share, F.lit(True))))
+        tables.setdefault(id(df), (df, {}))[1][name] = F.count_if(is_unknown)
+    parts = []
+    for df, counts in tables.values():  # one pass per table
+        within = {name: F.col(f"_{i}") <= F.col("_n") * max_share for i, name in enumerate(counts)}
+        parts.append(_many(df, "unknown_share", counts, within))
     return union_all(*parts)
 
 

@@ -569,10 +569,11 @@ def dq_fk_orphans(spark, sf):
 
 def dq_unknown_share(spark, sf):
     w = warehouse(spark, sf)
+    discharge = w.fct_discharge  # one frame for both columns: one scan
     return dq.unknown_share(
         {
-            "fct_discharge.drg": (w.fct_discharge, F.col("drg") == "UNKNOWN"),
-            "fct_discharge.admission_type": (w.fct_discharge, F.col("admission_type") == "UNKNOWN"),
+            "fct_discharge.drg": (discharge, F.col("drg") == "UNKNOWN"),
+            "fct_discharge.admission_type": (discharge, F.col("admission_type") == "UNKNOWN"),
             "fct_diagnosis.diag_code": (w.fct_diagnosis, F.col("diag_code") == "UNKNOWN"),
             "fct_procedure.procedure_code": (w.fct_procedure, F.col("procedure_code") == "UNKNOWN"),
         }

@@ -28,6 +28,22 @@ def test_no_encounter_shuffle_when_colocated(spark, key):
     assert not re.search(r"Exchange hashpartitioning\(patient_id", plan), plan
 
 
+@pytest.mark.parametrize("key,scans", [("dq_dates", 1), ("dq_nulls", 3), ("dq_unknown_share", 3), ("dq_parse", 3)])
+def test_checks_scan_each_table_once(spark, key, scans):
+    plan = _plan(catalog.QUERIES[key](spark, SF_SMALL))
+    assert len(re.findall(r"FileScan", plan)) == scans, plan
+
+
+def test_a_broadcast_needs_proven_bytes(spark):
+    from indicata.operators.joins import bounded_broadcast, declare_bytes
+
+    ids = spark.range(10)
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert not hinted(bounded_broadcast(ids))
+    assert hinted(bounded_broadcast(declare_bytes(spark.range(10), 80)))
+    assert not hinted(bounded_broadcast(declare_bytes(spark.range(10), 1 << 40)))
+
+
 def test_flagship_reads_pruned_columns_and_pushes_filters(spark):
     plan = _plan(catalog.monthly_metrics(spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(discharge_date)" in plan

@@ -132,6 +132,19 @@ def test_skew_check_flags_a_hot_encounter(spark):
     assert not encounter_skew_ok(hot, 8)
 
 
+def test_a_hot_encounter_in_procedures_leaves_the_buckets(spark):
+    from dataclasses import replace
+
+    from indicata.plans.warehouse import Warehouse
+    from indicata.sources.fixtures import raw_inputs
+
+    raw = raw_inputs(spark, SF_SMALL)
+    hot = raw.procedure.unionByName(spark.range(5000).selectExpr("'7' AS patient_id", "'P' || (1000 + id) AS procedure_code"))
+    even, skewed = Warehouse(spark, raw, 1997), Warehouse(spark, replace(raw, procedure=hot), 1997)
+    assert even.colocated and not skewed.colocated
+    assert _rows(even.monthly()) == _rows(skewed.monthly())
+
+
 def test_unbucketed_layout_gives_the_same_results(spark):
     from indicata.plans.warehouse import fixture_warehouse
 
