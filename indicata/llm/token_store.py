@@ -25,6 +25,7 @@ Extra columns are not stored.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
 from array import array
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from indicata.llm.common import shuffle_partitions, stage, text_or_empty
 
@@ -49,6 +50,8 @@ SEGMENTS_PER_FILE = 32
 END_ID = 1
 #: White-space separated pieces whose ids a Python worker remembers at most.
 CACHE_PIECES = 1_000_000
+#: ASCII marks: neither letters, digits nor white space.
+MARKS = string.punctuation
 
 HEAD = struct.Struct("<4sQIIQQIIQ")
 BLOCK_HEAD = np.dtype([("low", "<u4"), ("width", "u1"), ("patches", "<u2")])
@@ -167,6 +170,13 @@ def remembered(path: str) -> dict[str, bytes]:
     return {"": b""}
 
 
+@lru_cache(maxsize=1)
+def byte_level() -> dict[int, str]:
+    """Each letter of Latin-1 as the library's byte-level step writes it."""
+    step = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return {ord(c): step.pre_tokenize_str(c)[0][0] for c in map(chr, range(128, 256)) if c.isalpha()}
+
+
 class PieceEncoder:
     """Ids of whole texts by the tokenizers library, one call for each new piece.
 
@@ -175,10 +185,38 @@ class PieceEncoder:
     blanks, tabs and line ends. Ids of known pieces are remembered. Texts that
     fit Latin-1, where the normaliser does no more than lower each letter, are
     lower-cased first, so that fewer pieces are new.
+
+    The split also parts letters from ASCII marks after them, and leaves a run
+    of letters whole. So a new piece of Latin-1 letters, with or without marks
+    behind, goes to the library's model at once, without its normaliser and
+    split; any other new piece takes the library's whole path.
     """
 
     def __init__(self, path: str, keep: int = CACHE_PIECES) -> None:
         self.tokenizer, self.keep, self.known = tokenizer(path), keep, remembered(path)
+        self.model, self.letters = self.tokenizer.model, byte_level()
+
+    def word(self, word: str) -> bytes:
+        """Ids of a run of Latin-1 letters."""
+        word = word.lower()
+        return array("I", [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]).tobytes()
+
+    def learn(self, new: list[str]) -> None:
+        known, rest = self.known, []
+        for p in new:
+            word = p.rstrip(MARKS)
+            marks = p[len(word) :]
+            if not word.isalpha() or not (word.isascii() or max(word) <= "\xff"):
+                rest.append(p)
+                continue
+            ids = (known.get(word) if marks else None) or self.word(word)
+            if marks and marks not in known:
+                known[marks] = self.whole([marks])[0]
+            known[p] = ids + known[marks] if marks else ids
+        known.update(zip(rest, self.whole(rest)))
+
+    def whole(self, pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -199,8 +237,7 @@ class PieceEncoder:
                 if len(known) + len(new) > self.keep:
                     known.clear()
                     new = list(set(pieces))
-                for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    known[p] = array("I", e.ids).tobytes()
+                self.learn(new)
                 found = map(known.__getitem__, pieces)
             yield np.frombuffer(b"".join(found), "<u4")
 

@@ -52,6 +52,18 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
     assert list(next(ts.PieceEncoder(queries.WORD_VOCABULARY)([text]))) == plain_ids(text)[:-1]
 
 
+@given(st.lists(st.tuples(st.text(st.characters(max_codepoint=0x17F, exclude_characters=" "), max_size=6), st.text(st.sampled_from("=|<>,.'\"#-_"), max_size=3), st.sampled_from(["", " ", " ̸", "̸ "])).map("".join), max_size=12).map("".join))
+@settings(max_examples=500, deadline=None)
+def test_letters_with_marks_behind_give_the_ids_of_the_whole_text(text):
+    assert list(next(ts.PieceEncoder(queries.WORD_VOCABULARY)([text]))) == plain_ids(text)[:-1]
+
+
+def test_every_latin_1_character_alone_and_beside_letters():
+    text = " ".join(f"{c} a{c} {c}b. {c}{c}," for c in map(chr, range(256)))
+    assert list(next(ts.PieceEncoder(queries.WORD_VOCABULARY)([text]))) == plain_ids(text)[:-1]
+    assert list(next(ts.PieceEncoder(queries.WORD_VOCABULARY)([text + " 中"]))) == plain_ids(text + " 中")[:-1]
+
+
 def test_a_small_memory_of_pieces_changes_nothing():
     texts = [f"some words number {i} and more{i}" for i in range(300)]
     encode = ts.PieceEncoder(queries.WORD_VOCABULARY, keep=10)
