@@ -80,6 +80,20 @@ class Period:
         return d.between(F.lit(self.start), F.lit(self.end))
 
 
+# Year of discharge of a fact row's encounter; null where it has not one year.
+YEAR_COL = "discharge_year"
+
+
+def of_period(rows: DataFrame, period: Period) -> DataFrame:
+    """Rows of encounters that can have a discharge in ``period``. Facts
+    partitioned by ``YEAR_COL`` are read for those years only; rows without
+    a year are always read, and facts without the column are left whole."""
+    if YEAR_COL not in rows.columns:
+        return rows
+    year = F.col(YEAR_COL)
+    return rows.filter(year.isNull() | year.between(period.start.year, period.end.year)).drop(YEAR_COL)
+
+
 def _flag(cond: Column) -> Column:
     return F.max(F.when(cond, 1).otherwise(0))
 
@@ -129,7 +143,7 @@ def surgical_discharges(discharge: DataFrame, flags: DataFrame, spec: IndicatorS
     When the discharge fact carries ``discharge_month``, the period is applied
     to it as well (it reaches the scan as a pushed filter).
     """
-    cond = _inclusion_filter(spec, period)
+    discharge, cond = of_period(discharge, period), _inclusion_filter(spec, period)
     if "discharge_month" in discharge.columns:
         first = period.start.replace(day=1)
         cond = cond & F.col("discharge_month").between(F.lit(first), F.lit(period.end))
@@ -152,7 +166,7 @@ def inclusions(
 ) -> DataFrame:
     """Denominator inclusions: distinct (patient_id, year_month)."""
     surg = surgical_discharges(discharge, flags, spec, period)
-    return having(surg, or_procedure_patients(procedure, flags), "patient_id").select(
+    return having(surg, or_procedure_patients(of_period(procedure, period), flags), "patient_id").select(
         "patient_id", month_label(F.col("discharge_date")).alias("year_month")
     ).distinct()
 
@@ -273,6 +287,7 @@ def eligible(
     ``prefilter`` the fact rows of other encounters are dropped by a semi-join
     before they are aggregated; worth it when the facts are not co-located.
     """
+    discharge, diagnosis, procedure = (of_period(t, period) for t in (discharge, diagnosis, procedure))
     included = surgical_discharges(discharge, flags, spec, period).select(
         "patient_id", "discharge_date", month_label(F.col("discharge_date")).alias("year_month")
     )
@@ -328,6 +343,7 @@ def exclusion_reasons(
 ) -> DataFrame:
     """Included encounters per month and exclusion reason (an encounter may
     count under several reasons); reason ``none`` counts the eligible ones."""
+    discharge, diagnosis, procedure = (of_period(t, period) for t in (discharge, diagnosis, procedure))
     included = surgical_discharges(discharge, flags, spec, period).select(
         "patient_id", month_label(F.col("discharge_date")).alias("year_month")
     )
@@ -372,7 +388,7 @@ def numerator_patients(
         narrowed(flags, flags.filter(F.col("is_numerator_code") == 1).select(F.col("code_sk").alias("diag_code_sk")))
     )
     qual = (
-        having(diagnosis.filter(F.col("is_principal_diag") == 0), numer_codes, "diag_code_sk")
+        having(of_period(diagnosis, period).filter(F.col("is_principal_diag") == 0), numer_codes, "diag_code_sk")
         .groupBy("patient_id")
         .agg(
             F.min(

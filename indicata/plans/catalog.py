@@ -53,7 +53,7 @@ def warehouse(spark: SparkSession, sf_dir: str, sepsis_hi: int = 12) -> Warehous
 
 
 def _facts(w: Warehouse):
-    return w.fct_discharge_by_month, w.fct_diagnosis, w.fct_procedure, w.flags(SPEC)
+    return w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year, w.flags(SPEC)
 
 
 # -- sources and sinks ---------------------------------------------------------

@@ -123,7 +123,7 @@ def nightly_run(
     )
 
     # 3. numerator audit rows, kept across runs
-    d, dx, pr, fl = w.fct_discharge_by_month, w.fct_diagnosis, w.fct_procedure, w.flags(spec)
+    d, dx, pr, fl = w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year, w.flags(spec)
     num = ind.numerator_patients(
         d, dx, pr, fl, spec, period, ref_version=ref_version, run_id=run_id, computed_at=computed_at,
         prefilter=w.prefilter,

@@ -11,10 +11,11 @@ way, as the source model does with its tables: all bucketed by the encounter
 key with the same bucket count (co-located). Queries read them, so their
 lineage starts at the written tables (a lost executor recomputes from them,
 not from the raw extracts), and joins or groupings by encounter need no
-exchange of rows. The tables are not also partitioned by month: month
-directories multiply files (buckets x months) while every heavy query scans
-the diagnosis fact in full anyway; month-partitioned publishing is the
-``write_by_month`` sink. ``materialize_core=False`` keeps everything lazy.
+exchange of rows. The facts are also partitioned by the encounter's year
+of discharge, so that a query over a period reads the years it touches. Years
+and not months, as directories multiply files (buckets x directories);
+month-partitioned publishing is the ``write_by_month`` sink.
+``materialize_core=False`` keeps everything lazy.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from indicata.sources.fixtures import RawInputs, raw_inputs
 from indicata.sources.sinks import fresh_path, materialize, save_bucketed
 
 MONTH_COL = "discharge_month"
+YEAR_COL = _ind.YEAR_COL
 # Diagnosis lines per bucket of the facts (about 200 MB of parquet), and the
 # fewest buckets a warehouse has.
 BUCKET_ROWS = 4_000_000
@@ -120,8 +122,8 @@ class Warehouse:
 
     @cached_property
     def fct_discharge_by_month(self) -> DataFrame:
-        """Discharge fact plus a ``discharge_month`` column, bucketed (sorted)
-        by ``patient_id``: joins and aggregations by encounter are co-located
+        """Discharge fact plus a ``discharge_month`` column, bucketed by
+        ``patient_id``: joins and aggregations by encounter are co-located
         with the other facts."""
         fct = _facts.fct_discharge(
             self.core_patient,
@@ -131,14 +133,22 @@ class Warehouse:
             date_end=self.date_end,
             resolve_unknown=self.resolve_unknown,
         )
-        with_month = fct.withColumn(MONTH_COL, F.trunc("discharge_date", "MM"))
-        if not self.materialize_core:
-            return with_month
-        return self._save_fact(with_month, "fct_discharge")
+        return self._pin_fact(fct.withColumn(MONTH_COL, F.trunc("discharge_date", "MM")), "fct_discharge")
 
     @cached_property
     def fct_discharge(self) -> DataFrame:
-        return self.fct_discharge_by_month.drop(MONTH_COL)
+        return self.fct_discharge_by_month.drop(MONTH_COL, YEAR_COL)
+
+    @cached_property
+    def encounter_years(self) -> DataFrame:
+        """The one year of discharge of each encounter, null where its discharge
+        rows lie in several years or have no date. All rows of an encounter in
+        all facts carry it, so pruning by year (null years are always read)
+        never separates an encounter's rows."""
+        year = F.year("discharge_date")
+        ends = self.core_patient.groupBy("patient_id").agg(F.min(year).alias("_low"), F.max(year).alias("_high"))
+        years = ends.select("patient_id", F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias(YEAR_COL))
+        return self._save_fact(years, "encounter_years")
 
     @cached_property
     def colocated(self) -> bool:
@@ -172,27 +182,43 @@ class Warehouse:
             self.buckets = max(LEAST_BUCKETS, -(-self.raw.diagnosis.count() // BUCKET_ROWS))
         return self.buckets
 
-    def _save_fact(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def _save_fact(self, df: DataFrame, name: str) -> DataFrame:
         if not self.colocated:
             return materialize(df, name, cluster_by=("patient_id",))
         path = fresh_path(self.spark, name)
         table = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
-        return save_bucketed(df, table, path, "patient_id", self.fact_buckets, partition_by=partition_by)
+        return save_bucketed(df, table, path, "patient_id", self.fact_buckets)
 
     def _pin_fact(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a fact with the encounter's year: bucketed and partitioned by
+        year (the rows move once, to their bucket, where the co-located years
+        join them), or sorted by year where facts are not bucketed."""
         if not self.materialize_core:
             return df
-        return self._save_fact(df, name)
+        if not self.colocated:
+            return materialize(df.join(self.encounter_years, "patient_id", "left"), name, cluster_by=(YEAR_COL, "patient_id"))
+        placed = df.repartition(self.fact_buckets, "patient_id").join(self.encounter_years, "patient_id", "left")
+        path = fresh_path(self.spark, name)
+        table = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
+        return save_bucketed(placed, table, path, "patient_id", self.fact_buckets, partition_by=YEAR_COL, placed=True)
 
     @cached_property
     def fct_diagnosis(self) -> DataFrame:
+        return self.fct_diagnosis_by_year.drop(YEAR_COL)
+
+    @cached_property
+    def fct_procedure(self) -> DataFrame:
+        return self.fct_procedure_by_year.drop(YEAR_COL)
+
+    @cached_property
+    def fct_diagnosis_by_year(self) -> DataFrame:
         return self._pin_fact(
             _facts.fct_diagnosis(self.core_diagnosis, self.dim_code, self.year, resolve_unknown=self.resolve_unknown),
             "fct_diagnosis",
         )
 
     @cached_property
-    def fct_procedure(self) -> DataFrame:
+    def fct_procedure_by_year(self) -> DataFrame:
         return self._pin_fact(
             _facts.fct_procedure(self.core_procedure, self.dim_code, self.year, resolve_unknown=self.resolve_unknown),
             "fct_procedure",
@@ -239,8 +265,8 @@ class Warehouse:
         spec = spec or _ind.IndicatorSpec()
         return _ind.monthly_indicator(
             self.fct_discharge_by_month,
-            self.fct_diagnosis,
-            self.fct_procedure,
+            self.fct_diagnosis_by_year,
+            self.fct_procedure_by_year,
             self.flags(spec),
             spec,
             period or _ind.Period.year(self.year),

@@ -86,6 +86,7 @@ def save_bucketed(
     buckets: int,
     *,
     partition_by: str | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """Write ``df`` as a bucketed parquet table at ``path`` and return it.
 
@@ -93,10 +94,11 @@ def save_bucketed(
     write time) and sorted by ``key`` inside each bucket. Tables bucketed the
     same way are co-located: later joins and aggregations on ``key`` read
     bucket i of every table in task i and need no exchange. ``partition_by``
-    adds a directory partition (e.g. the discharge month) for pruning.
+    adds a directory partition (e.g. the discharge year) for pruning. With
+    ``placed`` the rows are already partitioned so and are not shuffled again.
     """
     writer = (
-        df.repartition(buckets, key)
+        (df if placed else df.repartition(buckets, key))
         .write.mode("overwrite")
         .format("parquet")
         .option("path", path)

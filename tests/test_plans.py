@@ -48,3 +48,31 @@ def test_flagship_reads_pruned_columns_and_pushes_filters(spark):
     plan = _plan(catalog.monthly_metrics(spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(discharge_date)" in plan
     assert "Bucketed: true" in plan
+
+
+@pytest.mark.parametrize("key", ["monthly_metrics", "rolling_12m_spine", "numerator_patients", "exclusion_reasons", "denominator_inclusions"])
+def test_a_period_reads_its_years_only(spark, key):
+    plan = _plan(catalog.QUERIES[key](spark, SF_SMALL))
+    facts = [s for s in plan.splitlines() if "FileScan" in s and "discharge_year" in s]
+    assert len(facts) >= 2 and all(re.search(r"PartitionFilters: \[\(isnull\(discharge_year", s) for s in facts), plan
+
+
+def test_an_encounter_of_two_years_is_never_parted(spark):
+    """Discharge rows of one encounter in two years: the ungroupable one of the
+    other year still excludes it, in both layouts."""
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from indicata.operators.indicator import Period
+    from indicata.plans.warehouse import Warehouse
+
+    w = catalog.warehouse(spark, SF_SMALL)
+    months = w.monthly()
+    counted = [r.patient_id for r in catalog.eligible(spark, SF_SMALL).select("patient_id").collect()]
+    twin = w.raw.patient.filter(F.col("patient_id").isin([str(i) for i in counted])).withColumn("drg", F.lit("999")).withColumn("discharge_date", F.lit("1995-02-01"))
+    raw = replace(w.raw, patient=w.raw.patient.unionByName(twin))
+    assert counted and months.agg(F.sum("denominator")).first()[0] == len(counted)
+    for colocate in (True, False):
+        other = Warehouse(spark, raw, w.year, colocate=colocate)
+        assert other.monthly(period=Period.year(w.year)).count() == 0
