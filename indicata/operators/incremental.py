@@ -165,19 +165,12 @@ def effective_versions(versioned_map: DataFrame) -> DataFrame:
     )
 
 
-def effective_dated_lookup(
-    rows: DataFrame,
-    date_col: str,
-    code_col: str,
-    versioned_flags: DataFrame,
-    versions: DataFrame,
-) -> DataFrame:
-    """Attach the reference version effective on ``date_col`` and the code's
-    membership flag in that version.
+def with_version(rows: DataFrame, date_col: str, versions: DataFrame) -> DataFrame:
+    """``rows`` with the reference version effective on ``date_col`` (null: none).
 
     Range join rewritten as an equi-join on the calendar year (versions are
     exploded per year they cover) plus a BETWEEN filter, against a broadcast
-    of the (bounded) version table; then an equi-join on (code, version).
+    of the (bounded) version table. Versions must not overlap.
     """
     dated = rows.withColumn("_year", F.year(F.col(date_col)).cast("bigint"))
     vers = bounded_broadcast(versions)
@@ -186,11 +179,24 @@ def effective_dated_lookup(
         & (F.col(date_col) >= vers["effective_start_date"])
         & (F.col(date_col) <= vers["effective_end_date"])
     )
-    with_version = dated.join(vers, cond, "left").select(*rows.columns, vers["ref_version"])
+    return dated.join(vers, cond, "left").select(*[dated[c] for c in rows.columns], vers["ref_version"])
+
+
+def effective_dated_lookup(
+    rows: DataFrame,
+    date_col: str,
+    code_col: str,
+    versioned_flags: DataFrame,
+    versions: DataFrame,
+) -> DataFrame:
+    """Attach the reference version effective on ``date_col`` and the code's
+    membership flag in that version (an equi-join on code and version).
+    """
+    dated = with_version(rows, date_col, versions)
     flags = bounded_broadcast(
         versioned_flags.select(F.col("code").alias(code_col), "ref_version", "in_set")
     )
-    out = with_version.join(flags, [code_col, "ref_version"], "left")
+    out = dated.join(flags, [code_col, "ref_version"], "left")
     return out.select(*rows.columns, "ref_version", F.coalesce(F.col("in_set"), F.lit(0)).cast("bigint").alias("in_set"))
 
 

@@ -98,21 +98,22 @@ def _flag(cond: Column) -> Column:
     return F.max(F.when(cond, 1).otherwise(0))
 
 
-def code_flags(bridge: DataFrame, spec: IndicatorSpec, ref_year: int) -> DataFrame:
-    """One row per code key that takes part in any code-set test of ``spec``."""
+def flag_columns(spec: IndicatorSpec) -> list[Column]:
+    """Aggregates over (code_type, identifier) rows: a code's part in each test of ``spec``."""
     t, ident = F.col("code_type"), F.col("identifier")
     dx = t == "Diagnosis"
-    flags = (
-        bridge.filter(F.col("reference_year") == ref_year)
-        .groupBy("code_sk")
-        .agg(
-            _flag(dx & ident.isin(list(spec.numerator_identifiers))).alias("is_numerator_code"),
-            _flag(dx & ident.isin(list(spec.principal_exclusion_identifiers))).alias("is_principal_excl_code"),
-            _flag(dx & ident.isin(list(spec.secondary_poa_exclusion_identifiers))).alias("is_secondary_excl_code"),
-            _flag((t == "DRG") & ident.isin(list(spec.surgical_drg_identifiers))).alias("is_surgical_drg"),
-            _flag((t == "Procedure") & ident.isin(list(spec.or_procedure_identifiers))).alias("is_or_procedure"),
-        )
-    )
+    return [
+        _flag(dx & ident.isin(list(spec.numerator_identifiers))).alias("is_numerator_code"),
+        _flag(dx & ident.isin(list(spec.principal_exclusion_identifiers))).alias("is_principal_excl_code"),
+        _flag(dx & ident.isin(list(spec.secondary_poa_exclusion_identifiers))).alias("is_secondary_excl_code"),
+        _flag((t == "DRG") & ident.isin(list(spec.surgical_drg_identifiers))).alias("is_surgical_drg"),
+        _flag((t == "Procedure") & ident.isin(list(spec.or_procedure_identifiers))).alias("is_or_procedure"),
+    ]
+
+
+def code_flags(bridge: DataFrame, spec: IndicatorSpec, ref_year: int) -> DataFrame:
+    """One row per code key that takes part in any code-set test of ``spec``."""
+    flags = bridge.filter(F.col("reference_year") == ref_year).groupBy("code_sk").agg(*flag_columns(spec))
     any_flag = None
     for c in flags.columns[1:]:
         any_flag = (F.col(c) == 1) if any_flag is None else any_flag | (F.col(c) == 1)
@@ -128,7 +129,7 @@ def ungroupable_drg(discharge: DataFrame, spec: IndicatorSpec) -> Column:
     return F.col("drg").isNull() | (F.col("drg") == spec.ungroupable_drg)
 
 
-def _inclusion_filter(spec: IndicatorSpec, period: Period) -> Column:
+def inclusion_filter(spec: IndicatorSpec, period: Period) -> Column:
     cond = period.contains(F.col("discharge_date")) & F.col("drg").isNotNull() & (F.col("drg") != spec.ungroupable_drg)
     if spec.require_elective:
         cond = cond & (F.col("is_elective") == 1)
@@ -143,7 +144,7 @@ def surgical_discharges(discharge: DataFrame, flags: DataFrame, spec: IndicatorS
     When the discharge fact carries ``discharge_month``, the period is applied
     to it as well (it reaches the scan as a pushed filter).
     """
-    discharge, cond = of_period(discharge, period), _inclusion_filter(spec, period)
+    discharge, cond = of_period(discharge, period), inclusion_filter(spec, period)
     if "discharge_month" in discharge.columns:
         first = period.start.replace(day=1)
         cond = cond & F.col("discharge_month").between(F.lit(first), F.lit(period.end))

@@ -21,6 +21,7 @@ from indicata.operators import indicator as ind
 from indicata.operators import quality as dq
 from indicata.operators import reference as ref
 from indicata.operators import summary as summ
+from indicata.operators import versioned as ver
 from indicata.operators.joins import bounded_broadcast, lacking, lookup, narrowed
 from indicata.plans.warehouse import Warehouse, fixture_warehouse
 from indicata.sources import fixtures as fx
@@ -463,6 +464,27 @@ def effective_dated_lookup(spark, sf):
     return out.select("patient_id", "diag_code", "diag_rank_num", "ref_version", F.col("in_set").alias("is_sepsis_code"))
 
 
+_VERSIONED_FLAGS: dict[tuple, DataFrame] = {}
+
+
+def _versioned_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    """The rolling window across January, each discharge by its own year's lists."""
+    key = (id(spark), sf)
+    if key not in _VERSIONED_FLAGS:
+        _VERSIONED_FLAGS[key] = sinks.materialize(ver.versioned_flags(fx.versioned_code_lists(spark, sf), SPEC), "ref-indicator-vflags")
+    d, dx, pr, _ = _facts(warehouse(spark, sf))
+    return ver.eligible(d, dx, pr, _VERSIONED_FLAGS[key], _versioned(spark, sf)[1], SPEC, ind.Period.rolling(ROLLING_RUN_DATE))
+
+
+def monthly_metrics_versioned(spark, sf):
+    return ver.monthly(_versioned_cohort(spark, sf), SPEC)
+
+
+def numerator_patients_versioned(spark, sf):
+    run_id = f"{SPEC.name}-{ROLLING_RUN_DATE.isoformat()}"
+    return ver.numerator_patients(_versioned_cohort(spark, sf), run_id=run_id, computed_at=inc.run_timestamp(ROLLING_RUN_DATE))
+
+
 def stream_staged_upsert(spark, sf):
     """Two staged extracts (all version-1 rows, then the version-2
     corrections) applied by the Structured Streaming loader, one file per
@@ -692,6 +714,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "numerator_diff": numerator_diff,
     "run_log": run_log,
     "effective_dated_lookup": effective_dated_lookup,
+    "monthly_metrics_versioned": monthly_metrics_versioned,
+    "numerator_patients_versioned": numerator_patients_versioned,
     "dq_row_counts": dq_row_counts,
     "dq_pk_unique": dq_pk_unique,
     "dq_fk_orphans": dq_fk_orphans,

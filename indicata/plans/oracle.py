@@ -319,6 +319,22 @@ FROM (SELECT patient_id, year_month FROM cohort WHERE hit AND {_in(CALENDAR)}) a
 FROM dx d LEFT JOIN visit v USING (patient_id)""",
     )
 
+    # each discharge under the lists of its own year: only the sepsis range moves
+    marked = f"""SELECT dx.*, substr(diag_code, 2)::INT AS k, year(discharge_date) AS y, k BETWEEN 5 AND 12 + y - {YEAR} AS septic
+    FROM dx JOIN typed USING (patient_id) WHERE EXISTS (SELECT 1 FROM part WHERE p_partkey % 100 = substr(dx.diag_code, 2)::INT)"""
+    by_version = f"""WITH {_model()},
+  lines AS ({marked}),
+  found AS (SELECT patient_id, bool_or(CASE WHEN first_line THEN septic OR k <= 7 OR k BETWEEN 20 AND 34 ELSE present AND (septic OR k <= 7) END) AS barred,
+    min((diag_rank_num, diag_code, present, {_key('diag_code', "'Diagnosis'", 'y::VARCHAR')})) FILTER (NOT first_line AND septic) AS line FROM lines GROUP BY patient_id),
+  kept AS (SELECT i.patient_id, i.discharge_date, i.year_month, year(i.discharge_date) || '-01-01' AS ref_version, f.line FROM included i LEFT JOIN found f USING (patient_id)
+    WHERE NOT i.out_drg AND NOT coalesce(f.barred, false) AND {_in(ROLLING)} AND year(i.discharge_date) BETWEEN {low} AND {high})
+"""
+    q["monthly_metrics_versioned"] = by_version + """SELECT year_month AS month, count(line)::BIGINT AS numerator, count(*)::BIGINT AS denominator,
+  round(count(line)::DECIMAL(38, 10) / count(*), 3)::DOUBLE AS rate, max(ref_version) AS ref_version FROM kept GROUP BY year_month"""
+    q["numerator_patients_versioned"] = by_version + f"""SELECT patient_id, discharge_date, year_month, line[2] AS qualifying_sepsis_code, line[4] AS qualifying_sepsis_code_sk,
+  0::BIGINT AS is_principal_diag, line[3]::INT::BIGINT AS is_present_on_admission, ref_version, 'psi13-{ROLLING[1]}' AS run_id, TIMESTAMP '{ROLLING[1]} 00:00:00' AS computed_at
+FROM kept WHERE line IS NOT NULL"""
+
     # data quality
     tables = {"raw_patient": "raw_patient", "raw_diagnosis": "raw_diagnosis", "raw_procedure": "raw_procedure", "code_map": "entries", "dim_code": "codebook", "bridge": "entries", "fct_discharge": "visit", "fct_diagnosis": "dx", "fct_procedure": "px"}
     add("dq_row_counts", _all(*[_check("row_count_nonzero", n, "(count(*) = 0)::INT", t) for n, t in tables.items()]))
