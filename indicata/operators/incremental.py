@@ -105,7 +105,7 @@ def run_log(
     run_id: str,
     execution_date: _dt.date,
     period: Period,
-    ref_version: str,
+    ref_version: str | None,
     dq: DataFrame | None = None,
     pipeline_status: str = "SUCCEEDED",
 ) -> DataFrame:
@@ -136,7 +136,7 @@ def run_log(
         F.lit(execution_date).alias("execution_date"),
         F.lit(period.start).alias("window_start"),
         F.lit(period.end).alias("window_end"),
-        F.lit(ref_version).alias("ref_version"),
+        F.lit(ref_version).cast("string").alias("ref_version"),
         "numerator",
         "denominator",
         "months",

@@ -23,6 +23,7 @@ from indicata.operators import reference as ref
 from indicata.operators import summary as summ
 from indicata.operators import versioned as ver
 from indicata.operators.joins import bounded_broadcast, lacking, lookup, narrowed
+from indicata.plans.nightly import VersionedReference, nightly_run
 from indicata.plans.warehouse import Warehouse, fixture_warehouse
 from indicata.sources import fixtures as fx
 from indicata.sources import sinks
@@ -464,16 +465,23 @@ def effective_dated_lookup(spark, sf):
     return out.select("patient_id", "diag_code", "diag_rank_num", "ref_version", F.col("in_set").alias("is_sepsis_code"))
 
 
-_VERSIONED_FLAGS: dict[tuple, DataFrame] = {}
+_REFERENCES: dict[tuple, VersionedReference] = {}
+
+
+def _reference(spark: SparkSession, sf: str) -> VersionedReference:
+    """The indicator's flags per version and the version table, written once."""
+    key = (id(spark), sf)
+    if key not in _REFERENCES:
+        flags = ver.versioned_flags(fx.versioned_code_lists(spark, sf), SPEC)
+        _REFERENCES[key] = VersionedReference(sinks.materialize(flags, "ref-indicator-vflags"), _versioned(spark, sf)[1])
+    return _REFERENCES[key]
 
 
 def _versioned_cohort(spark: SparkSession, sf: str) -> DataFrame:
     """The rolling window across January, each discharge by its own year's lists."""
-    key = (id(spark), sf)
-    if key not in _VERSIONED_FLAGS:
-        _VERSIONED_FLAGS[key] = sinks.materialize(ver.versioned_flags(fx.versioned_code_lists(spark, sf), SPEC), "ref-indicator-vflags")
     d, dx, pr, _ = _facts(warehouse(spark, sf))
-    return ver.eligible(d, dx, pr, _VERSIONED_FLAGS[key], _versioned(spark, sf)[1], SPEC, ind.Period.rolling(ROLLING_RUN_DATE))
+    reference = _reference(spark, sf)
+    return ver.eligible(d, dx, pr, reference.flags, reference.versions, SPEC, ind.Period.rolling(ROLLING_RUN_DATE))
 
 
 def monthly_metrics_versioned(spark, sf):
@@ -507,15 +515,14 @@ _NIGHTS: dict[tuple, tuple] = {}
 def _two_nights(spark, sf):
     """Run the nightly plan for two consecutive month-ends into a fresh folder
     (once per warehouse; both nightly keys read the same published folder)."""
-    from indicata.plans.nightly import nightly_run
-
     w = warehouse(spark, sf)
     key = (id(spark), sf)
     hit = _NIGHTS.get(key)
     if hit is None or hit[0] is not w:
         out = sinks.fresh_path(spark, "nightly")
-        nightly_run(w, PREVIOUS_ROLLING_RUN_DATE, out, spec=SPEC)
-        hit = _NIGHTS[key] = (w, nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC))
+        reference = _reference(spark, sf)
+        nightly_run(w, PREVIOUS_ROLLING_RUN_DATE, out, spec=SPEC, reference=reference)
+        hit = _NIGHTS[key] = (w, nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC, reference=reference))
     return hit[1]
 
 
@@ -523,6 +530,11 @@ def nightly_metrics(spark, sf):
     return _two_nights(spark, sf).metrics
 
 
+def nightly_run_log(spark, sf):
+    """The log of both nights."""
+    return _two_nights(spark, sf).run_log.drop("dq_status")
+
+
 def nightly_numerator_audit(spark, sf):
     return _two_nights(spark, sf).numerator_patients
 
@@ -530,11 +542,10 @@ def nightly_numerator_audit(spark, sf):
 def nightly_backfill(spark, sf):
     """A night and a backfill of an earlier quarter on the same run date: the
     audit rows of both stay, counted per run and month."""
-    from indicata.plans.nightly import nightly_run
-
     w, out = warehouse(spark, sf), sinks.fresh_path(spark, "nightly-backfill")
-    nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC)
-    run = nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC, period=ind.Period.months("1996-01", "1996-03"))
+    reference = _reference(spark, sf)
+    nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC, reference=reference)
+    run = nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC, reference=reference, period=ind.Period.months("1996-01", "1996-03"))
     return run.numerator_patients.groupBy("run_id", "year_month").agg(F.count(F.lit(1)).alias("encounters"))
 
 
@@ -709,6 +720,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nightly_metrics": nightly_metrics,
     "nightly_numerator_audit": nightly_numerator_audit,
     "nightly_backfill": nightly_backfill,
+    "nightly_run_log": nightly_run_log,
     "dq_parse": dq_parse,
     "numerator_patients": numerator_patients,
     "numerator_diff": numerator_diff,

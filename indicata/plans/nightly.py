@@ -21,11 +21,26 @@ from pyspark.sql import types as T
 from indicata.operators import incremental as inc
 from indicata.operators import indicator as ind
 from indicata.operators import quality as dq
+from indicata.operators import versioned as ver
 from indicata.operators.joins import union_all
 from indicata.plans.warehouse import Warehouse
 from indicata.sources.sinks import child_names, materialize
 
 
+@dataclass(frozen=True)
+class VersionedReference:
+    """Code-set flags per version (``versioned_flags``) and the versions'
+    effective ranges (``effective_versions``), as written tables."""
+
+    flags: DataFrame
+    versions: DataFrame
+
+    def version_on(self, day: _dt.date) -> str | None:
+        """The version effective on a day (the table holds a row per version and year)."""
+        on = self.versions.filter(F.lit(day).between(F.col("effective_start_date"), F.col("effective_end_date")))
+        return on.agg(F.max("ref_version")).first()[0]
+
+
 @dataclass(frozen=True)
 class RunOutputs:
     metrics: DataFrame
@@ -68,10 +83,15 @@ def nightly_run(
     run_id: str | None = None,
     computed_at: Column | None = None,
     versions: DataFrame | None = None,
+    reference: VersionedReference | None = None,
     max_mom_change: float = 0.1,
 ) -> RunOutputs:
     """Run one night (or a backfill, with ``period``) and return the published tables.
 
+    With ``reference`` each discharge is judged by the code lists effective on
+    its date, metrics carry the version effective at the month's end and audit
+    rows their own; without it all months use the warehouse's reference year.
+
     The returned frames read ``out_dir`` as it is when the run ends; after a
     later run rewrites a night, read them again.
     """
@@ -80,18 +100,25 @@ def nightly_run(
     period = period or ind.Period.rolling(run_date)
     run_id = run_id or run_name(spec, run_date, period)
     computed_at = computed_at if computed_at is not None else inc.run_timestamp(run_date)
-    ref_version = f"{w.year}-01-01"
+    ref_version = reference.version_on(period.end) if reference else f"{w.year}-01-01"
+    d, dx, pr = w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year
     n_months = (period.end.year - period.start.year) * 12 + period.end.month - period.start.month + 1
 
     # 1. recompute the whole window (late data is picked up by recomputation)
-    monthly = w.metrics_table(spec, period)
-    new = inc.with_month_spine(monthly, period).select(
+    if reference:
+        # Written once: the metrics and the audit rows read the same cohort.
+        cohort = materialize(ver.eligible(d, dx, pr, reference.flags, reference.versions, spec, period), "nightly-cohort")
+        months = inc.with_month_spine(ver.monthly(cohort, spec).drop("ref_version"), period)
+        months = inc.with_version(months.withColumn("_end", F.last_day(F.to_date("month", "yyyy-MM"))), "_end", reference.versions)
+    else:
+        months = inc.with_month_spine(w.metrics_table(spec, period), period).withColumn("ref_version", F.lit(ref_version))
+    new = months.select(
         F.col("month").alias("year_month"),
         "numerator",
         "denominator",
         "rate",
         computed_at.alias("computed_at"),
-        F.lit(ref_version).alias("ref_version"),
+        "ref_version",
         F.lit(run_id).alias("run_id"),
     )
 
@@ -123,11 +150,13 @@ def nightly_run(
     )
 
     # 3. numerator audit rows, kept across runs
-    d, dx, pr, fl = w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year, w.flags(spec)
-    num = ind.numerator_patients(
-        d, dx, pr, fl, spec, period, ref_version=ref_version, run_id=run_id, computed_at=computed_at,
-        prefilter=w.prefilter,
-    )
+    if reference:
+        num = ver.numerator_patients(cohort, run_id=run_id, computed_at=computed_at)
+    else:
+        num = ind.numerator_patients(
+            d, dx, pr, w.flags(spec), spec, period, ref_version=ref_version, run_id=run_id, computed_at=computed_at,
+            prefilter=w.prefilter,
+        )
     _write_run(num, f"{out_dir}/numerator_patients")
     numer = _read_runs(num.schema, spark, f"{out_dir}/numerator_patients")
 

@@ -285,17 +285,6 @@ LEFT JOIN (SELECT patient_id, string_agg(code, ',' ORDER BY position) AS codes F
     add("upsert_latest", _staged(f"(s.patient_id::BIGINT % 5 = 0 AND {_CORRECTED_AT} >= {lookback})"))
     add("stream_staged_upsert", _staged("(s.patient_id::BIGINT % 5 = 0)"))
     add("metrics_upsert", _published(ROLLING, f"psi13-{ROLLING[1]}"))
-    version = f", '{YEAR}-01-01' AS ref_version"
-    add("nightly_metrics", _published(ROLLING, run_id(ROLLING), version))
-    add("nightly_numerator_audit", _all(_audit(ROLLING_PREV, run_id(ROLLING_PREV), ROLLING_PREV[1]), _audit(ROLLING, run_id(ROLLING), ROLLING[1])))
-    backfilled = run_id(SHORT_BACKFILL, ROLLING[1])
-    add(
-        "nightly_backfill",
-        _all(
-            f"SELECT '{run_id(ROLLING)}' AS run_id, year_month, count(*)::BIGINT AS encounters FROM cohort WHERE hit AND {_in(ROLLING)} GROUP BY year_month",
-            f"SELECT '{backfilled}', year_month, count(*)::BIGINT FROM cohort WHERE hit AND {_in(SHORT_BACKFILL)} GROUP BY year_month",
-        ),
-    )
     add("numerator_patients", _audit(CALENDAR, "psi13-1997-12-15", "1997-12-15"))
     add(
         "numerator_diff",
@@ -327,13 +316,33 @@ FROM dx d LEFT JOIN visit v USING (patient_id)""",
   found AS (SELECT patient_id, bool_or(CASE WHEN first_line THEN septic OR k <= 7 OR k BETWEEN 20 AND 34 ELSE present AND (septic OR k <= 7) END) AS barred,
     min((diag_rank_num, diag_code, present, {_key('diag_code', "'Diagnosis'", 'y::VARCHAR')})) FILTER (NOT first_line AND septic) AS line FROM lines GROUP BY patient_id),
   kept AS (SELECT i.patient_id, i.discharge_date, i.year_month, year(i.discharge_date) || '-01-01' AS ref_version, f.line FROM included i LEFT JOIN found f USING (patient_id)
-    WHERE NOT i.out_drg AND NOT coalesce(f.barred, false) AND {_in(ROLLING)} AND year(i.discharge_date) BETWEEN {low} AND {high})
+    WHERE NOT i.out_drg AND NOT coalesce(f.barred, false) AND year(i.discharge_date) BETWEEN {low} AND {high})
 """
-    q["monthly_metrics_versioned"] = by_version + """SELECT year_month AS month, count(line)::BIGINT AS numerator, count(*)::BIGINT AS denominator,
-  round(count(line)::DECIMAL(38, 10) / count(*), 3)::DOUBLE AS rate, max(ref_version) AS ref_version FROM kept GROUP BY year_month"""
-    q["numerator_patients_versioned"] = by_version + f"""SELECT patient_id, discharge_date, year_month, line[2] AS qualifying_sepsis_code, line[4] AS qualifying_sepsis_code_sk,
-  0::BIGINT AS is_principal_diag, line[3]::INT::BIGINT AS is_present_on_admission, ref_version, 'psi13-{ROLLING[1]}' AS run_id, TIMESTAMP '{ROLLING[1]} 00:00:00' AS computed_at
-FROM kept WHERE line IS NOT NULL"""
+
+    def counted(window: tuple[str, str]) -> str:
+        return f"""(SELECT year_month AS month, count(line)::BIGINT AS numerator, count(*)::BIGINT AS denominator,
+  round(count(line)::DECIMAL(38, 10) / count(*), 3)::DOUBLE AS rate, max(ref_version) AS ref_version FROM kept WHERE {_in(window)} GROUP BY year_month)"""
+
+    def found_rows(window: tuple[str, str], name: str) -> str:
+        return f"""SELECT patient_id, discharge_date, year_month, line[2] AS qualifying_sepsis_code, line[4] AS qualifying_sepsis_code_sk, 0::BIGINT AS is_principal_diag,
+  line[3]::INT::BIGINT AS is_present_on_admission, ref_version, '{name}' AS run_id, TIMESTAMP '{window[1]} 00:00:00' AS computed_at FROM kept WHERE line IS NOT NULL AND {_in(window)}"""
+
+    def logged(window: tuple[str, str]) -> str:
+        return f"""SELECT '{run_id(window)}' AS run_id, DATE '{window[1]}' AS execution_date, DATE '{window[0]}' AS window_start, DATE '{window[1]}' AS window_end, '{window[1][:4]}-01-01' AS ref_version,
+  coalesce(sum(numerator), 0)::BIGINT AS numerator, coalesce(sum(denominator), 0)::BIGINT AS denominator, count(*)::BIGINT AS months, 'SUCCEEDED' AS pipeline_status FROM {counted(window)}"""
+
+    q["monthly_metrics_versioned"] = by_version + f"SELECT * FROM {counted(ROLLING)}"
+    q["numerator_patients_versioned"] = by_version + found_rows(ROLLING, f"psi13-{ROLLING[1]}")
+    q["nightly_metrics"] = by_version + f"""SELECT s.month AS year_month, coalesce(m.numerator, 0)::BIGINT AS numerator, coalesce(m.denominator, 0)::BIGINT AS denominator, m.rate,
+  '{run_id(ROLLING)}' AS run_id, TIMESTAMP '{ROLLING[1]} 00:00:00' AS computed_at, left(s.month, 4) || '-01-01' AS ref_version FROM {_spine(ROLLING)} s LEFT JOIN {counted(ROLLING)} m USING (month)"""
+    q["nightly_numerator_audit"] = by_version + _all(*[found_rows(w, run_id(w)) for w in (ROLLING_PREV, ROLLING)])
+    q["nightly_run_log"] = by_version + _all(logged(ROLLING_PREV), logged(ROLLING))
+    q["nightly_backfill"] = by_version + _all(
+        *[
+            f"SELECT '{name}' AS run_id, year_month, count(*)::BIGINT AS encounters FROM kept WHERE line IS NOT NULL AND {_in(window)} GROUP BY year_month"
+            for window, name in ((ROLLING, run_id(ROLLING)), (SHORT_BACKFILL, run_id(SHORT_BACKFILL, ROLLING[1])))
+        ]
+    )
 
     # data quality
     tables = {"raw_patient": "raw_patient", "raw_diagnosis": "raw_diagnosis", "raw_procedure": "raw_procedure", "code_map": "entries", "dim_code": "codebook", "bridge": "entries", "fct_discharge": "visit", "fct_diagnosis": "dx", "fct_procedure": "px"}

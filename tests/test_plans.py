@@ -19,7 +19,7 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize(
-    "key", ["monthly_metrics", "discharge_summary_flat", "denominator_exclusions", "numerator_patients", "dq_reconcile"]
+    "key", ["monthly_metrics", "discharge_summary_flat", "denominator_exclusions", "numerator_patients", "dq_reconcile", "monthly_metrics_versioned"]
 )
 def test_no_encounter_shuffle_when_colocated(spark, key):
     w = catalog.warehouse(spark, SF_SMALL)
@@ -50,7 +50,7 @@ def test_flagship_reads_pruned_columns_and_pushes_filters(spark):
     assert "Bucketed: true" in plan
 
 
-@pytest.mark.parametrize("key", ["monthly_metrics", "rolling_12m_spine", "numerator_patients", "exclusion_reasons", "denominator_inclusions"])
+@pytest.mark.parametrize("key", ["monthly_metrics", "rolling_12m_spine", "numerator_patients", "exclusion_reasons", "denominator_inclusions", "monthly_metrics_versioned", "numerator_patients_versioned"])
 def test_a_period_reads_its_years_only(spark, key):
     plan = _plan(catalog.QUERIES[key](spark, SF_SMALL))
     facts = [s for s in plan.splitlines() if "FileScan" in s and "discharge_year" in s]
