@@ -54,6 +54,16 @@ def upsert_latest(target: DataFrame, changes: DataFrame, keys: Sequence[str], or
     return lacking(target, changed, list(keys)).unionByName(touched)
 
 
+def replace_children(target: DataFrame, staged: DataFrame, corrected: DataFrame, key: str = "patient_id") -> DataFrame:
+    """Child lines (diagnoses, procedures) after a correction: the lines of each
+    corrected encounter become its staged lines, so lines that the correction
+    removed go, and an encounter without staged lines keeps none. Lines of
+    other encounters, and of null keys, pass through; staged lines of encounters
+    that were not corrected are ignored. Repeated lines stay. Idempotent."""
+    ids = corrected.select(key).distinct()
+    return lacking(target, ids, key).unionByName(having(staged.select(target.columns), ids, key))
+
+
 def month_spine(spark: SparkSession, period: Period, month_col: str = "year_month") -> DataFrame:
     """One row per calendar month of ``period``."""
     n = (period.end.year - period.start.year) * 12 + period.end.month - period.start.month + 1

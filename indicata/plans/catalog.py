@@ -48,7 +48,7 @@ _WAREHOUSES: dict[tuple, Warehouse] = {}
 
 def warehouse(spark: SparkSession, sf_dir: str, sepsis_hi: int = 12) -> Warehouse:
     """One lazily-built warehouse per (session, input, code-list variant)."""
-    key = (id(spark), sf_dir, sepsis_hi)
+    key = (spark, sf_dir, sepsis_hi)
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = fixture_warehouse(spark, sf_dir, YEAR, sepsis_hi)
     return _WAREHOUSES[key]
@@ -390,6 +390,24 @@ def upsert_latest(spark, sf):
     return inc.upsert_latest(current, changes, ["patient_id"], "updated_at")
 
 
+def _corrected(spark: SparkSession, sf: str) -> DataFrame:
+    """Encounters whose correction lies in the night's lookback."""
+    changes = inc.lookback_extract(fx.staged_patient(spark, sf, versions=(2,)), RUN_DATE)
+    return changes.select(strict_bigint(F.col("patient_id")).alias("patient_id"))
+
+
+def upsert_fct_diagnosis(spark, sf):
+    w = warehouse(spark, sf)
+    staged = facts.fct_diagnosis(facts.core_diagnosis(fx.staged_lines(w.raw.diagnosis, "diagnosis")), w.dim_code, YEAR)
+    return inc.replace_children(w.fct_diagnosis, staged, _corrected(spark, sf))
+
+
+def upsert_fct_procedure(spark, sf):
+    w = warehouse(spark, sf)
+    staged = facts.fct_procedure(facts.core_procedure(fx.staged_lines(w.raw.procedure, "procedure")), w.dim_code, YEAR)
+    return inc.replace_children(w.fct_procedure, staged, _corrected(spark, sf))
+
+
 def _metrics_run(w: Warehouse, run_date: _dt.date) -> DataFrame:
     m = _rolling(w, run_date, spine=True)
     return m.select(
@@ -445,7 +463,7 @@ _VERSIONED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
 
 def _versioned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Per-version sepsis flags and the version table, written once."""
-    key = (id(spark), sf)
+    key = (spark, sf)
     if key not in _VERSIONED:
         vmap = fx.versioned_code_lists(spark, sf)
         flags = sinks.materialize(inc.versioned_code_flags(vmap, "Diagnosis", SPEC.numerator_identifiers), "ref-vflags")
@@ -470,7 +488,7 @@ _REFERENCES: dict[tuple, VersionedReference] = {}
 
 def _reference(spark: SparkSession, sf: str) -> VersionedReference:
     """The indicator's flags per version and the version table, written once."""
-    key = (id(spark), sf)
+    key = (spark, sf)
     if key not in _REFERENCES:
         flags = ver.versioned_flags(fx.versioned_code_lists(spark, sf), SPEC)
         _REFERENCES[key] = VersionedReference(sinks.materialize(flags, "ref-indicator-vflags"), _versioned(spark, sf)[1])
@@ -516,7 +534,7 @@ def _two_nights(spark, sf):
     """Run the nightly plan for two consecutive month-ends into a fresh folder
     (once per warehouse; both nightly keys read the same published folder)."""
     w = warehouse(spark, sf)
-    key = (id(spark), sf)
+    key = (spark, sf)
     hit = _NIGHTS.get(key)
     if hit is None or hit[0] is not w:
         out = sinks.fresh_path(spark, "nightly")
@@ -716,6 +734,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookback_extract": lookback_extract,
     "upsert_latest": upsert_latest,
     "stream_staged_upsert": stream_staged_upsert,
+    "upsert_fct_diagnosis": upsert_fct_diagnosis,
+    "upsert_fct_procedure": upsert_fct_procedure,
     "metrics_upsert": metrics_upsert,
     "nightly_metrics": nightly_metrics,
     "nightly_numerator_audit": nightly_numerator_audit,

@@ -283,6 +283,9 @@ LEFT JOIN (SELECT patient_id, string_agg(code, ',' ORDER BY position) AS codes F
     lookback = "TIMESTAMP '1997-12-08 00:00:00'"
     add("lookback_extract", f"SELECT * FROM ({_staged('false')}) WHERE updated_at >= {lookback} UNION ALL SELECT * FROM ({_staged('true')}) WHERE patient_id::BIGINT % 5 = 0 AND updated_at >= {lookback}")
     add("upsert_latest", _staged(f"(s.patient_id::BIGINT % 5 = 0 AND {_CORRECTED_AT} >= {lookback})"))
+    late = f"(SELECT s.patient_id::BIGINT FROM raw_patient s WHERE s.patient_id::BIGINT % 5 = 0 AND {_CORRECTED_AT} >= {lookback})"
+    add("upsert_fct_diagnosis", f"SELECT * FROM ({_DIAGNOSIS}) WHERE diag_rank_num <= 3 OR patient_id NOT IN {late}")
+    add("upsert_fct_procedure", f"SELECT * FROM ({_PROCEDURE}) WHERE procedure_code <> 'P009' OR patient_id NOT IN {late}")
     add("stream_staged_upsert", _staged("(s.patient_id::BIGINT % 5 = 0)"))
     add("metrics_upsert", _published(ROLLING, f"psi13-{ROLLING[1]}"))
     add("numerator_patients", _audit(CALENDAR, "psi13-1997-12-15", "1997-12-15"))

@@ -196,6 +196,12 @@ def staged_patient(spark: SparkSession, sf_dir: str, versions: tuple[int, ...] =
     return out
 
 
+def staged_lines(lines: DataFrame, name: str) -> DataFrame:
+    """Raw child lines as a correction restates them: diagnoses up to rank 3,
+    procedures without the last code."""
+    return lines.filter("diag_rank_num <= 3" if name == "diagnosis" else "procedure_code <> 'P009'")
+
+
 @dataclass(frozen=True)
 class RawInputs:
     patient: DataFrame
