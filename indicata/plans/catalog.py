@@ -550,7 +550,7 @@ def nightly_metrics(spark, sf):
 
 def nightly_run_log(spark, sf):
     """The log of both nights."""
-    return _two_nights(spark, sf).run_log.drop("dq_status")
+    return _two_nights(spark, sf).run_log
 
 
 def nightly_numerator_audit(spark, sf):

@@ -332,7 +332,10 @@ FROM dx d LEFT JOIN visit v USING (patient_id)""",
 
     def logged(window: tuple[str, str]) -> str:
         return f"""SELECT '{run_id(window)}' AS run_id, DATE '{window[1]}' AS execution_date, DATE '{window[0]}' AS window_start, DATE '{window[1]}' AS window_end, '{window[1][:4]}-01-01' AS ref_version,
-  coalesce(sum(numerator), 0)::BIGINT AS numerator, coalesce(sum(denominator), 0)::BIGINT AS denominator, count(*)::BIGINT AS months, 'SUCCEEDED' AS pipeline_status FROM {counted(window)}"""
+  coalesce(sum(numerator), 0)::BIGINT AS numerator, coalesce(sum(denominator), 0)::BIGINT AS denominator, count(*)::BIGINT AS months,
+  CASE WHEN count_if(numerator > denominator) = 0 AND (SELECT count(*) FROM {counted(window)} later JOIN {counted(window)} earlier
+    ON later.month = strftime((earlier.month || '-01')::DATE + INTERVAL 1 MONTH, '%Y-%m') WHERE abs(later.rate - earlier.rate) > 0.1) = 0 THEN 'PASSED' ELSE 'FAILED' END AS dq_status,
+  'SUCCEEDED' AS pipeline_status FROM {counted(window)}"""
 
     q["monthly_metrics_versioned"] = by_version + f"SELECT * FROM {counted(ROLLING)}"
     q["numerator_patients_versioned"] = by_version + found_rows(ROLLING, f"psi13-{ROLLING[1]}")
