@@ -195,8 +195,11 @@ def route(points: np.ndarray, nodes: list[tuple[int, float] | None]) -> np.ndarr
 
 def _search_dimension(points: DataFrame, dim: int, is_query: Column, k: int, shard_rows: int) -> DataFrame:
     spark = points.sparkSession
+    # Plain rank limits, which Spark also applies before the shuffle: of a
+    # vector that very many rows share, each task sends k + 1 ids only.
     best = Window.partitionBy("v").orderBy("id")
-    rows = points.withColumn("query", is_query).distinct().withColumn("nth", F.row_number().over(best))
+    rows = points.distinct()
+    closest = rows.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1).select("id", "v")
     n = points.count()
     part = max(16, -(-n // SAMPLE))
     sample = points.filter(F.pmod(F.xxhash64("id", F.lit("kd")), F.lit(part)) == 0).select("v").limit(2 * SAMPLE).collect()
@@ -206,13 +209,11 @@ def _search_dimension(points: DataFrame, dim: int, is_query: Column, k: int, sha
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v = b.column("v").flatten().to_numpy().reshape(b.num_rows, dim)
-            yield pa.RecordBatch.from_arrays([pa.array(route(v, nodes)), b.column("id"), b.column("v"), b.column("query"), b.column("candidate")], ["shard", "id", "v", "query", "candidate"])
+            yield pa.RecordBatch.from_arrays([pa.array(route(v, nodes)), b.column("id"), b.column("v")], ["shard", "id", "v"])
 
-    # Queries keep all their rows, candidates the k + 1 smallest ids of a vector.
-    kept = rows.filter((F.col("nth") <= k + 1) | F.col("query")).select("id", "v", "query", (F.col("nth") <= k + 1).alias("candidate"))
-    placed = stage(kept.mapInArrow(assign, "shard long, id long, v array<long>, query boolean, candidate boolean"), "kd-placed")
-    candidates = placed.filter("candidate").select("shard", "id", "v")
-    queries = placed.filter("query").select("shard", "id", "v", F.lit(float("-inf")).alias("kth"))
+    placed = "shard long, id long, v array<long>"
+    candidates = stage(closest.mapInArrow(assign, placed), "kd-candidates")
+    queries = stage(rows.filter(is_query).mapInArrow(assign, placed), "kd-queries").withColumn("kth", F.lit(float("-inf")))
 
     first = stage(_search(candidates, queries, k), "kd-own")
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
