@@ -1,6 +1,6 @@
-"""The nightly run as one parameterised plan: recompute the rolling window,
-upsert the published metrics, persist numerator audit rows, run the checks
-and append the run log.
+"""The nightly run as one parameterised plan: apply the staged extract, recompute
+the rolling window, upsert the published metrics, refresh the current table,
+persist numerator audit rows, run the checks and append the run log.
 
 Every output is written under ``out_dir`` keyed by ``run_id`` with dynamic
 partition overwrite, so re-running a night replaces exactly that night's rows
@@ -18,13 +18,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from indicata.operators import facts
 from indicata.operators import incremental as inc
 from indicata.operators import indicator as ind
 from indicata.operators import quality as dq
 from indicata.operators import versioned as ver
 from indicata.operators.joins import union_all
-from indicata.plans.warehouse import Warehouse
-from indicata.sources.sinks import child_names, materialize
+from indicata.plans.warehouse import MONTH_COL, YEAR_COL, Warehouse
+from indicata.sources.sinks import child_names, full_refresh, materialize
+
+#: Months that the current metrics table holds.
+CURRENT_MONTHS = 12
 
 
 @dataclass(frozen=True)
@@ -41,9 +45,20 @@ class VersionedReference:
         return on.agg(F.max("ref_version")).first()[0]
 
 
+@dataclass(frozen=True)
+class StagedExtract:
+    """Raw rows that the source restated: encounters with ``updated_at``, and
+    all lines of those encounters (lines of others are ignored)."""
+
+    patient: DataFrame
+    diagnosis: DataFrame
+    procedure: DataFrame
+
+
 @dataclass(frozen=True)
 class RunOutputs:
     metrics: DataFrame
+    current: DataFrame
     numerator_patients: DataFrame
     checks: DataFrame
     run_log: DataFrame
@@ -73,6 +88,33 @@ def run_name(spec: ind.IndicatorSpec, run_date: _dt.date, period: ind.Period) ->
     return f"{spec.name}-{run_date.isoformat()}-{period.start:%Y-%m}-{period.end:%Y-%m}"
 
 
+def corrected_facts(w: Warehouse, staged: StagedExtract, built_on: _dt.date, lookback_days: int = 7) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three facts with the staged encounters in place of their older rows.
+
+    Only encounters changed since the facts were built (minus the lookback) are
+    typed and keyed; the written facts are merged as they are read, so a run
+    reads the years of its period and rewrites no table. All changes since
+    ``built_on`` take part, so none is lost between nights; rebuilding the facts
+    from the upserted raw tables ends the merging. A changed encounter's rows
+    have no year, as its old and new discharge may lie in different ones. Of
+    several staged versions the newest counts; an encounter without staged
+    lines keeps none.
+    """
+    changed = inc.lookback_extract(staged.patient, built_on, lookback_days)
+    newest = inc.latest_by_key(changed, ["patient_id"], "updated_at").drop("updated_at")
+    patient = materialize(facts.core_patient(newest), "nightly-extract")
+    build = {"resolve_unknown": w.resolve_unknown}
+    discharge = facts.fct_discharge(patient, w.dim_code, w.year, date_start=w.date_start, date_end=w.date_end, **build)
+    fresh = (
+        discharge.withColumn(MONTH_COL, F.trunc("discharge_date", "MM")),
+        facts.fct_diagnosis(facts.core_diagnosis(staged.diagnosis), w.dim_code, w.year, **build),
+        facts.fct_procedure(facts.core_procedure(staged.procedure), w.dim_code, w.year, **build),
+    )
+    old = (w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year)
+    dated = [n.withColumn(YEAR_COL, F.lit(None).cast("int")) if YEAR_COL in o.columns else n for o, n in zip(old, fresh)]
+    return tuple(inc.replace_children(o, n, patient) for o, n in zip(old, dated))
+
+
 def nightly_run(
     w: Warehouse,
     run_date: _dt.date,
@@ -84,6 +126,8 @@ def nightly_run(
     computed_at: Column | None = None,
     versions: DataFrame | None = None,
     reference: VersionedReference | None = None,
+    staged: StagedExtract | None = None,
+    built_on: _dt.date | None = None,
     max_mom_change: float = 0.1,
 ) -> RunOutputs:
     """Run one night (or a backfill, with ``period``) and return the published tables.
@@ -91,6 +135,8 @@ def nightly_run(
     With ``reference`` each discharge is judged by the code lists effective on
     its date, metrics carry the version effective at the month's end and audit
     rows their own; without it all months use the warehouse's reference year.
+    With ``staged`` the changes since ``built_on`` (default: the run date) are
+    applied first, see ``corrected_facts``.
 
     The returned frames read ``out_dir`` as it is when the run ends; after a
     later run rewrites a night, read them again.
@@ -101,7 +147,11 @@ def nightly_run(
     run_id = run_id or run_name(spec, run_date, period)
     computed_at = computed_at if computed_at is not None else inc.run_timestamp(run_date)
     ref_version = reference.version_on(period.end) if reference else f"{w.year}-01-01"
-    d, dx, pr = w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year
+    if staged:
+        d, dx, pr = corrected_facts(w, staged, built_on or run_date)
+    else:
+        d, dx, pr = w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year
+    prefilter = w.prefilter or staged is not None
     n_months = (period.end.year - period.start.year) * 12 + period.end.month - period.start.month + 1
 
     # 1. recompute the whole window (late data is picked up by recomputation)
@@ -111,7 +161,8 @@ def nightly_run(
         months = inc.with_month_spine(ver.monthly(cohort, spec).drop("ref_version"), period)
         months = inc.with_version(months.withColumn("_end", F.last_day(F.to_date("month", "yyyy-MM"))), "_end", reference.versions)
     else:
-        months = inc.with_month_spine(w.metrics_table(spec, period), period).withColumn("ref_version", F.lit(ref_version))
+        counted = ind.monthly_indicator(d, dx, pr, w.flags(spec), spec, period, prefilter=prefilter) if staged else w.metrics_table(spec, period)
+        months = inc.with_month_spine(counted, period).withColumn("ref_version", F.lit(ref_version))
     new = months.select(
         F.col("month").alias("year_month"),
         "numerator",
@@ -143,11 +194,16 @@ def nightly_run(
         merged = new
     staged = materialize(merged, "metrics-merge")
     _write_run(staged.withColumnRenamed("run_id", "source_run_id").withColumn("run_id", F.lit(run_id)), snap_path)
-    published = (
-        _read_runs(snap_schema, spark, snap_path)
-        .filter(F.col("run_id") == run_id)
-        .select(*[c for c in new.columns if c != "run_id"], F.col("source_run_id").alias("run_id"))
-    )
+    columns = [*[c for c in new.columns if c != "run_id"], F.col("source_run_id").alias("run_id")]
+    snapshots = _read_runs(snap_schema, spark, snap_path)
+    published = snapshots.filter(F.col("run_id") == run_id).select(*columns)
+
+    # The one table that consumers read: the newest row of each of the latest
+    # months over all snapshots, so rerunning an older night changes nothing
+    # that a newer night published.
+    newest = inc.latest_by_key(snapshots.select(*columns), ["year_month"], "computed_at")
+    full_refresh(newest.orderBy(F.col("year_month").desc()).limit(CURRENT_MONTHS), f"{out_dir}/metrics_current")
+    current = spark.read.schema(new.schema).parquet(f"{out_dir}/metrics_current")
 
     # 3. numerator audit rows, kept across runs
     if reference:
@@ -155,7 +211,7 @@ def nightly_run(
     else:
         num = ind.numerator_patients(
             d, dx, pr, w.flags(spec), spec, period, ref_version=ref_version, run_id=run_id, computed_at=computed_at,
-            prefilter=w.prefilter,
+            prefilter=prefilter,
         )
     _write_run(num, f"{out_dir}/numerator_patients")
     numer = _read_runs(num.schema, spark, f"{out_dir}/numerator_patients")
@@ -182,4 +238,4 @@ def nightly_run(
     )
     _write_run(log, f"{out_dir}/run_log")
     logs = _read_runs(log.schema, spark, f"{out_dir}/run_log")
-    return RunOutputs(metrics=published, numerator_patients=numer, checks=checks_all, run_log=logs)
+    return RunOutputs(metrics=published, current=current, numerator_patients=numer, checks=checks_all, run_log=logs)

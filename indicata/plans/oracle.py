@@ -341,6 +341,16 @@ FROM dx d LEFT JOIN visit v USING (patient_id)""",
     q["numerator_patients_versioned"] = by_version + found_rows(ROLLING, f"psi13-{ROLLING[1]}")
     q["nightly_metrics"] = by_version + f"""SELECT s.month AS year_month, coalesce(m.numerator, 0)::BIGINT AS numerator, coalesce(m.denominator, 0)::BIGINT AS denominator, m.rate,
   '{run_id(ROLLING)}' AS run_id, TIMESTAMP '{ROLLING[1]} 00:00:00' AS computed_at, left(s.month, 4) || '-01-01' AS ref_version FROM {_spine(ROLLING)} s LEFT JOIN {counted(ROLLING)} m USING (month)"""
+    q["nightly_current"] = q["nightly_metrics"]
+    # corrections since 24 May 1997 restate the DRG, cut diagnoses after rank 3 and one procedure
+    late = f"(SELECT s.patient_id FROM raw_patient s WHERE s.patient_id::BIGINT % 5 = 0 AND {_CORRECTED_AT} >= TIMESTAMP '1997-05-24 00:00:00')"
+    restated = f"""typed AS (SELECT patient_id::BIGINT AS patient_id, CASE WHEN patient_id IN {late} THEN '999' ELSE drg END AS drg,"""
+    q["nightly_from_extract"] = (
+        q["nightly_metrics"]
+        .replace("typed AS (SELECT patient_id::BIGINT AS patient_id, drg,", restated)
+        .replace("FROM raw_diagnosis LEFT JOIN", f"FROM (SELECT * FROM raw_diagnosis WHERE diag_rank_num <= 3 OR patient_id NOT IN {late}) LEFT JOIN")
+        .replace("FROM raw_procedure LEFT JOIN", f"FROM (SELECT * FROM raw_procedure WHERE procedure_code <> 'P009' OR patient_id NOT IN {late}) LEFT JOIN")
+    )
     q["nightly_numerator_audit"] = by_version + _all(*[found_rows(w, run_id(w)) for w in (ROLLING_PREV, ROLLING)])
     q["nightly_run_log"] = by_version + _all(logged(ROLLING_PREV), logged(ROLLING))
     q["nightly_backfill"] = by_version + _all(

@@ -36,6 +36,8 @@ def test_rerun_replaces_only_its_own_night(spark):
     # An older night run again publishes its own rows, none of a newer night.
     older = nightly_run(w, MAY, out)
     assert sorted(map(tuple, older.metrics.collect())) == published_first
+    # The current table stays the newer night's.
+    assert sorted(map(tuple, older.current.collect())) == m
 
 
 def test_a_backfill_on_a_nights_date_keeps_the_night(spark):
@@ -66,3 +68,37 @@ def test_unreadable_history_fails_the_run(spark):
             h.write(b"broken")
     with pytest.raises(Exception):
         nightly_run(w, JUNE, out)
+
+
+@pytest.mark.parametrize("versioned", [True, False])
+def test_an_extract_gives_what_rebuilt_facts_give(spark, versioned):
+    """Merging the corrections as the facts are read equals a warehouse of corrected raw tables."""
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from indicata.operators import incremental as inc
+    from indicata.plans.warehouse import Warehouse
+
+    w = catalog.warehouse(spark, SF_MEDIUM)
+    reference = catalog._reference(spark, SF_MEDIUM) if versioned else None
+    extract = catalog.staged_extract(spark, SF_MEDIUM)
+    # Corrections that keep the DRG, so that the changed lines decide, and move some discharges to another year.
+    moved = F.when(F.col("patient_id").cast("long") % 3 == 0, "1996-12-30").otherwise(F.col("discharge_date"))
+    patient = extract.patient.drop("drg").join(w.raw.patient.select("patient_id", "drg"), "patient_id").withColumn("discharge_date", moved)
+    extract = replace(extract, patient=patient.select("patient_id", "drg", "birth_date", "admission_date", "discharge_date", "admission_type", "updated_at"))
+    built = dt.date(1996, 12, 1)
+    merged = nightly_run(w, JUNE, fresh_path(spark, "nightly-merged"), reference=reference, staged=extract, built_on=built)
+
+    changed = inc.lookback_extract(extract.patient, built).drop("updated_at")
+    raw = replace(
+        w.raw,
+        patient=inc.replace_children(w.raw.patient, changed, changed),
+        diagnosis=inc.replace_children(w.raw.diagnosis, extract.diagnosis, changed),
+        procedure=inc.replace_children(w.raw.procedure, extract.procedure, changed),
+    )
+    rebuilt = nightly_run(Warehouse(spark, raw, w.year), JUNE, fresh_path(spark, "nightly-rebuilt"), reference=reference)
+    assert sorted(map(tuple, merged.metrics.collect())) == sorted(map(tuple, rebuilt.metrics.collect()))
+    assert sorted(map(tuple, merged.numerator_patients.collect())) == sorted(map(tuple, rebuilt.numerator_patients.collect()))
+    plain = nightly_run(w, JUNE, fresh_path(spark, "nightly-plain"), reference=reference)
+    assert sorted(map(tuple, merged.metrics.collect())) != sorted(map(tuple, plain.metrics.collect()))
