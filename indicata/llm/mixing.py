@@ -6,12 +6,15 @@
    posterior over domains follows from its own word counts.
 2. Rates. Every document d gets a rate r_d >= ``least``: how often it is to
    appear. With t_d tokens and posteriors p_dk the expected tokens of domain k
-   are m_k = sum(r_d t_d p_dk). Projected gradient descent on
-   sum((m_k - T_k)^2 / T_k) / 2 in the token metric moves every rate by
-   -step * sum(p_dk (m_k - T_k) / T_k) and projects it on r >= ``least``. An
-   iteration is one aggregation over all documents; only the domain totals
-   reach the driver, and the step is the inverse of the largest eigenvalue of
-   the small domain matrix.
+   are m_k = sum(r_d t_d p_dk). Projected descent on
+   sum((m_k - T_k)^2 / T_k) / 2 in the token metric: a round moves every rate by
+   -sum(p_dk y_k) and projects it on r >= ``least``, where y is the implicit
+   (proximal) gradient step of length 1 / eps, found by Newton steps with the
+   domain matrix of the rates that the bound does not hold. A Newton step is
+   one aggregation over all documents; only domain sums reach the driver. Rounds
+   go on until the totals are within ``TOLERANCE`` of the targets or, where the
+   bound binds, a round moves them by less; if ``LIMIT`` aggregations do not
+   suffice, the fit raises.
 3. Copies. A document appears floor(r) times and once more with the
    probability of the rest, drawn by a hash of its id and text.
 
@@ -42,9 +45,12 @@ from indicata.llm.common import stage, text_or_empty
 TARGETS = {"de": 0.15, "en": 0.6, "es": 0.1, "fr": 0.15}
 LEXICON = 48
 SAMPLE = 2_000
-ITERATIONS = 40
 WRITE_EVERY = 4
 TOLERANCE = 1e-6
+#: Aggregations after which a fit that has not converged raises (about 10 are usual, 50 where the bound binds).
+LIMIT = 400
+#: Weight of the proximal term of the first round, its factor from round to round, and its least.
+EPS, EPS_FACTOR, EPS_LEAST = 1e-6, 1e-3, 1e-12
 
 
 def words(text: Column) -> Column:
@@ -109,11 +115,13 @@ def memberships(docs: DataFrame, domain: Column, trusted: DataFrame, targets: di
     return stage(features.select("id", "text_key", "tokens", *[c.alias(f"p_{k}") for k, c in enumerate(p)]), "mix-docs"), domains
 
 
-def fit_rates(members: DataFrame, weights: Sequence[float], total: float | None = None, least: float = 0.0, iterations: int = ITERATIONS) -> tuple[DataFrame, list[dict[str, list[float]]]]:
+def fit_rates(members: DataFrame, weights: Sequence[float], total: float | None = None, least: float = 0.0, iterations: int | None = None) -> tuple[DataFrame, list[dict[str, list[float]]]]:
     """(members with ``rate``, history of expected and target domain totals).
 
     ``total``: tokens of the mix; None: as many as make no target smaller than
     what the domain has at rate ``least`` (or at rate 1 if that is 0).
+    ``iterations``: None iterates until converged; a number makes that many
+    plain gradient steps, converged or not.
     """
     k = len(weights)
     p = [F.col(f"p_{i}") for i in range(k)]
@@ -126,12 +134,14 @@ def fit_rates(members: DataFrame, weights: Sequence[float], total: float | None
         return members.withColumn("rate", F.lit(float(max(1.0, least)))), []
     goal = w * (float((now * max(least, 1.0) / np.maximum(w, 1e-9)).max()) if total is None else float(total))
     scale = np.maximum(goal, 1e-3 * goal.sum())
+    start = max(least, float(goal.sum() / now.sum()) if total is not None else max(least, 1.0))
+    if iterations is None:
+        return _converge(members.withColumn("rate", F.lit(start)), goal, scale, float(least))
     h = np.zeros((k, k))
     for i, j in pairs:
         h[i, j] = h[j, i] = row[f"h_{i}_{j}"] or 0.0
     root = 1 / np.sqrt(scale)
     step = 1 / float(np.linalg.eigvalsh(root[:, None] * h * root[None, :]).max())
-    start = max(least, float(goal.sum() / now.sum()) if total is not None else max(least, 1.0))
     rated = members.withColumn("rate", F.lit(start))
     rate: Column = F.col("rate")
     history = []
@@ -150,6 +160,76 @@ def fit_rates(members: DataFrame, weights: Sequence[float], total: float | None
     return rated.withColumn("rate", rate), history
 
 
+def _converge(rated: DataFrame, goal: np.ndarray, scale: np.ndarray, least: float) -> tuple[DataFrame, list[dict[str, list[float]]]]:
+    """(``rated`` with the fitted ``rate``, history of expected and target domain totals of each round).
+
+    A round minimises f(m(r)) + eps / 2 sum(t_d (r_d - rate_d)^2) over r >= ``least``.
+    Its solution is r_d = max(least, rate_d - p_d . y) with k unknowns y, the
+    minimum of a convex, piecewise quadratic function.
+    """
+    k = len(goal)
+    p, t = [F.col(f"p_{i}") for i in range(k)], F.col("tokens").cast("double")
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    used = 0
+
+    def moved(y: np.ndarray) -> Column:
+        return F.col("rate") - sum((c * float(y[i]) for i, c in enumerate(p)), F.lit(0.0))
+
+    def look(y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+        """Domain totals, gradient, value and Hessian at y, by one aggregation."""
+        nonlocal used
+        used += 1
+        u = F.col("u")
+        free = F.when(u > least, t).otherwise(0.0)
+        row = (
+            rated.withColumn("u", moved(y))
+            .agg(
+                *[F.sum(t * F.greatest(F.lit(least), u) * c).alias(f"m_{i}") for i, c in enumerate(p)],
+                *[F.sum(free * p[i] * p[j]).alias(f"h_{i}_{j}") for i, j in pairs],
+                F.sum(t * F.when(u > least, u * u / 2).otherwise(u * least - least * least / 2)).alias("value"),
+            )
+            .first()
+        )
+        m = np.array([row[f"m_{i}"] for i in range(k)])
+        h = eps * np.diag(scale)
+        for i, j in pairs:
+            h[i, j] += row[f"h_{i}_{j}"]
+            h[j, i] = h[i, j]
+        return m, eps * scale * y + goal - m, float(eps / 2 * y @ (scale * y) + goal @ y + row.value), h
+
+    history: list[dict[str, list[float]]] = []
+    y, eps, before = np.zeros(k), EPS, None
+    while True:
+        m, gradient, value, h = look(y, eps)
+        best = np.abs(gradient / scale).max()
+        while best > TOLERANCE / 10 and used < LIMIT:
+            way = -np.linalg.solve(h, gradient)
+            slope, length = float(gradient @ way), 1.0
+            while True:
+                there = look(y + length * way, eps)
+                norm = np.abs(there[1] / scale).max()
+                if norm <= best / 2 or there[2] <= value + 1e-4 * length * slope or used >= LIMIT:
+                    break
+                rise = float(there[1] @ way)  # the slope there: the next length is where a straight line from slope to rise is zero
+                length *= min(0.5, max(0.1, slope / (slope - rise)))
+            y = y + length * way
+            (m, gradient, value, h), best = there, min(best, norm)
+            if norm <= TOLERANCE / 10:
+                break
+        history.append({"expected": m.tolist(), "target": goal.tolist()})
+        error = (m - goal) / scale
+        move = np.inf if before is None else np.abs((m - before) / scale).max()
+        rate = F.greatest(F.lit(least), moved(y))
+        solved = np.abs(gradient / scale).max() <= TOLERANCE / 10
+        if np.abs(error).max() < TOLERANCE or (solved and move < TOLERANCE):
+            return rated.withColumn("rate", rate), history
+        if used >= LIMIT:
+            raise RuntimeError(f"rates have not converged after {used} aggregations: expected domain totals {m.tolist()}, targets {goal.tolist()}, last move {move}")
+        rated = stage(rated.withColumn("rate", rate), "mix-rates")
+        before, eps = m, max(eps * EPS_FACTOR, EPS_LEAST)
+        y = error / eps
+
+
 def copies(rate: Column, key: Column) -> Column:
     """floor(rate), and one more with the probability of the rest."""
     draw = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)

@@ -75,6 +75,48 @@ def test_a_binding_projection_equals_numpy(corpus, trusted, spark):
     assert np.abs((got * t) @ p - (want * t) @ p).max() < 1e-3 and (got >= 0.1).all()
 
 
+def one_domain_rows(spark, shares, n=2_000, soft=0.02):
+    """Members whose posteriors lean to one domain; ``shares`` of the tokens lie in each domain."""
+    rng, k, rows = np.random.default_rng(5), len(shares), []
+    for d, share in enumerate(shares):
+        for _ in range(round(n * share)):
+            other = rng.dirichlet(np.ones(k)) * soft * rng.random()
+            p = other + (1 - other.sum()) * np.eye(k)[d]
+            rows.append((len(rows), 40, *map(float, p)))
+    return spark.createDataFrame(rows, "id long, tokens long, " + ", ".join(f"p_{i} double" for i in range(k)))
+
+
+@pytest.mark.parametrize("shares", [(0.01, 0.79, 0.1, 0.1), (0.90, 0.06, 0.02, 0.02)])
+def test_rare_and_hot_domains_reach_their_targets(spark, stored, shares):
+    members, w = stored(one_domain_rows(spark, shares).coalesce(2)), np.array(list(mixing.TARGETS.values()))
+    total = 40.0 * members.count()
+    rated, history = mixing.fit_rates(members, list(w), total)
+    rows = rated.collect()
+    reached = np.array([sum(r.rate * r.tokens * r[f"p_{i}"] for r in rows) for i in range(4)])
+    assert np.abs(reached - w * total).max() < 1e-5 * total and min(r.rate for r in rows) >= 0
+    assert len(history) < 6
+    # every row kept: the shares are those of the targets as far as soft memberships allow
+    rows = mixing.fit_rates(members, list(w), None, least=1.0)[0].collect()
+    reached = np.array([sum(r.rate * r.tokens * r[f"p_{i}"] for r in rows) for i in range(4)])
+    assert np.abs(reached / reached.sum() - w).max() < 2e-3 and min(r.rate for r in rows) >= 1
+
+
+def test_a_binding_bound_is_solved(spark, stored):
+    members = stored(one_domain_rows(spark, (0.3, 0.4, 0.3)).coalesce(2))
+    goal, least = 20_000.0 * np.array([0.02, 0.96, 0.02]), 0.4
+    rows = mixing.fit_rates(members, [0.02, 0.96, 0.02], 20_000.0, least=least)[0].collect()
+    t, p = np.array([r.tokens for r in rows], float), np.array([[r[f"p_{i}"] for i in range(3)] for r in rows])
+    loss = lambda x: (((x * t) @ p - goal) ** 2 / goal).sum() / 2
+    got, want = np.array([r.rate for r in rows]), numpy_rates(t, p, goal, least, least, 20_000)
+    assert (got >= least).all() and loss(got) <= loss(want) * (1 + 1e-6)
+
+
+def test_a_fit_that_does_not_converge_raises(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LIMIT", 2)
+    with pytest.raises(RuntimeError, match="not converged"):
+        mixing.fit_rates(one_domain_rows(spark, (0.3, 0.4, 0.3)), [0.02, 0.96, 0.02], 20_000.0, least=0.4)
+
+
 def test_copies(spark):
     df = spark.range(4_000).withColumn("rate", F.lit(1.25))
     n = [r[0] for r in df.select(mixing.copies(F.col("rate"), F.col("id").cast("string"))).collect()]
