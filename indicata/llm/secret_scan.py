@@ -9,10 +9,13 @@ of a dictionary (how much of it frequent corpus words cover), of its path
 candidates.
 
 Labelled findings: no table of reviewed findings exists, so a finding in a
-document that ``labels`` covers is labelled by issuer formats (``RULES``), and
-the forest generalises from there to candidates that no format names. At most
-``TRAIN_ROWS`` findings of each label teach, by hash order. The dictionary is
-counted over all documents.
+document that ``labels`` covers is labelled a secret by issuer formats
+(``ISSUERS``) or the assignment rule, and harmless if it is a number without a
+name, a plain path, or letters that dictionary words cover. Other findings, as
+runs of high entropy that no format names, do not teach: the forest judges
+them. A finding in an issuer format is a secret whatever the forest says. At
+most ``TRAIN_ROWS`` findings of each label teach, by hash order. The dictionary
+is counted over all documents.
 
 Defined results: null and empty texts have no candidates. Without labelled
 findings of both labels the label rule itself decides (score 0 or 1). Rows
@@ -33,8 +36,26 @@ from indicata.llm.common import stage, text_or_empty
 
 LEAST = 16
 CORE = "[A-Za-z0-9_+/\\-]{16,}"
-#: Formats of issued credentials, and names that credentials are assigned to.
-RULES = {"access_key": "^AKIA[0-9A-Z]{16}$", "assigned": "^(?=.*[0-9])[A-Za-z0-9_+/\\-]{16,}$"}
+#: Values that count as assigned credentials, formats of issued credentials, and names that credentials are assigned to.
+RULES = {"assigned": "^(?=.*[0-9])[A-Za-z0-9_+/\\-]{16,}$"}
+ISSUERS = {
+    "access_key": "A(?:KIA|SIA|GPA|IDA|ROA|NPA)[0-9A-Z]{16}",
+    "github": "gh[pousr]_[A-Za-z0-9]{36,255}|github_pat_[A-Za-z0-9_]{36,255}",
+    "gitlab": "glpat-[A-Za-z0-9_\\-]{20,}",
+    "slack": "xox[abeoprs]-[A-Za-z0-9\\-]{10,}",
+    "stripe": "[rs]k_(?:live|test)_[A-Za-z0-9]{16,}",
+    "google": "AIza[0-9A-Za-z_\\-]{35}",
+    "google_oauth": "ya29\\.[0-9A-Za-z_\\-]{20,}",
+    "sendgrid": "SG\\.[A-Za-z0-9_\\-]{16,32}\\.[A-Za-z0-9_\\-]{16,64}",
+    "twilio": "SK[0-9a-f]{32}",
+    "npm": "npm_[A-Za-z0-9]{36}",
+    "pypi": "pypi-[A-Za-z0-9_\\-]{50,}",
+    "digitalocean": "do[oprt]_v1_[a-f0-9]{64}",
+    "sk": "sk-(?=[A-Za-z_\\-]*[0-9])[A-Za-z0-9_\\-]{20,}",
+    "jwt": "eyJ[A-Za-z0-9_\\-]{8,}\\.eyJ[A-Za-z0-9_\\-]{8,}\\.[A-Za-z0-9_\\-]*",
+}
+#: Findings that teach as harmless: numbers without a name, plain paths, and letters that dictionary words cover to this share.
+NUMBER, PATH, LETTERS, COVERED = "^[0-9+/\\-]+$", "^/?([a-z]{1,15}/)+[a-z]{0,15}$", "^[A-Za-z_/\\-]+$", 0.5
 NAMES = "(?i)(password|passwd|pwd|secret|token|api_?key|auth|credential)"
 DICTIONARY = 256
 TRAIN_ROWS = 5_000
@@ -98,9 +119,21 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
     )
 
 
+def issuer() -> Column:
+    """Name of the issuer format that the whole candidate has, or null."""
+    return F.coalesce(*[F.when(F.col("secret").rlike(f"^(?:{pattern})$"), name) for name, pattern in ISSUERS.items()])
+
+
 def rule() -> Column:
-    """Name of the issuer format a candidate has, or null."""
-    return F.when(F.col("secret").rlike(RULES["access_key"]), "access_key").when((F.col("named") == 1) & (F.col("assigned") == 1) & F.col("secret").rlike(RULES["assigned"]), "assigned")
+    """Name of the issuer format a candidate has, "assigned" by the assignment rule, or null."""
+    return F.coalesce(issuer(), F.when((F.col("named") == 1) & (F.col("assigned") == 1) & F.col("secret").rlike(RULES["assigned"]), "assigned"))
+
+
+def label() -> Column:
+    """1 for a finding with a rule, 0 for a harmless one, null for one that does not teach."""
+    s = F.col("secret")
+    harmless = (s.rlike(NUMBER) & (F.col("named") == 0)) | s.rlike(PATH) | (s.rlike(LETTERS) & (F.col("coverage") >= COVERED))
+    return F.when(F.col("rule").isNotNull(), 1.0).when(harmless, 0.0)
 
 
 def scan(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -113,7 +146,7 @@ def scan(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     columns = ["path_bucket" if f == "path" else "place_share" if f == "place" else f for f in FEATURES]
     rows = stage(scored.select("id", "place", "secret", "rule", *columns), "secret-features")
 
-    known = rows.join(labelled.select("id").distinct(), "id", "left_semi").withColumn("label", F.col("rule").isNotNull().cast("double"))
+    known = rows.join(labelled.select("id").distinct(), "id", "left_semi").withColumn("label", label())
     order = F.xxhash64("id", "place", "secret")
     train = known.filter("label = 1").orderBy(order).limit(train_rows).unionByName(known.filter("label = 0").orderBy(order).limit(train_rows))
     train = stage(train, "secret-training")
@@ -124,4 +157,4 @@ def scan(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         judged = forest.transform(assembler.transform(rows)).withColumn("score", vector_to_array("probability")[1])
     else:
         judged = rows.withColumn("score", F.col("rule").isNotNull().cast("double"))
-    return judged.select(F.col("id").alias(id_col), F.col("place").cast("long").alias("place"), "secret", "rule", "score", (F.col("score") >= THRESHOLD).alias("is_secret"))
+    return judged.select(F.col("id").alias(id_col), F.col("place").cast("long").alias("place"), "secret", "rule", "score", ((F.col("score") >= THRESHOLD) | F.coalesce(F.col("rule") != "assigned", F.lit(False))).alias("is_secret"))

@@ -52,6 +52,20 @@ def test_held_out_accuracy(corpus, spark):
     assert sum(r.is_secret == (r.rule is not None) for r in rows) >= 0.98 * len(rows)
 
 
+def test_formats_absent_from_the_labelled_documents(make_docs, spark):
+    rng = random.Random(9)
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    plain = lambda: draw(["the", "tion", "and", "hea"], 6)
+    rows = [(i, " ".join([*["the tion and hea"] * 4, plain(), 'token = "' + draw("0123456789abcdef", 40) + '"' if i % 4 == 0 else plain(), plain()])) for i in range(200)]
+    upper, mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["AKIA" + draw(upper, 16), "ghp_" + draw(mixed, 36), "xoxb-" + draw("abcdefghij", 24), "AIza" + draw(mixed, 35)]
+    rows += [(1000 + i, f"the tion {k} and hea") for i, k in enumerate(keys)]
+    rows += [(i, "the tion " + draw(mixed + "0123456789", 32) + " and") for i in range(100, 110)]  # unknown runs in labelled documents
+    got = secret_scan.scan(make_docs(rows), spark.range(0, 200).select("id")).collect()
+    assert {r.secret for r in got if r.is_secret and r.doc_id >= 1000} == set(keys)
+    assert not any(r.is_secret for r in got if r.secret.isalpha() and r.secret.islower())
+
+
 def test_without_both_labels_the_rule_decides(corpus, spark):
     rows = secret_scan.scan(corpus, spark.range(0).select("id")).collect()
     assert all(r.score == float(r.rule is not None) for r in rows) and sum(r.is_secret for r in rows) == 100
