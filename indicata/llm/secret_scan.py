@@ -1,7 +1,11 @@
 """Secret scan with a random forest that removes false positives (DataFrame functions only).
 
-Candidates are runs of 16 or more token characters in the white-space
-separated words of every whole text. Each gets features of its own characters
+Candidates are taken from the white-space separated words of every whole text:
+runs of 16 or more token characters, every match of an issuer format, and every
+value that follows a credential name and = or :, whatever its length and
+characters (without the marks around it; a quoted value that goes over several
+words gives its first word and the whole, joined by single spaces). A value or
+match that is also a run of its word is one candidate. Each gets features of its own characters
 (length, transitions between letters, digits and cases, distinct characters),
 of a dictionary (how much of it frequent corpus words cover), of its path
 (source and place in the text) and of its neighbouring words. A random forest
@@ -37,7 +41,7 @@ from indicata.llm.common import stage, text_or_empty
 LEAST = 16
 CORE = "[A-Za-z0-9_+/\\-]{16,}"
 #: Values that count as assigned credentials, formats of issued credentials, and names that credentials are assigned to.
-RULES = {"assigned": "^(?=.*[0-9])[A-Za-z0-9_+/\\-]{16,}$"}
+RULES = {"assigned": "^(?=.*[0-9])(?:[A-Za-z0-9_+/\\-]{16,}|(?!.*://)(?=.*[A-Za-z])\\S{8,})$"}
 ISSUERS = {
     "access_key": "A(?:KIA|SIA|GPA|IDA|ROA|NPA)[0-9A-Z]{16}",
     "github": "gh[pousr]_[A-Za-z0-9]{36,255}|github_pat_[A-Za-z0-9_]{36,255}",
@@ -64,13 +68,64 @@ THRESHOLD = 0.5
 FEATURES = ["length", "letter_digit", "digit_letter", "lower_upper", "upper_lower", "digits", "uppers", "vowels", "distinct", "coverage", "path", "place", "named", "assigned", "before_coverage", "after_coverage", "after_length"]
 
 
+#: A credential name with what may follow it, the sign behind it, and a value: quoted, or up to the next assignment in the word.
+NAMED = NAMES + "[\\w.\\-]*[\"')\\]]*"
+SIGN = "(?:[=:]+>?)"
+VALUE = "(\"[^\"]*\"?|'[^']*'?|(?:(?![,;&][\\w.\\-]+[\"']?[=:])\\S)+)"
+ISSUED = "(?<![A-Za-z0-9])(?:" + "|".join(ISSUERS.values()) + ")(?![A-Za-z0-9])"
+
+
+def _bare(value: Column) -> Column:
+    """A value without the marks around it."""
+    return F.regexp_replace(value, "^[\"'(\\[{<]+|[\"')\\]}>,;.]+$", "")
+
+
+def _named_values(rows: DataFrame) -> DataFrame:
+    """(id, path, n_words, words, place, secret): the values that follow a credential name."""
+    word = lambda i: F.coalesce(F.get("words", i), F.lit(""))
+    i = F.col("at")
+    named = rows.select("*", F.explode(F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(NAMES))).alias("at"))
+    # The value in the word itself, in the next word, or behind a sign of its own.
+    ends = word(i).rlike(NAMED + "$")
+    values = F.filter(F.regexp_extract_all(word(i), F.lit(NAMED + SIGN + VALUE), 2), lambda v: ~v.isin('"', "'"))
+    inside = F.transform(values, lambda v: F.struct(i.alias("place"), v.alias("value")))
+    behind = (
+        F.when(word(i).rlike(NAMED + SIGN + "[\"']?$"), F.struct((i + 1).alias("place"), F.concat(F.regexp_extract(word(i), "[\"']?$", 0), word(i + 1)).alias("value")))
+        .when(ends & word(i + 1).rlike(f"^{SIGN}[\"']?$"), F.struct((i + 2).alias("place"), F.concat(F.regexp_extract(word(i + 1), "[\"']?$", 0), word(i + 2)).alias("value")))
+        .when(ends & word(i + 1).rlike(f"^{SIGN}"), F.struct((i + 1).alias("place"), F.regexp_replace(word(i + 1), f"^{SIGN}", "").alias("value")))
+    )
+    found = named.select("id", "path", "n_words", "words", F.explode(F.concat(inside, F.filter(F.array(behind), lambda b: b.isNotNull()))).alias("v"))
+    found = found.select("id", "path", "n_words", "words", F.col("v.place").alias("place"), F.col("v.value").alias("value"))
+    # A quote that the word leaves open: up to the first later word that closes it.
+    quote = F.substring("value", 1, 1)
+    rest = F.when(F.col("value").rlike("^(\"[^\"]*|'[^']*)$"), F.slice("words", F.col("place") + 2, F.col("n_words")))
+    found = found.withColumn("rest", rest).withColumn("closing", F.array_position(F.transform("rest", lambda w: F.contains(w, quote)), True))
+    last = F.call_function("substring_index", F.element_at("rest", F.col("closing").cast("int")), quote, F.lit(1))
+    whole = F.when(F.col("closing") > 0, F.concat_ws(" ", F.expr("substring(value, 2)"), F.expr("slice(rest, 1, int(closing) - 1)"), last))
+    # The first word may hold the quote's end and more: only what the quotes hold.
+    first = F.when(F.col("value").rlike("^(\"[^\"]+\"|'[^']+')"), F.regexp_extract("value", "^(?:\"([^\"]+)\"|'([^']+)')", 0)).otherwise(F.col("value"))
+    secrets = F.array_distinct(F.filter(F.array(_bare(first), F.trim(whole)), lambda v: v.isNotNull() & (v != "")))
+    return found.select("id", "path", "n_words", "words", "place", F.explode(secrets).alias("secret"))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """(id, path, place, n_words, word, before2, before, after, secret): one row per candidate, ``place`` counts words from 0."""
+    """(id, path, place, n_words, word, before2, before, after, secret, valued): one row per candidate, ``place`` counts words from 0; ``valued``: found by a credential name only."""
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col in docs.columns else F.lit("")
     rows = docs.select(F.col(id_col).alias("id"), path.alias("path"), F.split(F.trim(text_or_empty(text_col)), "\\s+").alias("words"))
-    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: (F.length(F.get("words", i)) >= LEAST) & F.get("words", i).rlike(CORE))
-    found = rows.select("id", "path", F.size("words").alias("n_words"), "words", F.explode(places).alias("place"))
-    return found.select("id", "path", "place", "n_words", F.get("words", F.col("place")).alias("word"), *[F.coalesce(F.get("words", F.col("place") + k), F.lit("")).alias(name) for k, name in ((-2, "before2"), (-1, "before"), (1, "after"))], F.explode(F.regexp_extract_all(F.get("words", F.col("place")), F.lit(f"({CORE})"), 1)).alias("secret"))
+    runs = lambda w: F.when(F.length(w) >= LEAST, F.regexp_extract_all(w, F.lit(f"({CORE})"), 1)).otherwise(F.array().cast("array<string>"))
+    spread = lambda pattern, least: F.explode(F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: (F.length(F.get("words", i)) >= least) & F.get("words", i).rlike(pattern))).alias("place")
+    word = F.get("words", F.col("place"))
+    bare = rows.select("id", "path", F.size("words").alias("n_words"), "words", spread(CORE, LEAST)).select("*", F.explode(runs(word)).alias("secret"))
+    issued = rows.select("id", "path", F.size("words").alias("n_words"), "words", spread(ISSUED, 0)).select("*", F.explode(F.regexp_extract_all(word, F.lit(f"({ISSUED})"), 1)).alias("secret"))
+    named = _named_values(rows.select("id", "path", F.size("words").alias("n_words"), "words"))
+    # What is a run of its word is there already, and a value in an issuer format is there by it.
+    issued = issued.filter(~F.array_contains(runs(word), F.col("secret")))
+    named = named.filter(~F.array_contains(F.concat(runs(word), F.regexp_extract_all(word, F.lit(f"({ISSUED})"), 1)), F.col("secret")))
+
+    def around(found: DataFrame, valued: bool) -> DataFrame:
+        return found.select("id", "path", "place", "n_words", word.alias("word"), *[F.coalesce(F.get("words", F.col("place") + k), F.lit("")).alias(name) for k, name in ((-2, "before2"), (-1, "before"), (1, "after"))], "secret", F.lit(valued).alias("valued"))
+
+    return around(bare, False).unionByName(around(issued, False)).unionByName(around(named, True))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> list[str]:
@@ -111,8 +166,8 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         _coverage(s, words).alias("coverage"),
         F.pmod(F.xxhash64("path"), F.lit(16)).cast("double").alias("path_bucket"),
         (F.col("place") / F.col("n_words")).alias("place_share"),
-        lead.rlike(NAMES).cast("double").alias("named"),
-        assigned.cast("double").alias("assigned"),
+        (lead.rlike(NAMES) | F.col("valued")).cast("double").alias("named"),
+        (assigned | F.col("valued")).cast("double").alias("assigned"),
         _coverage(F.col("before"), words).alias("before_coverage"),
         _coverage(F.col("after"), words).alias("after_coverage"),
         F.length("after").cast("double").alias("after_length"),

@@ -40,6 +40,28 @@ def test_neighbours(make_docs):
     assert (r.before2, r.before, r.after, r.secret) == ("token", "=", "here", "a1" * 10)
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("my password=hunter2xyz here", [(1, "hunter2xyz")]),
+        ("api_key: 9f86d081884c", [(1, "9f86d081884c")]),
+        ("a secret=Tr0ub4dor&3-Zq!x, b", [(1, "Tr0ub4dor&3-Zq!x")]),
+        ("token = 'x1'", [(2, "x1")]),
+        ('pwd ="ab" and', [(1, "ab")]),
+        ('{"password":"p1","token":"t2"}', [(0, "p1"), (0, "t2")]),
+        ("?token=ab1&password=cd2", [(0, "ab1"), (0, "cd2")]),
+        ('password = "two or three" end', [(2, "two"), (2, "two or three")]),
+        ('token = "' + "a1" * 10 + '"', [(2, "a1" * 10)]),
+        ("see SG." + "a" * 16 + "." + "b" * 15 + "9 now", [(1, "SG." + "a" * 16 + "." + "b" * 15 + "9"), (1, "a" * 16), (1, "b" * 15 + "9")]),
+        ('password=" ab" c', [(1, "ab")]),
+        ("password= and nothing, the token", [(1, "and")]),
+        ("password=", []),
+    ],
+)
+def test_named_values_of_any_length_and_characters(make_docs, text, want):
+    assert sorted((r.place, r.secret) for r in secret_scan.candidates(make_docs([(1, text)], 1)).collect()) == sorted(want)
+
+
 def test_held_out_accuracy(corpus, spark):
     labelled = spark.range(0, 400).filter("id % 2 = 0").select("id")
     rows = [r for r in secret_scan.scan(corpus, labelled).collect() if r.doc_id % 2]
@@ -66,6 +88,17 @@ def test_formats_absent_from_the_labelled_documents(make_docs, spark):
     assert not any(r.is_secret for r in got if r.secret.isalpha() and r.secret.islower())
 
 
+def test_short_and_broken_values_are_judged(make_docs, spark):
+    rng = random.Random(12)
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    plain = lambda: draw(["the", "tion", "and", "hea"], 6)
+    secret = lambda i: ["password=" + draw("abcdefxyz0123456789", 9) + "7a", "api_key: " + draw("0123456789abcdef", 11) + "1f", "secret=" + draw("ABcd&-!", 12) + "3x"][i % 3]
+    docs = make_docs([(i, " ".join(["the tion and hea", plain(), secret(i) if i % 2 else plain(), plain()])) for i in range(240)])
+    rows = secret_scan.scan(docs, spark.range(0, 180).select("id")).collect()
+    found = {r.doc_id for r in rows if r.is_secret}
+    assert set(range(181, 240, 2)) <= found and not any(i % 2 == 0 for i in found)
+
+
 def test_without_both_labels_the_rule_decides(corpus, spark):
     rows = secret_scan.scan(corpus, spark.range(0).select("id")).collect()
     assert all(r.score == float(r.rule is not None) for r in rows) and sum(r.is_secret for r in rows) == 100
