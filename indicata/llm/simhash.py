@@ -267,8 +267,8 @@ def components(edges: DataFrame, spark: SparkSession) -> DataFrame:
     return out
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per row of ``docs``: id, text_key, fingerprint (16 hex digits), component_id."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    """(id, text_key, fp, root, component_id): one row per row of ``docs``; ``root`` tells groups apart, also those without ids."""
     spark = docs.sparkSession
     prints = stage(fingerprints(docs, id_col, text_col, shingle), "simhash")
     unique = stage(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-unique")
@@ -276,23 +276,29 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     least = stage(
         roots.join(unique, "fp").groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least"
     )
-    linked = roots.join(least, "root").select("fp", "component_id")
-    merged = stage(unique.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "simhash-groups")
-    out = prints.join(merged, "fp")
+    linked = roots.join(least, "root").select("fp", "root", "component_id")
+    merged = stage(unique.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")), "simhash-groups")
+    return prints.join(merged, "fp")
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per row of ``docs``: id, text_key, fingerprint (16 hex digits), component_id."""
+    out = _grouped(docs, id_col, text_col, shingle, max_bits)
     return out.select(F.col("id").alias(id_col), "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each group: the one whose id is the component's.
+    """``docs`` with one document of each group: the one of the smallest (id, text key), null ids last.
 
-    Rows of a group that has no id at all stay.
+    Rows that repeat that id and text are the same document and stay; they are
+    for exact dedup.
     """
-    out = groups(docs, id_col, text_col, shingle, max_bits)
-    gone = stage(out.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone_id"), F.col("text_key").alias("gone_key")).distinct(), "simhash-gone")
+    out = stage(_grouped(docs, id_col, text_col, shingle, max_bits).select("id", "text_key", "root"), "simhash-rows")
+    place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("text_key"))
+    first = stage(out.groupBy("root").agg(F.min(place).alias("first")), "simhash-first")
+    other = ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_key") == F.col("first.text_key")))
+    gone = stage(out.join(first, "root").filter(other).select(F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct(), "simhash-gone")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     key = F.xxhash64(F.coalesce(F.col("row").getField(text_col), F.lit("")))
-    kept = rows.join(gone, (F.col("row").getField(id_col) == F.col("gone_id")) & (key == F.col("gone_key")), "left_anti")
-    # Null-id rows of a group that keeps an id go as well: their text key is matched alone.
-    null_gone = stage(out.filter(F.col(id_col).isNull() & F.col("component_id").isNotNull()).select(F.col("text_key").alias("gone_key")).distinct(), "simhash-gone-null")
-    kept = kept.join(null_gone, F.col("row").getField(id_col).isNull() & (F.xxhash64(F.coalesce(F.col("row").getField(text_col), F.lit(""))) == F.col("gone_key")), "left_anti")
+    kept = rows.join(gone, F.col("row").getField(id_col).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key")), "left_anti")
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

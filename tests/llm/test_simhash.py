@@ -120,6 +120,13 @@ def test_groups_with_odd_rows(make_docs):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 2), (False, 3), (False, 4), (False, 4), (False, 8), (True, 0)]
 
 
+def test_one_document_of_each_group_with_repeated_and_null_ids(make_docs):
+    body, other, third = (" ".join(f"{w}{i}" for i in range(80)) for w in ("word", "line", "part"))
+    rows = [(3, body), (3, body.upper()), (3, "  " + body), (6, body + " "), (None, other), (None, other.upper()), (None, third), (9, "alone in the world")]
+    kept = sorted(((r.doc_id or 0), r.text.strip().lower()) for r in simhash.drop_near_copies(make_docs(rows)).collect())
+    assert kept == sorted([(3, body), (0, other), (0, third), (9, "alone in the world")])
+
+
 def test_empty_table(make_docs, spark):
     docs = make_docs([(1, "a")]).filter("doc_id < 0")
     assert simhash.groups(docs).collect() == []
