@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from indicata.llm import bpe, exact_dedup, kdtree, mixing, secret_scan, sharding, simhash, token_store, toxicity, warc
+from indicata.llm import bpe, exact_dedup, kdtree, mixing, quality_rules, secret_scan, sharding, simhash, token_store, toxicity, warc
 from indicata.llm.common import table
 from indicata.sources.sinks import fresh_path
 
@@ -67,6 +67,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"), labelled)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.decisions(table(spark, sf_dir, "documents"))
+
+
 def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the labelled documents of good quality; they teach the mixing classifier."""
     return table(spark, sf_dir, "labels").filter("quality = 1").select(F.col("doc_id").alias("id"))
@@ -83,6 +87,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_quality_rules": op11_quality_rules,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -103,4 +108,5 @@ WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(te
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, text_sha256
 FROM d""",
+    "op11_quality_rules": quality_rules.oracle_sql(),
 }
