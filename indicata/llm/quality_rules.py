@@ -64,7 +64,7 @@ RULES = (
     Rule("n_capitals", "word_chars", high=400),
     Rule("n_stop_words", "n_words", low=10),
     Rule("n_letter_words", "n_words", low=700),
-    Rule("n_dup_lines", "n_lines", high=300),
+    Rule("n_dup_lines", "n_lines", high=500),
     Rule("n_bullet_lines", "n_lines", high=900),
     Rule("n_ellipsis_lines", "n_lines", high=300),
 )
