@@ -37,7 +37,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import product
 from typing import NamedTuple
 
 import numpy as np
@@ -305,7 +304,7 @@ def _batch(id_type: pa.DataType, schema: str, rows: list[tuple]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(columns[0], id_type), *(pa.array(c, f.type) for c, f in zip(columns[1:], fields))], ["conv_id", *fields.names])
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _grouped(batches: Iterator[pa.RecordBatch], segment_rows: int) -> Iterator[pa.RecordBatch]:
     """Sorted rows to finished conversations (result columns) and rows of those that may go on elsewhere (row columns)."""
     part = TaskContext.get().partitionId()
     none_result, none_row = (None,) * 8, (None,) * 5
@@ -330,7 +329,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # The first and the last conversation of a partition may have rows in others.
                 leave(whole)
                 here, whole, first = conv, not first, False
-            elif len(held) >= SEGMENT_ROWS or chars >= SEGMENT_CHARS:
+            elif len(held) >= segment_rows or chars >= SEGMENT_CHARS:
                 leave(False)
                 whole = False
             held.append((turn, role, text))
@@ -457,12 +456,12 @@ def _repair_segments(rows: DataFrame) -> DataFrame:
     digest = F.sha2(F.col("text"), 256)
     light = rows.select("conv_id", "seg", "pos", "turn", "role", digest.alias("digest"), F.right(F.rtrim("text", F.lit(BLANKS)), F.lit(1)).alias("end"))
     # Said twice or more: the first place, pre-aggregated; skewed keys are split by the join.
-    again = light.groupBy("conv_id", "role", "digest").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    on = light["conv_id"].eqNullSafe(again["conv_id"]) & (light["role"] == again["role"]) & (light["digest"] == again["digest"])
+    again = light.groupBy(F.col("conv_id").alias("its_conv"), F.col("role").alias("its_role"), F.col("digest").alias("its_digest")).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    on = F.col("conv_id").eqNullSafe(F.col("its_conv")) & (F.col("role") == F.col("its_role")) & (F.col("digest") == F.col("its_digest"))
     fault = (
         F.when(F.col("end") == "", BLANK).when(F.col("pos") > F.col("first"), DUPLICATE).when(F.col("end").isin(*ENDS), SOUND).otherwise(CUT_OFF)
     )
-    flagged = light.join(again, on, "left").select(light["conv_id"], "seg", "pos", "turn", F.substring(light["role"], 1, 1).alias("initial"), fault.alias("fault"))
+    flagged = light.join(again, on, "left").select("conv_id", "seg", "pos", "turn", F.substring("role", 1, 1).alias("initial"), fault.alias("fault"))
     # At most SEGMENT_ROWS rows in a group.
     grouped = flagged.groupBy("conv_id", "seg").agg(F.sort_array(F.collect_list(F.struct("pos", "turn", "initial", "fault"))).alias("rows"))
     segments = stage(_per_row(grouped, SEGMENT, _segment), "repair-segments")
@@ -485,26 +484,26 @@ def _start_place() -> int:
     return START
 
 
-def repair_conversations(rows: DataFrame) -> DataFrame:
+def repair_conversations(rows: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every conversation in (conv_id, turn, role, text)."""
     parts = shuffle_partitions(rows.sparkSession)
     # The last key spreads rows that are equal in all others over partitions.
     order = ["conv_id", "turn", "role", F.substring("text", 1, TIE_CHARS), F.xxhash64("text")]
     ordered = rows.select("conv_id", "turn", "role", "text", F.rand(0).alias("spread")).repartitionByRange(parts, *order, "spread").sortWithinPartitions(*order, "spread")
-    done = stage(ordered.select("conv_id", "turn", "role", "text").mapInArrow(_grouped, f"conv_id {_id_type(rows)}, {RESULT}, {ROW}"), "repair-rows")
+    done = stage(ordered.select("conv_id", "turn", "role", "text").mapInArrow(lambda batches: _grouped(batches, segment_rows), f"conv_id {_id_type(rows)}, {RESULT}, {ROW}"), "repair-rows")
     results = [f.split(" ")[0] for f in RESULT.split(", ")]
     closed = done.filter("pos IS NULL").select("conv_id", *results)
     return closed.unionByName(_repair_segments(done.filter("pos IS NOT NULL").select("conv_id", *[f.split(" ")[0] for f in ROW.split(", ")])))
 
 
-def audit(conversations: DataFrame) -> DataFrame:
+def audit(conversations: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """The damage, the faults and the cheapest repair of every conversation, also of those that lost all rows."""
-    found = repair_conversations(damaged(conversations))
-    ids = conversations.select("conv_id").distinct()
-    out = ids.join(found, ids["conv_id"].eqNullSafe(found["conv_id"]), "left")
+    found = repair_conversations(damaged(conversations), segment_rows)
+    ids = conversations.select(F.col("conv_id").alias("original")).distinct()
+    out = ids.join(found, F.col("original").eqNullSafe(F.col("conv_id")), "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
     return out.select(
-        ids["conv_id"],
+        F.col("original").alias("conv_id"),
         *[zero(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),

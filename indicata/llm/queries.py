@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from indicata.llm import bpe, exact_dedup, kdtree, mixing, quality_rules, secret_scan, sharding, simhash, spelling, token_store, toxicity, warc
+from indicata.llm import bpe, conversation_repair, exact_dedup, kdtree, mixing, quality_rules, secret_scan, sharding, simhash, spelling, token_store, toxicity, warc
 from indicata.llm.common import table
 from indicata.sources.sinks import fresh_path
 
@@ -75,6 +75,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audit(table(spark, sf_dir, "conversations"))
+
+
 def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the labelled documents of good quality; they teach the mixing classifier."""
     return table(spark, sf_dir, "labels").filter("quality = 1").select(F.col("doc_id").alias("id"))
@@ -93,6 +97,7 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_quality_rules": op11_quality_rules,
     "op12_spelling": op12_spelling,
+    "op13_conversations": op13_conversations,
     "pipeline": corpus_pipeline.run,
 }
 
