@@ -14,7 +14,8 @@ tasks.
    parallel, each exactly as inside the whole text.
 3. A text in which some overlap shows no shared boundary (a run of letters or
    blanks longer than the overlap) is put together again from its chunks and
-   encoded as one piece.
+   encoded as one piece; very long runs of white space, on which the library's
+   pattern engine overflows, are cut out of it and encoded on their own.
 
 Texts that fit into one chunk need no stitching and are encoded where they
 are read. Decoding concatenates the tokens' raw bytes.
@@ -48,6 +49,11 @@ OVERLAP = 512
 LOOKAHEAD = 3
 #: Texts that a Python worker encodes or decodes at a time.
 SLICE = 128
+#: White space as the pattern knows it. Runs of so many are cut out before the
+#: library's pattern engine, whose stack grows with them, sees a text.
+LONG_BLANKS = regex.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{4096,}+")
+#: How a pattern must end for that: a run before a non-blank leaves its last character to what follows.
+BLANK_RULE = "|\\s+(?!\\S)|\\s+"
 
 
 @lru_cache(maxsize=4)
@@ -63,6 +69,22 @@ def splitter(pattern: str) -> regex.Pattern:
     return regex.compile(pattern)
 
 
+def encode_whole(enc: tiktoken.Encoding, pattern: str, text: str) -> list[int]:
+    """Ids of a text of any content. A long run of white space is one pre-token, but for its last character if more follows."""
+    runs = list(LONG_BLANKS.finditer(text))
+    if not runs:
+        return enc.encode_ordinary(text)
+    if not pattern.endswith(BLANK_RULE) or "\\s" in pattern[: -len(BLANK_RULE)].replace("[^\\s", ""):
+        return [i for m in splitter(pattern).finditer(text) for i in enc._encode_single_piece(m.group())]
+    ids, at = [], 0
+    for m in runs:
+        stop = m.end() - (m.end() < len(text))
+        ids += enc.encode_ordinary(text[at : m.start()])
+        ids += enc._encode_single_piece(text[m.start() : stop])
+        at = stop
+    return ids + enc.encode_ordinary(text[at:])
+
+
 def cut(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[str]:
     """Overlapping chunks; a text of up to one chunk and overlap is one chunk."""
     if len(text) <= chunk + overlap:
@@ -120,7 +142,7 @@ def encode_pieces(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(ranks_path, pattern)
-        return _in_slices(batches, "text", lambda texts: [ids_bytes(enc.encode_ordinary(t)) for t in texts], "ids")
+        return _in_slices(batches, "text", lambda texts: [ids_bytes(encode_whole(enc, pattern, t)) for t in texts], "ids")
 
     return df.mapInArrow(run, _with_binary(df, "text", "ids"))
 
@@ -230,7 +252,7 @@ def encode_text(text: str, ranks_path: str, pattern: str, chunk: int = CHUNK, ov
     chunks = cut(text, chunk, overlap)
     starts = stitches(chunks, pattern, chunk, overlap)
     if None in starts:
-        return enc.encode_ordinary(text)
+        return encode_whole(enc, pattern, text)
     stops = [s + chunk for s in starts[1:]] + [len(chunks[-1])]
     return [i for c, a, b in zip(chunks, starts, stops) for i in enc.encode_ordinary(c[a:b])]
 

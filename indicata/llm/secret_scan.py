@@ -55,11 +55,11 @@ ISSUERS = {
     "npm": "npm_[A-Za-z0-9]{36}",
     "pypi": "pypi-[A-Za-z0-9_\\-]{50,}",
     "digitalocean": "do[oprt]_v1_[a-f0-9]{64}",
-    "sk": "sk-(?=[A-Za-z_\\-]*[0-9])[A-Za-z0-9_\\-]{20,}",
-    "jwt": "eyJ[A-Za-z0-9_\\-]{8,}\\.eyJ[A-Za-z0-9_\\-]{8,}\\.[A-Za-z0-9_\\-]*",
+    "sk": "sk-(?=[A-Za-z_\\-]{0,255}[0-9])[A-Za-z0-9_\\-]{20,}",
+    "jwt": "eyJ[A-Za-z0-9_\\-]{8,4096}+\\.eyJ[A-Za-z0-9_\\-]{8,}\\.[A-Za-z0-9_\\-]*",
 }
 #: Findings that teach as harmless: numbers without a name, plain paths, and letters that dictionary words cover to this share.
-NUMBER, PATH, LETTERS, COVERED = "^[0-9+/\\-]+$", "^/?([a-z]{1,15}/)+[a-z]{0,15}$", "^[A-Za-z_/\\-]+$", 0.5
+NUMBER, PATH, LETTERS, COVERED = "^[0-9+/\\-]+$", "^/?(?:[a-z]{1,15}+/)++[a-z]{0,15}+$", "^[A-Za-z_/\\-]+$", 0.5
 NAMES = "(?i)(password|passwd|pwd|secret|token|api_?key|auth|credential)"
 DICTIONARY = 256
 TRAIN_ROWS = 5_000
@@ -68,16 +68,17 @@ THRESHOLD = 0.5
 FEATURES = ["length", "letter_digit", "digit_letter", "lower_upper", "upper_lower", "digits", "uppers", "vowels", "distinct", "coverage", "path", "place", "named", "assigned", "before_coverage", "after_coverage", "after_length"]
 
 
-#: A credential name with what may follow it, the sign behind it, and a value: quoted, or up to the next assignment in the word.
-NAMED = NAMES + "[\\w.\\-]*[\"')\\]]*"
+#: A run of word characters that holds a credential name, with the marks behind it, the sign behind them, and a value:
+#: quoted, or up to the next assignment in the word. A run is tried once, from its start, and never given back.
+NAMED = f"(?<![\\w.\\-])(?=[\\w.\\-]*?{NAMES})[\\w.\\-]++[\"')\\]]*+"
 SIGN = "(?:[=:]+>?)"
-VALUE = "(\"[^\"]*\"?|'[^']*'?|(?:(?![,;&][\\w.\\-]+[\"']?[=:])\\S)+)"
+VALUE = "(\"[^\"]*\"?|'[^']*'?|(?:(?![,;&][\\w.\\-]++[\"']?[=:])\\S)++)"
 ISSUED = "(?<![A-Za-z0-9])(?:" + "|".join(ISSUERS.values()) + ")(?![A-Za-z0-9])"
 
 
 def _bare(value: Column) -> Column:
     """A value without the marks around it."""
-    return F.regexp_replace(value, "^[\"'(\\[{<]+|[\"')\\]}>,;.]+$", "")
+    return F.rtrim(F.ltrim(value, F.lit("\"'([{<")), F.lit("\"')]}>,;."))
 
 
 def _named_values(rows: DataFrame) -> DataFrame:

@@ -42,6 +42,25 @@ def test_documents(make_docs, stored, chunk, overlap):
     assert sorted(map(tuple, got), key=repr) == sorted(((i, *digest(t)) for i, t in rows), key=repr)
 
 
+@pytest.mark.parametrize("blanks", [" ", "\n", " \n\t", "\u3000 "])
+def test_very_long_runs_of_blanks(blanks):
+    """Two million blanks overflow the library; the ids are those of the pre-tokens, each encoded by itself."""
+    run = blanks * (2_000_000 // len(blanks))
+    for text in (run, "word" + run, run + "word", f"a, b{run}c d{run}! {run}"):
+        want = [i for m in bpe.splitter(PATTERN).finditer(text) for i in ENC._encode_single_piece(m.group())]
+        assert bpe.encode_text(text, RANKS, PATTERN) == want
+        other = PATTERN.replace("|\\s+(?!\\S)", "|\\s+?(?=x)|\\s+(?!\\S)")
+        assert bpe.encode_whole(bpe.encoding(RANKS, other), other, text) == want
+    short = "a b" + blanks * 5_000 + "c  d" + blanks * 6_000
+    assert bpe.encode_whole(ENC, PATTERN, short) == ENC.encode_ordinary(short)
+
+
+def test_documents_of_blanks(make_docs, stored):
+    rows = [(1, " " * 1_200_000 + "x"), (2, "\n" * 1_200_000), (3, "plain")]
+    got = bpe.digests(bpe.encode(stored(make_docs(rows)), RANKS, PATTERN), RANKS, PATTERN).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in got} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in rows}
+
+
 def test_other_columns_pass_and_may_clash(spark, stored):
     odd = stored(spark.createDataFrame([(1, "a b " * 9_000, "k", 5, "r"), (2, "c", None, 6, None)], "doc_id long, text string, `key` string, `no` int, `row` string"))
     rows = bpe.encode(odd, RANKS, PATTERN).select("row.*").collect()

@@ -118,3 +118,15 @@ def test_query_finds_planted_secrets(spark):
     assert sorted((r.doc_id, r.place, r.secret) for r in rows) == sorted((i, *c) for i, t in texts.items() for c in plain_candidates(t))
     planted = {(i, m) for i, t in texts.items() for m in re.findall(r"AKIA[0-9A-Z]{16}\b|(?<=password=)[0-9a-f]{18}|(?<=token = \")[0-9a-f]{40}", t or "")}
     assert planted and planted <= {(r.doc_id, r.secret) for r in rows if r.is_secret}
+
+
+def test_very_long_words(make_docs, spark):
+    """A megabyte of what patterns could repeat over: each in seconds, none ends the job."""
+    import time
+
+    words = ["aa/" * 350_000, "token" * 200_000, "password=" + ")" * 1_000_000 + "x", "sk-" * 350_000, "-eyJ" * 250_000, "secret=" + "x," * 400_000, "api_key:" + "'" * 500_000, "-" * 1_000_000, "token-" * 170_000 + "=q7Zp"]
+    labelled = spark.createDataFrame([(i,) for i in range(len(words))], "id long")
+    before = time.time()
+    found = {(r.doc_id, len(r.secret)) for r in secret_scan.scan(make_docs(words), labelled).collect()}
+    assert time.time() - before < 120
+    assert {(0, 1_050_000), (1, 1_000_000), (8, 4)} <= found
