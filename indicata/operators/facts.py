@@ -86,8 +86,12 @@ def unknown_fallback_key(code_type: str, year: int, resolve_unknown: bool = Fals
     return surrogate_key(code_type, UNKNOWN, year)
 
 
-def code_keys(dim: DataFrame, code_type: str, year: int, code_name: str, sk_name: str) -> DataFrame:
-    """The (code -> key) slice of the dimension for one type and year."""
+def code_keys(dim: DataFrame, code_type: str, year: int | None, code_name: str, sk_name: str) -> DataFrame:
+    """The (code -> key) slice of the dimension for one type and year; without a
+    year the keys of all years, by (code, reference_year)."""
+    if year is None:
+        own = dim.filter(F.col("code_type") == code_type)
+        return narrowed(dim, own.select(F.col("code").alias(code_name), "reference_year", F.col("code_sk").alias(sk_name)))
     return narrowed(
         dim,
         dim.filter((F.col("code_type") == code_type) & (F.col("reference_year") == year)).select(

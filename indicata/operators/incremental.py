@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from indicata.functions import month_label
 from indicata.operators.indicator import Period
-from indicata.operators.joins import bounded_broadcast, having, lacking
+from indicata.operators.intervals import RangeTable
+from indicata.operators.joins import bounded_broadcast, having, lacking, narrowed
 
 
 def lookback_extract(staged: DataFrame, watermark: _dt.date | _dt.datetime, lookback_days: int = 7, ts_col: str = "updated_at") -> DataFrame:
@@ -166,30 +167,14 @@ def versioned_code_flags(versioned_map: DataFrame, code_type: str, identifiers:
 
 
 def effective_versions(versioned_map: DataFrame) -> DataFrame:
-    """Distinct versions with their effective range, exploded to one row per
-    calendar year they touch (the equi-join bucket)."""
-    v = versioned_map.select("ref_version", "effective_start_date", "effective_end_date").distinct()
-    return v.select(
-        "*",
-        F.explode(F.sequence(F.year("effective_start_date"), F.year("effective_end_date")).cast("array<bigint>")).alias("_year"),
-    )
-
+    """Distinct versions with their effective range."""
+    return versioned_map.select("ref_version", "effective_start_date", "effective_end_date").distinct()
 
-def with_version(rows: DataFrame, date_col: str, versions: DataFrame) -> DataFrame:
-    """``rows`` with the reference version effective on ``date_col`` (null: none).
 
-    Range join rewritten as an equi-join on the calendar year (versions are
-    exploded per year they cover) plus a BETWEEN filter, against a broadcast
-    of the (bounded) version table. Versions must not overlap.
-    """
-    dated = rows.withColumn("_year", F.year(F.col(date_col)).cast("bigint"))
-    vers = bounded_broadcast(versions)
-    cond = (
-        (dated["_year"] == vers["_year"])
-        & (F.col(date_col) >= vers["effective_start_date"])
-        & (F.col(date_col) <= vers["effective_end_date"])
-    )
-    return dated.join(vers, cond, "left").select(*[dated[c] for c in rows.columns], vers["ref_version"])
+def with_version(rows: DataFrame, date_col: str, versions: RangeTable) -> DataFrame:
+    """``rows`` with the reference version effective on ``date_col`` (null: none):
+    a binary search in the resolved ranges, no join."""
+    return rows.withColumn("ref_version", versions.at(F.col(date_col)))
 
 
 def effective_dated_lookup(
@@ -197,14 +182,14 @@ def effective_dated_lookup(
     date_col: str,
     code_col: str,
     versioned_flags: DataFrame,
-    versions: DataFrame,
+    versions: RangeTable,
 ) -> DataFrame:
     """Attach the reference version effective on ``date_col`` and the code's
     membership flag in that version (an equi-join on code and version).
     """
     dated = with_version(rows, date_col, versions)
     flags = bounded_broadcast(
-        versioned_flags.select(F.col("code").alias(code_col), "ref_version", "in_set")
+        narrowed(versioned_flags, versioned_flags.select(F.col("code").alias(code_col), "ref_version", "in_set"))
     )
     out = dated.join(flags, [code_col, "ref_version"], "left")
     return out.select(*rows.columns, "ref_version", F.coalesce(F.col("in_set"), F.lit(0)).cast("bigint").alias("in_set"))

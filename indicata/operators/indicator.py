@@ -232,7 +232,7 @@ def encounter_flags(
     ``base``. No fact rows are unioned, so when the facts are bucketed by
     encounter (``Warehouse``) every step is co-located and nothing is
     shuffled; left joins keep ``base``'s partitioning for later groupings.
-    ``only_ids`` (a broadcast id set) drops rows of other encounters first.
+    ``only_ids`` (a set of ids) drops rows of other encounters first.
     """
     dx = (
         _only(_diagnosis_flag_rows(diagnosis, flags), only_ids)
@@ -319,9 +319,13 @@ def monthly_indicator(
 
     A month with no eligible encounter has no row (see ``with_month_spine``).
     """
-    el = eligible(discharge, diagnosis, procedure, flags, spec, period, prefilter)
+    return monthly_of(eligible(discharge, diagnosis, procedure, flags, spec, period, prefilter), spec, month_col)
+
+
+def monthly_of(cohort: DataFrame, spec: IndicatorSpec, month_col: str = "month") -> DataFrame:
+    """Numerator, denominator and rounded rate per month of an ``eligible`` cohort."""
     return (
-        el.groupBy("year_month")
+        cohort.groupBy("year_month")
         .agg(F.sum("in_numerator").cast("bigint").alias("numerator"), F.count(F.lit(1)).alias("denominator"))
         .select(
             F.col("year_month").alias(month_col),

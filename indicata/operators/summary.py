@@ -20,6 +20,7 @@ from indicata.functions import text_list
 from indicata.operators.facts import code_keys
 from indicata.operators.joins import bounded_broadcast, lookup, narrowed
 from indicata.operators.reference import code_identifiers
+from indicata.operators.skew import salt, salted_arrays
 
 # Fixed value: text fallback for a DRG missing from the dimension.
 DRG_TEXT_FALLBACK = "Unknown"
@@ -36,12 +37,17 @@ def _identifiers_lookup(df: DataFrame, ci: DataFrame, code_type: str, sk_col: st
     )
 
 
-def diagnosis_structs(diagnosis: DataFrame, dim: DataFrame, ci: DataFrame, year: int) -> DataFrame:
+def _by(code: str, year: int | None) -> list[str]:
+    """Columns that a code is looked up by: with its row's own year where there is no one year."""
+    return [code] if year is not None else [code, "reference_year"]
+
+
+def diagnosis_structs(diagnosis: DataFrame, dim: DataFrame, ci: DataFrame, year: int | None) -> DataFrame:
     """Diagnosis lines with the struct fields of the summary."""
     looked = lookup(
-        diagnosis.select("patient_id", "diag_code", "diag_rank_num", "is_principal_diag", "is_present_on_admission"),
+        diagnosis.select("patient_id", *_by("diag_code", year), "diag_rank_num", "is_principal_diag", "is_present_on_admission"),
         code_keys(dim, "Diagnosis", year, "diag_code", "code_sk"),
-        ["diag_code"],
+        _by("diag_code", year),
     )
     return _identifiers_lookup(looked, ci, "Diagnosis", "code_sk")
 
@@ -66,14 +72,18 @@ def _public_diag(s: Column) -> Column:
     )
 
 
-def diagnosis_arrays(diag_structs: DataFrame) -> DataFrame:
+def _arrays(rows: DataFrame, arrays: dict[str, Column], least: dict[str, Column], salted: bool) -> DataFrame:
+    """Sorted arrays and minima per encounter, in two salted stages for hot encounters."""
+    if salted:
+        return salted_arrays(rows, "patient_id", arrays, least, salt("code_sk"))
+    return rows.groupBy("patient_id").agg(*[F.sort_array(F.collect_list(v)).alias(n) for n, v in arrays.items()], *[F.min(v).alias(n) for n, v in least.items()])
+
+
+def diagnosis_arrays(diag_structs: DataFrame, salted: bool = False) -> DataFrame:
     """Per encounter: the principal diagnosis (first by rank, ties by code then
     present flag; NULL when none) and the ordered secondary diagnoses."""
     principal = F.col("is_principal_diag") == 1
-    agg = diag_structs.groupBy("patient_id").agg(
-        F.min(F.when(principal, _diag_struct(True))).alias("_p"),
-        F.sort_array(F.collect_list(F.when(~principal, _diag_struct(True)))).alias("_s"),
-    )
+    agg = _arrays(diag_structs, {"_s": F.when(~principal, _diag_struct(True))}, {"_p": F.when(principal, _diag_struct(True))}, salted)
     return agg.select(
         "patient_id",
         F.when(F.col("_p").isNotNull(), _public_diag(F.col("_p"))).alias("principal_diagnosis"),
@@ -81,18 +91,14 @@ def diagnosis_arrays(diag_structs: DataFrame) -> DataFrame:
     )
 
 
-def procedure_arrays(procedure: DataFrame, dim: DataFrame, ci: DataFrame, year: int) -> DataFrame:
+def procedure_arrays(procedure: DataFrame, dim: DataFrame, ci: DataFrame, year: int | None, salted: bool = False) -> DataFrame:
     looked = lookup(
-        procedure.select("patient_id", "procedure_code"),
+        procedure.select("patient_id", *_by("procedure_code", year)),
         code_keys(dim, "Procedure", year, "procedure_code", "code_sk"),
-        ["procedure_code"],
+        _by("procedure_code", year),
     )
     structs = _identifiers_lookup(looked, ci, "Procedure", "code_sk")
-    agg = structs.groupBy("patient_id").agg(
-        F.sort_array(
-            F.collect_list(F.struct(F.col("procedure_code").alias("code"), F.col("code_sk"), F.col("identifiers")))
-        ).alias("_p")
-    )
+    agg = _arrays(structs, {"_p": F.struct(F.col("procedure_code").alias("code"), F.col("code_sk"), F.col("identifiers"))}, {}, salted)
     return agg.select(
         "patient_id",
         F.transform(
@@ -107,21 +113,26 @@ def discharge_summary(
     diagnosis: DataFrame,
     procedure: DataFrame,
     dim: DataFrame,
-    bridge: DataFrame,
-    year: int,
+    bridge: DataFrame | None,
+    year: int | None,
     ci: DataFrame | None = None,
+    salted: bool = False,
 ) -> DataFrame:
     """Nested one-row-per-discharge summary; arrays are never NULL.
 
+    Without a ``year`` every row is looked up in its own ``reference_year``
+    (``versioned.rekeyed``), and ``ci`` must be given.
+    ``salted`` builds the arrays in two stages, for encounters with very many lines.
+
     ``ci`` is the per-code identifier array table (``code_identifiers``) when
     it is already materialized; it is derived from ``bridge`` otherwise.
     """
     ci = ci if ci is not None else narrowed(bridge, code_identifiers(bridge, year))
     drg = _identifiers_lookup(
-        lookup(discharge, code_keys(dim, "DRG", year, "drg", "_drg_sk"), ["drg"]), ci, "DRG", "_drg_sk"
+        lookup(discharge, code_keys(dim, "DRG", year, "drg", "_drg_sk"), _by("drg", year)), ci, "DRG", "_drg_sk"
     )
-    dx = diagnosis_arrays(diagnosis_structs(diagnosis, dim, ci, year))
-    px = procedure_arrays(procedure, dim, ci, year)
+    dx = diagnosis_arrays(diagnosis_structs(diagnosis, dim, ci, year), salted)
+    px = procedure_arrays(procedure, dim, ci, year, salted)
     empty_dx = F.array().cast(
         T.ArrayType(
             T.StructType(

@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from indicata.functions import month_label, safe_rate, surrogate_key
 from indicata.operators.incremental import with_version
 from indicata.operators.indicator import IndicatorSpec, Period, flag_columns, inclusion_filter, of_period, ungroupable_drg
+from indicata.operators.intervals import RangeTable
 from indicata.operators.joins import bounded_broadcast, having, lacking, narrowed
+from indicata.operators.reference import UNKNOWN, code_map, with_unknown_members
 
 
 def versioned_flags(versioned_map: DataFrame, spec: IndicatorSpec) -> DataFrame:
@@ -43,7 +45,7 @@ def eligible(
     diagnosis: DataFrame,
     procedure: DataFrame,
     flags: DataFrame,
-    versions: DataFrame,
+    versions: RangeTable,
     spec: IndicatorSpec,
     period: Period,
 ) -> DataFrame:
@@ -108,3 +110,36 @@ def numerator_patients(cohort: DataFrame, *, run_id: str, computed_at: Column) -
         F.lit(run_id).alias("run_id"),
         computed_at.alias("computed_at"),
     )
+
+
+def versioned_dim(versioned_map: DataFrame) -> DataFrame:
+    """Code keys of every version, UNKNOWN members included: (code_type, code, reference_year, code_sk, identifiers)."""
+    members = with_unknown_members(code_map(versioned_map, None))
+    key = surrogate_key(F.col("code"), F.col("code_type"), F.col("reference_year"))
+    named = members.groupBy("code_type", "code", "reference_year").agg(F.array_sort(F.collect_set("identifier")).alias("identifiers"))
+    return named.withColumn("code_sk", key)
+
+
+def encounter_versions(patient: DataFrame, versions: RangeTable, years: RangeTable) -> DataFrame:
+    """(patient_id, ref_version, reference_year) of the version effective on an
+    encounter's last discharge (null: none is)."""
+    last = patient.groupBy("patient_id").agg(F.max("discharge_date").alias("_last"))
+    return last.select("patient_id", versions.at(F.col("_last")).alias("ref_version"), years.at(F.col("_last")).cast("bigint").alias("reference_year"))
+
+
+#: Reference year of the fallback key of codes of no version.
+NO_YEAR = -1
+
+
+def rekeyed(fact: DataFrame, versions: DataFrame, dim: DataFrame, code_type: str, code: str, key: str) -> DataFrame:
+    """A fact whose code key is that of the version effective for its encounter.
+
+    ``versions`` (``encounter_versions``, bucketed like the fact) joins without
+    a shuffle, the keys of all versions by code and year. A code that its
+    version does not hold gets the type-first fallback key of that year."""
+    own = F.col("code_type") == code_type
+    keys = narrowed(dim, dim.filter(own).select(F.col("code").alias(code), "reference_year", F.col("code_sk").alias("_sk")))
+    dated = fact.drop(key).join(versions, "patient_id", "left")
+    found = dated.join(bounded_broadcast(keys), [code, "reference_year"], "left")
+    fallback = surrogate_key(code_type, UNKNOWN, F.coalesce("reference_year", F.lit(NO_YEAR)))
+    return found.withColumn(key, F.coalesce("_sk", fallback)).select(*fact.columns, "ref_version", "reference_year")

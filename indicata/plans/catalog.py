@@ -22,6 +22,7 @@ from indicata.operators import quality as dq
 from indicata.operators import reference as ref
 from indicata.operators import summary as summ
 from indicata.operators import versioned as ver
+from indicata.operators.intervals import RangeTable, lookup_intervals, overlaps, resolved
 from indicata.operators.joins import bounded_broadcast, lacking, lookup, narrowed
 from indicata.plans.nightly import RunOutputs, StagedExtract, VersionedReference, nightly_run
 from indicata.plans.warehouse import Warehouse, fixture_warehouse
@@ -35,6 +36,8 @@ from indicata.sources.contract import (
     read_contract,
 )
 
+from indicata.sources.touched import KeyedTable
+
 YEAR = fx.FIXTURE_YEAR
 RUN_DATE = fx.FIXTURE_RUN_DATE
 ROLLING_RUN_DATE = fx.FIXTURE_ROLLING_RUN_DATE
@@ -42,6 +45,8 @@ PREVIOUS_ROLLING_RUN_DATE = _dt.date(1997, 5, 31)
 BACKFILL = ("1996-01", "1997-12")
 FRESHNESS_RUN_DATE = _dt.date(1998, 1, 15)
 SPEC = ind.IndicatorSpec()
+#: Buckets of the patient store in (year, bucket) folders.
+TOUCHED_BUCKETS = 16
 
 _WAREHOUSES: dict[tuple, Warehouse] = {}
 
@@ -54,10 +59,6 @@ def warehouse(spark: SparkSession, sf_dir: str, sepsis_hi: int = 12) -> Warehous
     return _WAREHOUSES[key]
 
 
-def _facts(w: Warehouse):
-    return w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year, w.flags(SPEC)
-
-
 # -- sources and sinks ---------------------------------------------------------
 
 
@@ -294,13 +295,13 @@ def ungroupable_drg(spark, sf):
 
 
 def denominator_inclusions(spark, sf):
-    d, _, pr, fl = _facts(warehouse(spark, sf))
-    return ind.inclusions(d, pr, fl, SPEC, ind.Period.year(YEAR))
+    w = warehouse(spark, sf)
+    return w.over_parts(lambda p: ind.inclusions(p.discharge, p.procedure, w.flags(SPEC), SPEC, ind.Period.year(YEAR)))
 
 
 def denominator_exclusions(spark, sf):
-    d, dx, _, fl = _facts(warehouse(spark, sf))
-    return ind.exclusions(d, dx, fl, SPEC)
+    w = warehouse(spark, sf)
+    return w.over_parts(lambda p: ind.exclusions(p.discharge, p.diagnosis, w.flags(SPEC), SPEC))
 
 
 def eligible(spark, sf):
@@ -312,9 +313,44 @@ def monthly_metrics(spark, sf):
 
 
 def exclusion_reasons(spark, sf):
-    d, dx, pr, fl = _facts(warehouse(spark, sf))
-    w = warehouse(spark, sf)
-    return ind.exclusion_reasons(d, dx, pr, fl, SPEC, ind.Period.year(YEAR), prefilter=w.prefilter)
+    return _exclusion_reasons(warehouse(spark, sf))
+
+
+def _exclusion_reasons(w: Warehouse) -> DataFrame:
+    counted = w.over_parts(
+        lambda p: ind.exclusion_reasons(p.discharge, p.diagnosis, p.procedure, w.flags(SPEC), SPEC, ind.Period.year(YEAR), prefilter=w.prefilter)
+    )
+    return counted.groupBy("year_month", "reason").agg(F.sum("encounters").alias("encounters"))
+
+
+_HOT_WAREHOUSES: dict[tuple, Warehouse] = {}
+
+
+def hot_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse in which one encounter has a third of all diagnosis lines, one
+    of all procedures and one of all discharges."""
+    key = (spark, sf_dir)
+    if key not in _HOT_WAREHOUSES:
+        _HOT_WAREHOUSES[key] = Warehouse(spark, fx.hot_inputs(spark, sf_dir), YEAR)
+    return _HOT_WAREHOUSES[key]
+
+
+def hot_encounter_metrics(spark, sf):
+    """The monthly indicator beside hot encounters."""
+    return hot_warehouse(spark, sf).monthly(SPEC, ind.Period.year(YEAR))
+
+
+def hot_encounter_reasons(spark, sf):
+    return _exclusion_reasons(hot_warehouse(spark, sf))
+
+
+def hot_encounter_arrays(spark, sf):
+    """Principal line, and number and SHA-256 of the arrays' codes, of every discharge beside hot encounters."""
+    flat = summ.flatten_summary(hot_warehouse(spark, sf).discharge_summary)
+    return flat.select(
+        "patient_id", "discharge_date", "principal_code", "principal_poa", "n_secondary", F.sha2("secondary_codes", 256).alias("secondary_sha256"),
+        "n_procedures", F.sha2("procedure_codes", 256).alias("procedures_sha256"),
+    )
 
 
 # -- nested summary ------------------------------------------------------------------------
@@ -390,6 +426,15 @@ def upsert_latest(spark, sf):
     return inc.upsert_latest(current, changes, ["patient_id"], "updated_at")
 
 
+def upsert_touched(spark, sf):
+    """The same upsert on a table in (year, bucket) folders: the touched ones are rewritten."""
+    current = fx.staged_patient(spark, sf, versions=(1,))
+    store = KeyedTable(spark, sinks.fresh_path(spark, "patient-store"), current.schema, "patient_id", "discharge_date", TOUCHED_BUCKETS)
+    store.create(current)
+    store.upsert(inc.lookback_extract(fx.staged_patient(spark, sf), RUN_DATE), "updated_at")
+    return store.read()
+
+
 def _corrected(spark: SparkSession, sf: str) -> DataFrame:
     """Encounters whose correction lies in the night's lookback."""
     changes = inc.lookback_extract(fx.staged_patient(spark, sf, versions=(2,)), RUN_DATE)
@@ -428,10 +473,11 @@ def metrics_upsert(spark, sf):
 
 
 def _numerator_patients(w: Warehouse, run_id: str) -> DataFrame:
-    d, dx, pr, fl = _facts(w)
-    return ind.numerator_patients(
-        d, dx, pr, fl, SPEC, ind.Period.year(YEAR),
-        ref_version=f"{YEAR}-01-01", run_id=run_id, computed_at=inc.run_timestamp(RUN_DATE), prefilter=w.prefilter,
+    return w.over_parts(
+        lambda p: ind.numerator_patients(
+            p.discharge, p.diagnosis, p.procedure, w.flags(SPEC), SPEC, ind.Period.year(YEAR),
+            ref_version=f"{YEAR}-01-01", run_id=run_id, computed_at=inc.run_timestamp(RUN_DATE), prefilter=w.prefilter,
+        )
     )
 
 
@@ -458,17 +504,16 @@ def run_log(spark, sf):
     )
 
 
-_VERSIONED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+_VERSIONED: dict[tuple, tuple[DataFrame, RangeTable]] = {}
 
 
-def _versioned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Per-version sepsis flags and the version table, written once."""
+def _versioned(spark: SparkSession, sf: str) -> tuple[DataFrame, RangeTable]:
+    """Per-version sepsis flags, written once, and the versions' ranges."""
     key = (spark, sf)
     if key not in _VERSIONED:
         vmap = fx.versioned_code_lists(spark, sf)
         flags = sinks.materialize(inc.versioned_code_flags(vmap, "Diagnosis", SPEC.numerator_identifiers), "ref-vflags")
-        versions = sinks.materialize(inc.effective_versions(vmap), "ref-versions")
-        _VERSIONED[key] = (flags, versions)
+        _VERSIONED[key] = (flags, RangeTable.of(inc.effective_versions(vmap)))
     return _VERSIONED[key]
 
 
@@ -483,6 +528,64 @@ def effective_dated_lookup(spark, sf):
     return out.select("patient_id", "diag_code", "diag_rank_num", "ref_version", F.col("in_set").alias("is_sepsis_code"))
 
 
+def _code_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.code_ranges(spark, sf)
+
+
+def interval_lookup(spark, sf):
+    """The validity range of each diagnosis line's code on its discharge date;
+    the ranges of a code overlap and leave gaps."""
+    w = warehouse(spark, sf)
+    rows = w.fct_diagnosis.select("patient_id", "diag_code", "diag_rank_num").join(
+        w.fct_discharge.select("patient_id", "discharge_date"), "patient_id", "left"
+    )
+    arrays = sinks.materialize(resolved(_code_ranges(spark, sf), ["diag_code"], "range_name"), "ref-ranges")
+    return lookup_intervals(rows, "discharge_date", ["diag_code"], arrays, "range_name")
+
+
+def dq_range_overlap(spark, sf):
+    """Ranges of a code that begin before an earlier one has ended."""
+    return overlaps(_code_ranges(spark, sf), ["diag_code"])
+
+
+_VERSIONED_DIMS: dict[tuple, tuple] = {}
+
+
+def _versioned_facts(spark: SparkSession, sf: str) -> tuple:
+    """The three facts under the code lists effective on each discharge, and the codes of all versions."""
+    key, w = (spark, sf), warehouse(spark, sf)
+    if key not in _VERSIONED_DIMS or _VERSIONED_DIMS[key][0] is not w:
+        vmap = fx.versioned_code_lists(spark, sf)
+        ranges = vmap.select("effective_start_date", "effective_end_date", "reference_year").distinct()
+        versions = ver.encounter_versions(w.core_patient, _versioned(spark, sf)[1], RangeTable.of(ranges, "reference_year"))
+        _VERSIONED_DIMS[key] = (w, sinks.materialize(ver.versioned_dim(vmap), "ref-vdim"), w._save_fact(versions, "encounter_versions"))
+    _, dim, versions = _VERSIONED_DIMS[key]
+    return (
+        ver.rekeyed(w.fct_discharge, versions, dim, "DRG", "drg", "drg_code_sk"),
+        ver.rekeyed(w.fct_diagnosis, versions, dim, "Diagnosis", "diag_code", "diag_code_sk"),
+        ver.rekeyed(w.fct_procedure, versions, dim, "Procedure", "procedure_code", "procedure_code_sk"),
+        dim,
+    )
+
+
+def fct_discharge_versioned(spark, sf):
+    return _versioned_facts(spark, sf)[0]
+
+
+def fct_diagnosis_versioned(spark, sf):
+    return _versioned_facts(spark, sf)[1]
+
+
+def fct_procedure_versioned(spark, sf):
+    return _versioned_facts(spark, sf)[2]
+
+
+def discharge_summary_versioned(spark, sf):
+    """The nested summary with keys and identifiers of the version effective on each discharge."""
+    d, dx, pr, dim = _versioned_facts(spark, sf)
+    return summ.flatten_summary(summ.discharge_summary(d.drop("ref_version"), dx, pr, dim, None, None, ci=dim))
+
+
 _REFERENCES: dict[tuple, VersionedReference] = {}
 
 
@@ -497,9 +600,10 @@ def _reference(spark: SparkSession, sf: str) -> VersionedReference:
 
 def _versioned_cohort(spark: SparkSession, sf: str) -> DataFrame:
     """The rolling window across January, each discharge by its own year's lists."""
-    d, dx, pr, _ = _facts(warehouse(spark, sf))
     reference = _reference(spark, sf)
-    return ver.eligible(d, dx, pr, reference.flags, reference.versions, SPEC, ind.Period.rolling(ROLLING_RUN_DATE))
+    return warehouse(spark, sf).over_parts(
+        lambda p: ver.eligible(p.discharge, p.diagnosis, p.procedure, reference.flags, reference.versions, SPEC, ind.Period.rolling(ROLLING_RUN_DATE))
+    )
 
 
 def monthly_metrics_versioned(spark, sf):
@@ -753,6 +857,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "eligible": eligible,
     "monthly_metrics": monthly_metrics,
     "exclusion_reasons": exclusion_reasons,
+    "hot_encounter_metrics": hot_encounter_metrics,
+    "hot_encounter_reasons": hot_encounter_reasons,
+    "hot_encounter_arrays": hot_encounter_arrays,
     "discharge_summary_flat": discharge_summary_flat,
     "principal_diagnosis": principal_diagnosis,
     "secondary_diagnoses": secondary_diagnoses,
@@ -762,6 +869,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_range": backfill_range,
     "lookback_extract": lookback_extract,
     "upsert_latest": upsert_latest,
+    "upsert_touched": upsert_touched,
     "stream_staged_upsert": stream_staged_upsert,
     "upsert_fct_diagnosis": upsert_fct_diagnosis,
     "upsert_fct_procedure": upsert_fct_procedure,
@@ -777,6 +885,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "numerator_diff": numerator_diff,
     "run_log": run_log,
     "effective_dated_lookup": effective_dated_lookup,
+    "interval_lookup": interval_lookup,
+    "dq_range_overlap": dq_range_overlap,
+    "fct_discharge_versioned": fct_discharge_versioned,
+    "fct_diagnosis_versioned": fct_diagnosis_versioned,
+    "fct_procedure_versioned": fct_procedure_versioned,
+    "discharge_summary_versioned": discharge_summary_versioned,
     "monthly_metrics_versioned": monthly_metrics_versioned,
     "numerator_patients_versioned": numerator_patients_versioned,
     "dq_row_counts": dq_row_counts,

@@ -23,8 +23,9 @@ from indicata.operators import incremental as inc
 from indicata.operators import indicator as ind
 from indicata.operators import quality as dq
 from indicata.operators import versioned as ver
+from indicata.operators.intervals import RangeTable
 from indicata.operators.joins import union_all
-from indicata.plans.warehouse import MONTH_COL, YEAR_COL, Warehouse
+from indicata.plans.warehouse import MONTH_COL, YEAR_COL, Facts, Warehouse
 from indicata.sources.sinks import child_names, full_refresh, materialize
 
 #: Months that the current metrics table holds.
@@ -33,16 +34,14 @@ CURRENT_MONTHS = 12
 
 @dataclass(frozen=True)
 class VersionedReference:
-    """Code-set flags per version (``versioned_flags``) and the versions'
-    effective ranges (``effective_versions``), as written tables."""
+    """Code-set flags per version (``versioned_flags``, a written table) and the
+    versions' resolved effective ranges."""
 
     flags: DataFrame
-    versions: DataFrame
+    versions: RangeTable
 
     def version_on(self, day: _dt.date) -> str | None:
-        """The version effective on a day (the table holds a row per version and year)."""
-        on = self.versions.filter(F.lit(day).between(F.col("effective_start_date"), F.col("effective_end_date")))
-        return on.agg(F.max("ref_version")).first()[0]
+        return self.versions.on(day)
 
 
 @dataclass(frozen=True)
@@ -147,21 +146,20 @@ def nightly_run(
     run_id = run_id or run_name(spec, run_date, period)
     computed_at = computed_at if computed_at is not None else inc.run_timestamp(run_date)
     ref_version = reference.version_on(period.end) if reference else f"{w.year}-01-01"
-    if staged:
-        d, dx, pr = corrected_facts(w, staged, built_on or run_date)
-    else:
-        d, dx, pr = w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year
+    parts = [Facts(*corrected_facts(w, staged, built_on or run_date))] if staged else w.parts
     prefilter = w.prefilter or staged is not None
     n_months = (period.end.year - period.start.year) * 12 + period.end.month - period.start.month + 1
 
     # 1. recompute the whole window (late data is picked up by recomputation)
     if reference:
         # Written once: the metrics and the audit rows read the same cohort.
-        cohort = materialize(ver.eligible(d, dx, pr, reference.flags, reference.versions, spec, period), "nightly-cohort")
+        cohorts = [ver.eligible(p.discharge, p.diagnosis, p.procedure, reference.flags, reference.versions, spec, period) for p in parts]
+        cohort = materialize(union_all(*cohorts), "nightly-cohort")
         months = inc.with_month_spine(ver.monthly(cohort, spec).drop("ref_version"), period)
         months = inc.with_version(months.withColumn("_end", F.last_day(F.to_date("month", "yyyy-MM"))), "_end", reference.versions)
     else:
-        counted = ind.monthly_indicator(d, dx, pr, w.flags(spec), spec, period, prefilter=prefilter) if staged else w.metrics_table(spec, period)
+        eligible = lambda p: ind.eligible(p.discharge, p.diagnosis, p.procedure, w.flags(spec), spec, period, prefilter)
+        counted = ind.monthly_of(union_all(*map(eligible, parts)), spec) if staged else w.metrics_table(spec, period)
         months = inc.with_month_spine(counted, period).withColumn("ref_version", F.lit(ref_version))
     new = months.select(
         F.col("month").alias("year_month"),
@@ -209,21 +207,25 @@ def nightly_run(
     if reference:
         num = ver.numerator_patients(cohort, run_id=run_id, computed_at=computed_at)
     else:
-        num = ind.numerator_patients(
-            d, dx, pr, w.flags(spec), spec, period, ref_version=ref_version, run_id=run_id, computed_at=computed_at,
-            prefilter=prefilter,
-        )
+        audited = [
+            ind.numerator_patients(
+                p.discharge, p.diagnosis, p.procedure, w.flags(spec), spec, period, ref_version=ref_version, run_id=run_id,
+                computed_at=computed_at, prefilter=prefilter,
+            )
+            for p in parts
+        ]
+        num = union_all(*audited)
     _write_run(num, f"{out_dir}/numerator_patients")
     numer = _read_runs(num.schema, spark, f"{out_dir}/numerator_patients")
 
     # 4. checks on what was published
-    parts = [
+    found = [
         dq.metric_bounds(published.withColumnRenamed("year_month", "month"), expected_months=n_months),
         dq.mom_change(published.withColumnRenamed("year_month", "month"), max_mom_change),
     ]
     if versions is not None:
-        parts.append(dq.freshness(versions, run_date))
-    checks = union_all(*parts).withColumn("run_id", F.lit(run_id))
+        found.append(dq.freshness(versions, run_date))
+    checks = union_all(*found).withColumn("run_id", F.lit(run_id))
     _write_run(checks, f"{out_dir}/checks")
     checks_all = _read_runs(checks.schema, spark, f"{out_dir}/checks")
 

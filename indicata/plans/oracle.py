@@ -261,6 +261,22 @@ UNION ALL SELECT -1, DATE '1800-01-01', -1, -1, '1800-01', DATE '1800-01-01'""",
     reasons = {"principal_diagnosis": "out_principal", "secondary_present_on_admission": "out_present", "ungroupable_drg": "out_drg", "none": "NOT (out_principal OR out_present OR out_drg)"}
     add("exclusion_reasons", _all(*[f"SELECT year_month, '{r}' AS reason, count(*)::BIGINT AS encounters FROM included WHERE {_in(CALENDAR)} AND {c} GROUP BY year_month" for r, c in reasons.items()]))
 
+    # a third of the rows of each table at one encounter
+    def hot(text: str) -> str:
+        for raw, where, to in ((_RAW_DIAGNOSIS, "patient_id::BIGINT % 3 = 0", "3"), (_RAW_PROCEDURE, "patient_id::BIGINT % 3 = 1", "4"), (_RAW_PATIENT, "patient_id::BIGINT % 3 = 2 AND coalesce(drg, '') <> '999'", "5")):
+            text = text.replace(raw, f"SELECT * REPLACE (CASE WHEN {where} THEN '{to}' ELSE patient_id END AS patient_id) FROM ({raw})")
+        return text
+
+    left_in = "patient_id NOT IN (SELECT patient_id FROM visit WHERE out_principal OR out_present OR out_drg)"
+    q["hot_encounter_metrics"] = hot(sql(f"""SELECT year_month AS month, count(DISTINCT patient_id) FILTER (WHERE hit)::BIGINT AS numerator, count(DISTINCT patient_id)::BIGINT AS denominator,
+  round((count(DISTINCT patient_id) FILTER (WHERE hit))::DECIMAL(38, 10) / count(DISTINCT patient_id), 3)::DOUBLE AS rate FROM included WHERE {_in(CALENDAR)} AND {left_in} GROUP BY year_month"""))
+    out_of = {"principal_diagnosis": "out_principal", "secondary_present_on_admission": "out_present", "ungroupable_drg": "patient_id IN (SELECT patient_id FROM visit WHERE out_drg)", "none": left_in}
+    q["hot_encounter_reasons"] = hot(sql(_all(*[f"SELECT year_month, '{r}' AS reason, count(DISTINCT patient_id)::BIGINT AS encounters FROM included WHERE {_in(CALENDAR)} AND {c} GROUP BY year_month" for r, c in out_of.items()])))
+    q["hot_encounter_arrays"] = hot(sql(f"""SELECT v.patient_id, v.discharge_date, f.code AS principal_code, f.is_present_on_admission AS principal_poa, v.n_secondary,
+  sha256(coalesce(s.codes, '')) AS secondary_sha256, v.n_procedures, sha256(coalesce(o.codes, '')) AS procedures_sha256 FROM visit v LEFT JOIN {_FIRST_LINES} f USING (patient_id)
+LEFT JOIN (SELECT patient_id, string_agg(code, ',' ORDER BY position) AS codes FROM {_LATER_LINES} GROUP BY patient_id) s USING (patient_id)
+LEFT JOIN (SELECT patient_id, string_agg(code, ',' ORDER BY position) AS codes FROM {_PROCEDURES} GROUP BY patient_id) o USING (patient_id)"""))
+
     # nested summary
     add(
         "discharge_summary_flat",
@@ -283,6 +299,7 @@ LEFT JOIN (SELECT patient_id, string_agg(code, ',' ORDER BY position) AS codes F
     lookback = "TIMESTAMP '1997-12-08 00:00:00'"
     add("lookback_extract", f"SELECT * FROM ({_staged('false')}) WHERE updated_at >= {lookback} UNION ALL SELECT * FROM ({_staged('true')}) WHERE patient_id::BIGINT % 5 = 0 AND updated_at >= {lookback}")
     add("upsert_latest", _staged(f"(s.patient_id::BIGINT % 5 = 0 AND {_CORRECTED_AT} >= {lookback})"))
+    q["upsert_touched"] = q["upsert_latest"]
     late = f"(SELECT s.patient_id::BIGINT FROM raw_patient s WHERE s.patient_id::BIGINT % 5 = 0 AND {_CORRECTED_AT} >= {lookback})"
     add("upsert_fct_diagnosis", f"SELECT * FROM ({_DIAGNOSIS}) WHERE diag_rank_num <= 3 OR patient_id NOT IN {late}")
     add("upsert_fct_procedure", f"SELECT * FROM ({_PROCEDURE}) WHERE procedure_code <> 'P009' OR patient_id NOT IN {late}")
@@ -311,6 +328,51 @@ FROM (SELECT patient_id, year_month FROM cohort WHERE hit AND {_in(CALENDAR)}) a
 FROM dx d LEFT JOIN visit v USING (patient_id)""",
     )
 
+    ranges = f"""(SELECT 'D' || {_three('k')} AS diag_code, s, CASE WHEN j < 5 OR k % 4 > 0 THEN s + (60 + (k * 31 + j * 211) % 600)::INT END AS e, 'r-' || k || '-' || j AS range_name
+  FROM (SELECT k, j, DATE '1995-01-01' + (j * 400 + (k * 13 + j * 97) % 300)::INT AS s FROM (SELECT DISTINCT p_partkey % 100 AS k FROM part), (SELECT unnest(range(6)) AS j)))"""
+    add(
+        "interval_lookup",
+        f"""SELECT any_value(patient_id) AS patient_id, any_value(d.diag_code) AS diag_code, any_value(d.diag_rank_num) AS diag_rank_num, any_value(d.discharge_date) AS discharge_date, arg_max(r.range_name, r.s) AS range_name
+FROM (SELECT row_number() OVER () AS line, dx.patient_id, dx.diag_code, dx.diag_rank_num, v.discharge_date FROM dx LEFT JOIN visit v USING (patient_id)) d
+LEFT JOIN {ranges} r ON r.diag_code = d.diag_code AND d.discharge_date >= r.s AND (r.e IS NULL OR d.discharge_date <= r.e) GROUP BY line""",
+    )
+    add(
+        "dq_range_overlap",
+        f"""SELECT 'range_overlap' AS "check", 'diag_code' AS subject, count(*)::BIGINT AS violations, count(*) = 0 AS passed FROM {ranges} a
+WHERE EXISTS (SELECT 1 FROM {ranges} b WHERE b.diag_code = a.diag_code AND b.s < a.s AND (b.e IS NULL OR b.e >= a.s))""",
+    )
+
+    # facts keyed by the version effective on the discharge
+    years = f"(SELECT unnest(range({low}, {high + 1})) AS y)"
+    moving = "CASE WHEN r.list_name = 'sepsis_codes' THEN r.high + y - 1997 ELSE r.high END"
+    vlists = _lists().replace("BETWEEN r.low AND r.high", f"BETWEEN r.low AND {moving}").replace("FROM part JOIN", f"FROM part CROSS JOIN {years} JOIN").replace("SELECT r.list_name,", "SELECT y, r.list_name,")
+    vbook = f"""vbook AS (SELECT y, code_type, code, {_key('code', 'code_type', 'y::VARCHAR')} AS code_sk, array_to_string(list(DISTINCT identifier ORDER BY identifier), ',') AS names
+  FROM (SELECT y, code_type, code, identifier FROM ({vlists}) UNION ALL SELECT y, kind, 'UNKNOWN', 'UNKNOWN' FROM {years}, (SELECT unnest(['DRG', 'Diagnosis', 'Procedure']) AS kind)) GROUP BY ALL),
+when_out AS (SELECT patient_id, CASE WHEN year(max(discharge_date)) BETWEEN {low} AND {high} THEN year(max(discharge_date)) END AS y FROM typed GROUP BY patient_id)"""
+
+    def versioned(final: str) -> str:
+        return f"WITH {_model()},\n{vbook}\n{final}"
+
+    def keyed(fact: str, kind: str, code: str, key: str) -> str:
+        return f"""SELECT f.* REPLACE (coalesce(b.code_sk, {_key(f"'{kind}'", "'UNKNOWN'", "coalesce(w.y, -1)::VARCHAR")}) AS {key}), w.y || '-01-01' AS ref_version, w.y::BIGINT AS reference_year
+FROM ({fact}) f LEFT JOIN when_out w USING (patient_id) LEFT JOIN vbook b ON b.y = w.y AND b.code_type = '{kind}' AND b.code = f.{code}"""
+
+    q["fct_discharge_versioned"] = versioned(keyed(_DISCHARGE, "DRG", "drg", "drg_code_sk"))
+    q["fct_diagnosis_versioned"] = versioned(keyed(_DIAGNOSIS, "Diagnosis", "diag_code", "diag_code_sk"))
+    q["fct_procedure_versioned"] = versioned(keyed(_PROCEDURE, "Procedure", "procedure_code", "procedure_code_sk"))
+    # the summary's SQL on codebook entries of the discharge's own year
+    own = "JOIN when_out w USING (patient_id) LEFT JOIN vbook b ON b.y = w.y AND b.code_type = '{kind}' AND b.code = {code}"
+    line = "diag_rank_num NULLS FIRST, diag_code, present, code_sk NULLS FIRST"
+    q["discharge_summary_versioned"] = versioned(f""", vdx AS (SELECT x.* REPLACE (b.code_sk AS code_sk, coalesce(b.names, '') AS names) FROM dx x {own.format(kind='Diagnosis', code="coalesce(x.diag_code, 'UNKNOWN')")}),
+vpx AS (SELECT x.* REPLACE (b.code_sk AS code_sk, coalesce(b.names, '') AS names) FROM px x {own.format(kind='Procedure', code="coalesce(x.procedure_code, 'UNKNOWN')")})
+SELECT d.* REPLACE (coalesce(b.code_sk, 'Unknown') AS drg_code_sk), coalesce(b.names, '') AS drg_identifiers, f.code AS principal_code, f.code_sk AS principal_code_sk, f.names AS principal_identifiers,
+  f.poa AS principal_poa, coalesce(s.codes, '') AS secondary_codes, coalesce(s.n, 0)::BIGINT AS n_secondary, coalesce(o.codes, '') AS procedure_codes, coalesce(o.n, 0)::BIGINT AS n_procedures
+FROM ({_DISCHARGE}) d {own.format(kind='DRG', code='d.drg')}
+LEFT JOIN (SELECT patient_id, first(diag_code ORDER BY {line}) AS code, first(code_sk ORDER BY {line}) AS code_sk, first(names ORDER BY {line}) AS names, first({_bit('present')} ORDER BY {line}) AS poa
+  FROM vdx WHERE first_line GROUP BY patient_id) f USING (patient_id)
+LEFT JOIN (SELECT patient_id, count(*) AS n, string_agg(diag_code, ',' ORDER BY {line}) AS codes FROM vdx WHERE NOT first_line GROUP BY patient_id) s USING (patient_id)
+LEFT JOIN (SELECT patient_id, count(*) AS n, string_agg(procedure_code, ',' ORDER BY procedure_code) AS codes FROM vpx GROUP BY patient_id) o USING (patient_id)""")
+
     # each discharge under the lists of its own year: only the sepsis range moves
     marked = f"""SELECT dx.*, substr(diag_code, 2)::INT AS k, year(discharge_date) AS y, k BETWEEN 5 AND 12 + y - {YEAR} AS septic
     FROM dx JOIN typed USING (patient_id) WHERE EXISTS (SELECT 1 FROM part WHERE p_partkey % 100 = substr(dx.diag_code, 2)::INT)"""

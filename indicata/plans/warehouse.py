@@ -15,12 +15,19 @@ exchange of rows. The facts are also partitioned by the encounter's year
 of discharge, so that a query over a period reads the years it touches. Years
 and not months, as directories multiply files (buckets x directories);
 month-partitioned publishing is the ``write_by_month`` sink.
-``materialize_core=False`` keeps everything lazy.
+
+Encounters with more rows than a bucket should take (``hot_encounters``, found
+by a sketch) lie beside the buckets in side tables whose files are as balanced
+as the input's. What is worked out per encounter runs on each of the two
+``parts`` and is united afterwards: the bucketed part is co-located as ever, the
+side is collapsed or salted first, so a hot encounter fills no task.
+``materialize_core=False`` keeps everything lazy (one part, nothing bucketed).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -30,6 +37,8 @@ from pyspark.sql import functions as F
 from indicata.operators import facts as _facts
 from indicata.operators import indicator as _ind
 from indicata.operators import reference as _ref
+from indicata.operators import skew as _skew
+from indicata.operators.joins import union_all
 from indicata.sources.fixtures import RawInputs, raw_inputs
 from indicata.sources.sinks import fresh_path, materialize, save_bucketed
 
@@ -39,22 +48,16 @@ YEAR_COL = _ind.YEAR_COL
 # fewest buckets a warehouse has.
 BUCKET_ROWS = 4_000_000
 LEAST_BUCKETS = 8
+LEAST_HOT_ROWS = 1_000
+
 
+@dataclass(frozen=True)
+class Facts:
+    """The three facts of one part of the encounters."""
 
-def encounter_skew_ok(rows: DataFrame, buckets: int) -> bool:
-    """True when no encounter has more rows than an average bucket
-    (``total / buckets``), so bucketing by encounter cannot pile a hot key
-    into one task. Exact: per-encounter counts (partial aggregation
-    map-side), then one global max/sum; only two numbers reach the driver."""
-    stats = (
-        rows.groupBy("patient_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.max("_n").alias("top"), F.sum("_n").alias("total"))
-        .first()
-    )
-    if stats is None or stats["total"] is None:
-        return True
-    return stats["top"] * buckets <= max(stats["total"], buckets)
+    discharge: DataFrame
+    diagnosis: DataFrame
+    procedure: DataFrame
 
 
 @dataclass
@@ -70,8 +73,8 @@ class Warehouse:
     # Buckets of the encounter key shared by the three facts (default: from
     # the number of diagnosis lines, see ``fact_buckets``).
     buckets: int | None = None
-    # None: decide from an exact skew check (see ``colocated``).
-    colocate: bool | None = None
+    # An encounter is hot beyond this many rows of a fact and a quarter of an average bucket.
+    least_hot_rows: int = LEAST_HOT_ROWS
     _cache: dict = field(default_factory=dict, repr=False)
 
     def _pin(self, df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
@@ -121,24 +124,83 @@ class Warehouse:
         return _facts.core_diagnosis(self.raw.diagnosis)
 
     @cached_property
+    def hot_encounters(self) -> DataFrame | None:
+        """Ids of encounters with more than a quarter of an average bucket's rows
+        in any of the three tables (see ``skew.hot_keys``), or None."""
+        tables = {"diagnosis": self.core_diagnosis, "procedure": self.core_procedure, "patient": self.core_patient}
+        return _skew.hot_keys({n: t.select("patient_id") for n, t in tables.items()}, "patient_id", 4 * self.fact_buckets, self.least_hot_rows)
+
+    def _build(self, name: str) -> DataFrame:
+        """A fact as it is derived from the typed tables, not yet written."""
+        if name == "fct_discharge":
+            fct = _facts.fct_discharge(
+                self.core_patient,
+                self.dim_code,
+                self.year,
+                date_start=self.date_start,
+                date_end=self.date_end,
+                resolve_unknown=self.resolve_unknown,
+            )
+            return fct.withColumn(MONTH_COL, F.trunc("discharge_date", "MM"))
+        build, core = {"fct_diagnosis": (_facts.fct_diagnosis, self.core_diagnosis), "fct_procedure": (_facts.fct_procedure, self.core_procedure)}[name]
+        return build(core, self.dim_code, self.year, resolve_unknown=self.resolve_unknown)
+
+    def _written(self, name: str) -> tuple[DataFrame, DataFrame | None]:
+        """A fact of the bucketed encounters and of the hot ones (None if there are none)."""
+        if name not in self._cache:
+            self._cache[name] = self._pin_fact(self._build(name), name)
+        return self._cache[name]
+
+    def _whole(self, name: str) -> DataFrame:
+        cold, hot = self._written(name)
+        return cold if hot is None else cold.unionByName(hot)
+
+    @property
     def fct_discharge_by_month(self) -> DataFrame:
-        """Discharge fact plus a ``discharge_month`` column, bucketed by
-        ``patient_id``: joins and aggregations by encounter are co-located
-        with the other facts."""
-        fct = _facts.fct_discharge(
-            self.core_patient,
-            self.dim_code,
-            self.year,
-            date_start=self.date_start,
-            date_end=self.date_end,
-            resolve_unknown=self.resolve_unknown,
-        )
-        return self._pin_fact(fct.withColumn(MONTH_COL, F.trunc("discharge_date", "MM")), "fct_discharge")
+        """Discharge fact plus ``discharge_month`` and the encounter's year."""
+        return self._whole("fct_discharge")
+
+    @property
+    def fct_diagnosis_by_year(self) -> DataFrame:
+        return self._whole("fct_diagnosis")
+
+    @property
+    def fct_procedure_by_year(self) -> DataFrame:
+        return self._whole("fct_procedure")
 
     @cached_property
     def fct_discharge(self) -> DataFrame:
         return self.fct_discharge_by_month.drop(MONTH_COL, YEAR_COL)
 
+    @cached_property
+    def fct_diagnosis(self) -> DataFrame:
+        return self.fct_diagnosis_by_year.drop(YEAR_COL)
+
+    @cached_property
+    def fct_procedure(self) -> DataFrame:
+        return self.fct_procedure_by_year.drop(YEAR_COL)
+
+    @cached_property
+    def parts(self) -> list[Facts]:
+        """The facts as encounter-disjoint parts for cohorts: the bucketed
+        encounters and, where there are hot ones, those, with their lines
+        collapsed to one for each code (``skew.collapse_diagnoses``)."""
+        discharge, diagnosis, procedure = (self._written(n) for n in ("fct_discharge", "fct_diagnosis", "fct_procedure"))
+        out = [Facts(discharge[0], diagnosis[0], procedure[0])]
+        if diagnosis[1] is not None:
+            out.append(
+                Facts(
+                    materialize(discharge[1].dropDuplicates(), "hot-discharge"),
+                    materialize(_skew.collapse_diagnoses(diagnosis[1]), "hot-diagnosis"),
+                    materialize(procedure[1].dropDuplicates(), "hot-procedure"),
+                )
+            )
+        return out
+
+    def over_parts(self, work: Callable[[Facts], DataFrame]) -> DataFrame:
+        """``work`` (one result per encounter) of each part, united."""
+        return union_all(*[work(p) for p in self.parts])
+
     @cached_property
     def encounter_years(self) -> DataFrame:
         """The one year of discharge of each encounter, null where its discharge
@@ -150,26 +212,6 @@ class Warehouse:
         years = ends.select("patient_id", F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias(YEAR_COL))
         return self._save_fact(years, "encounter_years")
 
-    @cached_property
-    def colocated(self) -> bool:
-        """Whether the facts are written bucketed by encounter.
-
-        Bucketing co-locates every join and grouping by encounter, but puts a
-        hot encounter's rows in one bucket, i.e. one task. Unless ``colocate``
-        is given, an exact check decides: the largest encounter's diagnosis
-        line count (per-encounter counts with map-side partial aggregation,
-        one small job) must not exceed an average bucket. Otherwise the facts
-        are written unbucketed and queries shuffle with partial aggregation
-        and AQE skew handling, which split a hot key across tasks.
-        """
-        if self.colocate is not None:
-            return self.colocate
-        # A hot encounter may lie in any of the three tables.
-        return all(
-            encounter_skew_ok(t.select("patient_id"), self.fact_buckets)
-            for t in (self.core_diagnosis, self.core_procedure, self.core_patient)
-        )
-
     @property
     def fact_buckets(self) -> int:
         """Bucket count shared by all facts (co-location needs the same count).
@@ -183,60 +225,48 @@ class Warehouse:
         return self.buckets
 
     def _save_fact(self, df: DataFrame, name: str) -> DataFrame:
-        if not self.colocated:
-            return materialize(df, name, cluster_by=("patient_id",))
         path = fresh_path(self.spark, name)
         table = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
         return save_bucketed(df, table, path, "patient_id", self.fact_buckets)
 
-    def _pin_fact(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a fact with the encounter's year: bucketed and partitioned by
+    def _pin_fact(self, df: DataFrame, name: str) -> tuple[DataFrame, DataFrame | None]:
+        """Write a fact with the encounter's year, bucketed and partitioned by
         year (the rows move once, to their bucket, where the co-located years
-        join them), or sorted by year where facts are not bucketed."""
+        join them). Rows of hot encounters are written where they were read,
+        sorted by year."""
         if not self.materialize_core:
-            return df
-        if not self.colocated:
-            return materialize(df.join(self.encounter_years, "patient_id", "left"), name, cluster_by=(YEAR_COL, "patient_id"))
+            return df, None
+        hot = None
+        if self.hot_encounters is not None:
+            df, side = _skew.split(df, self.hot_encounters, "patient_id")
+            years = _skew.split(self.encounter_years, self.hot_encounters, "patient_id")[1]
+            years = F.broadcast(years.select(F.col("patient_id").alias("_id"), YEAR_COL))  # a row per hot encounter
+            side = side.join(years, F.col("patient_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+            hot = materialize(side, f"{name}-hot", cluster_by=(YEAR_COL, "patient_id"))
         placed = df.repartition(self.fact_buckets, "patient_id").join(self.encounter_years, "patient_id", "left")
         path = fresh_path(self.spark, name)
         table = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
-        return save_bucketed(placed, table, path, "patient_id", self.fact_buckets, partition_by=YEAR_COL, placed=True)
-
-    @cached_property
-    def fct_diagnosis(self) -> DataFrame:
-        return self.fct_diagnosis_by_year.drop(YEAR_COL)
-
-    @cached_property
-    def fct_procedure(self) -> DataFrame:
-        return self.fct_procedure_by_year.drop(YEAR_COL)
-
-    @cached_property
-    def fct_diagnosis_by_year(self) -> DataFrame:
-        return self._pin_fact(
-            _facts.fct_diagnosis(self.core_diagnosis, self.dim_code, self.year, resolve_unknown=self.resolve_unknown),
-            "fct_diagnosis",
-        )
-
-    @cached_property
-    def fct_procedure_by_year(self) -> DataFrame:
-        return self._pin_fact(
-            _facts.fct_procedure(self.core_procedure, self.dim_code, self.year, resolve_unknown=self.resolve_unknown),
-            "fct_procedure",
-        )
+        return save_bucketed(placed, table, path, "patient_id", self.fact_buckets, partition_by=YEAR_COL, placed=True), hot
 
     # -- analytics layer -------------------------------------------------
     @cached_property
     def discharge_summary(self) -> DataFrame:
-        """Nested one-row-per-discharge table, bucketed by encounter like the facts."""
+        """Nested one-row-per-discharge table, bucketed by encounter like the
+        facts; hot encounters' arrays are built in two salted stages and lie
+        beside it."""
         from indicata.operators.summary import discharge_summary
 
-        summary = discharge_summary(
-            self.fct_discharge, self.fct_diagnosis, self.fct_procedure, self.dim_code, self.bridge, self.year,
-            ci=self.code_identifiers,
-        )
+        written = [self._written(n) for n in ("fct_discharge", "fct_diagnosis", "fct_procedure")]
+
+        def build(k: int) -> DataFrame:
+            discharge, diagnosis, procedure = (t[k] for t in written)
+            facts = discharge.drop(MONTH_COL, YEAR_COL), diagnosis.drop(YEAR_COL), procedure.drop(YEAR_COL)
+            return discharge_summary(*facts, self.dim_code, self.bridge, self.year, ci=self.code_identifiers, salted=k == 1)
+
         if not self.materialize_core:
-            return summary
-        return self._save_fact(summary, "discharge_summary")
+            return build(0)
+        cold = self._save_fact(build(0), "discharge_summary")
+        return cold if written[1][1] is None else cold.unionByName(materialize(build(1), "discharge_summary-hot"))
 
     # -- indicator -------------------------------------------------------
     def flags(self, spec: _ind.IndicatorSpec) -> DataFrame:
@@ -257,21 +287,19 @@ class Warehouse:
 
     @property
     def prefilter(self) -> bool:
-        """Broadcast pre-filter of included encounters only pays off when the
-        facts are not bucketed by encounter (then flag rows are shuffled)."""
-        return not (self.materialize_core and self.colocated)
+        """The pre-filter of included encounters only pays off when the facts
+        are not bucketed by encounter (then flag rows are shuffled)."""
+        return not self.materialize_core
+
+    def eligible(self, spec: _ind.IndicatorSpec, period: _ind.Period) -> DataFrame:
+        """Eligible (patient_id, year_month) over all parts."""
+        return self.over_parts(
+            lambda p: _ind.eligible(p.discharge, p.diagnosis, p.procedure, self.flags(spec), spec, period, self.prefilter)
+        )
 
     def monthly(self, spec: _ind.IndicatorSpec | None = None, period: _ind.Period | None = None) -> DataFrame:
         spec = spec or _ind.IndicatorSpec()
-        return _ind.monthly_indicator(
-            self.fct_discharge_by_month,
-            self.fct_diagnosis_by_year,
-            self.fct_procedure_by_year,
-            self.flags(spec),
-            spec,
-            period or _ind.Period.year(self.year),
-            prefilter=self.prefilter,
-        )
+        return _ind.monthly_of(self.eligible(spec, period or _ind.Period.year(self.year)), spec)
 
 
 def fixture_warehouse(spark: SparkSession, sf_dir: str, year: int = 1997, sepsis_hi: int = 12) -> Warehouse:

@@ -173,6 +173,21 @@ def versioned_code_lists(spark: SparkSession, sf_dir: str, first_year: int = 199
     )
 
 
+def code_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validity ranges of diagnosis codes that occur in ``part``: six per code,
+    of 60 to 660 days, that overlap and leave gaps; the last of every fourth code is open."""
+    codes = table(spark, sf_dir, "part").select((F.col("p_partkey") % 100).alias("k")).distinct()
+    rows = codes.select("k", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("j"))
+    start = F.date_add(F.lit(_dt.date(1995, 1, 1)), (F.col("j") * 400 + (F.col("k") * 13 + F.col("j") * 97) % 300).cast("int"))
+    length = (60 + (F.col("k") * 31 + F.col("j") * 211) % 600).cast("int")
+    return rows.select(
+        F.concat(F.lit("D"), _pad3(F.col("k"))).alias("diag_code"),
+        start.alias("effective_start_date"),
+        F.when((F.col("j") < 5) | (F.col("k") % 4 > 0), F.date_add(start, length)).alias("effective_end_date"),
+        F.concat_ws("-", F.lit("r"), F.col("k"), F.col("j")).alias("range_name"),
+    )
+
+
 def staged_patient(spark: SparkSession, sf_dir: str, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
     """Raw patient rows with ``updated_at`` extract metadata, two versions for some.
 
@@ -217,3 +232,21 @@ def raw_inputs(spark: SparkSession, sf_dir: str, sepsis_hi: int = 12) -> RawInpu
         procedure=raw_procedure(spark, sf_dir),
         code_lists=code_list_rows(spark, sf_dir, sepsis_hi=sepsis_hi),
     )
+
+
+#: Fixed values of the projection: the encounters that take the diagnosis lines, procedures and discharges of the orders with their remainder by 3.
+HOT_ENCOUNTERS = {"diagnosis": "3", "procedure": "4", "patient": "5"}
+
+
+def hot_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
+    """The inputs with a third of the rows of each table at one encounter
+    (discharges with the ungroupable DRG stay where they are)."""
+    raw = raw_inputs(spark, sf_dir)
+    number = F.col("patient_id").cast("bigint")
+
+    def moved(df: DataFrame, name: str, stays: Column = F.lit(False)) -> DataFrame:
+        ids = F.when((number % 3 == int(HOT_ENCOUNTERS[name]) % 3) & ~stays, HOT_ENCOUNTERS[name]).otherwise(F.col("patient_id"))
+        return df.withColumn("patient_id", ids)
+
+    ungroupable = F.coalesce(F.col("drg") == "999", F.lit(False))
+    return RawInputs(moved(raw.patient, "patient", ungroupable), moved(raw.diagnosis, "diagnosis"), moved(raw.procedure, "procedure"), raw.code_lists)

@@ -58,6 +58,12 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system Spark reaches."""
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -22,8 +22,7 @@ def _plan(df) -> str:
     "key", ["monthly_metrics", "discharge_summary_flat", "denominator_exclusions", "numerator_patients", "dq_reconcile", "monthly_metrics_versioned"]
 )
 def test_no_encounter_shuffle_when_colocated(spark, key):
-    w = catalog.warehouse(spark, SF_SMALL)
-    assert w.colocated
+    assert len(catalog.warehouse(spark, SF_SMALL).parts) == 1
     plan = _plan(catalog.QUERIES[key](spark, SF_SMALL))
     assert not re.search(r"Exchange hashpartitioning\(patient_id", plan), plan
 
@@ -59,7 +58,7 @@ def test_a_period_reads_its_years_only(spark, key):
 
 def test_an_encounter_of_two_years_is_never_parted(spark):
     """Discharge rows of one encounter in two years: the ungroupable one of the
-    other year still excludes it, in both layouts."""
+    other year still excludes it, with written facts and without."""
     from dataclasses import replace
 
     from pyspark.sql import functions as F
@@ -73,6 +72,6 @@ def test_an_encounter_of_two_years_is_never_parted(spark):
     twin = w.raw.patient.filter(F.col("patient_id").isin([str(i) for i in counted])).withColumn("drg", F.lit("999")).withColumn("discharge_date", F.lit("1995-02-01"))
     raw = replace(w.raw, patient=w.raw.patient.unionByName(twin))
     assert counted and months.agg(F.sum("denominator")).first()[0] == len(counted)
-    for colocate in (True, False):
-        other = Warehouse(spark, raw, w.year, colocate=colocate)
+    for written in (True, False):
+        other = Warehouse(spark, raw, w.year, materialize_core=written)
         assert other.monthly(period=Period.year(w.year)).count() == 0

@@ -91,7 +91,7 @@ def test_summary_arrays_never_null(spark):
 
 def test_prefilter_does_not_change_eligibility(spark):
     w = catalog.warehouse(spark, SF_MEDIUM)
-    d, dx, pr, fl = catalog._facts(w)
+    d, dx, pr, fl = w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year, w.flags(catalog.SPEC)
     p = ind.Period.year(1997)
     a = _rows(ind.eligible(d, dx, pr, fl, catalog.SPEC, p, prefilter=True))
     b = _rows(ind.eligible(d, dx, pr, fl, catalog.SPEC, p, prefilter=False))
@@ -121,37 +121,3 @@ def test_sql_views_answer_like_the_dataframes(spark):
         "SELECT count(*) FROM t_fct_diagnosis d JOIN t_fct_discharge f ON d.patient_id = f.patient_id"
     ).first()[0]
     assert n == w.fct_diagnosis.count()
-
-
-def test_skew_check_flags_a_hot_encounter(spark):
-    from indicata.plans.warehouse import encounter_skew_ok
-
-    even = spark.range(8000).selectExpr("id % 1000 AS patient_id")
-    hot = even.unionByName(spark.range(4000).selectExpr("7 AS patient_id"))  # a third of all rows
-    assert encounter_skew_ok(even, 8)
-    assert not encounter_skew_ok(hot, 8)
-
-
-def test_a_hot_encounter_in_procedures_leaves_the_buckets(spark):
-    from dataclasses import replace
-
-    from indicata.plans.warehouse import Warehouse
-    from indicata.sources.fixtures import raw_inputs
-
-    raw = raw_inputs(spark, SF_SMALL)
-    hot = raw.procedure.unionByName(spark.range(5000).selectExpr("'7' AS patient_id", "'P' || (1000 + id) AS procedure_code"))
-    even, skewed = Warehouse(spark, raw, 1997), Warehouse(spark, replace(raw, procedure=hot), 1997)
-    assert even.colocated and not skewed.colocated
-    assert _rows(even.monthly()) == _rows(skewed.monthly())
-
-
-def test_unbucketed_layout_gives_the_same_results(spark):
-    from indicata.plans.warehouse import fixture_warehouse
-
-    plain = fixture_warehouse(spark, SF_SMALL)
-    plain.colocate = False
-    assert plain.prefilter
-    assert _rows(plain.monthly()) == _rows(catalog.monthly_metrics(spark, SF_SMALL))
-    from indicata.operators.summary import flatten_summary
-
-    assert _rows(flatten_summary(plain.discharge_summary)) == _rows(catalog.discharge_summary_flat(spark, SF_SMALL))
