@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from indicata.functions import safe_date, strict_bigint, text_list
 from indicata.operators import facts
+from indicata.operators import fingerprint as fp
 from indicata.operators import incremental as inc
 from indicata.operators import indicator as ind
 from indicata.operators import quality as dq
@@ -45,6 +46,8 @@ PREVIOUS_ROLLING_RUN_DATE = _dt.date(1997, 5, 31)
 BACKFILL = ("1996-01", "1997-12")
 FRESHNESS_RUN_DATE = _dt.date(1998, 1, 15)
 SPEC = ind.IndicatorSpec()
+#: Partitions of the inputs when the model is built a second time.
+RERUN_PARTITIONS = 5
 #: Buckets of the patient store in (year, bucket) folders.
 TOUCHED_BUCKETS = 16
 
@@ -819,6 +822,23 @@ def dq_reconcile(spark, sf):
     return dq.reconcile(_summary(w), w.fct_discharge, w.fct_diagnosis, w.fct_procedure)
 
 
+def dq_reconcile_contents(spark, sf):
+    """The summary's arrays against the facts, by content."""
+    w = warehouse(spark, sf)
+    return fp.reconcile_contents(_summary(w), w.fct_diagnosis, w.fct_procedure)
+
+
+def dq_rerun(spark, sf):
+    """The model built a second time, from its inputs in other partitions: every table has the same rows."""
+    w = warehouse(spark, sf)
+    dealt = lambda df: df.repartition(RERUN_PARTITIONS)
+    raw = fx.RawInputs(dealt(w.raw.patient), dealt(w.raw.diagnosis), dealt(w.raw.procedure), dealt(w.raw.code_lists))
+    again = Warehouse(spark, raw, YEAR, buckets=w.fact_buckets)
+    tables = ("code_map", "dim_code", "bridge", "fct_discharge", "fct_diagnosis", "fct_procedure", "discharge_summary")
+    pairs = {n: (getattr(w, n), getattr(again, n)) for n in tables}
+    return fp.same_tables("rerun", {**pairs, "monthly_metrics": (w.metrics_table(SPEC), again.monthly(SPEC))})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_patient": src_patient,
     "src_procedure": src_procedure,
@@ -904,4 +924,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_mom_change": dq_mom_change,
     "dq_freshness": dq_freshness,
     "dq_reconcile": dq_reconcile,
+    "dq_reconcile_contents": dq_reconcile_contents,
+    "dq_rerun": dq_rerun,
 }

@@ -474,4 +474,12 @@ LEFT JOIN (SELECT patient_id, count(*) AS n, string_agg(procedure_code, ',' ORDE
             _check("reconcile", "procedures_size", f"sum(abs(v.n_procedures - coalesce(s.n, 0)))", f"visit v LEFT JOIN (SELECT patient_id, count(*) AS n FROM {_PROCEDURES} GROUP BY patient_id) s USING (patient_id)"),
         ),
     )
+    contents = {
+        "principal_diagnosis": f"(SELECT count(*) FROM marks m LEFT JOIN {_FIRST_LINES} f USING (patient_id) WHERE (m.n_first > 0) <> (f.code IS NOT NULL))",
+        "procedures": f"(SELECT count(*) FROM (SELECT patient_id, list(procedure_code ORDER BY procedure_code) AS l FROM px GROUP BY patient_id) a JOIN (SELECT patient_id, list(code ORDER BY position) AS l FROM {_PROCEDURES} GROUP BY patient_id) b USING (patient_id) WHERE a.l <> b.l)",
+        "secondary_diagnoses": f"(SELECT count(*) FROM (SELECT patient_id, list((diag_code, present) ORDER BY diag_code, present) AS l FROM dx WHERE NOT first_line GROUP BY patient_id) a JOIN (SELECT patient_id, list((code, is_present_on_admission = 1) ORDER BY code, is_present_on_admission) AS l FROM {_LATER_LINES} GROUP BY patient_id) b USING (patient_id) WHERE a.l <> b.l)",
+    }
+    add("dq_reconcile_contents", _all(*[f"SELECT 'reconcile_contents' AS \"check\", '{n}' AS subject, v::BIGINT AS violations, v = 0 AS passed FROM (SELECT {c} AS v)" for n, c in contents.items()]))
+    again = {"code_map": "entries", "dim_code": f"({_DIM})", "bridge": f"({_BRIDGE})", "fct_discharge": f"({_DISCHARGE})", "fct_diagnosis": f"({_DIAGNOSIS})", "fct_procedure": f"({_PROCEDURE})", "discharge_summary": "visit", "monthly_metrics": _metrics()}
+    add("dq_rerun", _all(*[f"SELECT 'rerun' AS \"check\", '{n}' AS subject, v::BIGINT AS violations, v = 0 AS passed FROM (SELECT (SELECT count(*) FROM ((FROM {t}) EXCEPT ALL (FROM {t}))) AS v)" for n, t in again.items()]))
     return q
