@@ -19,6 +19,7 @@ from indicata.functions import month_label
 from indicata.operators.indicator import Period
 from indicata.operators.intervals import RangeTable
 from indicata.operators.joins import bounded_broadcast, having, lacking, narrowed
+from indicata.operators.quality import NON_FATAL
 
 
 def lookback_extract(staged: DataFrame, watermark: _dt.date | _dt.datetime, lookback_days: int = 7, ts_col: str = "updated_at") -> DataFrame:
@@ -110,38 +111,24 @@ def numerator_diff(run_a: DataFrame, run_b: DataFrame, keys: Sequence[str] = ("p
     return j.select(*keys, change.alias("change"))
 
 
-def run_log(
-    metrics: DataFrame,
-    *,
-    run_id: str,
-    execution_date: _dt.date,
-    period: Period,
-    ref_version: str | None,
-    dq: DataFrame | None = None,
-    pipeline_status: str = "SUCCEEDED",
+def metric_totals() -> dict[str, Column]:
+    """Aggregates of published metric rows that a run log row holds."""
+    return {
+        "numerator": F.coalesce(F.sum("numerator"), F.lit(0)).cast("bigint"),
+        "denominator": F.coalesce(F.sum("denominator"), F.lit(0)).cast("bigint"),
+        "months": F.count_if(F.col("denominator") > 0),
+    }
+
+
+def failed_checks() -> dict[str, Column]:
+    """The aggregate of check rows that a run log row holds."""
+    return {"dq_failed": F.count_if(~F.col("passed") & ~F.col("check").isin(*NON_FATAL))}
+
+
+def run_log_row(
+    totals: DataFrame, *, run_id: str, execution_date: _dt.date, period: Period, ref_version: str | None, pipeline_status: str = "SUCCEEDED"
 ) -> DataFrame:
-    """One run-log row: window, version, totals, month count and DQ status."""
-    parts = metrics.select(
-        F.col("numerator").cast("bigint").alias("numerator"),
-        F.col("denominator").cast("bigint").alias("denominator"),
-        F.lit(1).cast("bigint").alias("month_row"),
-        F.lit(0).cast("bigint").alias("dq_fail"),
-    )
-    if dq is not None:
-        parts = parts.unionByName(
-            dq.select(
-                F.lit(None).cast("bigint").alias("numerator"),
-                F.lit(None).cast("bigint").alias("denominator"),
-                F.lit(0).cast("bigint").alias("month_row"),
-                F.when(~F.col("passed"), 1).otherwise(0).cast("bigint").alias("dq_fail"),
-            )
-        )
-    totals = parts.agg(
-        F.coalesce(F.sum("numerator"), F.lit(0)).cast("bigint").alias("numerator"),
-        F.coalesce(F.sum("denominator"), F.lit(0)).cast("bigint").alias("denominator"),
-        F.coalesce(F.sum("month_row"), F.lit(0)).cast("bigint").alias("months"),
-        F.coalesce(F.sum("dq_fail"), F.lit(0)).cast("bigint").alias("dq_failed"),
-    )
+    """The run log row of one row of totals (numerator, denominator, months, dq_failed)."""
     return totals.select(
         F.lit(run_id).alias("run_id"),
         F.lit(execution_date).alias("execution_date"),
@@ -156,6 +143,28 @@ def run_log(
     )
 
 
+def run_log(
+    metrics: DataFrame,
+    *,
+    run_id: str,
+    execution_date: _dt.date,
+    period: Period,
+    ref_version: str | None,
+    dq: DataFrame | None = None,
+    pipeline_status: str = "SUCCEEDED",
+) -> DataFrame:
+    """One run-log row from published tables: window, version, totals, month
+    count and DQ status. (A run that is being written takes them from its
+    writes.)"""
+    totals = metrics.agg(*[c.alias(n) for n, c in metric_totals().items()])
+    if dq is None:
+        totals = totals.withColumn("dq_failed", F.lit(0).cast("bigint"))
+    else:
+        failed = dq.agg(*[c.alias(n) for n, c in failed_checks().items()])
+        totals = totals.withColumn("_one", F.lit(1)).join(failed.withColumn("_one", F.lit(1)), "_one")
+    return run_log_row(totals, run_id=run_id, execution_date=execution_date, period=period, ref_version=ref_version, pipeline_status=pipeline_status)
+
+
 def versioned_code_flags(versioned_map: DataFrame, code_type: str, identifiers: Sequence[str]) -> DataFrame:
     """Per (code, ref_version): 1 when the code carries any of ``identifiers``
     in that version, with the version's effective range."""

@@ -70,6 +70,11 @@ class RangeTable:
         at = bisect.bisect_right(self.starts, day) - 1
         return self.versions[at] if at >= 0 else None
 
+    def started(self, day: _dt.date) -> _dt.date | None:
+        """First day of the segment that holds on ``day``, None outside all ranges."""
+        at = bisect.bisect_right(self.starts, day) - 1
+        return self.starts[at] if at >= 0 and self.versions[at] is not None else None
+
     def at(self, day: Column) -> Column:
         """The version that holds on ``day``, null outside all ranges."""
         if not self.starts:

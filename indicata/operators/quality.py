@@ -14,6 +14,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from indicata.functions import safe_date
 from indicata.operators.joins import bounded_broadcast, lacking, narrowed, union_all
 
 
@@ -114,11 +115,12 @@ def not_null(checks: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame
 
 
 def parses(checks: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
-    """Raw text values that are present but do not parse as their declared type
-    (one pass per table)."""
+    """Raw text values that are present but that the loader makes null or
+    refuses (one pass per table): dates by the loader's own strict pattern."""
+    parse = lambda c, kind: safe_date(F.col(c)) if kind == "date" else F.col(c).try_cast(kind)
     return union_all(
         *[
-            _many(df, "parses", {f"{name}.{c}": F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()) for c, kind in cols.items()})
+            _many(df, "parses", {f"{name}.{c}": F.count_if(F.col(c).isNotNull() & parse(c, kind).isNull()) for c, kind in cols.items()})
             for name, (df, cols) in checks.items()
         ]
     )
@@ -151,6 +153,10 @@ def mom_change(metrics: DataFrame, max_abs_change: float = 0.1, month_col: str =
     )
 
 
+#: Checks that are reported but do not fail a run.
+NON_FATAL = ("reference_freshness",)
+
+
 def freshness(versions: DataFrame, run_date: _dt.date) -> DataFrame:
     """Reference data is stale when the active version started in an earlier
     calendar year than the run date. Non-fatal: reported, never raised."""

@@ -25,7 +25,7 @@ from indicata.operators import summary as summ
 from indicata.operators import versioned as ver
 from indicata.operators.intervals import RangeTable, lookup_intervals, overlaps, resolved
 from indicata.operators.joins import bounded_broadcast, lacking, lookup, narrowed
-from indicata.plans.nightly import RunOutputs, StagedExtract, VersionedReference, nightly_run
+from indicata.plans.nightly import RunOutputs, StagedExtract, VersionedReference, compact_corrections, nightly_run
 from indicata.plans.warehouse import Warehouse, fixture_warehouse
 from indicata.sources import fixtures as fx
 from indicata.sources import sinks
@@ -465,6 +465,7 @@ def _metrics_run(w: Warehouse, run_date: _dt.date) -> DataFrame:
         "rate",
         F.lit(f"{SPEC.name}-{run_date.isoformat()}").alias("run_id"),
         inc.run_timestamp(run_date).alias("computed_at"),
+        F.lit(f"{YEAR}-01-01").alias("ref_version"),
     )
 
 
@@ -656,8 +657,27 @@ def nightly_metrics(spark, sf):
 
 
 def nightly_run_log(spark, sf):
-    """The log of both nights."""
-    return _two_nights(spark, sf).run_log
+    """The log of both nights (without its times, see ``run_log_observed``)."""
+    return _two_nights(spark, sf).run_log.drop("started_at", "ended_at")
+
+
+def run_log_observed(spark, sf):
+    """Totals of both nights as the writes counted them, and whether their times are there and in order."""
+    log = _two_nights(spark, sf).run_log
+    return log.select("run_id", "numerator", "denominator", "months", "dq_status", (F.col("started_at") < F.col("ended_at")).alias("timed"))
+
+
+def nightly_checks(spark, sf):
+    """The checks of both nights, freshness of the reference data among them."""
+    return _two_nights(spark, sf).checks
+
+
+def nightly_compacted(spark, sf):
+    """A night on facts into whose touched years the corrections were written."""
+    w = fixture_warehouse(spark, sf, YEAR)
+    compact_corrections(w, staged_extract(spark, sf), ROLLING_RUN_DATE, built_on=PREVIOUS_ROLLING_RUN_DATE)
+    out = sinks.fresh_path(spark, "nightly-compacted-run")
+    return nightly_run(w, ROLLING_RUN_DATE, out, spec=SPEC, reference=_reference(spark, sf)).metrics
 
 
 def nightly_numerator_audit(spark, sf):
@@ -900,6 +920,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nightly_current": nightly_current,
     "nightly_from_extract": nightly_from_extract,
     "nightly_run_log": nightly_run_log,
+    "run_log_observed": run_log_observed,
+    "nightly_checks": nightly_checks,
+    "nightly_compacted": nightly_compacted,
     "dq_parse": dq_parse,
     "numerator_patients": numerator_patients,
     "numerator_diff": numerator_diff,

@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,9 +24,9 @@ from indicata.operators import indicator as ind
 from indicata.operators import quality as dq
 from indicata.operators import versioned as ver
 from indicata.operators.intervals import RangeTable
-from indicata.operators.joins import union_all
+from indicata.operators.joins import having, union_all
 from indicata.plans.warehouse import MONTH_COL, YEAR_COL, Facts, Warehouse
-from indicata.sources.sinks import child_names, full_refresh, materialize
+from indicata.sources.sinks import child_names, materialize, publish, read_published
 
 #: Months that the current metrics table holds.
 CURRENT_MONTHS = 12
@@ -63,13 +63,18 @@ class RunOutputs:
     run_log: DataFrame
 
 
-def _write_run(df: DataFrame, path: str) -> None:
+def _write_run(df: DataFrame, path: str, totals: dict[str, Column] | None = None) -> dict:
+    """Write a run's rows, and return ``totals`` of them, collected by the write itself."""
+    seen = Observation()
+    if totals:
+        df = df.observe(seen, *[c.alias(n) for n, c in totals.items()])
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")
         .parquet(path)
     )
+    return seen.get if totals else {}
 
 
 def _read_runs(df_schema: T.StructType, spark, path: str) -> DataFrame | None:
@@ -87,33 +92,51 @@ def run_name(spec: ind.IndicatorSpec, run_date: _dt.date, period: ind.Period) ->
     return f"{spec.name}-{run_date.isoformat()}-{period.start:%Y-%m}-{period.end:%Y-%m}"
 
 
-def corrected_facts(w: Warehouse, staged: StagedExtract, built_on: _dt.date, lookback_days: int = 7) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three facts with the staged encounters in place of their older rows.
-
-    Only encounters changed since the facts were built (minus the lookback) are
-    typed and keyed; the written facts are merged as they are read, so a run
-    reads the years of its period and rewrites no table. All changes since
-    ``built_on`` take part, so none is lost between nights; rebuilding the facts
-    from the upserted raw tables ends the merging. A changed encounter's rows
-    have no year, as its old and new discharge may lie in different ones. Of
-    several staged versions the newest counts; an encounter without staged
-    lines keeps none.
-    """
+def _corrections(w: Warehouse, staged: StagedExtract, built_on: _dt.date | None, lookback_days: int = 7) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The encounters changed since the facts were built (typed, newest version
+    each) and their rows of the three facts. Only they are typed and keyed."""
+    built_on = built_on or w.built_on
+    if built_on is None:
+        raise ValueError("built_on: the day whose extract the stored facts hold")
     changed = inc.lookback_extract(staged.patient, built_on, lookback_days)
     newest = inc.latest_by_key(changed, ["patient_id"], "updated_at").drop("updated_at")
     patient = materialize(facts.core_patient(newest), "nightly-extract")
     build = {"resolve_unknown": w.resolve_unknown}
     discharge = facts.fct_discharge(patient, w.dim_code, w.year, date_start=w.date_start, date_end=w.date_end, **build)
-    fresh = (
-        discharge.withColumn(MONTH_COL, F.trunc("discharge_date", "MM")),
-        facts.fct_diagnosis(facts.core_diagnosis(staged.diagnosis), w.dim_code, w.year, **build),
-        facts.fct_procedure(facts.core_procedure(staged.procedure), w.dim_code, w.year, **build),
-    )
+    lines = lambda df: having(df, patient, "patient_id")
+    return patient, {
+        "fct_discharge": discharge.withColumn(MONTH_COL, F.trunc("discharge_date", "MM")),
+        "fct_diagnosis": facts.fct_diagnosis(lines(facts.core_diagnosis(staged.diagnosis)), w.dim_code, w.year, **build),
+        "fct_procedure": facts.fct_procedure(lines(facts.core_procedure(staged.procedure)), w.dim_code, w.year, **build),
+    }
+
+
+def corrected_facts(w: Warehouse, staged: StagedExtract, built_on: _dt.date | None = None, lookback_days: int = 7) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three facts with the staged encounters in place of their older rows.
+
+    The written facts are merged as they are read, so a run reads the years of
+    its period and rewrites no table. All changes since ``built_on`` (default:
+    the warehouse's; without either this raises) take part, so none is lost
+    between nights; ``compact_corrections`` ends the merging. A changed
+    encounter's rows have no year, as its old and new discharge may lie in
+    different ones. Of several staged versions the newest counts; an encounter
+    without staged lines keeps none.
+    """
+    patient, fresh = _corrections(w, staged, built_on, lookback_days)
     old = (w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year)
-    dated = [n.withColumn(YEAR_COL, F.lit(None).cast("int")) if YEAR_COL in o.columns else n for o, n in zip(old, fresh)]
+    dated = [n.withColumn(YEAR_COL, F.lit(None).cast("int")) if YEAR_COL in o.columns else n for o, n in zip(old, fresh.values())]
     return tuple(inc.replace_children(o, n, patient) for o, n in zip(old, dated))
 
 
+def compact_corrections(w: Warehouse, staged: StagedExtract, through: _dt.date, built_on: _dt.date | None = None) -> list[int | None]:
+    """Write the corrections since ``built_on`` into the stored facts, which then
+    hold the extract of ``through``: the touched years are rewritten, the
+    others keep their files, and later nights read bucketed facts again."""
+    patient, fresh = _corrections(w, staged, built_on)
+    changed = patient.select("patient_id", F.year("discharge_date").alias(YEAR_COL))
+    return w.replace_encounters(changed, fresh, through)
+
+
 def nightly_run(
     w: Warehouse,
     run_date: _dt.date,
@@ -134,8 +157,9 @@ def nightly_run(
     With ``reference`` each discharge is judged by the code lists effective on
     its date, metrics carry the version effective at the month's end and audit
     rows their own; without it all months use the warehouse's reference year.
-    With ``staged`` the changes since ``built_on`` (default: the run date) are
-    applied first, see ``corrected_facts``.
+    With ``staged`` the changes since ``built_on`` (default: the warehouse's) are
+    applied first, see ``corrected_facts``. Of two runs on one date the later
+    one is the newer. The run log takes its totals from the writes themselves.
 
     The returned frames read ``out_dir`` as it is when the run ends; after a
     later run rewrites a night, read them again.
@@ -146,7 +170,8 @@ def nightly_run(
     run_id = run_id or run_name(spec, run_date, period)
     computed_at = computed_at if computed_at is not None else inc.run_timestamp(run_date)
     ref_version = reference.version_on(period.end) if reference else f"{w.year}-01-01"
-    parts = [Facts(*corrected_facts(w, staged, built_on or run_date))] if staged else w.parts
+    started = _dt.datetime.now(_dt.timezone.utc)
+    parts = [Facts(*corrected_facts(w, staged, built_on))] if staged else w.parts
     prefilter = w.prefilter or staged is not None
     n_months = (period.end.year - period.start.year) * 12 + period.end.month - period.start.month + 1
 
@@ -176,32 +201,37 @@ def nightly_run(
     #    materialized first, then written as this run's snapshot, so the
     #    snapshot table is never read and overwritten in one plan.
     snap_path = f"{out_dir}/metrics_snapshots"
+    values = [c for c in new.columns if c != "run_id"]
     snap_schema = T.StructType(
         [*[f for f in new.schema.fields if f.name != "run_id"], T.StructField("source_run_id", T.StringType()),
-         T.StructField("run_id", T.StringType())]
+         T.StructField("run_seq", T.LongType()), T.StructField("run_id", T.StringType())]
     )
+    # Runs are numbered in the order of their first publication.
     history = _read_runs(snap_schema, spark, snap_path)
+    numbers = {} if history is None else {r["source_run_id"]: r["n"] for r in history.groupBy("source_run_id").agg(F.max("run_seq").alias("n")).collect()}
+    run_seq = numbers.get(run_id, max(numbers.values(), default=0) + 1)
+    order = F.struct("computed_at", "run_seq").alias("_order")
+    numbered = new.withColumn("run_seq", F.lit(run_seq).cast("bigint"))
     if history is not None:
         # Only runs computed before this one: rerunning an older night never
         # publishes a newer night's rows.
-        earlier = history.filter((F.col("run_id") != run_id) & (F.col("computed_at") < computed_at)).select(
-            *[c for c in new.columns if c != "run_id"], F.col("source_run_id").alias("run_id")
-        )
-        merged = inc.metrics_upsert(earlier.select(new.columns), new, period)
+        before = (F.col("computed_at") < computed_at) | ((F.col("computed_at") == computed_at) & (F.col("run_seq") < run_seq))
+        earlier = history.filter((F.col("run_id") != run_id) & before).select(*values, F.col("source_run_id").alias("run_id"), "run_seq")
+        merged = inc.metrics_upsert(earlier.select("*", order), numbered.select("*", order), period, order_col="_order").drop("_order")
     else:
-        merged = new
-    staged = materialize(merged, "metrics-merge")
-    _write_run(staged.withColumnRenamed("run_id", "source_run_id").withColumn("run_id", F.lit(run_id)), snap_path)
-    columns = [*[c for c in new.columns if c != "run_id"], F.col("source_run_id").alias("run_id")]
+        merged = numbered
+    snapshot = materialize(merged, "metrics-merge").withColumnRenamed("run_id", "source_run_id").withColumn("run_id", F.lit(run_id))
+    metric_totals = _write_run(snapshot, snap_path, inc.metric_totals())
+    columns = [*values, F.col("source_run_id").alias("run_id")]
     snapshots = _read_runs(snap_schema, spark, snap_path)
     published = snapshots.filter(F.col("run_id") == run_id).select(*columns)
 
     # The one table that consumers read: the newest row of each of the latest
     # months over all snapshots, so rerunning an older night changes nothing
     # that a newer night published.
-    newest = inc.latest_by_key(snapshots.select(*columns), ["year_month"], "computed_at")
-    full_refresh(newest.orderBy(F.col("year_month").desc()).limit(CURRENT_MONTHS), f"{out_dir}/metrics_current")
-    current = spark.read.schema(new.schema).parquet(f"{out_dir}/metrics_current")
+    newest = inc.latest_by_key(snapshots.select(*columns, order), ["year_month"], "_order").drop("_order")
+    publish(newest.orderBy(F.col("year_month").desc()).limit(CURRENT_MONTHS), f"{out_dir}/metrics_current")
+    current = read_published(spark, f"{out_dir}/metrics_current", new.schema)
 
     # 3. numerator audit rows, kept across runs
     if reference:
@@ -223,21 +253,19 @@ def nightly_run(
         dq.metric_bounds(published.withColumnRenamed("year_month", "month"), expected_months=n_months),
         dq.mom_change(published.withColumnRenamed("year_month", "month"), max_mom_change),
     ]
-    if versions is not None:
-        found.append(dq.freshness(versions, run_date))
+    if versions is None:
+        start = reference.versions.started(run_date) if reference else _dt.date(w.year, 1, 1)
+        versions = spark.range(1).select(F.lit(start).cast("date").alias("effective_start_date"), F.lit(True).alias("is_active"))
+    found.append(dq.freshness(versions, run_date))
     checks = union_all(*found).withColumn("run_id", F.lit(run_id))
-    _write_run(checks, f"{out_dir}/checks")
+    check_totals = _write_run(checks, f"{out_dir}/checks", inc.failed_checks())
     checks_all = _read_runs(checks.schema, spark, f"{out_dir}/checks")
 
-    # 5. run log row
-    log = inc.run_log(
-        published.filter(F.col("denominator") > 0),
-        run_id=run_id,
-        execution_date=run_date,
-        period=period,
-        ref_version=ref_version,
-        dq=checks_all.filter(F.col("run_id") == run_id),
-    )
+    # 5. run log row, from what the writes counted
+    totals = spark.range(1).select(*[F.lit(v).cast("bigint").alias(n) for n, v in {**metric_totals, **check_totals}.items()])
+    log = inc.run_log_row(totals, run_id=run_id, execution_date=run_date, period=period, ref_version=ref_version)
+    times = {"started_at": started, "ended_at": _dt.datetime.now(_dt.timezone.utc)}
+    log = log.select("*", *[F.lit(t).cast("timestamp").alias(n) for n, t in times.items()])
     _write_run(log, f"{out_dir}/run_log")
     logs = _read_runs(log.schema, spark, f"{out_dir}/run_log")
     return RunOutputs(metrics=published, current=current, numerator_patients=numer, checks=checks_all, run_log=logs)

@@ -304,7 +304,7 @@ LEFT JOIN (SELECT patient_id, string_agg(code, ',' ORDER BY position) AS codes F
     add("upsert_fct_diagnosis", f"SELECT * FROM ({_DIAGNOSIS}) WHERE diag_rank_num <= 3 OR patient_id NOT IN {late}")
     add("upsert_fct_procedure", f"SELECT * FROM ({_PROCEDURE}) WHERE procedure_code <> 'P009' OR patient_id NOT IN {late}")
     add("stream_staged_upsert", _staged("(s.patient_id::BIGINT % 5 = 0)"))
-    add("metrics_upsert", _published(ROLLING, f"psi13-{ROLLING[1]}"))
+    add("metrics_upsert", _published(ROLLING, f"psi13-{ROLLING[1]}", f", '{YEAR}-01-01' AS ref_version"))
     add("numerator_patients", _audit(CALENDAR, "psi13-1997-12-15", "1997-12-15"))
     add(
         "numerator_diff",
@@ -415,6 +415,16 @@ LEFT JOIN (SELECT patient_id, count(*) AS n, string_agg(procedure_code, ',' ORDE
     )
     q["nightly_numerator_audit"] = by_version + _all(*[found_rows(w, run_id(w)) for w in (ROLLING_PREV, ROLLING)])
     q["nightly_run_log"] = by_version + _all(logged(ROLLING_PREV), logged(ROLLING))
+    q["nightly_compacted"] = q["nightly_from_extract"]
+    q["run_log_observed"] = f"SELECT run_id, numerator, denominator, months, dq_status, true AS timed FROM ({q['nightly_run_log']})"
+
+    def checked(window: tuple[str, str]) -> str:
+        moved = f"(SELECT count(*) FROM {counted(window)} later JOIN {counted(window)} earlier ON later.month = strftime((earlier.month || '-01')::DATE + INTERVAL 1 MONTH, '%Y-%m') WHERE abs(later.rate - earlier.rate) > 0.1)"
+        rows = [("metric_bounds", "numerator<=denominator", f"(SELECT count_if(numerator > denominator) FROM {counted(window)})"), ("metric_bounds", "months=12", f"(SELECT abs(count(DISTINCT month) - 12) FROM {_spine(window)})"),
+                ("mom_change", "abs(rate change)<=0.1", moved), ("reference_freshness", f"active_version_year>={window[1][:4]}", f"(SELECT (count(*) = 0)::INT FROM part WHERE {window[1][:4]} BETWEEN {low} AND {high})")]
+        return _all(*[f"SELECT '{run_id(window)}' AS run_id, '{c}' AS \"check\", '{n}' AS subject, v::BIGINT AS violations, v = 0 AS passed FROM (SELECT {x} AS v)" for c, n, x in rows])
+
+    q["nightly_checks"] = by_version + _all(checked(ROLLING_PREV), checked(ROLLING))
     q["nightly_backfill"] = by_version + _all(
         *[
             f"SELECT '{name}' AS run_id, year_month, count(*)::BIGINT AS encounters FROM kept WHERE line IS NOT NULL AND {_in(window)} GROUP BY year_month"
@@ -456,7 +466,7 @@ LEFT JOIN (SELECT patient_id, count(*) AS n, string_agg(procedure_code, ',' ORDE
     add(
         "dq_parse",
         _all(
-            *[_check("parses", f"raw_patient.{c}", f"count_if({c} IS NOT NULL AND try_cast({c} AS DATE) IS NULL)", "raw_patient") for c in ("birth_date", "admission_date", "discharge_date")],
+            *[_check("parses", f"raw_patient.{c}", f"count_if({c} IS NOT NULL AND (try_cast({c} AS DATE) IS NULL OR NOT regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')))", "raw_patient") for c in ("birth_date", "admission_date", "discharge_date")],
             *[_check("parses", f"{t}.patient_id", "count_if(patient_id IS NOT NULL AND try_cast(patient_id AS BIGINT) IS NULL)", t) for t in ("raw_patient", "raw_diagnosis", "raw_procedure")],
         ),
     )

@@ -38,9 +38,9 @@ from indicata.operators import facts as _facts
 from indicata.operators import indicator as _ind
 from indicata.operators import reference as _ref
 from indicata.operators import skew as _skew
-from indicata.operators.joins import union_all
+from indicata.operators.joins import having, lacking, union_all
 from indicata.sources.fixtures import RawInputs, raw_inputs
-from indicata.sources.sinks import fresh_path, materialize, save_bucketed
+from indicata.sources.sinks import fresh_path, materialize, overwrite_partitions, save_bucketed
 
 MONTH_COL = "discharge_month"
 YEAR_COL = _ind.YEAR_COL
@@ -75,7 +75,10 @@ class Warehouse:
     buckets: int | None = None
     # An encounter is hot beyond this many rows of a fact and a quarter of an average bucket.
     least_hot_rows: int = LEAST_HOT_ROWS
+    # The day whose extract the stored facts hold; corrections since then are merged by the nightly run.
+    built_on: _dt.date | None = None
     _cache: dict = field(default_factory=dict, repr=False)
+    _tables: dict = field(default_factory=dict, repr=False)
 
     def _pin(self, df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
         """Write a small reference table to shared storage and read it back,
@@ -245,9 +248,43 @@ class Warehouse:
             hot = materialize(side, f"{name}-hot", cluster_by=(YEAR_COL, "patient_id"))
         placed = df.repartition(self.fact_buckets, "patient_id").join(self.encounter_years, "patient_id", "left")
         path = fresh_path(self.spark, name)
-        table = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
+        table = self._tables[name] = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
         return save_bucketed(placed, table, path, "patient_id", self.fact_buckets, partition_by=YEAR_COL, placed=True), hot
 
+    def replace_encounters(self, changed: DataFrame, fresh: dict[str, DataFrame], on: _dt.date) -> list[int | None]:
+        """Bring the stored facts up to day ``on``: the rows of the encounters
+        ``changed`` (patient_id and their new year of discharge) become those
+        of ``fresh`` (by fact name). Returns the years that were rewritten.
+
+        Only the years in which these encounters were and are discharged are
+        rewritten, from a staged copy, by dynamic partition overwrite; buckets
+        and co-location stay, and files of other years are not touched. Rows of
+        hot encounters are replaced in the side tables. A run that was cut off
+        is mended by running it again.
+        """
+        ids = changed.select("patient_id").distinct()
+        old = having(self._written("fct_discharge")[0].select("patient_id", YEAR_COL), ids, "patient_id").select(YEAR_COL)
+        touched = sorted({r[0] for r in old.unionByName(changed.select(YEAR_COL)).distinct().collect()}, key=lambda y: (y is not None, y or 0))
+        in_years = F.col(YEAR_COL).isin([y for y in touched if y is not None])
+        staged = {}
+        for name, rows in fresh.items():
+            cold, hot = self._written(name)
+            dated = rows.join(changed.select("patient_id", YEAR_COL), "patient_id", "left").select(cold.columns)
+            if hot is not None:
+                dated, side = _skew.split(dated, self.hot_encounters, "patient_id")
+                side = materialize(lacking(hot, ids, "patient_id").unionByName(side), f"{name}-hot", cluster_by=(YEAR_COL, "patient_id"))
+                self._cache[name] = (cold, side)
+            kept = lacking(cold.filter(F.col(YEAR_COL).isNull() | in_years if None in touched else in_years), ids, "patient_id")
+            staged[name] = materialize(kept.unionByName(dated), f"{name}-staged")
+        for name, rows in staged.items():
+            overwrite_partitions(rows, self._tables[name], "patient_id", self.fact_buckets, YEAR_COL, touched)
+            self._cache[name] = (self.spark.table(self._tables[name]), self._cache[name][1])
+        for derived in ("fct_discharge", "fct_diagnosis", "fct_procedure", "parts", "discharge_summary"):
+            self.__dict__.pop(derived, None)
+        self._cache = {k: v for k, v in self._cache.items() if k[0] != "metrics"}
+        self.built_on = on
+        return touched
+
     # -- analytics layer -------------------------------------------------
     @cached_property
     def discharge_summary(self) -> DataFrame:

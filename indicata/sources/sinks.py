@@ -117,6 +117,25 @@ def save_bucketed(
     return df.sparkSession.table(table)
 
 
+def overwrite_partitions(df: DataFrame, table: str, key: str, buckets: int, partition_by: str, values: Sequence) -> None:
+    """Replace the given partitions of a bucketed table by ``df`` (rows of those
+    partitions only, not read from the table itself); others keep their files."""
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    left = {r[0] for r in df.select(partition_by).distinct().collect()}
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(spark.table(table).columns).repartition(buckets, key).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+    for value in values:
+        if value not in left:
+            spec = "'__HIVE_DEFAULT_PARTITION__'" if value is None else f"{value}"
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = {spec})")
+    spark.catalog.refreshTable(table)
+
+
 def write_by_month(
     df: DataFrame,
     path: str,
@@ -164,11 +183,54 @@ def read_by_year(spark: SparkSession, path: str, schema: T.StructType, year_col:
 
 def full_refresh(df: DataFrame, path: str) -> None:
     """TRUNCATE + INSERT: replace the table's contents. The old files go before
-    the new ones are committed, so readers need the job to have ended; publish
-    under a fresh path where that matters."""
+    the new ones are committed, so readers need the job to have ended; see
+    ``publish`` for tables that are read meanwhile."""
     df.write.mode("overwrite").parquet(path)
 
 
+VERSION = "version="
+
+
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Complete versions under ``root``, oldest first: those with the marker that
+    Spark writes when a job has committed all its files."""
+    names = [n for n in child_names(spark, root) if n.startswith(VERSION)]
+    return [n for n in names if "_SUCCESS" in child_names(spark, f"{root}/{n}")]
+
+
+def publish(df: DataFrame, root: str, *, keep: int = 2) -> str:
+    """Replace a table's contents without a moment in which it is empty: the rows
+    are written as a new version under ``root``, which readers see once its
+    files are all committed. A failed job leaves the old version; ``keep``
+    versions stay for readers that still have an older one open."""
+    spark = df.sparkSession
+    names = child_names(spark, root)
+    last = max([int(n[len(VERSION):]) for n in names if n.startswith(VERSION)], default=0)
+    path = f"{root}/{VERSION}{last + 1:010d}"
+    df.write.parquet(path)
+    for old in _versions(spark, root)[:-keep]:
+        remove(spark, f"{root}/{old}")
+    return path
+
+
+def read_published(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The newest complete version of a published table; it stays readable while newer ones come."""
+    found = _versions(spark, root)
+    if not found:
+        raise FileNotFoundError(f"nothing is published under {root}")
+    return spark.read.schema(schema).parquet(f"{root}/{found[-1]}")
+
+
+def point_table(spark: SparkSession, table: str, path: str, schema: T.StructType) -> DataFrame:
+    """Point a catalog table at a published version: one change of its location."""
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+    return spark.table(table)
+
+
 def export_csv(df: DataFrame, path: str, order_by: str | None = None) -> None:
     """The monthly metrics table (at most a row per month) as one headered CSV
     file. ``repartition`` keeps the work before it parallel."""
