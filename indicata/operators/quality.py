@@ -67,17 +67,26 @@ def fk_orphans(checks: Mapping[str, tuple[DataFrame, str, DataFrame, str, bool]]
     """Child rows whose key has no parent row.
 
     ``checks[name] = (child, child_key, parent, parent_key, parent_is_small)``;
-    small parents (dimensions) are broadcast after a size check, large ones
-    (encounters) are anti-joined with a shuffle.
+    small parents (dimensions) are broadcast after a size check.
+
+    Every child table is scanned once: each of its keys is looked up by a left
+    join to the parent's distinct keys (broadcast, or co-located where both
+    are bucketed by the key), and one aggregate counts the misses of all keys.
     """
-    parts = []
+    tables: dict[int, tuple[DataFrame, list[tuple[str, str, DataFrame, str, bool]]]] = {}
     for name, (child, ckey, parent, pkey, small) in checks.items():
-        # An anti-join is unaffected by duplicate parent keys: no DISTINCT (and
-        # no shuffle) on the parent side.
-        p = narrowed(parent, parent.select(F.col(pkey).alias(ckey)))
-        p = bounded_broadcast(p) if small else p
-        orphans = lacking(child.select(ckey), p, ckey)
-        parts.append(_one(orphans, "fk_resolves", name, F.count(F.lit(1))))
+        tables.setdefault(id(child), (child, []))[1].append((name, ckey, parent, pkey, small))
+    parts = []
+    for child, keys in tables.values():
+        rows = child.select(*dict.fromkeys(ckey for _, ckey, *_ in keys))
+        misses = {}
+        for i, (name, ckey, parent, pkey, small) in enumerate(keys):
+            # One row per key, so that no child row is repeated.
+            known = parent.groupBy(F.col(pkey).alias(f"_k{i}")).agg(F.lit(1).alias(f"_p{i}"))
+            known = bounded_broadcast(narrowed(parent, known)) if small else known
+            rows = rows.join(known, F.col(ckey) == F.col(f"_k{i}"), "left")
+            misses[name] = F.count_if(F.col(f"_p{i}").isNull())
+        parts.append(_many(rows, "fk_resolves", misses))
     return union_all(*parts)
 
 

@@ -35,6 +35,7 @@ from indicata.sources.contract import (
     PATIENT_SCHEMA,
     PROCEDURE_SCHEMA,
     read_contract,
+    read_quarantined,
 )
 
 from indicata.sources.touched import KeyedTable
@@ -91,6 +92,26 @@ def src_codes(spark, sf):
     return out
 
 
+def src_quarantine(spark, sf):
+    """Every diagnosis record of four deliveries, loaded or with the reason why it was not.
+
+    One delivery is sound; the others have a wrong header, records without
+    their last two fields, and ranks that are no numbers."""
+    raw, kind = fx.raw_diagnosis(spark, sf), F.col("patient_id").cast("bigint") % 50
+    paths = {n: sinks.fresh_path(spark, f"src_quarantine-{n}") for n in ("sound", "header", "short", "rank")}
+    sinks.write_csv(raw.filter(kind > 2), paths["sound"])
+    sinks.write_csv(raw.filter(kind == 0).withColumnRenamed("diag_code", "code"), paths["header"])
+    sinks.write_csv(raw.filter(kind == 2).withColumn("diag_rank_num", F.concat(F.lit("no "), F.col("diag_rank_num"))), paths["rank"])
+    lines = raw.filter(kind == 1).select(F.concat_ws(",", "patient_id", "diag_code").alias("value"))
+    names = spark.range(1).select(F.lit(",".join(DIAGNOSIS_SCHEMA.names)).alias("value"))
+    names.unionByName(lines).coalesce(1).write.text(paths["short"])
+    good, bad = read_quarantined(spark, list(paths.values()), DIAGNOSIS_SCHEMA)
+    columns = ["patient_id", "diag_code", "diag_rank_num"]
+    loaded = good.select(F.lit("loaded").alias("reason"), "patient_id", "diag_code", F.col("diag_rank_num").cast("string").alias("diag_rank_num"))
+    # Without the lines that are a wrong header themselves.
+    return loaded.unionByName(bad.filter("patient_id <> 'patient_id'").select("reason", *columns))
+
+
 def sink_month_roundtrip(spark, sf):
     fct = warehouse(spark, sf).fct_discharge
     path = sinks.fresh_path(spark, "fct_discharge")
@@ -864,6 +885,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_procedure": src_procedure,
     "src_diagnosis": src_diagnosis,
     "src_codes": src_codes,
+    "src_quarantine": src_quarantine,
     "sink_month_roundtrip": sink_month_roundtrip,
     "sink_year_roundtrip": sink_year_roundtrip,
     "sink_rerun_idempotent": sink_rerun_idempotent,

@@ -208,6 +208,11 @@ def oracle_sql() -> dict[str, str]:
     add("src_procedure", "SELECT * FROM raw_procedure")
     add("src_diagnosis", "SELECT * FROM raw_diagnosis")
     add("src_codes", "SELECT list_name, code, code_description, code_type, identifier FROM lists")
+    add(
+        "src_quarantine",
+        """SELECT CASE patient_id::BIGINT % 50 WHEN 0 THEN 'header' WHEN 1 THEN 'tokens' WHEN 2 THEN 'cast' ELSE 'loaded' END AS reason, patient_id, diag_code,
+  CASE patient_id::BIGINT % 50 WHEN 1 THEN NULL WHEN 2 THEN 'no ' || diag_rank_num ELSE diag_rank_num::VARCHAR END AS diag_rank_num FROM raw_diagnosis""",
+    )
     add("sink_month_roundtrip", f"SELECT *, date_trunc('month', discharge_date)::DATE AS discharge_month FROM ({_DISCHARGE})")
     add("sink_year_roundtrip", "SELECT * FROM entries")
     add("sink_rerun_idempotent", _DIAGNOSIS)

@@ -7,8 +7,11 @@ Schemas are fixed, never inferred: raw encounter files arrive as text
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from indicata.sources.sinks import materialize
+
 _S = T.StringType()
 
 PATIENT_SCHEMA = T.StructType(
@@ -84,3 +87,54 @@ def read_contract(
 def read_code_lists(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """One contract read per code-list file, all of the same shape."""
     return {name: read_contract(spark, p, CODE_LIST_SCHEMA) for name, p in paths.items()}
+
+
+#: Why a record was not loaded.
+WRONG_HEADER, WRONG_WIDTH, WRONG_TYPE = "header", "tokens", "cast"
+
+
+def read_quarantined(spark: SparkSession, paths: str | list[str], schema: T.StructType, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Read like ``read_contract``, but keep bad records apart instead of failing.
+
+    Returns the typed rows and the quarantine: (file, reason, detail, record,
+    and the declared columns as text, as far as they were there). A record is
+    quarantined if its file has no row with the declared header (``header``),
+    if it has more or fewer fields than declared (``tokens``), or if a present
+    value does not parse as its column's type (``cast``; ``detail`` names the
+    columns). The files are read and parsed once, into a written table that
+    both results read; files are split between tasks unless ``multiline``.
+    """
+    names, record = schema.names, "_corrupt_record"
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, record]])
+    read = (
+        spark.read.schema(text)
+        .option("header", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", record)
+        .csv(paths)
+    )
+    rows = read.select("*", F.col("_metadata.file_path").alias("_file"))
+    header = F.col(record).isNull()
+    for n in names:
+        header = header & F.col(n).eqNullSafe(F.lit(n))
+    staged = materialize(rows.withColumn("_header", header), "quarantine-read")
+    # One row per file at most.
+    headed = staged.filter("_header").select("_file").distinct().withColumn("_headed", F.lit(True))
+    failed = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), f.name) for f in schema.fields if f.dataType != T.StringType()]
+    detail = F.concat_ws(",", *failed) if failed else F.lit("")
+    reason = (
+        F.when(F.col("_headed").isNull(), WRONG_HEADER)
+        .when(F.col(record).isNotNull(), WRONG_WIDTH)
+        .when(detail != "", WRONG_TYPE)
+    )
+    judged = staged.filter("NOT _header").join(headed, "_file", "left").select("*", reason.alias("_reason"), detail.alias("_detail"))
+    good = judged.filter(F.col("_reason").isNull()).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    # A record that was split into fields is put together again for the quarantine.
+    whole = F.coalesce(record, F.to_csv(F.struct(*names)))
+    bad = judged.filter(F.col("_reason").isNotNull()).select(
+        F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.when(F.col("_reason") == WRONG_TYPE, F.col("_detail")).alias("detail"), whole.alias("record"), *names
+    )
+    return good, bad

@@ -102,3 +102,53 @@ def test_an_extract_gives_what_rebuilt_facts_give(spark, versioned):
     assert sorted(map(tuple, merged.numerator_patients.collect())) == sorted(map(tuple, rebuilt.numerator_patients.collect()))
     plain = nightly_run(w, JUNE, fresh_path(spark, "nightly-plain"), reference=reference)
     assert sorted(map(tuple, merged.metrics.collect())) != sorted(map(tuple, plain.metrics.collect()))
+
+
+def test_of_two_runs_on_one_date_the_later_one_is_current(spark):
+    """A backfill of overlapping months on the night's date lowers counts: its rows are the current ones."""
+    w, reference = catalog.warehouse(spark, SF_MEDIUM), catalog._reference(spark, SF_MEDIUM)
+    out = fresh_path(spark, "nightly-same-day")
+    night = {r.year_month: r for r in nightly_run(w, JUNE, out, reference=reference).current.collect()}
+    months = Period.months("1997-03", "1997-06")
+    extract = catalog.staged_extract(spark, SF_MEDIUM)
+    fill = nightly_run(w, JUNE, out, reference=reference, period=months, staged=extract, built_on=dt.date(1997, 1, 1))
+    filled = {r.year_month: r for r in fill.metrics.collect()}
+    current = {r.year_month: r for r in fill.current.collect()}
+    assert len(filled) == 4 and any(filled[m].denominator < night[m].denominator for m in filled)
+    assert current == {**night, **filled}
+    # The night again: it is still the earlier run of the two.
+    again = nightly_run(w, JUNE, out, reference=reference)
+    assert {r.year_month: r for r in again.metrics.collect()} == night
+    assert {r.year_month: r for r in again.current.collect()} == {**night, **filled}
+
+
+def test_stale_reference_is_reported_and_does_not_fail_the_run(spark):
+    from dataclasses import replace
+
+    from indicata.operators.intervals import RangeTable
+
+    w, reference = catalog.warehouse(spark, SF_SMALL), catalog._reference(spark, SF_SMALL)
+    old = replace(reference, versions=RangeTable((dt.date(1995, 1, 1),), ("1995-01-01",)))
+    status = {}
+    for name, ref in (("fresh", reference), ("old", old), ("none", None)):
+        run = nightly_run(w, JUNE, fresh_path(spark, f"nightly-{name}"), reference=ref)
+        check = run.checks.filter("check = 'reference_freshness'").first()
+        others = run.checks.filter("check <> 'reference_freshness' AND NOT passed").count()
+        log = run.run_log.first()
+        status[name] = check.passed
+        assert log.dq_status == ("FAILED" if others else "PASSED")
+        assert log.started_at < log.ended_at
+    assert status == {"fresh": True, "old": False, "none": True}
+
+
+def test_corrections_need_the_day_of_the_stored_facts(spark):
+    w = catalog.warehouse(spark, SF_SMALL)
+    with pytest.raises(ValueError):
+        nightly_run(w, JUNE, fresh_path(spark, "nightly-undated"), staged=catalog.staged_extract(spark, SF_SMALL))
+
+
+def test_the_log_reads_no_table(spark):
+    """Its totals are those of the published rows, taken while they were written."""
+    run = nightly_run(catalog.warehouse(spark, SF_MEDIUM), JUNE, fresh_path(spark, "nightly-log"))
+    log, rows = run.run_log.first(), run.metrics.collect()
+    assert (log.numerator, log.denominator, log.months) == (sum(r.numerator for r in rows), sum(r.denominator for r in rows), sum(r.denominator > 0 for r in rows))

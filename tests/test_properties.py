@@ -121,3 +121,27 @@ def test_sql_views_answer_like_the_dataframes(spark):
         "SELECT count(*) FROM t_fct_diagnosis d JOIN t_fct_discharge f ON d.patient_id = f.patient_id"
     ).first()[0]
     assert n == w.fct_diagnosis.count()
+
+
+def test_the_parse_check_counts_what_the_loader_makes_null(spark):
+    from indicata.functions import safe_date
+    from indicata.operators import quality as dq
+
+    texts = ["1997", "1997-01-05 10:00", "1997-1-5", "1997-13-45", " 1997-01-05", "", "1997-01-05", None]
+    df = spark.createDataFrame([(t,) for t in texts], "day string")
+    nulled = df.filter(F.col("day").isNotNull() & safe_date(F.col("day")).isNull()).count()
+    check = dq.parses({"raw": (df, {"day": "date"})}).first()
+    assert check.violations == nulled == 6
+
+
+def test_key_checks_scan_each_child_once_and_count_nulls(spark, capsys):
+    from indicata.operators import quality as dq
+
+    child = spark.createDataFrame([(1, 5), (1, None), (9, 6), (None, 7)], "a long, b long")
+    parent = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
+    got = dq.fk_orphans({"a": (child, "a", parent, "k", True), "b": (child, "b", parent.filter("k = 0"), "k", False)})
+    assert {r.subject: r.violations for r in got.collect()} == {"a": 2, "b": 4}
+    catalog.dq_fk_orphans(spark, SF_SMALL).explain()
+    plan = capsys.readouterr().out
+    assert sum("FileScan" in line and "drg_code_sk" in line for line in plan.splitlines()) == 1
+    assert sum("FileScan" in line and "diag_code_sk" in line for line in plan.splitlines()) == 1
