@@ -18,18 +18,21 @@ Spark's own file writer, so the store can lie on any file system Spark
 reaches, and a lost task is written again.
 
 Defined results: null text is empty and holds only the end id. Null ids sort
-first. Repeated ids keep all their rows. An empty table gives an empty store.
+first. Repeated ids keep all their rows, in the order of their texts' XXH64,
+then of the texts. A vocabulary with another normaliser or split than the one
+that pieces are known to be exact for has whole texts encoded. An empty table gives an empty store.
 Extra columns are not stored.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -177,6 +180,24 @@ def byte_level() -> dict[int, str]:
     return {ord(c): step.pre_tokenize_str(c)[0][0] for c in map(chr, range(128, 256)) if c.isalpha()}
 
 
+#: The normaliser and split for which a text's ids are those of its pieces.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def encoder(path: str) -> Callable[[list[str]], Iterator[np.ndarray]]:
+    """By pieces if the vocabulary file has the normaliser and split that allow it; else whole texts by the library."""
+    with open(path, encoding="utf-8") as f:
+        steps = json.load(f)
+    if [(steps.get(n) or {}).get(parts) for n, parts in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))] == [NORMALIZER, SPLIT]:
+        return PieceEncoder(path)
+    whole = tokenizer(path)
+    return lambda texts: (np.array(e.ids, "<u4") for e in whole.encode_batch_fast(texts, add_special_tokens=False))
+
+
 class PieceEncoder:
     """Ids of whole texts by the tokenizers library, one call for each new piece.
 
@@ -249,10 +270,12 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_
     """Encode every whole text and write the store at ``path``."""
     n = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    ordered = rows.repartitionByRange(n, "id").sortWithinPartitions("id")
+    # Rows of one id, also very many, are dealt and ordered by their texts; equal ones anywhere among themselves.
+    order = ["id", F.xxhash64("text")]
+    ordered = rows.withColumn("spread", F.rand(0)).repartitionByRange(n, *order, "spread").sortWithinPartitions(*order, "text").drop("spread")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = PieceEncoder(vocabulary), TaskContext.get().partitionId()
+        encode, part = encoder(vocabulary), TaskContext.get().partitionId()
         number = before = held_ids = 0
         held: list[tuple[int | None, np.ndarray]] = []
 

@@ -97,3 +97,30 @@ def test_query_equals_brute_force(spark, sf_dir):
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     got = sorted((tuple(r) for r in queries.op5_token_store(spark, sf_dir).collect()), key=lambda r: r[1])
     assert got == expected([tuple(t) for t in texts])
+
+
+def test_another_vocabulary_has_whole_texts_encoded(spark, make_docs, tmp_path):
+    """A byte-level vocabulary that keeps white space: pieces would give other ids."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not isinstance(ts.encoder(path), ts.PieceEncoder)
+    assert isinstance(ts.encoder(queries.WORD_VOCABULARY), ts.PieceEncoder)
+    rows = [(1, "Two  words\n and MORE"), (2, None)]
+    ts.write_store(make_docs(rows), str(tmp_path / "s"), path)
+    got = {r.id: np.frombuffer(r.ids, "<u4").tolist() for r in ts.read_store(spark, str(tmp_path / "s")).collect()}
+    known = Tokenizer.from_file(path)
+    assert got == {i: known.encode(t or "", add_special_tokens=False).ids + [ts.END_ID] for i, t in rows}
+
+
+def test_rows_of_one_id_have_a_fixed_order_over_partitions(spark, make_docs, tmp_path):
+    rows = [(7, f"text {i}") for i in range(200)] + [(None, f"none {i}") for i in range(100)] + [(7, "text 1")] * 50
+    stores = []
+    for k, partitions in enumerate((1, 5)):
+        path = str(tmp_path / str(k))
+        ts.write_store(make_docs(rows, partitions), path, queries.WORD_VOCABULARY)
+        found = ts.read_digests(spark, path)
+        assert ts.read_store(spark, path).select("part").distinct().count() > 1
+        stores.append(sorted((r.start, r.doc_id, r.ids_crc32) for r in found.collect()))
+    assert stores[0] == stores[1] and len(stores[0]) == 350
