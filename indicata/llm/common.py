@@ -32,3 +32,16 @@ def text_or_empty(col: str | Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def crc32_sql(keys: str, name: str) -> str:
+    """SQL CTEs (in a ``WITH RECURSIVE``) ending in ``name`` (s, crc): the unsigned CRC-32 of every text ``s`` of the query ``keys``."""
+    return f"""
+{name}_bits AS (
+  SELECT i, 0 AS k, i::BIGINT AS c FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END FROM {name}_bits WHERE k < 8
+), {name}_table AS (SELECT i, c AS entry FROM {name}_bits WHERE k = 8),
+{name}_bytes AS (
+  SELECT s, hex(encode(s)) AS h, 0 AS k, 4294967295::BIGINT AS c FROM (SELECT DISTINCT s FROM ({keys}))
+  UNION ALL SELECT s, h, k + 1, xor(c >> 8, entry) FROM {name}_bytes JOIN {name}_table ON i = xor(c, ('0x' || substr(h, 2 * k + 1, 2))::BIGINT) & 255 WHERE 2 * k < length(h)
+), {name} AS (SELECT s, xor(c, 4294967295::BIGINT) AS crc FROM {name}_bytes WHERE 2 * k = length(h))"""

@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import shuffle_partitions, stage
+from indicata.llm.common import crc32_sql, shuffle_partitions, stage
 
 BLANKS = " \t\n\x0b\f\r"
 ENDS = (".", "!", "?")
@@ -508,3 +508,53 @@ def audit(conversations: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFra
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+def oracle_sql() -> str:
+    """``audit`` of the table ``conversations`` as DuckDB SQL: for each row in turn the cheapest, ASCII-least way to every place of the pattern."""
+    ways = "e0 e1 e2 e3".split()
+    edited = lambda way, cost, letter, line: f"{{'c': {way}.c + {cost}, 'a': {way}.a || '{letter}', 'l': {way}.l || {line}}}"
+    put = {way: edited(way, INSERT, "I", f"chr(10) || '{role}:'") for way, role in zip(ways, NEXT_ROLE)}
+    none, empty = "{'c': 1000000000, 'a': '', 'l': ''}", "{'c': 0, 'a': '', 'l': ''}"
+
+    def with_inserts(source: str) -> str:
+        """e0 to e3 of ``source`` when rows may be put in: a user before anything, behind s or a, an assistant behind u."""
+        first = f"SELECT * REPLACE (least(e2, {put['e0']}, {put['e1']}, {put['e3']}) AS e2) FROM {source}"
+        return f"(SELECT * REPLACE (least(e3, {put['e2']}) AS e3) FROM ({first}))"
+
+    def stays(way: str, initial: str, role: str) -> str:
+        kept = edited(way, "r.more", "K", "chr(10) || r.role || ':' || r.text")
+        new = edited(way, f"{REROLE} + r.more", "R", f"chr(10) || '{role}:' || r.text")
+        return f"CASE WHEN r.fault IN ({BLANK}, {DUPLICATE}) THEN {none} WHEN left(r.role, 1) = '{initial}' THEN {kept} ELSE {new} END"
+
+    goes = {way: edited(way, DELETE, "D", "''") for way in ways}
+    to_s = f"CASE WHEN r.fault NOT IN ({BLANK}, {DUPLICATE}) AND left(r.role, 1) = 's' THEN {edited('e0', 'r.more', 'K', "chr(10) || r.role || ':' || r.text")} ELSE {none} END"
+    return f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations
+),{crc32_sql("SELECT s FROM raw", "sums")},
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END AS role, CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]+', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE WHEN crc % 20 = 3 THEN 2 ELSE 1 END)) FROM raw JOIN sums USING (s)) WHERE crc % 20 <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, {TIE_CHARS}), text) AS pos FROM hurt
+), faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN {BLANK} WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN {DUPLICATE}
+    WHEN regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN {SOUND} ELSE {CUT_OFF} END AS fault FROM placed
+), r AS (
+  SELECT *, CASE WHEN fault = {CUT_OFF} THEN {TRUNCATED} ELSE 0 END AS more, left(lag(role) OVER (PARTITION BY conv_id ORDER BY pos), 1) || left(role, 1) AS two FROM faulty
+), way AS (
+  SELECT conv_id, 0::BIGINT AS pos, {empty} AS e0, {none} AS e1, {none} AS e2, {none} AS e3 FROM (SELECT DISTINCT conv_id FROM r)
+  UNION ALL
+  SELECT w.conv_id, r.pos, {goes['e0']}, least({goes['e1']}, {to_s}), least({goes['e2']}, {stays('e0', 'u', 'user')}, {stays('e1', 'u', 'user')}, {stays('e3', 'u', 'user')}),
+    least({goes['e3']}, {stays('e2', 'a', 'assistant')})
+  FROM {with_inserts("way")} w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos + 1
+), ended AS (
+  SELECT conv_id, least(e0, e3) AS e FROM {with_inserts("(SELECT * FROM way WHERE (conv_id, pos) IN (SELECT conv_id, max(pos) FROM r GROUP BY conv_id))")}
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count_if(fault = {BLANK})::BIGINT AS blank, count_if(fault = {DUPLICATE})::BIGINT AS duplicate,
+    count_if(fault = {CUT_OFF})::BIGINT AS truncated, count_if(two NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal FROM r GROUP BY conv_id
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(e.c, 0)::BIGINT AS cost, coalesce(e.a, '') AS audit, sha256(coalesce(substr(e.l, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM raw) i LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN ended d ON d.conv_id IS NOT DISTINCT FROM i.conv_id"""

@@ -119,4 +119,6 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, text_sha256
 FROM d""",
     "op11_quality_rules": quality_rules.oracle_sql(),
+    "op12_spelling": spelling.oracle_sql(),
+    "op13_conversations": conversation_repair.oracle_sql(),
 }

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from indicata.llm.common import shuffle_partitions, stage, text_or_empty
+from indicata.llm.common import crc32_sql, shuffle_partitions, stage, text_or_empty
 
 LETTERS = "A-Za-z\\u00C0-\\u00FF"
 LEAST_LETTERS = 7
@@ -271,3 +271,30 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The words of ``docs``, some runs damaged as ``damaged`` says, with their forms."""
     found = runs(docs, id_col, text_col)
     return group_variants(stage(vocabulary(found.select(damaged(found).alias("word"))), "spelling-words"))
+
+
+def oracle_sql() -> str:
+    """``variants`` of the table ``documents`` as DuckDB SQL: neighbours share their text around a place that is left out."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE runs AS (
+  SELECT r, coalesce(doc_id::VARCHAR, '') || ':' || r AS s
+  FROM (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')), '{upper}', '{upper.lower()}') AS r FROM documents) WHERE length(r) >= {LEAST_LETTERS}
+),{crc32_sql("SELECT s FROM runs", "sums")},
+v AS (
+  SELECT CASE WHEN crc % {DAMAGED} = 0 THEN left(r, (crc % length(r))::INT) || substr(r, (crc % length(r))::INT + 2) ELSE r END AS w, count(*) AS n FROM runs JOIN sums USING (s)
+  GROUP BY 1 HAVING count(*) >= {LEAST_COUNT} AND length(w) >= {LEAST_LETTERS}
+), skipped AS (SELECT w, left(w, i::INT) AS p, substr(w, i::INT + 2) AS e FROM (SELECT w, unnest(range(length(w))) AS i FROM v)),
+whole AS (SELECT w, left(w, i::INT) AS p, substr(w, i::INT + 1) AS e FROM (SELECT w, unnest(range(length(w) + 1)) AS i FROM v)),
+near AS (
+  SELECT a.w AS x, b.w AS y FROM skipped a JOIN skipped b ON a.p = b.p AND a.e = b.e AND a.w <> b.w
+  UNION SELECT a.w, b.w FROM skipped a JOIN whole b ON a.p = b.p AND a.e = b.e
+  UNION SELECT b.w, a.w FROM skipped a JOIN whole b ON a.p = b.p AND a.e = b.e
+), best AS (
+  SELECT x, y, v.n AS m, count(*) OVER (PARTITION BY x) AS n_near, row_number() OVER (PARTITION BY x ORDER BY v.n DESC, y) AS k FROM near JOIN v ON v.w = y
+), forms AS (
+  SELECT w, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= {RATIO} * n THEN y END AS form, CASE WHEN m >= {RATIO} * n THEN m END AS form_n FROM v LEFT JOIN best ON x = w AND k = 1
+), chain AS (
+  SELECT w, w AS at FROM forms UNION ALL SELECT c.w, f.form FROM chain c JOIN forms f ON f.w = c.at WHERE f.form IS NOT NULL
+), roots AS (SELECT c.w, c.at AS root FROM chain c JOIN forms f ON f.w = c.at WHERE f.form IS NULL)
+SELECT w AS word, form, root, n::BIGINT AS n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM forms JOIN roots USING (w)"""

@@ -160,8 +160,20 @@ def test_all_rows_dropped(spark):
     assert rows_of(cr.audit(spark.createDataFrame([(gone, 0, "user", "x.")], SCHEMA))) == [(gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
 
 
-def test_query_equals_brute_force(spark, sf_dir):
+def test_query_equals_brute_force_and_sql(spark, sf_dir, duck_docs):
     from indicata.llm import queries
 
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     assert rows_of(queries.op13_conversations(spark, sf_dir)) == brute(rows)
+    sql = duck_docs.sql(queries.ORACLE_SQL["op13_conversations"])
+    assert sorted(sql.fetchall(), key=repr) == brute(rows) and sql.columns == queries.op13_conversations(spark, sf_dir).columns
+
+
+def test_sql_of_random_conversations(spark):
+    import duckdb
+
+    rows = many(21, 120, 12)
+    con = duckdb.connect()
+    con.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [list(r) for r in rows])
+    assert sorted(con.sql(cr.oracle_sql()).fetchall(), key=repr) == brute(rows)

@@ -57,9 +57,12 @@ def rows_of(df):
     return set(rows)
 
 
-def test_query_equals_brute_force(spark, sf_dir):
+def test_query_equals_brute_force_and_sql(spark, sf_dir, duck_docs):
     from indicata.llm import queries
 
+    sql = duck_docs.sql(queries.ORACLE_SQL["op12_spelling"])
+    assert sorted(sql.columns) == sorted(queries.op12_spelling(spark, sf_dir).columns)
+    assert {tuple(dict(zip(sql.columns, r))[c] for c in ("word", "form", "root", "n", "n_near", "form_n")) for r in sql.fetchall()} == rows_of(queries.op12_spelling(spark, sf_dir))
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert rows_of(queries.op12_spelling(spark, sf_dir)) == brute(counted(docs))
 
