@@ -53,7 +53,6 @@ HEADLINE = [
     "discharge_summary_versioned",
     "upsert_touched",
     "dq_reconcile_contents",
-    "hot_encounter_metrics",
 ]
 
 
