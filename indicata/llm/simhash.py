@@ -4,20 +4,26 @@ Fingerprints. Text is lower-cased (A-Z only) and cut into words at ASCII white
 space; every run of ``shingle`` words, repeats included, is hashed with XXH64
 (seed 42). Bit i of the fingerprint is 1 if more than half the hashes set it.
 
-Exact pair search. Two fingerprints with at most ``max_bits`` differing bits
-differ, in at least one of ``BANDS`` disjoint bit bands, in at most
-``max_bits // BANDS`` bits. Hamming distance on a band is a metric, so each
-band gets a vantage-point tree: an inner node holds a vantage point v and a
-median distance mu, and splits into the ball d(v, x) <= mu and its outside.
-The leaves are the shards. A fingerprint has one home shard; by the triangle
-inequality its partners live on the left only if d <= mu + r and on the right
-only if d > mu - r, so it also visits the few shards whose boundary it
-overlaps and no other. Inside a shard the same tree search goes on in numpy
-until blocks are small, and the blocks are compared on all 64 bits. No pair
-is missed and none is approximated.
-
-The trees are fitted on a bounded sample of fingerprints (``SAMPLE``), which
-only steers balance. A shard returns a spanning forest of its links, not all
+Exact pair search. The 64 bits are cut into ``BLOCKS`` disjoint blocks. Of two
+fingerprints with at most ``max_bits`` differing bits at least
+``BLOCKS - max_bits`` blocks are equal, so they are equal on one of the bands
+that so many blocks make (with fewer blocks than that, they differ in at most
+``max_bits // BLOCKS`` bits of one block). Hamming distance on a band is a
+metric, so each band gets a vantage-point tree: an inner node holds a vantage
+point v and a distance mu, and splits into the ball d(v, x) <= mu and its
+outside. The leaves are the shards. A fingerprint has one home shard; by the
+triangle inequality its partners at radius r on the band live on the left only
+if d <= mu + r and on the right only if d > mu - r, so it also visits the
+shards whose boundary it overlaps and no other. At radius 0 no boundary is
+overlapped: a fingerprint lies in one shard of each band, whatever the depth
+of the trees, so copies do not grow with the corpus. Inside a shard the same
+tree search goes on in numpy until blocks are small, and the blocks are
+compared on all 64 bits. No pair is missed and none is approximated.
+
+The upper levels of the trees are fitted on a bounded sample of fingerprints
+(``SAMPLE``), which only steers balance; the nodes of each level below share a
+vantage point drawn by rule, so the trees held in memory have a fixed size
+however many shards there are. A shard returns a spanning forest of its links, not all
 pairs of a group. Components come from repeated contraction of the links.
 
 Defined results: null or blank text has no words and gets fingerprint zero,
@@ -30,6 +36,7 @@ group. An empty table gives an empty result. Extra columns are not used.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -43,10 +50,13 @@ from indicata.llm.common import stage
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
-BANDS = 3
+#: Blocks of the fingerprint: with 4 differing bits two of six are equal, so 15 bands of 21 or 22 bits at radius 0.
+BLOCKS = 6
 #: Fingerprints per home shard that the depth of the trees aims at, and the least depth.
 SHARD_ROWS = 32_768
 LEAST_DEPTH = 3
+#: Levels of a tree that are fitted on the sample.
+FITTED_DEPTH = 9
 #: Most fingerprints in the sample on which the trees are fitted.
 SAMPLE = 20_000
 #: A block of the search in a shard is compared directly at this many pairs.
@@ -95,10 +105,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 # --- vantage-point trees ---------------------------------------------------------
 
 
-def band_masks(bands: int = BANDS) -> np.ndarray:
-    """Disjoint masks of 64 bits, as even as can be."""
-    edges = [64 * i // bands for i in range(bands + 1)]
-    return np.array([((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])], np.uint64)
+def band_masks(blocks: int = BLOCKS, max_bits: int = MAX_BITS) -> tuple[np.ndarray, int]:
+    """Masks of 64 bits and the radius at which any two fingerprints within ``max_bits`` meet on one of them."""
+    edges = [64 * i // blocks for i in range(blocks + 1)]
+    single = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
+    together = max(1, blocks - max_bits)
+    return np.array([sum(c) for c in combinations(single, together)], np.uint64), max_bits // blocks
 
 
 def distances(points: np.ndarray, vantage: np.uint64, mask: np.uint64) -> np.ndarray:
@@ -115,12 +127,21 @@ def choose_vantage(points: np.ndarray, mask: np.uint64, radius: int) -> tuple[np
         overlap = float(((d > mu - radius) & (d <= mu + radius)).mean()) + abs(left - 0.5)
         if best is None or overlap < best[0]:
             best = (overlap, v, mu)
-    return (best[1], best[2]) if best else (np.uint64(0), 32 // BANDS)
+    return (best[1], best[2]) if best else drawn_vantage(0, mask)
 
 
-def build_tree(sample: np.ndarray, mask: np.uint64, radius: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """A complete tree in level order: children of node i are 2i+1 (ball) and 2i+2 (outside)."""
-    size = (1 << depth) - 1
+def drawn_vantage(level: int, mask: np.uint64) -> tuple[np.uint64, int]:
+    """A vantage point that needs no sample: a hash of the level, and the distance that halves even bits."""
+    return np.uint64(xxhash.xxh64_intdigest(f"vantage {level}")), (int(np.bitwise_count(mask)) - 1) // 2
+
+
+def build_tree(sample: np.ndarray, mask: np.uint64, radius: int, depth: int) -> tuple[np.ndarray, np.ndarray, list[tuple[np.uint64, int]]]:
+    """A complete tree in level order: children of node i are 2i+1 (ball) and 2i+2 (outside).
+
+    Vantage points and distances of the nodes of the first ``FITTED_DEPTH``
+    levels, then one of each for every level below.
+    """
+    size = (1 << min(depth, FITTED_DEPTH)) - 1
     vantage, mu = np.zeros(size, np.uint64), np.zeros(size, np.int16)
     parts = {0: sample}
     for node in range(size):
@@ -128,25 +149,23 @@ def build_tree(sample: np.ndarray, mask: np.uint64, radius: int, depth: int) ->
         vantage[node], mu[node] = choose_vantage(points, mask, radius)
         near = distances(points, vantage[node], mask) <= mu[node]
         parts[2 * node + 1], parts[2 * node + 2] = points[near], points[~near]
-    return vantage, mu
+    return vantage, mu, [drawn_vantage(level, mask) for level in range(FITTED_DEPTH, depth)]
 
 
-def route(points: np.ndarray, tree: tuple[np.ndarray, np.ndarray], mask: np.uint64, radius: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(shard, indexes, home): every shard a point overlaps; ``home`` marks the one it lies in."""
-    vantage, mu = tree
-    stack = [(0, np.arange(len(points)), np.ones(len(points), bool))]
-    while stack:
-        node, idx, home = stack.pop()
-        if not len(idx):
-            continue
-        if node >= len(vantage):
-            yield node - len(vantage), idx, home
-            continue
-        d = distances(points[idx], vantage[node], mask)
-        near = d <= mu[node]
-        left, right = d <= mu[node] + radius, d > mu[node] - radius
-        stack.append((2 * node + 1, idx[left], (home & near)[left]))
-        stack.append((2 * node + 2, idx[right], (home & ~near)[right]))
+def route(points: np.ndarray, tree: tuple[np.ndarray, np.ndarray, list[tuple[np.uint64, int]]], mask: np.uint64, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shard, index, home): every shard that each point overlaps; ``home`` marks the one it lies in."""
+    vantage, mu, below = tree
+    node, idx, home = np.zeros(len(points), np.int64), np.arange(len(points)), np.ones(len(points), bool)
+    fitted = len(vantage).bit_length()
+    for level in range(fitted + len(below)):
+        v, m = (vantage[node], mu[node]) if level < fitted else below[level - fitted]
+        d = distances(points[idx], v, mask)
+        near = d <= m
+        left, right = d <= m + radius, d > m - radius
+        node = np.concatenate([2 * node[left] + 1, 2 * node[right] + 2])
+        home = np.concatenate([(home & near)[left], (home & ~near)[right]])
+        idx = np.concatenate([idx[left], idx[right]])
+    return node - ((1 << (fitted + len(below))) - 1), idx, home
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -203,7 +222,7 @@ def shard_forest(points: np.ndarray, home: np.ndarray, mask: np.uint64, radius:
     return held[0] if held else (np.empty(0, int), np.empty(0, int))
 
 
-def links(unique: DataFrame, max_bits: int = MAX_BITS, bands: int = BANDS, shard_rows: int = SHARD_ROWS, least_depth: int = LEAST_DEPTH) -> DataFrame:
+def links(unique: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, shard_rows: int = SHARD_ROWS, least_depth: int = LEAST_DEPTH) -> DataFrame:
     """(a, b) links between distinct fingerprints that connect exactly the pairs within ``max_bits``.
 
     ``unique``: one row per distinct fingerprint, column ``fp``.
@@ -213,25 +232,25 @@ def links(unique: DataFrame, max_bits: int = MAX_BITS, bands: int = BANDS, shard
     rows = unique.filter(F.pmod(F.xxhash64("fp", F.lit("vantage")), F.lit(part)) == 0).limit(2 * SAMPLE).collect()
     sample = np.sort(np.array([r.fp for r in rows], np.int64).view(np.uint64))
     depth = max(least_depth, int(np.ceil(np.log2(max(1, n / shard_rows)))))
-    masks, radius = band_masks(bands), max_bits // bands
+    masks, radius = band_masks(blocks, max_bits)
     trees = [build_tree(sample, m, radius, depth) for m in masks]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             points = b.column("fp").to_numpy().view(np.uint64)
             for t, (tree, mask) in enumerate(zip(trees, masks)):
-                for shard, idx, home in route(points, tree, mask, radius):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(idx), t, np.int32)), pa.array(np.full(len(idx), shard, np.int32)), pa.array(points[idx].view(np.int64)), pa.array(home)],
-                        ["tree", "shard", "fp", "home"],
-                    )
+                shard, idx, home = route(points, tree, mask, radius)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(idx), t, np.int32)), pa.array(shard), pa.array(points[idx].view(np.int64)), pa.array(home)],
+                    ["tree", "shard", "fp", "home"],
+                )
 
     def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         points = pdf["fp"].to_numpy(np.int64).view(np.uint64)
         a, b = shard_forest(points, pdf["home"].to_numpy(bool), masks[int(key[0])], radius, max_bits)
         return pd.DataFrame({"a": points[a].view(np.int64), "b": points[b].view(np.int64)})
 
-    routed = unique.select("fp").mapInArrow(assign, "tree int, shard int, fp long, home boolean")
+    routed = unique.select("fp").mapInArrow(assign, "tree int, shard long, fp long, home boolean")
     found = routed.groupBy("tree", "shard").applyInPandas(search, "a long, b long")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 

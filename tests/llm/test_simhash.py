@@ -73,13 +73,13 @@ def near(rng, n, families, spread):
     return sorted({x - (1 << 64) if x >> 63 else x for x in out})
 
 
-@pytest.mark.parametrize("max_bits,bands", [(4, 3), (4, 1), (4, 2), (3, 3), (0, 3)])
-def test_links_connect_exactly_the_pairs(spark, max_bits, bands):
-    rng = random.Random(max_bits * 10 + bands)
+@pytest.mark.parametrize("max_bits,blocks", [(4, 6), (4, 5), (4, 3), (4, 1), (4, 2), (3, 3), (0, 3)])
+def test_links_connect_exactly_the_pairs(spark, max_bits, blocks):
+    rng = random.Random(max_bits * 10 + blocks)
     prints = near(rng, 12, 25, max_bits + 2) + [0, 1, 3]
     prints = sorted(set(prints))
     unique = spark.createDataFrame([(x,) for x in prints], "fp long")
-    edges = simhash.links(unique, max_bits, bands, shard_rows=16)
+    edges = simhash.links(unique, max_bits, blocks, shard_rows=16)
     for a, b in edges.collect():
         assert a < b and a in prints and b in prints
     got = {r.node: r.root for r in simhash.components(edges, spark).collect()}
@@ -87,13 +87,52 @@ def test_links_connect_exactly_the_pairs(spark, max_bits, bands):
     assert {x: got.get(x, x) for x in prints} == dict(zip(prints, want))
 
 
+@pytest.mark.parametrize("max_bits,blocks", [(4, 6), (4, 5), (3, 5), (4, 3), (2, 4)])
+def test_pairs_meet_on_a_band(max_bits, blocks):
+    masks, radius = simhash.band_masks(blocks, max_bits)
+    rng = random.Random(blocks)
+    for _ in range(2_000):
+        differing = np.uint64(sum(1 << b for b in rng.sample(range(64), max_bits)))
+        assert min(int(np.bitwise_count(differing & m)) for m in masks) <= radius
+
+
+def test_copies_do_not_grow_with_the_depth_and_shards_stay_even():
+    rng = np.random.default_rng(4)
+    points = rng.integers(0, 1 << 64, 40_000, dtype=np.uint64)
+    masks, radius = simhash.band_masks()
+    assert len(masks) == 15 and radius == 0
+    for depth in (3, 5, 7, 9, 11):
+        for mask in masks[:3]:
+            shard, idx, home = simhash.route(points, simhash.build_tree(points[:5_000], mask, radius, depth), mask, radius)
+            assert home.all() and sorted(idx) == list(range(len(points)))
+            assert shard.min() >= 0 and shard.max() < 1 << depth
+            rows = np.bincount(shard, minlength=1 << depth)
+            assert (rows**2).sum() / rows.sum() < 4 * len(points) / (1 << depth) + 50
+
+
+def test_a_point_visits_every_shard_where_a_partner_lies():
+    rng = random.Random(9)
+    for max_bits, blocks in ((4, 3), (4, 6), (4, 1)):
+        masks, radius = simhash.band_masks(blocks, max_bits)
+        xs = [rng.getrandbits(64) for _ in range(400)]
+        points = np.array(xs + [x ^ sum(1 << b for b in rng.sample(range(64), max_bits)) for x in xs], np.uint64)
+        met = set()
+        for mask in masks:
+            shard, idx, home = simhash.route(points, simhash.build_tree(points, mask, radius, 5), mask, radius)
+            own = {int(i): int(s) for s, i, h in zip(shard, idx, home) if h}
+            visits = {(int(s), int(i)) for s, i in zip(shard, idx)}
+            met |= {i for i in range(400) if (own[i], i + 400) in visits and int(np.bitwise_count((points[i] ^ points[i + 400]) & mask)) <= radius}
+            assert all((own[i], i + 400) in visits for i in range(400) if int(np.bitwise_count((points[i] ^ points[i + 400]) & mask)) <= radius)
+        assert len(met) == 400
+
+
 def test_shard_forest_of_a_dense_cluster():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, dtype=np.uint64)
     points = np.unique(np.array([base ^ np.uint64(1 << i) ^ np.uint64(1 << j) for i in range(64) for j in range(i)], np.uint64))
     held, simhash.HELD_LINKS = simhash.HELD_LINKS, 5_000
     try:
-        a, b = simhash.shard_forest(points, np.ones(len(points), bool), simhash.band_masks()[0], 1, 4)
+        a, b = simhash.shard_forest(points, np.ones(len(points), bool), simhash.band_masks(3, 4)[0][0], 1, 4)
     finally:
         simhash.HELD_LINKS = held
     assert len(a) == len(points) - 1
