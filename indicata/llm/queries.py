@@ -15,10 +15,15 @@ WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: Byte limit of a shard of the registered query; the session setting ``spark.indicata.shard.bytes`` overrides it.
+SHARD_BYTES = 256 << 10
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), fresh_path(spark, "shards")
-    sharding.write_shards(docs, path)
-    return sharding.placements(spark, path, docs)
+    limit = int(spark.conf.get("spark.indicata.shard.bytes", str(SHARD_BYTES)))
+    sharding.write_shards(docs, path, limit=limit)
+    return sharding.placements(spark, path, docs, limit=limit)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +107,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
-    "op1_sharding": sharding.oracle_sql(),
+    "op1_sharding": sharding.oracle_sql(SHARD_BYTES),
     "op2_warc": f"""
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
