@@ -16,7 +16,7 @@ BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 #: Byte limit of a shard of the registered query; the session setting ``spark.indicata.shard.bytes`` overrides it.
-SHARD_BYTES = 256 << 10
+SHARD_BYTES = 1 << 20
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from indicata.llm.common import shuffle_partitions, stage
 BITS = 60
 KEY_BITS = 40
 LIMIT = 32 << 20
-FINE = 4
+FINE = 2
 STEP = 8
 
 
