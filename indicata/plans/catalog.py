@@ -126,6 +126,14 @@ def sink_year_roundtrip(spark, sf):
     return sinks.read_by_year(spark, path, cmap.schema).select(cmap.columns)
 
 
+def sink_clustered_roundtrip(spark, sf):
+    """The code map in one layout that serves filters on code, type and identifier."""
+    cmap = warehouse(spark, sf).code_map
+    path = sinks.fresh_path(spark, "code_map-clustered")
+    sinks.write_clustered(cmap, path, ("code", "code_type", "identifier"))
+    return spark.read.schema(cmap.schema).parquet(path)
+
+
 def sink_rerun_idempotent(spark, sf):
     fct = warehouse(spark, sf).fct_diagnosis
     path = sinks.fresh_path(spark, "fct_diagnosis")
@@ -888,6 +896,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_quarantine": src_quarantine,
     "sink_month_roundtrip": sink_month_roundtrip,
     "sink_year_roundtrip": sink_year_roundtrip,
+    "sink_clustered_roundtrip": sink_clustered_roundtrip,
     "sink_rerun_idempotent": sink_rerun_idempotent,
     "sink_csv_roundtrip": sink_csv_roundtrip,
     "core_patient": core_patient,

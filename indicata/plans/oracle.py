@@ -215,6 +215,7 @@ def oracle_sql() -> dict[str, str]:
     )
     add("sink_month_roundtrip", f"SELECT *, date_trunc('month', discharge_date)::DATE AS discharge_month FROM ({_DISCHARGE})")
     add("sink_year_roundtrip", "SELECT * FROM entries")
+    add("sink_clustered_roundtrip", "SELECT * FROM entries")
     add("sink_rerun_idempotent", _DIAGNOSIS)
     add("sink_csv_roundtrip", f"SELECT * FROM {_metrics()}")
     add("core_patient", "SELECT * FROM typed")
