@@ -19,8 +19,9 @@ nor its queries outgrow a task; a vector that very many rows share is kept
 with its k + 1 smallest ids only, which are the only ones that can be among
 the k best (ties go to smaller ids). All results are exact.
 
-The boxes of the shards are held by the driver: at most ``MAX_SHARDS``, beyond
-which shards grow instead.
+The boxes are held by the driver, so the coarse tree has at most ``MAX_SHARDS``
+leaves; beyond that many rows each leaf is dealt by a hash of the id to as many
+shards as keep them at ``shard_rows``, which share the leaf's box.
 
 Defined results: vectors that are null or hold null or non-finite components,
 and rows with a null id, take no part. Vectors are compared with vectors of
@@ -51,6 +52,8 @@ LEAF_ROWS = 128
 BLOCK = 1_024
 SAMPLE = 20_000
 MAX_SHARDS = 4_096
+#: Rows of one batch of queries on their way to other shards.
+SENT_ROWS = 65_536
 LONG = np.iinfo(np.int64)
 
 
@@ -204,16 +207,18 @@ def _search_dimension(points: DataFrame, dim: int, is_query: Column, k: int, sha
     part = max(16, -(-n // SAMPLE))
     sample = points.filter(F.pmod(F.xxhash64("id", F.lit("kd")), F.lit(part)) == 0).select("v").limit(2 * SAMPLE).collect()
     depth = min(max(1, math.ceil(math.log2(max(1, n / shard_rows)))), int(math.log2(MAX_SHARDS)))
+    parts = max(1, -(-n // (shard_rows << depth)))
     nodes = coarse_tree(np.array([r.v for r in sample], np.int64).reshape(len(sample), dim), depth)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v = b.column("v").flatten().to_numpy().reshape(b.num_rows, dim)
-            yield pa.RecordBatch.from_arrays([pa.array(route(v, nodes)), b.column("id"), b.column("v")], ["shard", "id", "v"])
+            shard = route(v, nodes) * parts + b.column("part").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(shard), b.column("id"), b.column("v")], ["shard", "id", "v"])
 
-    placed = "shard long, id long, v array<long>"
-    candidates = stage(closest.mapInArrow(assign, placed), "kd-candidates")
-    queries = stage(rows.filter(is_query).mapInArrow(assign, placed), "kd-queries").withColumn("kth", F.lit(float("-inf")))
+    placed, part_of = "shard long, id long, v array<long>", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("long")
+    candidates = stage(closest.withColumn("part", part_of).mapInArrow(assign, placed), "kd-candidates")
+    queries = stage(rows.filter(is_query).withColumn("part", part_of).mapInArrow(assign, placed), "kd-queries").withColumn("kth", F.lit(float("-inf")))
 
     first = stage(_search(candidates, queries, k), "kd-own")
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
@@ -224,18 +229,29 @@ def _search_dimension(points: DataFrame, dim: int, is_query: Column, k: int, sha
         v = matrix(pdf["v"])
         return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "low": [v.min(axis=0).tolist()], "high": [v.max(axis=0).tolist()]})
 
-    boxes = candidates.groupBy("shard").applyInPandas(box, "shard long, low array<long>, high array<long>").collect()  # MAX_SHARDS rows at most
-    shards = np.array([b.shard for b in boxes], np.int64)
-    low, high = (np.array([getattr(b, x) for b in boxes], np.float64).reshape(len(boxes), dim) for x in ("low", "high"))
+    boxes = candidates.groupBy("shard").applyInPandas(box, "shard long, low array<long>, high array<long>")
+    if parts > 1:  # of a leaf's shards one box, side by side
+        sides = boxes.select(F.floor(F.col("shard") / parts).alias("shard"), F.posexplode_outer(F.arrays_zip("low", "high")).alias("axis", "side"))
+        sides = sides.groupBy("shard", "axis").agg(F.min("side.low").alias("low"), F.max("side.high").alias("high"))
+        merged = sides.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("axis", "low", "high"))).alias("box"))
+        boxes = merged.select("shard", F.col("box.low").alias("low"), F.col("box.high").alias("high"))
+    boxes = boxes.collect()  # MAX_SHARDS rows at most
+    leaves = np.array([b.shard for b in boxes], np.int64)
+    low, high = (np.array([getattr(b, x)[:dim] for b in boxes], np.float64).reshape(len(boxes), dim) for x in ("low", "high"))
+    strip = max(1, SENT_ROWS // max(1, len(leaves) * parts))
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            v = b.column("v").flatten().to_numpy().reshape(b.num_rows, dim)
-            bound = box_bounds(v, low, high)
-            bound += np.abs(bound) * 1e-9
-            go = (bound >= b.column("kth").to_numpy()[:, None]) & (shards[None, :] != b.column("shard").to_numpy()[:, None])
-            i, s = np.nonzero(go)
-            yield pa.RecordBatch.from_arrays([pa.array(shards[s]), b.column("id").take(pa.array(i)), b.column("v").take(pa.array(i)), b.column("kth").take(pa.array(i))], ["shard", "id", "v", "kth"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, strip):
+                b = whole.slice(start, strip)
+                v = b.column("v").flatten().to_numpy().reshape(b.num_rows, dim)
+                bound = box_bounds(v, low, high)
+                bound += np.abs(bound) * 1e-9
+                i, leaf = np.nonzero(bound >= b.column("kth").to_numpy()[:, None])
+                i, shard = np.repeat(i, parts), (leaves[leaf][:, None] * parts + np.arange(parts)).ravel()
+                other = shard != b.column("shard").to_numpy()[i]
+                at = pa.array(i[other])
+                yield pa.RecordBatch.from_arrays([pa.array(shard[other]), b.column("id").take(at), b.column("v").take(at), b.column("kth").take(at)], ["shard", "id", "v", "kth"])
 
     away = stage(started.mapInArrow(visits, "shard long, id long, v array<long>, kth double"), "kd-visits")
     found = first.unionByName(_search(candidates, away, k))

@@ -47,6 +47,15 @@ def test_shards_against_brute_force(spark, shard_rows):
     assert sorted(map(tuple, got.collect())) == brute(rows, 5)
 
 
+def test_more_rows_than_leaves_hold(spark, monkeypatch):
+    monkeypatch.setattr(kdtree, "MAX_SHARDS", 4)
+    monkeypatch.setattr(kdtree, "SENT_ROWS", 50)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=5)]) for i in range(700)] + [(i, [0.25] * 5) for i in range(700, 900)] + [(i, []) for i in range(900, 1_100)]
+    got = kdtree.top_k(frame(spark, rows), F.col("id") % 20 == 0, 6, shard_rows=30)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 6)
+
+
 def test_ties_copies_and_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(kdtree, "BLOCK", 16)
     nan, inf = float("nan"), float("inf")
