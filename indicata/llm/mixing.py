@@ -6,15 +6,19 @@
    posterior over domains follows from its own word counts.
 2. Rates. Every document d gets a rate r_d >= ``least``: how often it is to
    appear. With t_d tokens and posteriors p_dk the expected tokens of domain k
-   are m_k = sum(r_d t_d p_dk). Projected descent on
-   sum((m_k - T_k)^2 / T_k) / 2 in the token metric: a round moves every rate by
-   -sum(p_dk y_k) and projects it on r >= ``least``, where y is the implicit
-   (proximal) gradient step of length 1 / eps, found by Newton steps with the
-   domain matrix of the rates that the bound does not hold. A Newton step is
-   one aggregation over all documents; only domain sums reach the driver. Rounds
-   go on until the totals are within ``TOLERANCE`` of the targets or, where the
-   bound binds, a round moves them by less; if ``LIMIT`` aggregations do not
-   suffice, the fit raises.
+   are m_k = sum(r_d t_d p_dk). Projected gradient descent on
+   sum((m_k - T_k)^2 / T_k) / 2, scaled by the domain matrix: with
+   H = sum(t_d p_d p_d') over the rates that are not held, a round moves every
+   such rate by -p_d . (H + damping diag(T))^-1 (m - T) and projects it on
+   r >= ``least``. Held are the rates at ``least`` that the gradient would lower
+   further. A round is accepted if the sum falls by a tenth of what the gradient
+   promises for it; if not, the damping grows, until the step is a short plain
+   gradient step. Matrix and totals are one aggregation over all documents each;
+   only domain sums reach the driver. Rounds go on until the totals are within
+   ``TOLERANCE`` of the targets or, where the bound binds, a round lowers the sum
+   by less than ``STILL`` of it; if ``LIMIT`` aggregations do not suffice, the
+   fit raises. Without a given total, targets are made large enough to be met at
+   rates of ``least`` or more by raising each domain's documents evenly.
 3. Copies. A document appears floor(r) times and once more with the
    probability of the rest, drawn by a hash of its id and text.
 
@@ -47,10 +51,13 @@ LEXICON = 48
 SAMPLE = 2_000
 WRITE_EVERY = 4
 TOLERANCE = 1e-6
-#: Aggregations after which a fit that has not converged raises (about 10 are usual, 50 where the bound binds).
+#: Aggregations after which a fit that has not converged raises (3 to 20 are usual, up to 250 where the bound binds).
 LIMIT = 400
-#: Weight of the proximal term of the first round, its factor from round to round, and its least.
-EPS, EPS_FACTOR, EPS_LEAST = 1e-6, 1e-3, 1e-12
+#: Share of the sum of squares by which a round must lower it where the targets cannot be met.
+STILL = 1e-7
+#: Least damping, and the one beyond which no step descends.
+DAMPING, DAMPING_MOST = 1e-12, 1e6
+
 
 
 def words(text: Column) -> Column:
@@ -118,8 +125,8 @@ def memberships(docs: DataFrame, domain: Column, trusted: DataFrame, targets: di
 def fit_rates(members: DataFrame, weights: Sequence[float], total: float | None = None, least: float = 0.0, iterations: int | None = None) -> tuple[DataFrame, list[dict[str, list[float]]]]:
     """(members with ``rate``, history of expected and target domain totals).
 
-    ``total``: tokens of the mix; None: as many as make no target smaller than
-    what the domain has at rate ``least`` (or at rate 1 if that is 0).
+    ``total``: tokens of the mix; None: see ``reachable_total``, or with ``least``
+    of 0 as many as make no target smaller than what the domain has at rate 1.
     ``iterations``: None iterates until converged; a number makes that many
     plain gradient steps, converged or not.
     """
@@ -127,16 +134,22 @@ def fit_rates(members: DataFrame, weights: Sequence[float], total: float | None
     p = [F.col(f"p_{i}") for i in range(k)]
     t = F.col("tokens").cast("double")
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    row = members.agg(*[F.sum(t * p[i]).alias(f"m_{i}") for i in range(k)], *[F.sum(t * p[i] * p[j]).alias(f"h_{i}_{j}") for i, j in pairs]).first()
+    likeliest = F.array_position(F.array(*p), F.greatest(*p) if k > 1 else p[0]) - 1
+    groups = [F.sum(F.when(likeliest == g, t * p[i])).alias(f"g_{g}_{i}") for g in range(k) for i in range(k)]
+    row = members.agg(*[F.sum(t * p[i]).alias(f"m_{i}") for i in range(k)], *[F.sum(t * p[i] * p[j]).alias(f"h_{i}_{j}") for i, j in pairs], *groups).first()
     now = np.array([row[f"m_{i}"] or 0.0 for i in range(k)])
     w = np.array(weights, float) / sum(weights)
     if not now.sum():
         return members.withColumn("rate", F.lit(float(max(1.0, least)))), []
-    goal = w * (float((now * max(least, 1.0) / np.maximum(w, 1e-9)).max()) if total is None else float(total))
+    if total is None:
+        total_tokens = reachable_total(w, now * max(least, 1.0), np.array([[row[f"g_{g}_{i}"] or 0.0 for i in range(k)] for g in range(k)]), least)
+    else:
+        total_tokens = float(total)
+    goal = w * total_tokens
     scale = np.maximum(goal, 1e-3 * goal.sum())
     start = max(least, float(goal.sum() / now.sum()) if total is not None else max(least, 1.0))
     if iterations is None:
-        return _converge(members.withColumn("rate", F.lit(start)), goal, scale, float(least))
+        return _descend(members.withColumn("rate", F.lit(start)), start * now, goal, scale, float(least))
     h = np.zeros((k, k))
     for i, j in pairs:
         h[i, j] = h[j, i] = row[f"h_{i}_{j}"] or 0.0
@@ -160,74 +173,74 @@ def fit_rates(members: DataFrame, weights: Sequence[float], total: float | None
     return rated.withColumn("rate", rate), history
 
 
-def _converge(rated: DataFrame, goal: np.ndarray, scale: np.ndarray, least: float) -> tuple[DataFrame, list[dict[str, list[float]]]]:
-    """(``rated`` with the fitted ``rate``, history of expected and target domain totals of each round).
+def reachable_total(w: np.ndarray, now: np.ndarray, groups: np.ndarray, least: float) -> float:
+    """Tokens of a mix that keeps ``now`` and meets the shares ``w``.
 
-    A round minimises f(m(r)) + eps / 2 sum(t_d (r_d - rate_d)^2) over r >= ``least``.
-    Its solution is r_d = max(least, rate_d - p_d . y) with k unknowns y, the
-    minimum of a convex, piecewise quadratic function.
+    ``groups[g, i]``: tokens of domain i in documents whose likeliest domain is
+    g. A document of one domain also adds to others, so a domain that is full
+    already grows a little. The total is the least one that every target reaches
+    if each group's documents are repeated evenly; where a group has no document
+    or the groups do not tell the domains apart, the least one without a target
+    below ``now``.
     """
+    plain = float((now / np.maximum(w, 1e-9)).max())
+    sizes = groups.sum(axis=1)
+    if not least or (sizes <= 0).any():
+        return plain
+    mean = (groups / sizes[:, None]).T
+    if np.linalg.cond(mean) > 1e6:
+        return plain
+    grown, had = np.linalg.solve(mean, w), np.linalg.solve(mean, now)
+    return max(plain, float((had / grown).max())) if (grown > 0).all() else plain
+
+
+def _descend(rated: DataFrame, m: np.ndarray, goal: np.ndarray, scale: np.ndarray, least: float) -> tuple[DataFrame, list[dict[str, list[float]]]]:
+    """(``rated`` with the fitted ``rate``, history of expected and target domain totals of each round); ``m``: the totals at ``rate``."""
     k = len(goal)
     p, t = [F.col(f"p_{i}") for i in range(k)], F.col("tokens").cast("double")
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    used = 0
 
-    def moved(y: np.ndarray) -> Column:
-        return F.col("rate") - sum((c * float(y[i]) for i, c in enumerate(p)), F.lit(0.0))
+    def along(y: np.ndarray) -> Column:
+        return sum((c * float(y[i]) for i, c in enumerate(p)), F.lit(0.0))
 
-    def look(y: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
-        """Domain totals, gradient, value and Hessian at y, by one aggregation."""
-        nonlocal used
-        used += 1
-        u = F.col("u")
-        free = F.when(u > least, t).otherwise(0.0)
-        row = (
-            rated.withColumn("u", moved(y))
-            .agg(
-                *[F.sum(t * F.greatest(F.lit(least), u) * c).alias(f"m_{i}") for i, c in enumerate(p)],
-                *[F.sum(free * p[i] * p[j]).alias(f"h_{i}_{j}") for i, j in pairs],
-                F.sum(t * F.when(u > least, u * u / 2).otherwise(u * least - least * least / 2)).alias("value"),
-            )
-            .first()
-        )
-        m = np.array([row[f"m_{i}"] for i in range(k)])
-        h = eps * np.diag(scale)
-        for i, j in pairs:
-            h[i, j] += row[f"h_{i}_{j}"]
-            h[j, i] = h[i, j]
-        return m, eps * scale * y + goal - m, float(eps / 2 * y @ (scale * y) + goal @ y + row.value), h
+    def loss(m: np.ndarray) -> float:
+        return float(((m - goal) ** 2 / scale).sum() / 2)
 
+    rate: Column = F.col("rate")
     history: list[dict[str, list[float]]] = []
-    y, eps, before = np.zeros(k), EPS, None
+    used, damping, still = 0, DAMPING, False
     while True:
-        m, gradient, value, h = look(y, eps)
-        best = np.abs(gradient / scale).max()
-        while best > TOLERANCE / 10 and used < LIMIT:
-            way = -np.linalg.solve(h, gradient)
-            slope, length = float(gradient @ way), 1.0
-            while True:
-                there = look(y + length * way, eps)
-                norm = np.abs(there[1] / scale).max()
-                if norm <= best / 2 or there[2] <= value + 1e-4 * length * slope or used >= LIMIT:
-                    break
-                rise = float(there[1] @ way)  # the slope there: the next length is where a straight line from slope to rise is zero
-                length *= min(0.5, max(0.1, slope / (slope - rise)))
-            y = y + length * way
-            (m, gradient, value, h), best = there, min(best, norm)
-            if norm <= TOLERANCE / 10:
-                break
         history.append({"expected": m.tolist(), "target": goal.tolist()})
-        error = (m - goal) / scale
-        move = np.inf if before is None else np.abs((m - before) / scale).max()
-        rate = F.greatest(F.lit(least), moved(y))
-        solved = np.abs(gradient / scale).max() <= TOLERANCE / 10
-        if np.abs(error).max() < TOLERANCE or (solved and move < TOLERANCE):
+        error = m - goal
+        gradient = error / scale
+        if still or np.abs(gradient).max() < TOLERANCE:
             return rated.withColumn("rate", rate), history
-        if used >= LIMIT:
-            raise RuntimeError(f"rates have not converged after {used} aggregations: expected domain totals {m.tolist()}, targets {goal.tolist()}, last move {move}")
-        rated = stage(rated.withColumn("rate", rate), "mix-rates")
-        before, eps = m, max(eps * EPS_FACTOR, EPS_LEAST)
-        y = error / eps
+        if len(history) % WRITE_EVERY == 0:  # the rates so far, so that no expression grows with the rounds
+            rated, rate = stage(rated.withColumn("rate", rate), "mix-rates"), F.col("rate")
+        held = (rate <= least) & (along(gradient) > 0)
+        row = rated.agg(*[F.sum(F.when(~held, t * p[i] * p[j])).alias(f"h_{i}_{j}") for i, j in pairs]).first()
+        h = np.zeros((k, k))
+        for i, j in pairs:
+            h[i, j] = h[j, i] = row[f"h_{i}_{j}"] or 0.0
+        used += 1
+        while True:
+            move = along(np.linalg.solve(h + damping * np.diag(scale), error))
+            there = F.when(held, rate).otherwise(F.greatest(F.lit(least), rate - move))
+            row = rated.agg(*[F.sum(there * t * c).alias(f"m_{i}") for i, c in enumerate(p)]).first()
+            used += 1
+            reached = np.array([row[f"m_{i}"] for i in range(k)])
+            promised = float(gradient @ (m - reached))
+            if promised > 0 and loss(reached) <= loss(m) - promised / 10:
+                break
+            damping = max(damping, 1e-7) * 10
+            if not h.any() or damping > DAMPING_MOST:  # no step descends
+                return rated.withColumn("rate", rate), history
+            if used >= LIMIT:
+                raise RuntimeError(f"rates have not converged after {used} aggregations: expected domain totals {m.tolist()}, targets {goal.tolist()}")
+        still = loss(m) - loss(reached) < STILL * loss(m)
+        rate, m, damping = there, reached, max(damping / 10, DAMPING)
+        if used >= LIMIT and not still and np.abs((m - goal) / scale).max() >= TOLERANCE:
+            raise RuntimeError(f"rates have not converged after {used} aggregations: expected domain totals {m.tolist()}, targets {goal.tolist()}")
 
 
 def copies(rate: Column, key: Column) -> Column:

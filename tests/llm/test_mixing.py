@@ -111,6 +111,30 @@ def test_a_binding_bound_is_solved(spark, stored):
     assert (got >= least).all() and loss(got) <= loss(want) * (1 + 1e-6)
 
 
+@pytest.mark.parametrize("shares,soft", [((0.9, 0.06, 0.02, 0.02), 0.3), ((0.25, 0.25, 0.25, 0.25), 0.6)])
+def test_targets_are_met_although_every_row_stays(spark, stored, shares, soft):
+    """Soft members feed full domains too; the total makes room for that."""
+    members, w = stored(one_domain_rows(spark, shares, soft=soft).coalesce(2)), np.array(list(mixing.TARGETS.values()))
+    rated, history = mixing.fit_rates(members, list(w), None, least=1.0)
+    rows = rated.collect()
+    reached = np.array([sum(r.rate * r.tokens * r[f"p_{i}"] for r in rows) for i in range(4)])
+    assert np.abs(reached / (w * reached.sum()) - 1).max() < 1e-5 and min(r.rate for r in rows) >= 1
+    assert len(history) < 16
+
+
+def test_reachable_total():
+    w, now = np.array([0.5, 0.5]), np.array([90.0, 10.0])
+    pure = np.array([[90.0, 0.0], [0.0, 10.0]])
+    assert mixing.reachable_total(w, now, pure, 1.0) == pytest.approx(180.0)
+    # Repeats of the second group bring a fifth of their tokens to the first domain: 90 + 0.2 x = 10 + 0.8 x
+    soft, now = np.array([[88.0, 0.0], [2.0, 8.0]]), np.array([90.0, 8.0])
+    x = (90.0 - 8.0) / 0.6
+    assert mixing.reachable_total(w, now, soft, 1.0) == pytest.approx(98.0 + x)
+    # Groups that do not tell the domains apart, and an empty one: no target below what there is.
+    for groups in (np.array([[45.0, 5.0], [45.0, 5.0]]), np.array([[90.0, 10.0], [0.0, 0.0]])):
+        assert mixing.reachable_total(w, np.array([90.0, 10.0]), groups, 1.0) == pytest.approx(180.0)
+
+
 def test_a_fit_that_does_not_converge_raises(spark, monkeypatch):
     monkeypatch.setattr(mixing, "LIMIT", 2)
     with pytest.raises(RuntimeError, match="not converged"):
