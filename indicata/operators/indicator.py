@@ -82,16 +82,22 @@ class Period:
 
 # Year of discharge of a fact row's encounter; null where it has not one year.
 YEAR_COL = "discharge_year"
+# First day of the month of discharge of a fact row's encounter; null where it has not one month.
+ENCOUNTER_MONTH = "encounter_month"
 
 
 def of_period(rows: DataFrame, period: Period) -> DataFrame:
     """Rows of encounters that can have a discharge in ``period``. Facts
-    partitioned by ``YEAR_COL`` are read for those years only; rows without
-    a year are always read, and facts without the column are left whole."""
-    if YEAR_COL not in rows.columns:
-        return rows
-    year = F.col(YEAR_COL)
-    return rows.filter(year.isNull() | year.between(period.start.year, period.end.year)).drop(YEAR_COL)
+    partitioned by ``YEAR_COL`` are read for those years only, and of files
+    sorted by ``ENCOUNTER_MONTH`` the row groups and pages of those months; rows
+    without a year or month are always read, and facts without the columns are
+    left whole."""
+    year, month = F.col(YEAR_COL), F.col(ENCOUNTER_MONTH)
+    if ENCOUNTER_MONTH in rows.columns:
+        rows = rows.filter(month.isNull() | month.between(F.lit(period.start.replace(day=1)), F.lit(period.end))).drop(ENCOUNTER_MONTH)
+    if YEAR_COL in rows.columns:
+        rows = rows.filter(year.isNull() | year.between(period.start.year, period.end.year)).drop(YEAR_COL)
+    return rows
 
 
 def _flag(cond: Column) -> Column:

@@ -25,7 +25,7 @@ from indicata.operators import quality as dq
 from indicata.operators import versioned as ver
 from indicata.operators.intervals import RangeTable
 from indicata.operators.joins import having, union_all
-from indicata.plans.warehouse import MONTH_COL, YEAR_COL, Facts, Warehouse
+from indicata.plans.warehouse import MONTH_COL, YEAR_COL, Facts, Warehouse, places
 from indicata.sources.sinks import child_names, materialize, publish, read_published
 
 #: Months that the current metrics table holds.
@@ -118,13 +118,13 @@ def corrected_facts(w: Warehouse, staged: StagedExtract, built_on: _dt.date | No
     its period and rewrites no table. All changes since ``built_on`` (default:
     the warehouse's; without either this raises) take part, so none is lost
     between nights; ``compact_corrections`` ends the merging. A changed
-    encounter's rows have no year, as its old and new discharge may lie in
-    different ones. Of several staged versions the newest counts; an encounter
+    encounter's rows have the year and month of its new discharge; its older rows
+    are taken out wherever they lie. Of several staged versions the newest counts; an encounter
     without staged lines keeps none.
     """
     patient, fresh = _corrections(w, staged, built_on, lookback_days)
     old = (w.fct_discharge_by_month, w.fct_diagnosis_by_year, w.fct_procedure_by_year)
-    dated = [n.withColumn(YEAR_COL, F.lit(None).cast("int")) if YEAR_COL in o.columns else n for o, n in zip(old, fresh.values())]
+    dated = [n.join(places(patient), "patient_id", "left") if YEAR_COL in o.columns else n for o, n in zip(old, fresh.values())]
     return tuple(inc.replace_children(o, n, patient) for o, n in zip(old, dated))
 
 
@@ -133,8 +133,7 @@ def compact_corrections(w: Warehouse, staged: StagedExtract, through: _dt.date,
     hold the extract of ``through``: the touched years are rewritten, the
     others keep their files, and later nights read bucketed facts again."""
     patient, fresh = _corrections(w, staged, built_on)
-    changed = patient.select("patient_id", F.year("discharge_date").alias(YEAR_COL))
-    return w.replace_encounters(changed, fresh, through)
+    return w.replace_encounters(places(patient), fresh, through)
 
 
 def nightly_run(

@@ -13,7 +13,9 @@ lineage starts at the written tables (a lost executor recomputes from them,
 not from the raw extracts), and joins or groupings by encounter need no
 exchange of rows. The facts are also partitioned by the encounter's year
 of discharge, so that a query over a period reads the years it touches. Years
-and not months, as directories multiply files (buckets x directories);
+and not months, as directories multiply files (buckets x directories). Inside
+a file rows are sorted by the encounter's month, so that column statistics of
+row groups and pages skip a year's other months;
 month-partitioned publishing is the ``write_by_month`` sink.
 
 Encounters with more rows than a bucket should take (``hot_encounters``, found
@@ -43,12 +45,22 @@ from indicata.sources.fixtures import RawInputs, raw_inputs
 from indicata.sources.sinks import fresh_path, materialize, overwrite_partitions, save_bucketed
 
 MONTH_COL = "discharge_month"
-YEAR_COL = _ind.YEAR_COL
+YEAR_COL, ENCOUNTER_MONTH = _ind.YEAR_COL, _ind.ENCOUNTER_MONTH
+#: Columns of a stored fact that place its rows.
+PLACE = (YEAR_COL, ENCOUNTER_MONTH)
 # Diagnosis lines per bucket of the facts (about 200 MB of parquet), and the
 # fewest buckets a warehouse has.
 BUCKET_ROWS = 4_000_000
 LEAST_BUCKETS = 8
 LEAST_HOT_ROWS = 1_000
+PAGE_ROWS = 20_000
+
+
+def places(patient: DataFrame) -> DataFrame:
+    """One row per encounter: its one year and month of discharge, null where there are several or none."""
+    ends = patient.groupBy("patient_id").agg(F.min("discharge_date").alias("_low"), F.max("discharge_date").alias("_high"))
+    one = lambda part: F.when(part("_low") == part("_high"), part("_low"))
+    return ends.select("patient_id", one(F.year).alias(YEAR_COL), one(lambda c: F.trunc(c, "MM")).alias(ENCOUNTER_MONTH))
 
 
 @dataclass(frozen=True)
@@ -73,6 +85,8 @@ class Warehouse:
     # Buckets of the encounter key shared by the three facts (default: from
     # the number of diagnosis lines, see ``fact_buckets``).
     buckets: int | None = None
+    # Rows of a parquet page of the facts: months are skipped in such steps.
+    page_rows: int = PAGE_ROWS
     # An encounter is hot beyond this many rows of a fact and a quarter of an average bucket.
     least_hot_rows: int = LEAST_HOT_ROWS
     # The day whose extract the stored facts hold; corrections since then are merged by the nightly run.
@@ -160,7 +174,7 @@ class Warehouse:
 
     @property
     def fct_discharge_by_month(self) -> DataFrame:
-        """Discharge fact plus ``discharge_month`` and the encounter's year."""
+        """Discharge fact plus ``discharge_month`` and the encounter's year and month."""
         return self._whole("fct_discharge")
 
     @property
@@ -173,15 +187,15 @@ class Warehouse:
 
     @cached_property
     def fct_discharge(self) -> DataFrame:
-        return self.fct_discharge_by_month.drop(MONTH_COL, YEAR_COL)
+        return self.fct_discharge_by_month.drop(MONTH_COL, *PLACE)
 
     @cached_property
     def fct_diagnosis(self) -> DataFrame:
-        return self.fct_diagnosis_by_year.drop(YEAR_COL)
+        return self.fct_diagnosis_by_year.drop(*PLACE)
 
     @cached_property
     def fct_procedure(self) -> DataFrame:
-        return self.fct_procedure_by_year.drop(YEAR_COL)
+        return self.fct_procedure_by_year.drop(*PLACE)
 
     @cached_property
     def parts(self) -> list[Facts]:
@@ -206,14 +220,11 @@ class Warehouse:
 
     @cached_property
     def encounter_years(self) -> DataFrame:
-        """The one year of discharge of each encounter, null where its discharge
-        rows lie in several years or have no date. All rows of an encounter in
-        all facts carry it, so pruning by year (null years are always read)
-        never separates an encounter's rows."""
-        year = F.year("discharge_date")
-        ends = self.core_patient.groupBy("patient_id").agg(F.min(year).alias("_low"), F.max(year).alias("_high"))
-        years = ends.select("patient_id", F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias(YEAR_COL))
-        return self._save_fact(years, "encounter_years")
+        """The one year and month of discharge of each encounter, null where its
+        discharge rows lie in several or have no date. All rows of an encounter
+        in all facts carry them, so pruning by year and month (nulls are always
+        read) never separates an encounter's rows."""
+        return self._save_fact(places(self.core_patient), "encounter_years")
 
     @property
     def fact_buckets(self) -> int:
@@ -233,27 +244,27 @@ class Warehouse:
         return save_bucketed(df, table, path, "patient_id", self.fact_buckets)
 
     def _pin_fact(self, df: DataFrame, name: str) -> tuple[DataFrame, DataFrame | None]:
-        """Write a fact with the encounter's year, bucketed and partitioned by
-        year (the rows move once, to their bucket, where the co-located years
-        join them). Rows of hot encounters are written where they were read,
-        sorted by year."""
+        """Write a fact with the encounter's year and month, bucketed and
+        partitioned by year (the rows move once, to their bucket, where the
+        co-located years join them), sorted by month in each file. Rows of hot
+        encounters are written where they were read, sorted by year and month."""
         if not self.materialize_core:
             return df, None
         hot = None
         if self.hot_encounters is not None:
             df, side = _skew.split(df, self.hot_encounters, "patient_id")
             years = _skew.split(self.encounter_years, self.hot_encounters, "patient_id")[1]
-            years = F.broadcast(years.select(F.col("patient_id").alias("_id"), YEAR_COL))  # a row per hot encounter
+            years = F.broadcast(years.select(F.col("patient_id").alias("_id"), *PLACE))  # a row per hot encounter
             side = side.join(years, F.col("patient_id").eqNullSafe(F.col("_id")), "left").drop("_id")
-            hot = materialize(side, f"{name}-hot", cluster_by=(YEAR_COL, "patient_id"))
+            hot = materialize(side, f"{name}-hot", cluster_by=(*PLACE, "patient_id"))
         placed = df.repartition(self.fact_buckets, "patient_id").join(self.encounter_years, "patient_id", "left")
         path = fresh_path(self.spark, name)
         table = self._tables[name] = f"{name}_{path.rsplit('-', 1)[-1][:12]}"
-        return save_bucketed(placed, table, path, "patient_id", self.fact_buckets, partition_by=YEAR_COL, placed=True), hot
+        return save_bucketed(placed, table, path, "patient_id", self.fact_buckets, partition_by=YEAR_COL, placed=True, sort_by=(ENCOUNTER_MONTH, "patient_id"), page_rows=self.page_rows), hot
 
     def replace_encounters(self, changed: DataFrame, fresh: dict[str, DataFrame], on: _dt.date) -> list[int | None]:
         """Bring the stored facts up to day ``on``: the rows of the encounters
-        ``changed`` (patient_id and their new year of discharge) become those
+        ``changed`` (patient_id and their new year and month of discharge) become those
         of ``fresh`` (by fact name). Returns the years that were rewritten.
 
         Only the years in which these encounters were and are discharged are
@@ -269,10 +280,10 @@ class Warehouse:
         staged = {}
         for name, rows in fresh.items():
             cold, hot = self._written(name)
-            dated = rows.join(changed.select("patient_id", YEAR_COL), "patient_id", "left").select(cold.columns)
+            dated = rows.join(changed.select("patient_id", *PLACE), "patient_id", "left").select(cold.columns)
             if hot is not None:
                 dated, side = _skew.split(dated, self.hot_encounters, "patient_id")
-                side = materialize(lacking(hot, ids, "patient_id").unionByName(side), f"{name}-hot", cluster_by=(YEAR_COL, "patient_id"))
+                side = materialize(lacking(hot, ids, "patient_id").unionByName(side), f"{name}-hot", cluster_by=(*PLACE, "patient_id"))
                 self._cache[name] = (cold, side)
             kept = lacking(cold.filter(F.col(YEAR_COL).isNull() | in_years if None in touched else in_years), ids, "patient_id")
             staged[name] = materialize(kept.unionByName(dated), f"{name}-staged")
@@ -297,7 +308,7 @@ class Warehouse:
 
         def build(k: int) -> DataFrame:
             discharge, diagnosis, procedure = (t[k] for t in written)
-            facts = discharge.drop(MONTH_COL, YEAR_COL), diagnosis.drop(YEAR_COL), procedure.drop(YEAR_COL)
+            facts = discharge.drop(MONTH_COL, *PLACE), diagnosis.drop(*PLACE), procedure.drop(*PLACE)
             return discharge_summary(*facts, self.dim_code, self.bridge, self.year, ci=self.code_identifiers, salted=k == 1)
 
         if not self.materialize_core:

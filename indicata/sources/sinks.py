@@ -93,11 +93,15 @@ def save_bucketed(
     *,
     partition_by: str | None = None,
     placed: bool = False,
+    sort_by: Sequence[str] = (),
+    page_rows: int | None = None,
 ) -> DataFrame:
     """Write ``df`` as a bucketed parquet table at ``path`` and return it.
 
     Rows are hash-partitioned into ``buckets`` by ``key`` (one shuffle, at
-    write time) and sorted by ``key`` inside each bucket. Tables bucketed the
+    write time) and sorted by ``sort_by`` (default ``key``) inside each bucket;
+    ``page_rows`` bounds the rows of a parquet page, the least that a filter on
+    the leading sort column can skip. Tables bucketed the
     same way are co-located: later joins and aggregations on ``key`` read
     bucket i of every table in task i and need no exchange. ``partition_by``
     adds a directory partition (e.g. the discharge year) for pruning. With
@@ -109,8 +113,10 @@ def save_bucketed(
         .format("parquet")
         .option("path", path)
         .bucketBy(buckets, key)
-        .sortBy(key)
+        .sortBy(*(sort_by or [key]))
     )
+    if page_rows:
+        writer = writer.option("parquet.page.row.count.limit", page_rows)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(table)
