@@ -7,13 +7,16 @@ file-source stream over the staging folder:
 * the file source's checkpoint records which extract files were applied,
   so every file is applied exactly once, across restarts and lost executors;
 * ``trigger(availableNow=True)`` processes everything staged so far and
-  stops, which is how a nightly batch job runs a stream; without
-  ``max_files_per_trigger`` all staged files are one micro-batch, so the table
-  is rewritten once a night;
-* each micro-batch upserts into the current snapshot (newest row per key,
-  ``upsert_latest``) and writes the result as a *new* snapshot directory
-  ``epoch=<id>``: nothing is read and overwritten in the same plan, and a
-  retried epoch rewrites only its own directory (idempotent).
+  stops, which is how a nightly batch job runs a stream;
+* each micro-batch writes its own rows only, to ``epoch=<id>`` in a folder of
+  changes beside the state folder; a retried epoch rewrites only its own
+  directory (idempotent);
+* when the stream has stopped, all changes that no snapshot holds yet are
+  upserted into the newest one (newest row per key, ``upsert_latest``) and the
+  result is a *new* snapshot directory ``epoch=<last id>``, so the table is
+  rewritten once a run, however many files it had. Nothing is read and
+  overwritten in the same plan. Changes are removed once a snapshot holds them;
+  those of a run that was cut off are merged by the next one.
 
 Snapshots are found by listing the state folder through Hadoop's FileSystem;
 a folder that does not exist means "no snapshot yet", and a snapshot that
@@ -27,11 +30,14 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from indicata.operators.incremental import upsert_latest
-from indicata.sources.sinks import child_names, fresh_path
+from indicata.operators.incremental import latest_by_key, upsert_latest
+from indicata.sources.sinks import child_names, fresh_path, remove
 
 _DONE = "_SUCCESS"
 
@@ -50,6 +56,15 @@ def read_snapshot(
     return spark.read.schema(schema).parquet(f"{state_dir}/epoch={known[-1]}") if known else None
 
 
+def changes_dir(state_dir: str) -> str:
+    """Where micro-batches leave their rows until a snapshot holds them."""
+    return f"{state_dir.rstrip('/')}-changes"
+
+
+def _without_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
 def apply_staged_extracts(
     spark: SparkSession,
     staging_dir: str,
@@ -69,25 +84,38 @@ def apply_staged_extracts(
     ``checkpoint_dir`` is given.
     """
     ckpt = checkpoint_dir or fresh_path(spark, "stream-ckpt")
+    changes, names, applied = changes_dir(state_dir), schema.fieldNames(), set()
 
-    def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        current = read_snapshot(spark, state_dir, schema, before_epoch=epoch_id)
-        if current is None:
-            current = initial if initial is not None else spark.createDataFrame([], schema)
-        merged = upsert_latest(current.select(schema.fieldNames()), batch.select(schema.fieldNames()), keys, order_col)
-        merged.write.mode("overwrite").parquet(f"{state_dir}/epoch={epoch_id}")
+    def keep_batch(batch: DataFrame, epoch_id: int) -> None:
+        rows = batch.select(names)
+        # A batch's rows without a key count as versions of one row.
+        unkeyed = latest_by_key(rows.filter(_without_key(keys)), keys, order_col)
+        rows.filter(~_without_key(keys)).unionByName(unkeyed).write.mode("overwrite").parquet(f"{changes}/epoch={epoch_id}")
+        applied.add(epoch_id)
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     query = (
         reader.parquet(staging_dir)
-        .writeStream.foreachBatch(upsert_batch)
+        .writeStream.foreachBatch(keep_batch)
         .option("checkpointLocation", ckpt)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    known = epochs(spark, state_dir)
+    kept = epochs(spark, changes)
+    pending = [e for e in kept if e in applied or not known or e > known[-1]]
+    if pending:
+        current = read_snapshot(spark, state_dir, schema, before_epoch=pending[0])
+        if current is None:
+            current = initial if initial is not None else spark.createDataFrame([], schema)
+        rows = spark.read.schema(schema).parquet(*[f"{changes}/epoch={e}" for e in pending])
+        merged = upsert_latest(current.select(names), rows.filter(~_without_key(keys)), keys, order_col)
+        merged.unionByName(rows.filter(_without_key(keys))).write.mode("overwrite").parquet(f"{state_dir}/epoch={pending[-1]}")
+    for e in kept:
+        remove(spark, f"{changes}/epoch={e}")
     out = read_snapshot(spark, state_dir, schema)
     if out is None:
         return initial if initial is not None else spark.createDataFrame([], schema)
