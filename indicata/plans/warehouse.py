@@ -48,12 +48,14 @@ MONTH_COL = "discharge_month"
 YEAR_COL, ENCOUNTER_MONTH = _ind.YEAR_COL, _ind.ENCOUNTER_MONTH
 #: Columns of a stored fact that place its rows.
 PLACE = (YEAR_COL, ENCOUNTER_MONTH)
-# Diagnosis lines per bucket of the facts (about 200 MB of parquet), and the
-# fewest buckets a warehouse has.
-BUCKET_ROWS = 4_000_000
+# Diagnosis lines per bucket of the facts, and the fewest buckets a warehouse
+# has. A task sorts, groups or joins one bucket, at up to 2.2 KB of memory a line
+# (the arrays of the summary), so a bucket's lines bound the memory of every task.
+BUCKET_ROWS = 500_000
 LEAST_BUCKETS = 8
 LEAST_HOT_ROWS = 1_000
-PAGE_ROWS = 20_000
+# A file holds a bucket's rows of a year; a page is a small part of them.
+PAGE_ROWS = 2_500
 
 
 def places(patient: DataFrame) -> DataFrame:
@@ -232,7 +234,7 @@ class Warehouse:
 
         Derived from the data, not from the session: one bucket per
         ``BUCKET_ROWS`` diagnosis lines (a count that parquet footers answer),
-        which bounds each co-located task's input on any cluster.
+        which bounds each co-located task's input and memory on any cluster.
         """
         if self.buckets is None:
             self.buckets = max(LEAST_BUCKETS, -(-self.raw.diagnosis.count() // BUCKET_ROWS))
