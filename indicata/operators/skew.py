@@ -81,6 +81,12 @@ def salted_arrays(rows: DataFrame, key: str, arrays: Mapping[str, Column], least
     return parts.groupBy(key).agg(*[F.sort_array(F.flatten(F.collect_list(n))).alias(n) for n in arrays], *[F.min(n).alias(n) for n in least])
 
 
+def counted(rows: DataFrame, *columns: str) -> DataFrame:
+    """Distinct values of ``columns`` with the number ``n`` of their rows. Partial
+    aggregation leaves at most a task's distinct values, whatever the keys."""
+    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 def collapse_diagnoses(diagnosis: DataFrame) -> DataFrame:
     """Diagnosis lines of hot encounters, one for each encounter, code and flags,
     with the lowest rank: all that cohorts and audit rows ask of them. Partial

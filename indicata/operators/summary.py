@@ -20,7 +20,7 @@ from indicata.functions import text_list
 from indicata.operators.facts import code_keys
 from indicata.operators.joins import bounded_broadcast, lookup, narrowed
 from indicata.operators.reference import code_identifiers
-from indicata.operators.skew import salt, salted_arrays
+from indicata.operators.skew import counted, salt, salted_arrays
 
 # Fixed value: text fallback for a DRG missing from the dimension.
 DRG_TEXT_FALLBACK = "Unknown"
@@ -42,33 +42,53 @@ def _by(code: str, year: int | None) -> list[str]:
     return [code] if year is not None else [code, "reference_year"]
 
 
-def diagnosis_structs(diagnosis: DataFrame, dim: DataFrame, ci: DataFrame, year: int | None) -> DataFrame:
-    """Diagnosis lines with the struct fields of the summary."""
+#: Runs: arrays of distinct elements with their number in this field.
+RUN = "n"
+
+
+def _lines(rows: DataFrame, columns: list[str], runs: bool) -> DataFrame:
+    return counted(rows, *columns) if runs else rows.select(*columns)
+
+
+def _run(runs: bool) -> list[Column]:
+    return [F.col(RUN)] if runs else []
+
+
+def _public_run(s: Column, runs: bool) -> list[Column]:
+    return [s[RUN].alias(RUN)] if runs else []
+
+
+def diagnosis_structs(diagnosis: DataFrame, dim: DataFrame, ci: DataFrame, year: int | None, runs: bool = False) -> DataFrame:
+    """Diagnosis lines with the struct fields of the summary; with ``runs`` equal
+    lines of an encounter are one row with their number."""
+    columns = ["patient_id", *_by("diag_code", year), "diag_rank_num", "is_principal_diag", "is_present_on_admission"]
     looked = lookup(
-        diagnosis.select("patient_id", *_by("diag_code", year), "diag_rank_num", "is_principal_diag", "is_present_on_admission"),
+        _lines(diagnosis, columns, runs),
         code_keys(dim, "Diagnosis", year, "diag_code", "code_sk"),
         _by("diag_code", year),
     )
     return _identifiers_lookup(looked, ci, "Diagnosis", "code_sk")
 
 
-def _diag_struct(with_rank: bool) -> Column:
+def _diag_struct(with_rank: bool, runs: bool = False) -> Column:
     fields = [
         F.col("diag_rank_num").alias("rank"),
         F.col("diag_code").alias("code"),
         F.col("is_present_on_admission").alias("is_present_on_admission"),
         F.col("code_sk").alias("code_sk"),
         F.col("identifiers").alias("identifiers"),
+        *_run(runs),
     ]
     return F.struct(*(fields if with_rank else fields[1:]))
 
 
-def _public_diag(s: Column) -> Column:
+def _public_diag(s: Column, runs: bool = False) -> Column:
     return F.struct(
         s["code_sk"].alias("code_sk"),
         s["code"].alias("code"),
         s["identifiers"].alias("identifiers"),
         s["is_present_on_admission"].alias("is_present_on_admission"),
+        *_public_run(s, runs),
     )
 
 
@@ -79,31 +99,31 @@ def _arrays(rows: DataFrame, arrays: dict[str, Column], least: dict[str, Column]
     return rows.groupBy("patient_id").agg(*[F.sort_array(F.collect_list(v)).alias(n) for n, v in arrays.items()], *[F.min(v).alias(n) for n, v in least.items()])
 
 
-def diagnosis_arrays(diag_structs: DataFrame, salted: bool = False) -> DataFrame:
+def diagnosis_arrays(diag_structs: DataFrame, salted: bool = False, runs: bool = False) -> DataFrame:
     """Per encounter: the principal diagnosis (first by rank, ties by code then
-    present flag; NULL when none) and the ordered secondary diagnoses."""
+    present flag; NULL when none) and the ordered secondary diagnoses (their runs, see ``expanded``)."""
     principal = F.col("is_principal_diag") == 1
-    agg = _arrays(diag_structs, {"_s": F.when(~principal, _diag_struct(True))}, {"_p": F.when(principal, _diag_struct(True))}, salted)
+    agg = _arrays(diag_structs, {"_s": F.when(~principal, _diag_struct(True, runs))}, {"_p": F.when(principal, _diag_struct(True))}, salted)
     return agg.select(
         "patient_id",
         F.when(F.col("_p").isNotNull(), _public_diag(F.col("_p"))).alias("principal_diagnosis"),
-        F.transform("_s", _public_diag).alias("secondary_diagnoses"),
+        F.transform("_s", lambda s: _public_diag(s, runs)).alias("secondary_diagnoses"),
     )
 
 
-def procedure_arrays(procedure: DataFrame, dim: DataFrame, ci: DataFrame, year: int | None, salted: bool = False) -> DataFrame:
+def procedure_arrays(procedure: DataFrame, dim: DataFrame, ci: DataFrame, year: int | None, salted: bool = False, runs: bool = False) -> DataFrame:
     looked = lookup(
-        procedure.select("patient_id", *_by("procedure_code", year)),
+        _lines(procedure, ["patient_id", *_by("procedure_code", year)], runs),
         code_keys(dim, "Procedure", year, "procedure_code", "code_sk"),
         _by("procedure_code", year),
     )
     structs = _identifiers_lookup(looked, ci, "Procedure", "code_sk")
-    agg = _arrays(structs, {"_p": F.struct(F.col("procedure_code").alias("code"), F.col("code_sk"), F.col("identifiers"))}, {}, salted)
+    agg = _arrays(structs, {"_p": F.struct(F.col("procedure_code").alias("code"), F.col("code_sk"), F.col("identifiers"), *_run(runs))}, {}, salted)
     return agg.select(
         "patient_id",
         F.transform(
             "_p",
-            lambda s: F.struct(s["code_sk"].alias("code_sk"), s["code"].alias("code"), s["identifiers"].alias("identifiers")),
+            lambda s: F.struct(s["code_sk"].alias("code_sk"), s["code"].alias("code"), s["identifiers"].alias("identifiers"), *_public_run(s, runs)),
         ).alias("procedures"),
     )
 
@@ -116,13 +136,17 @@ def discharge_summary(
     bridge: DataFrame | None,
     year: int | None,
     ci: DataFrame | None = None,
-    salted: bool = False,
+    runs: bool = False,
 ) -> DataFrame:
     """Nested one-row-per-discharge summary; arrays are never NULL.
 
     Without a ``year`` every row is looked up in its own ``reference_year``
     (``versioned.rekeyed``), and ``ci`` must be given.
-    ``salted`` builds the arrays in two stages, for encounters with very many lines.
+    With ``runs``, for encounters with very many lines, equal lines are counted
+    before anything else, and the arrays hold each distinct one once with its
+    number ``n``: no row grows with an encounter's repeats (``flatten_summary``
+    reads both forms, ``expanded`` repeats the elements). The arrays are built in
+    two salted stages and written, and broadcast to the discharges if small.
 
     ``ci`` is the per-code identifier array table (``code_identifiers``) when
     it is already materialized; it is derived from ``bridge`` otherwise.
@@ -131,8 +155,13 @@ def discharge_summary(
     drg = _identifiers_lookup(
         lookup(discharge, code_keys(dim, "DRG", year, "drg", "_drg_sk"), _by("drg", year)), ci, "DRG", "_drg_sk"
     )
-    dx = diagnosis_arrays(diagnosis_structs(diagnosis, dim, ci, year), salted)
-    px = procedure_arrays(procedure, dim, ci, year, salted)
+    dx = diagnosis_arrays(diagnosis_structs(diagnosis, dim, ci, year, runs), runs, runs)
+    px = procedure_arrays(procedure, dim, ci, year, runs, runs)
+    if runs:
+        from indicata.sources.sinks import materialize
+
+        dx, px = (bounded_broadcast(materialize(a, f"hot-arrays-{n}")) for a, n in ((dx, "diagnosis"), (px, "procedure")))
+    counts = [T.StructField(RUN, T.LongType())] if runs else []
     empty_dx = F.array().cast(
         T.ArrayType(
             T.StructType(
@@ -141,6 +170,7 @@ def discharge_summary(
                     T.StructField("code", T.StringType()),
                     T.StructField("identifiers", T.ArrayType(T.StringType())),
                     T.StructField("is_present_on_admission", T.LongType()),
+                    *counts,
                 ]
             )
         )
@@ -152,6 +182,7 @@ def discharge_summary(
                     T.StructField("code_sk", T.StringType()),
                     T.StructField("code", T.StringType()),
                     T.StructField("identifiers", T.ArrayType(T.StringType())),
+                    *counts,
                 ]
             )
         )
@@ -181,9 +212,39 @@ def discharge_summary(
     )
 
 
+def _in_runs(summary: DataFrame, array_col: str) -> bool:
+    return RUN in summary.schema[array_col].dataType.elementType.names
+
+
+def expanded(summary: DataFrame) -> DataFrame:
+    """A summary in runs with every element repeated as often as it occurs."""
+    out = summary
+    for name in ("secondary_diagnoses", "procedures"):
+        if _in_runs(summary, name):
+            fields = [f for f in summary.schema[name].dataType.elementType.names if f != RUN]
+            repeat = lambda s: F.array_repeat(F.struct(*[s[f].alias(f) for f in fields]), s[RUN].cast("int"))  # noqa: E731,B023
+            out = out.withColumn(name, F.flatten(F.transform(name, repeat)))
+    return out
+
+
+def _codes(summary: DataFrame, array_col: str) -> Column:
+    """The codes of an array as text, without nulls."""
+    if not _in_runs(summary, array_col):
+        return text_list(F.transform(array_col, lambda s: s["code"]))
+    # A separator before every code; the first one goes.
+    texts = F.transform(array_col, lambda s: F.repeat(F.concat(F.lit(","), s["code"]), s[RUN].cast("int")))
+    return F.substr(F.array_join(texts, ""), F.lit(2))
+
+
+def _length(summary: DataFrame, array_col: str) -> Column:
+    if not _in_runs(summary, array_col):
+        return F.size(array_col).cast("bigint")
+    return F.aggregate(array_col, F.lit(0).cast("bigint"), lambda a, s: a + s[RUN])
+
+
 def flatten_summary(summary: DataFrame) -> DataFrame:
-    """Flat text rendering of the nested columns (for checks and exports)."""
-    codes = lambda arr: text_list(F.transform(arr, lambda s: s["code"]))
+    """Flat text rendering of the nested columns (for checks and exports). Of a
+    summary in runs the texts are repeated, no array is; a text's limit is 2 GB."""
     return summary.select(
         *[c for c in summary.columns if c not in ("drg_identifiers", "principal_diagnosis", "secondary_diagnoses", "procedures")],
         text_list(F.col("drg_identifiers")).alias("drg_identifiers"),
@@ -191,10 +252,10 @@ def flatten_summary(summary: DataFrame) -> DataFrame:
         F.col("principal_diagnosis.code_sk").alias("principal_code_sk"),
         text_list(F.col("principal_diagnosis.identifiers")).alias("principal_identifiers"),
         F.col("principal_diagnosis.is_present_on_admission").alias("principal_poa"),
-        codes(F.col("secondary_diagnoses")).alias("secondary_codes"),
-        F.size("secondary_diagnoses").cast("bigint").alias("n_secondary"),
-        codes(F.col("procedures")).alias("procedure_codes"),
-        F.size("procedures").cast("bigint").alias("n_procedures"),
+        _codes(summary, "secondary_diagnoses").alias("secondary_codes"),
+        _length(summary, "secondary_diagnoses").alias("n_secondary"),
+        _codes(summary, "procedures").alias("procedure_codes"),
+        _length(summary, "procedures").alias("n_procedures"),
     )
 
 

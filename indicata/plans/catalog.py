@@ -379,7 +379,7 @@ def hot_encounter_reasons(spark, sf):
 
 def hot_encounter_arrays(spark, sf):
     """Principal line, and number and SHA-256 of the arrays' codes, of every discharge beside hot encounters."""
-    flat = summ.flatten_summary(hot_warehouse(spark, sf).discharge_summary)
+    flat = hot_warehouse(spark, sf).discharge_summary_flat
     return flat.select(
         "patient_id", "discharge_date", "principal_code", "principal_poa", "n_secondary", F.sha2("secondary_codes", 256).alias("secondary_sha256"),
         "n_procedures", F.sha2("procedure_codes", 256).alias("procedures_sha256"),
@@ -399,7 +399,7 @@ def _diag_arrays(w: Warehouse) -> DataFrame:
 
 
 def discharge_summary_flat(spark, sf):
-    return summ.flatten_summary(_summary(warehouse(spark, sf)))
+    return warehouse(spark, sf).discharge_summary_flat
 
 
 def principal_diagnosis(spark, sf):

@@ -292,7 +292,7 @@ class Warehouse:
         for name, rows in staged.items():
             overwrite_partitions(rows, self._tables[name], "patient_id", self.fact_buckets, YEAR_COL, touched)
             self._cache[name] = (self.spark.table(self._tables[name]), self._cache[name][1])
-        for derived in ("fct_discharge", "fct_diagnosis", "fct_procedure", "parts", "discharge_summary"):
+        for derived in ("fct_discharge", "fct_diagnosis", "fct_procedure", "parts", "_summaries", "discharge_summary"):
             self.__dict__.pop(derived, None)
         self._cache = {k: v for k, v in self._cache.items() if k[0] != "metrics"}
         self.built_on = on
@@ -302,8 +302,23 @@ class Warehouse:
     @cached_property
     def discharge_summary(self) -> DataFrame:
         """Nested one-row-per-discharge table, bucketed by encounter like the
-        facts; hot encounters' arrays are built in two salted stages and lie
-        beside it."""
+        facts; the rows of hot encounters lie beside it in runs and are expanded
+        as they are read (``discharge_summary_flat`` does without)."""
+        from indicata.operators.summary import expanded
+
+        cold, hot = self._summaries
+        return cold if hot is None else cold.unionByName(expanded(hot))
+
+    @property
+    def discharge_summary_flat(self) -> DataFrame:
+        """The summary as text (``flatten_summary``), hot encounters straight from their runs."""
+        from indicata.operators.summary import flatten_summary
+
+        return union_all(*[flatten_summary(s) for s in self._summaries if s is not None])
+
+    @cached_property
+    def _summaries(self) -> tuple[DataFrame, DataFrame | None]:
+        """The summary of the bucketed encounters and, in runs, of the hot ones (None if there are none)."""
         from indicata.operators.summary import discharge_summary
 
         written = [self._written(n) for n in ("fct_discharge", "fct_diagnosis", "fct_procedure")]
@@ -311,12 +326,12 @@ class Warehouse:
         def build(k: int) -> DataFrame:
             discharge, diagnosis, procedure = (t[k] for t in written)
             facts = discharge.drop(MONTH_COL, *PLACE), diagnosis.drop(*PLACE), procedure.drop(*PLACE)
-            return discharge_summary(*facts, self.dim_code, self.bridge, self.year, ci=self.code_identifiers, salted=k == 1)
+            return discharge_summary(*facts, self.dim_code, self.bridge, self.year, ci=self.code_identifiers, runs=k == 1)
 
         if not self.materialize_core:
-            return build(0)
+            return build(0), None
         cold = self._save_fact(build(0), "discharge_summary")
-        return cold if written[1][1] is None else cold.unionByName(materialize(build(1), "discharge_summary-hot"))
+        return cold, None if written[1][1] is None else materialize(build(1), "discharge_summary-hot")
 
     # -- indicator -------------------------------------------------------
     def flags(self, spec: _ind.IndicatorSpec) -> DataFrame:
