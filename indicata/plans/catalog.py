@@ -26,7 +26,7 @@ from indicata.operators import versioned as ver
 from indicata.operators.intervals import RangeTable, lookup_intervals, overlaps, resolved
 from indicata.operators.joins import bounded_broadcast, lacking, lookup, narrowed
 from indicata.plans.nightly import RunOutputs, StagedExtract, VersionedReference, compact_corrections, nightly_run
-from indicata.plans.warehouse import Warehouse, fixture_warehouse
+from indicata.plans.warehouse import LEAST_BUCKETS, Warehouse, fixture_warehouse
 from indicata.sources import fixtures as fx
 from indicata.sources import sinks
 from indicata.sources.contract import (
@@ -47,7 +47,7 @@ PREVIOUS_ROLLING_RUN_DATE = _dt.date(1997, 5, 31)
 BACKFILL = ("1996-01", "1997-12")
 FRESHNESS_RUN_DATE = _dt.date(1998, 1, 15)
 SPEC = ind.IndicatorSpec()
-#: Partitions of the inputs when the model is built a second time.
+#: Partitions of the inputs when the model is built a second time, for each of the fewest buckets that a warehouse has.
 RERUN_PARTITIONS = 5
 #: Buckets of the patient store in (year, bucket) folders.
 TOUCHED_BUCKETS = 16
@@ -881,7 +881,8 @@ def dq_reconcile_contents(spark, sf):
 def dq_rerun(spark, sf):
     """The model built a second time, from its inputs in other partitions: every table has the same rows."""
     w = warehouse(spark, sf)
-    dealt = lambda df: df.repartition(RERUN_PARTITIONS)
+    parts = RERUN_PARTITIONS * (w.fact_buckets // LEAST_BUCKETS)
+    dealt = lambda df: df.repartition(parts)
     raw = fx.RawInputs(dealt(w.raw.patient), dealt(w.raw.diagnosis), dealt(w.raw.procedure), dealt(w.raw.code_lists))
     again = Warehouse(spark, raw, YEAR, buckets=w.fact_buckets)
     tables = ("code_map", "dim_code", "bridge", "fct_discharge", "fct_diagnosis", "fct_procedure", "discharge_summary")
