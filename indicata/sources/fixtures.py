@@ -6,7 +6,8 @@ operator reads data whose volume grows with the scale factor. The same
 projection exists as a DuckDB CTE prefix in ``indicata.plans.oracle``.
 
 Every function here is a narrow projection (no shuffle) except the
-procedure list, which is DISTINCT by contract.
+procedure list, which is DISTINCT by contract, and the versioned code lists,
+whose parts are dealt out.
 """
 
 from __future__ import annotations
@@ -154,10 +155,11 @@ def versioned_code_lists(spark: SparkSession, sf_dir: str, first_year: int = 199
 
     The sepsis list widens by one code per year after the fixture year.
     Returns all versions with ``ref_version``, ``effective_start_date``,
-    ``effective_end_date`` and ``reference_year``, from a single scan.
+    ``effective_end_date`` and ``reference_year``, from a single scan. The
+    parts are dealt out first: their few file splits become some ten times the rows.
     """
     yr = F.col("_yr")
-    part = table(spark, sf_dir, "part").select(
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name").repartition("p_partkey").select(
         "p_partkey", "p_name", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("_yr")
     )
     rows = _code_list_rows(part, F.lit(12) + yr - FIXTURE_YEAR, extra=[yr])
